@@ -1,8 +1,9 @@
 """Exact dedup as a stream with keyed state.
 
-A file stream feeds a keyed aggregation whose state lives in RocksDB, on disk, and never expires. The key is the digest
-of the normalised text; the value is the group's count, and of the row that stays its length, stable identifier and
-content locator (file and row number). Each digest that is hit more than once is then checked on full bytes: the texts of
+A file stream feeds a keyed state on disk, in the shared folder, that never expires: each micro-batch adds a delta of its
+keys, and deltas are compacted into a base now and then, as in a log-structured merge tree. The key is the digest of the
+normalised text; the value is the group's count, and of the row that stays its length, stable identifier and content
+locator (file and row number). Each digest that is hit more than once is then checked on full bytes: the texts of
 its rows are compared with the text that the locator names. Rows that differ from it share a digest without sharing a
 text; their digests are grouped anew by the bytes themselves, so the result is right whatever the digest.
 
@@ -22,13 +23,8 @@ from pyspark.sql import functions as F
 
 from .common import WHITE_CLASS, Scratch
 
-ROCKSDB = {
-    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
-    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
-    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
-    "spark.sql.streaming.noDataMicroBatches.enabled": "false",
-}
+#: The state is compacted when it has so many deltas.
+DELTAS = 16
 
 
 def normalised(text: Column) -> Column:
@@ -51,42 +47,54 @@ def preference() -> Column:
     return F.struct("points", (-F.col("id")).alias("neg_id"), "file", "row")
 
 
-def update_state(spark: SparkSession, path: str, checkpoint: str, doc_id: str = "doc_id", text: str = "text", digest: Callable[[Column], Column] = sha256, max_bytes_per_trigger: int = 64 << 30, max_files_per_trigger: int | None = None) -> None:
-    """Takes all files not yet seen at this checkpoint into the state. Call again when files were added."""
-    old = {k: spark.conf.get(k, None) for k in ROCKSDB}
-    for k, v in ROCKSDB.items():
-        spark.conf.set(k, v)
-    try:
-        reader = spark.readStream.schema(spark.read.parquet(path).schema)
-        at = spark._jvm.org.apache.hadoop.fs.Path(path)
-        if at.getFileSystem(spark._jsc.hadoopConfiguration()).isFile(at):  # file streams read folders
-            reader, path = reader.option("pathGlobFilter", at.getName()), at.getParent().toString()
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger) if max_files_per_trigger else reader.option("maxBytesPerTrigger", max_bytes_per_trigger)
-        rows = keyed_rows(reader.parquet(path), doc_id, text, digest)
-        state = rows.groupBy("digest").agg(F.max(preference()).alias("best"), F.count("*").alias("n"))
-        query = state.writeStream.outputMode("update").format("noop").option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-        query.awaitTermination()
-    finally:
-        for k, v in old.items():
-            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
-
-
-def read_state(spark: SparkSession, checkpoint: str) -> DataFrame:
+def versions(spark: SparkSession, state: str, kind: str) -> list[int]:
+    """Numbers of the complete parts of a kind."""
+    jvm = spark._jvm.org.apache.hadoop.fs.Path
+    root = jvm(f"{state}/{kind}")
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return []
+    return sorted(int(x.getPath().getName()) for x in fs.listStatus(root) if fs.exists(jvm(x.getPath(), "_SUCCESS")))
+
+
+def merged(parts: DataFrame) -> DataFrame:
+    return parts.groupBy("digest").agg(F.max("best").alias("best"), F.sum("n").alias("n"))
+
+
+def read_state(spark: SparkSession, state: str) -> DataFrame:
     """The state as a table: digest, best (length, negated identifier, locator), n."""
-    s = spark.read.format("statestore").load(checkpoint)
-    value = s.schema["value"].dataType.fieldNames()
-    return s.select(F.col(f"key.{s.schema['key'].dataType.fieldNames()[0]}").alias("digest"), F.col(f"value.{value[0]}").alias("best"), F.col(f"value.{value[1]}").alias("n"))
+    base = versions(spark, state, "base")[-1:]
+    paths = [f"{state}/base/{b}" for b in base] + [f"{state}/delta/{d}" for d in versions(spark, state, "delta") if not base or d > base[0]]
+    return merged(spark.read.parquet(*paths))
+
+
+def update_state(spark: SparkSession, path: str, state: str, doc_id: str = "doc_id", text: str = "text", digest: Callable[[Column], Column] = sha256, max_bytes_per_trigger: int = 64 << 30, max_files_per_trigger: int | None = None) -> None:
+    """Takes all files not yet seen by this state into it. Call again when files were added."""
+    reader = spark.readStream.schema(spark.read.parquet(path).schema)
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if at.getFileSystem(spark._jsc.hadoopConfiguration()).isFile(at):  # file streams read folders
+        reader, path = reader.option("pathGlobFilter", at.getName()), at.getParent().toString()
+    reader = reader.option("maxFilesPerTrigger", max_files_per_trigger) if max_files_per_trigger else reader.option("maxBytesPerTrigger", max_bytes_per_trigger)
+
+    def merge(batch: DataFrame, number: int) -> None:
+        # a batch that is run again after a failure writes the same delta again
+        batch.groupBy("digest").agg(F.max(preference()).alias("best"), F.count("*").alias("n")).write.mode("overwrite").parquet(f"{state}/delta/{number}")
+        if number % DELTAS == DELTAS - 1:
+            read_state(spark, state).write.mode("overwrite").parquet(f"{state}/base/{number}")
+
+    rows = keyed_rows(reader.parquet(path), doc_id, text, digest).drop("body")
+    rows.writeStream.foreachBatch(merge).option("checkpointLocation", f"{state}/offsets").trigger(availableNow=True).start().awaitTermination()
 
 
-def exact_dedup(spark: SparkSession, path: str, doc_id: str = "doc_id", text: str = "text", digest: Callable[[Column], Column] = sha256, checkpoint: str | None = None, max_bytes_per_trigger: int = 64 << 30, max_files_per_trigger: int | None = None) -> DataFrame:
+def exact_dedup(spark: SparkSession, path: str, doc_id: str = "doc_id", text: str = "text", digest: Callable[[Column], Column] = sha256, state_path: str | None = None, max_bytes_per_trigger: int = 64 << 30, max_files_per_trigger: int | None = None) -> DataFrame:
     """One row per row at ``path``: id, points, digest, keep_id, group_size, kept."""
     scratch = Scratch(spark, "exact-dedup")
     source = spark.read.parquet(path)
     if source.isEmpty():
         return spark.createDataFrame([], "id long, points long, digest string, keep_id long, group_size long, kept boolean")
-    checkpoint = checkpoint or scratch.path("state")
-    update_state(spark, path, checkpoint, doc_id, text, digest, max_bytes_per_trigger, max_files_per_trigger)
-    state = read_state(spark, checkpoint)
+    state_path = state_path or scratch.path("state")
+    update_state(spark, path, state_path, doc_id, text, digest, max_bytes_per_trigger, max_files_per_trigger)
+    state = read_state(spark, state_path)
     rows = keyed_rows(source, doc_id, text, digest)
     here = (F.col("file") == F.col("best.file")) & (F.col("row") == F.col("best.row"))
     decided = rows.drop("body").join(state, "digest").select("id", "points", "digest", (-F.col("best.neg_id")).alias("keep_id"), F.col("n").alias("group_size"), here.alias("kept"))
