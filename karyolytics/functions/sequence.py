@@ -14,7 +14,7 @@ def reverse_complement(c: Column) -> Column:
 
 
 def base_count(c: Column, bases: str) -> Column:
-    return F.length(c) - F.length(F.translate(F.upper(c), bases, ""))
+    return F.length(c) - F.length(F.translate(c, bases + bases.lower(), ""))
 
 
 def gc_content(c: Column) -> Column:

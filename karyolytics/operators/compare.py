@@ -39,7 +39,7 @@ def completeness(contigs: DataFrame, refs: DataFrame) -> DataFrame:
 
 
 def class_pivot(classified: DataFrame, classes: tuple[str, ...]) -> DataFrame:
-    return classified.groupBy("assembly").pivot("class", list(classes)).agg(F.count("*")).fillna(0)
+    return classified.groupBy("assembly").pivot("class", list(classes)).agg(F.count(F.lit(1))).fillna(0)
 
 
 def class_breakdown(classified: DataFrame) -> DataFrame:

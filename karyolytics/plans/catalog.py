@@ -279,7 +279,7 @@ def taxon_prevalence(s, d):
     return _contaminants(s, d).join(c, "contig").groupBy("kingdom", "name").agg(F.countDistinct("assembly").alias("n_assemblies")).orderBy(F.desc("n_assemblies"), "name").limit(10)
 
 
-_GC = ctes("seqs") + ", gc AS (SELECT doc_id, assembly, coalesce((length(seq) - length(translate(upper(seq), 'GC', ''))) / nullif(length(seq) - length(translate(upper(seq), 'ACGT', '')), 0), 0) AS gc FROM seqs)"
+_GC = ctes("seqs") + ", gc AS (SELECT doc_id, assembly, coalesce((length(seq) - length(translate(seq, 'GCgc', ''))) / nullif(length(seq) - length(translate(seq, 'ACGTacgt', '')), 0), 0) AS gc FROM seqs)"
 
 
 def _gc(s, d):
