@@ -12,13 +12,14 @@ from karyolytics.llm.queries import tokenizer
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
-    return quality.assess(spark, docs).filter("kept").select(*docs.columns)
+    rows = docs.select(F.struct(*docs.columns).alias("row"), "text")  # own columns may have the names of counts
+    return quality.assess(spark, rows).filter("kept").select("row.*")
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that an earlier document or line has; those left without any line go."""
     out = line_dedup.dedup_lines(spark, docs)
-    out = out.filter((F.col("line_drops") == 0) | (F.btrim("text", F.lit(WHITE)) != ""))
+    out = out.filter((F.col("_line_drops") == 0) | (F.btrim("text", F.lit(WHITE)) != ""))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return out.select(*docs.columns)

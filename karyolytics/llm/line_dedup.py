@@ -192,15 +192,15 @@ def dropped_lines(spark: SparkSession, docs: DataFrame, per_cent: int = PER_CENT
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id", text: str = "text", per_cent: int = PER_CENT) -> DataFrame:
-    """All columns of docs, with the text without dropped lines, and line_count, line_drops (of lines that aren't blank)."""
+    """All columns of docs, with the text without dropped lines, and _line_count, _line_drops (of lines that aren't blank)."""
     keyed = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
     keyed = keyed.select("id", key_of().alias("key"), "text")
     gone = dropped_lines(spark, keyed, per_cent)
-    whole = docs.withColumn("line_key", F.xxhash64(F.col(doc_id).cast("long"), F.col(text)))
-    out = whole.join(gone.withColumnRenamed("key", "line_key"), "line_key", "left").drop("line_key")
-    names = [c for c in out.columns if c != "gone"]
+    whole = docs.withColumn("_line_key", F.xxhash64(F.col(doc_id).cast("long"), F.col(text)))
+    out = whole.join(gone.select(F.col("key").alias("_line_key"), F.col("gone").alias("_gone")), "_line_key", "left").drop("_line_key")
+    names = [c for c in out.columns if c != "_gone"]
     at = names.index(text)
-    schema = out.select(*names).schema.add("line_count", "long").add("line_drops", "long")
+    schema = out.select(*names).schema.add("_line_count", "long").add("_line_drops", "long")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -215,6 +215,6 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id", te
                 texts.append(t)
             cols = [batch.column(i) for i in range(len(names))]
             cols[at] = pa.array(texts, cols[at].type)
-            yield pa.RecordBatch.from_arrays([*cols, pa.array(count, pa.int64()), pa.array(drops, pa.int64())], [*names, "line_count", "line_drops"])
+            yield pa.RecordBatch.from_arrays([*cols, pa.array(count, pa.int64()), pa.array(drops, pa.int64())], [*names, "_line_count", "_line_drops"])
 
-    return out.select(*names, "gone").mapInArrow(run, schema)
+    return out.select(*names, "_gone").mapInArrow(run, schema)

@@ -37,7 +37,7 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup.dedup_lines(spark, documents(spark, sf_dir).select("doc_id", "text"))
-    return out.select("doc_id", F.col("line_count").alias("n_lines"), F.col("line_drops").alias("n_dropped"), "text")
+    return out.select("doc_id", F.col("_line_count").alias("n_lines"), F.col("_line_drops").alias("n_dropped"), "text")
 
 
 def op5_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
