@@ -7,8 +7,8 @@ sketch decides how much work there is, never what is found. Columns are dealt in
 and accumulates overlap counts by pair, and pairs are dropped as soon as sizes and counts cannot reach the overlap that
 their similarity needs. What remains is verified on the whole sets.
 
-Large groups of near copies: before the product, each row is verified against one leader that it shares most columns
-with, and verified links are united. The product then counts only pairs of different components, so that a group of near
+Large groups of near copies: before the product, each row is verified, in turns, against the leader that it shares most
+columns with, and verified links are united. The product then counts only pairs of different components, so that a group of near
 copies costs links to its leaders rather than all its pairs. Every pair of different classes is either verified, or
 excluded by a bound, or within a component already: no link that could join two components is lost.
 
@@ -32,8 +32,10 @@ from pyspark.sql import functions as F
 from .common import Scratch, components
 
 WORDS, PER_CENT = 5, 80
-SKETCH = 1 << 17
-BLOCKS = 32
+SKETCH = 1 << 20
+BLOCKS = 128
+#: Rounds of leaders before the product.
+LEADERS = 2
 BYTES = 1 << 21
 #: Identifiers are broadcast up to so many.
 BROADCAST_IDS = 1_000_000
@@ -288,6 +290,21 @@ def product(lists: DataFrame, per_cent: int) -> DataFrame:
     return pairs.filter(reachable(F.col("na"), F.col("nb"), F.col("c"), per_cent))
 
 
+def with_components(lists: DataFrame, known: DataFrame | None) -> DataFrame:
+    if known is None:
+        return lists.withColumn("component", F.col("cls"))
+    return lists.join(known.select(F.col("node").alias("cls"), "component"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
+
+
+def leaders(lists: DataFrame, per_cent: int, turn: int) -> DataFrame:
+    """For each class the leader of other component that it shares most columns with: (a, b, na, nb). Turns have other leaders."""
+    row = F.struct("cls", "n", "component")
+    lead = lists.groupBy("h").agg((F.min(row) if turn == 0 else F.min_by(row, F.struct(F.xxhash64("cls", F.lit(turn)), "cls"))).alias("lead"))
+    pairs = lists.join(lead, "h").filter("component <> lead.component").groupBy(F.col("lead.cls").alias("a"), F.col("cls").alias("b")).agg(F.first("lead.n").alias("na"), F.first("n").alias("nb"), F.count("*").alias("c"))
+    pairs = pairs.filter(reachable(F.col("na"), F.col("nb"), F.col("c"), per_cent))
+    return pairs.groupBy("b").agg(F.max_by(F.struct("a", "na", "nb"), F.struct("c", "a")).alias("x")).select("x.a", "b", "x.na", "x.nb")
+
+
 class Join:
     """The join over one table of documents; ``linked`` gives its result."""
 
@@ -325,20 +342,16 @@ class Join:
         rows = rows.filter("block is null").select("id", "cls", "n")
         classes = s.table(rows.groupBy("cls").agg(F.first("n").alias("n"), F.min("id").alias("low"), F.coalesce(F.min("id"), F.lit(-(1 << 63))).alias("key")), "classes")
         lists = s.table(shared(prefixes(self.docs, self.n, per_cent, sketch)), "lists")
-        # each row's best leader: the class that leads most of its columns
-        lead = lists.groupBy("h").agg(F.min(F.struct("cls", "n")).alias("lead"))
-        star = lists.join(lead, "h").filter("cls <> lead.cls").groupBy(F.col("lead.cls").alias("a"), F.col("cls").alias("b")).agg(F.first("lead.n").alias("na"), F.first("n").alias("nb"), F.count("*").alias("c"))
-        star = star.filter(reachable(F.col("na"), F.col("nb"), F.col("c"), per_cent))
-        star = star.groupBy("b").agg(F.max_by(F.struct("a", "na", "nb"), F.struct("c", "a")).alias("x")).select("x.a", "b", "x.na", "x.nb")
-        star = s.table(star, "star")
-        links = self.verified(star, classes)
-        known = components(links, s)
-        known = s.table(known, "known")
-        joined = lists.join(known.select(F.col("node").alias("cls"), "component"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
-        pairs = product(joined, per_cent)
-        tried = star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        pairs = s.table(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
-        s.drop(lists, star)
+        links = tried = known = None
+        for turn in range(LEADERS):
+            star = s.table(leaders(with_components(lists, known), per_cent, turn), "star")
+            more = self.verified(star, classes)
+            links = more if links is None else links.unionByName(more)
+            pair = star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+            tried = pair if tried is None else tried.unionByName(pair)
+            known = s.table(components(links, s), "known")
+        pairs = s.table(product(with_components(lists, known), per_cent).join(tried, ["a", "b"], "left_anti"), "pairs")
+        s.drop(lists)
         more = self.verified(pairs, classes)
         s.drop(pairs)
         whole = components(links.unionByName(more), s).withColumnRenamed("node", "cls")
