@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import WHITE, Scratch, components
-from .ngram_join import BROADCAST_IDS, distinct_sorted, mix, product, shared
+from .ngram_join import BROADCAST_IDS, LEADERS, distinct_sorted, leaders, mix, product, shared, with_components
 
 CHARS, PER_CENT = 9, 80
 BANDS, ROWS = 16, 6
@@ -172,15 +172,16 @@ def dropped_lines(spark: SparkSession, docs: DataFrame, per_cent: int = PER_CENT
     entries = lines.filter("bands is not null").select(F.explode("bands").alias("h"), F.col("h").alias("cls"), F.lit(1).cast("long").alias("n"))
     lists = s.table(shared(entries), "lists")
     lines = lines.drop("bands")
-    lead = lists.groupBy("h").agg(F.min("cls").alias("a"))
-    star = lists.join(lead, "h").filter("cls <> a").groupBy("a", F.col("cls").alias("b")).agg(F.count("*").alias("c"))
-    star = s.table(star.groupBy("b").agg(F.max_by("a", F.struct("c", "a")).alias("a")).select("a", "b"), "star")
-    links = verified(docs, star, per_cent, s)
-    known = s.table(components(links, s), "known")
-    joined = lists.join(known.select(F.col("node").alias("cls"), "component"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
-    tried = star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    pairs = s.table(product(joined, per_cent).select("a", "b").join(tried, ["a", "b"], "left_anti"), "pairs")
-    s.drop(lists, star)
+    links = tried = known = None
+    for turn in range(LEADERS):
+        star = s.table(leaders(with_components(lists, known), per_cent, turn).select("a", "b"), "star")
+        more = verified(docs, star, per_cent, s)
+        links = more if links is None else links.unionByName(more)
+        pair = star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        tried = pair if tried is None else tried.unionByName(pair)
+        known = s.table(components(links, s), "known")
+    pairs = s.table(product(with_components(lists, known), per_cent).select("a", "b").join(tried, ["a", "b"], "left_anti"), "pairs")
+    s.drop(lists)
     more = verified(docs, pairs, per_cent, s)
     s.drop(pairs)
     whole = components(links.unionByName(more), s)
