@@ -198,9 +198,11 @@ def test_quality(spark, docs, empty):
 
 
 def test_quality_fit():
-    patterns = [((1, 0, 0), 900), ((0, -1, -1), 70), ((0, -1, 0), 10), ((0, 0, -1), 10), ((1, -1, 0), 10)]
+    """Votes that agree are told apart. Rare texts that only one or two rules know are not: see the README."""
+    patterns = [((1, 0, 0, 0), 900), ((0, -1, -1, -1), 80), ((0, -1, -1, 0), 10), ((0, 0, -1, -1), 10)]
     share, accuracy = quality.fit(patterns)
-    assert 0.85 < share < 0.95 and quality.odds((0, -1, -1), share, accuracy) < 0 < quality.odds((1, 0, 0), share, accuracy)
+    assert 0.85 < share < 0.95 and min(accuracy) > 0.9
+    assert all((quality.odds(p, share, accuracy) > 0) == (p[0] == 1) for p, _ in patterns)
 
 
 def test_licenses(spark, docs, empty):
