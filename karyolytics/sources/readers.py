@@ -118,7 +118,7 @@ def lineages(spark: SparkSession, path: str) -> DataFrame:
 
 def busco(spark: SparkSession, path: str) -> DataFrame:
     """Shares and counts of single, duplicated, fragmented, incomplete and missing genes, and the total."""
-    df = spark.read.option("wholetext", True).text(path)
+    df = spark.read.text(path, wholetext=True)
     out = [F.input_file_name().alias("file")]
     for k in "SDFIM":
         out += [F.regexp_extract("value", f"{k}:\\s*([\\d.]+)%", 1).try_cast("double").alias(f"{k.lower()}_pct"), F.regexp_extract("value", f"{k}:\\s*[\\d.]+%,\\s*(\\d+)", 1).try_cast("long").alias(f"{k.lower()}_n")]

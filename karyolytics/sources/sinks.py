@@ -17,7 +17,7 @@ def shown(c: Column, kind: str, places: int = 4) -> Column:
     if kind == "boolean":
         return F.when(c, "yes").when(~c, "no").otherwise("")
     if kind in ("double", "float"):
-        return F.coalesce(F.format_string(f"%.{places}f", c), F.lit(""))
+        return F.when(c.isNotNull(), F.format_string(f"%.{places}f", c)).otherwise("")
     return F.coalesce(c.cast("string"), F.lit(""))
 
 
