@@ -6,7 +6,8 @@ end there, the one whose pair with the last token before it is valid. Appending
 an edit keeps the entries before it and recomputes from there until the entries of a whole token length agree with the
 old ones again.
 
-``encode_documents`` applies it to each distinct piece of whole texts and decodes the ids again.
+``encode_documents`` applies it to each distinct piece of whole texts and decodes the ids again. Short pieces are taken many
+at a time by ``last_tokens``: the same programme in arrays, one prefix length of all pieces after the other.
 
 Cases: null counts as empty and gives no ids; bytes are encoded whatever they are; a text of one long piece takes time
 linear in its length; repeated rows each give a row; an empty table gives an empty result; other columns are not read.
@@ -19,6 +20,7 @@ import hashlib
 from collections.abc import Iterator
 from functools import cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -26,6 +28,8 @@ from pyspark.sql import functions as F
 from .pieces import Encoder
 
 PAIRS = 2_000_000
+#: Pieces of more bytes go through ``Prefixes`` one by one.
+SHORT = 64
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -40,11 +44,22 @@ class Vocabulary:
         self.ranks = ranks
         self.bytes_of = {i: b for b, i in ranks.items()}
         self.longest = max(map(len, ranks))
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.pairs: dict[int, bool] = {}
         self.lengths: dict[int, list[int]] = {}
         for b in ranks:
             self.lengths.setdefault(b[-1], set()).add(len(b))
         self.lengths = {k: sorted(v, reverse=True) for k, v in self.lengths.items()}
+        self.size = np.zeros(max(self.bytes_of) + 1, np.int64)
+        self.size[list(self.bytes_of)] = [len(b) for b in self.bytes_of.values()]
+        node, steps = {b"": 0}, []  # the tokens as a trie: a step is node * 256 + byte, in order
+        for b in ranks:
+            for k in range(1, len(b) + 1):
+                if b[:k] not in node:
+                    node[b[:k]] = len(node)
+                    steps.append((node[b[: k - 1]] << 8 | b[k - 1], node[b[:k]]))
+        self.steps, self.to = (np.array(x, np.int64) for x in zip(*sorted(steps)))
+        self.token = np.full(len(node), -1, np.int64)
+        self.token[[node[b] for b in ranks]] = list(ranks.values())
 
     def merge(self, data: bytes) -> list[int]:
         """Ids of a few bytes by merging the pair of least rank while there is one; for pairs of tokens only."""
@@ -59,7 +74,7 @@ class Vocabulary:
 
     def follows(self, left: int, right: int) -> bool:
         """Whether the two tokens are the encoding of their bytes."""
-        key = (left, right)
+        key = left << 32 | right
         if (got := self.pairs.get(key)) is None:
             if len(self.pairs) >= PAIRS:
                 self.pairs.clear()
@@ -119,6 +134,77 @@ def encode_bytes(vocabulary: Vocabulary, data: bytes) -> list[int]:
     return [got] if got is not None else Prefixes(vocabulary, data).ids()
 
 
+def last_tokens(v: Vocabulary, data: np.ndarray, lens: np.ndarray) -> np.ndarray:
+    """For each byte of many pieces, which lie one behind the other, the last token of the prefix that it ends."""
+    n, first = len(data), np.cumsum(lens) - lens
+    start = np.repeat(first, lens)
+    room = np.repeat(first + lens, lens) - np.arange(n)
+    at, node, found = np.arange(n), np.zeros(n, np.int64), []
+    depth = 0
+    while len(at):
+        step = node << 8 | data[at + depth]
+        i = np.minimum(np.searchsorted(v.steps, step), len(v.steps) - 1)
+        live = v.steps[i] == step
+        at, node = at[live], v.to[i[live]]
+        token = v.token[node]
+        hit = token >= 0
+        found.append((at[hit] + depth, at[hit], token[hit]))
+        depth += 1
+        more = room[at] > depth
+        at, node = at[more], node[more]
+    end, begin, token = map(np.concatenate, zip(*found))
+    order = np.lexsort((begin, end, end - start[end]))  # by prefix length, then the longest token first
+    end, begin, token = end[order], begin[order], token[order]
+    group = np.flatnonzero(np.append(True, end[1:] != end[:-1]))
+    count = np.diff(np.append(group, len(end)))
+    if len(group) != n:
+        raise ValueError("the vocabulary lacks a byte")
+    last = np.empty(n, np.int64)
+    bounds = np.append(np.flatnonzero(np.diff(end[group] - start[end[group]], prepend=-1)), n)
+    for lo, hi in zip(bounds[:-1], bounds[1:]):
+        i, left = group[lo:hi], count[lo:hi]
+        while len(i):
+            inner = begin[i] > start[begin[i]]
+            pair = (last[begin[i[inner]] - 1] << 32) | token[i[inner]]
+            one, which = np.unique(pair, return_inverse=True)
+            valid = np.ones(len(i), bool)
+            valid[inner] = np.fromiter((v.follows(k >> 32, k & 0xFFFFFFFF) for k in one.tolist()), bool, len(one))[which]
+            last[end[i[valid]]] = token[i[valid]]
+            i, left = i[~valid] + 1, left[~valid] - 1
+            if len(left) and not left.all():
+                raise ValueError("the vocabulary lacks a byte")
+    return last
+
+
+def encode_short(v: Vocabulary, pieces: list[bytes]) -> list[list[int]]:
+    """Ids of pieces that are not empty, from the last tokens of their prefixes."""
+    lens = np.fromiter(map(len, pieces), np.int64, len(pieces))
+    last = last_tokens(v, np.frombuffer(b"".join(pieces), np.uint8).astype(np.int64), lens)
+    ends = np.cumsum(lens)
+    of, at, stop, found = np.arange(len(pieces)), ends - 1, ends - lens, []
+    while len(of):
+        t = last[at]
+        found.append((of, t))
+        at = at - v.size[t]
+        more = at >= stop[of]
+        of, at = of[more], at[more]
+    of, ids = (np.concatenate(x[::-1]) for x in zip(*found))
+    order = np.argsort(of, kind="stable")
+    bounds = np.cumsum(np.bincount(of, minlength=len(pieces))).tolist()
+    ids = ids[order].tolist()
+    return [ids[a:b] for a, b in zip([0, *bounds], bounds)]
+
+
+def encode_pieces(v: Vocabulary, pieces: list[bytes]) -> list[list[int]]:
+    """Ids of each piece: one that is a token is that token; others by the dynamic programme."""
+    out = [None if (t := v.ranks.get(p)) is None else [t] for p in pieces]
+    short = [i for i, got in enumerate(out) if got is None and 0 < len(pieces[i]) <= SHORT]
+    if short:
+        for i, ids in zip(short, encode_short(v, [pieces[i] for i in short])):
+            out[i] = ids
+    return [encode_bytes(v, p) if got is None else got for p, got in zip(pieces, out)]
+
+
 @cache
 def vocabulary(path: str) -> Vocabulary:
     return Vocabulary(read_ranks(path))
@@ -127,7 +213,7 @@ def vocabulary(path: str) -> Vocabulary:
 @cache
 def encoder(path: str) -> Encoder:
     v = vocabulary(path)
-    return Encoder(lambda piece: encode_bytes(v, piece.encode("utf-8", "replace")))
+    return Encoder(lambda pieces: encode_pieces(v, [p.encode("utf-8", "replace") for p in pieces]))
 
 
 SCHEMA = "id long, n_tokens long, ids_sha256 string, decoded_sha256 string"

@@ -45,7 +45,7 @@ def encoder(path: str) -> Encoder:
     added = {t.content for t in tok.get_added_tokens_decoder().values()}
     ranks = {bytes(byte[c] for c in t): i for t, i in tok.get_vocab(False).items() if t not in added}
     core = tiktoken.Encoding("json", pat_str="[\\s\\S]+", mergeable_ranks=ranks, special_tokens={})._core_bpe
-    return Encoder(lambda piece: core.encode_single_piece(piece.encode("utf-8", "replace")))
+    return Encoder(lambda pieces: [core.encode_single_piece(p.encode("utf-8", "replace")) for p in pieces])
 
 
 def fillings(room: int, counts: list[int], limit: int, nodes: int = 4000) -> list[tuple[int, tuple[int, ...]]]:

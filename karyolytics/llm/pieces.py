@@ -114,19 +114,22 @@ def keys(cp: np.ndarray, at: np.ndarray, end: np.ndarray) -> np.ndarray:
 
 
 class Encoder:
-    """Ids of whole texts from a function that encodes one piece; keeps up to CACHE pieces."""
-
-    def __init__(self, encode_piece: Callable[[str], list[int]]):
-        self.encode_piece, self.cache = encode_piece, {}
-
-    def ids_of(self, piece: str) -> np.ndarray:
-        if (got := self.cache.get(piece)) is None:
-            if len(self.cache) >= CACHE:
-                self.cache.clear()
-            got = self.encode_piece(piece)
-            if len(piece) <= 64:
-                self.cache[piece] = got
-        return got
+    """Ids of whole texts from a function that encodes pieces; keeps up to CACHE pieces and those of a chunk."""
+
+    def __init__(self, encode_pieces: Callable[[list[str]], list[list[int]]]):
+        self.encode_pieces, self.cache = encode_pieces, {}
+
+    def ids_of(self, pieces: list[str]) -> list[list[int]]:
+        out = [self.cache.get(p) for p in pieces]
+        fresh = [i for i, got in enumerate(out) if got is None]
+        if len(self.cache) >= CACHE:
+            self.cache.clear()
+        if fresh:
+            for i, got in zip(fresh, self.encode_pieces([pieces[i] for i in fresh])):
+                out[i] = got
+                if len(pieces[i]) <= 64:
+                    self.cache[pieces[i]] = got
+        return out
 
     def encode(self, texts: list[str]) -> Iterator[tuple[int, np.ndarray]]:
         """(index, ids) in order; a long text gives several."""
@@ -138,7 +141,7 @@ class Encoder:
                 continue
             cp = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
             _, one, which = np.unique(keys(cp, at, end), return_index=True, return_inverse=True)
-            found = [self.ids_of(joined[a:b]) for a, b in zip(at[one].tolist(), end[one].tolist())]
+            found = self.ids_of([joined[a:b] for a, b in zip(at[one].tolist(), end[one].tolist())])
             sizes = np.fromiter(map(len, found), np.int64, len(found))
             flat = np.fromiter((x for f in found for x in f), np.uint32, int(sizes.sum()))
             offset = np.cumsum(sizes) - sizes
