@@ -144,12 +144,18 @@ def lines_of(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, LINES)
 
 
-def verified(docs: DataFrame, pairs: DataFrame, per_cent: int, scratch: Scratch) -> DataFrame:
-    """Of pairs (a, b) of line hashes those whose shingle sets reach the similarity."""
-    ids = scratch.table(pairs.select(F.col("a").alias("h")).unionByName(pairs.select(F.col("b").alias("h"))).distinct(), "queries")
+def texts_of(docs: DataFrame, lists: DataFrame, scratch: Scratch) -> DataFrame:
+    """The text of each line that shares a band with another one: (h, line). No other line is ever compared."""
+    ids = scratch.table(lists.select(F.col("cls").alias("h")).distinct(), "queries")
     of = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
     line = docs.select(F.explode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("line")).select(F.btrim("line", F.lit(WHITE)).alias("line")).filter("line <> ''")
-    line = scratch.table(line.withColumn("h", F.xxhash64("line")).join(of, "h", "left_semi").dropDuplicates(["h"]), "texts")
+    line = scratch.table(line.withColumn("h", F.xxhash64("line")).join(of, "h", "left_semi").dropDuplicates(["h"]).select("h", "line"), "texts")
+    scratch.drop(ids)
+    return line
+
+
+def verified(line: DataFrame, pairs: DataFrame, per_cent: int, scratch: Scratch) -> DataFrame:
+    """Of pairs (a, b) of line hashes those whose shingle sets reach the similarity. line: (h, line)."""
     both = pairs.select("a", "b").join(line.select(F.col("h").alias("a"), F.col("line").alias("x")), "a").join(line.select(F.col("h").alias("b"), F.col("line").alias("y")), "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -160,9 +166,7 @@ def verified(docs: DataFrame, pairs: DataFrame, per_cent: int, scratch: Scratch)
                 keep += similar(x[i : i + 1000], y[i : i + 1000], per_cent).tolist()
             yield pa.RecordBatch.from_arrays([pa.array([v for v, k in zip(a, keep) if k], pa.int64()), pa.array([v for v, k in zip(b, keep) if k], pa.int64())], ["a", "b"])
 
-    links = scratch.table(both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long"), "links")
-    scratch.drop(ids, line)
-    return links
+    return scratch.table(both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long"), "links")
 
 
 def dropped_lines(spark: SparkSession, docs: DataFrame, per_cent: int = PER_CENT) -> DataFrame:
@@ -172,18 +176,19 @@ def dropped_lines(spark: SparkSession, docs: DataFrame, per_cent: int = PER_CENT
     entries = lines.filter("bands is not null").select(F.explode("bands").alias("h"), F.col("h").alias("cls"), F.lit(1).cast("long").alias("n"))
     lists = s.table(shared(entries), "lists")
     lines = lines.drop("bands")
+    texts = texts_of(docs, lists, s)
     links = tried = known = None
     for turn in range(LEADERS):
         star = s.table(leaders(with_components(lists, known), per_cent, turn).select("a", "b"), "star")
-        more = verified(docs, star, per_cent, s)
+        more = verified(texts, star, per_cent, s)
         links = more if links is None else links.unionByName(more)
         pair = star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         tried = pair if tried is None else tried.unionByName(pair)
         known = s.table(components(links, s), "known")
     pairs = s.table(product(with_components(lists, known), per_cent).select("a", "b").join(tried, ["a", "b"], "left_anti"), "pairs")
     s.drop(lists)
-    more = verified(docs, pairs, per_cent, s)
-    s.drop(pairs)
+    more = verified(texts, pairs, per_cent, s)
+    s.drop(pairs, texts)
     whole = components(links.unionByName(more), s)
     of = lines.join(whole.withColumnRenamed("node", "h"), "h", "left").select("id", "key", "at", F.coalesce("component", "h").alias("component"))
     of = s.table(of, "placed")
