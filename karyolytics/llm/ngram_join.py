@@ -36,10 +36,10 @@ SKETCH = 1 << 20
 BLOCKS = 128
 #: Rounds of leaders before the product.
 LEADERS = 2
-BYTES = 1 << 21
+BYTES = 1 << 19
 #: Identifiers are broadcast up to so many.
 BROADCAST_IDS = 1_000_000
-PAIRS = 1 << 20
+PAIRS = 1 << 18
 
 _RANDOM = np.random.RandomState(20240229)
 _BYTE = _RANDOM.randint(0, 1 << 62, 256, dtype=np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
