@@ -9,7 +9,9 @@ their similarity needs. What remains is verified on the whole sets.
 
 Large groups of near copies: before the product, each row is verified, in turns, against the leader that it shares most
 columns with, and verified links are united. The product then counts only pairs of different components, so that a group of near
-copies costs links to its leaders rather than all its pairs. Every pair of different classes is either verified, or
+copies costs links to its leaders rather than all its pairs. The first leaders are rows with the largest part of their prefix in
+shared columns, which in a group of edited copies is the text the others were made from. Before a pair is counted, the
+parities of both sets in BITS bins bound their overlap: bins that differ are at most the shingles that differ. Every pair of different classes is either verified, or
 excluded by a bound, or within a component already: no link that could join two components is lost.
 
 Words are hashed to 64 bits and so are shingles and sets; two different ones collide with probability 2^-64.
@@ -23,6 +25,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +39,8 @@ SKETCH = 1 << 20
 BLOCKS = 128
 #: Rounds of leaders before the product.
 LEADERS = 2
+#: Bins of the parities of a set.
+BITS = 512
 BYTES = 1 << 19
 #: Identifiers are broadcast up to so many.
 BROADCAST_IDS = 1_000_000
@@ -133,26 +138,32 @@ def slot(s: np.ndarray) -> np.ndarray:
     return (s.view(np.uint64) >> np.uint64(64 - SKETCH.bit_length() + 1)).astype(np.int64)
 
 
+def parities(s: np.ndarray) -> bytes:
+    """Of each bin, whether an odd number of the shingles falls into it."""
+    return np.packbits(np.bincount(s & (BITS - 1), minlength=BITS) & 1).tobytes()
+
+
 def rows_of(docs: DataFrame, n: int) -> DataFrame:
-    """Rows with id, class and set size, and the sketch's blocks of each task with a block number."""
+    """Rows with id, class, set size and parities, and the sketch's blocks of each task with a block number."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketch = np.zeros(SKETCH, np.uint32)
-        names = ["id", "cls", "n", "block", "counts"]
+        names = ["id", "cls", "n", "bits", "block", "counts"]
         for batch in batches:
-            cls, size = [], []
+            cls, size, bits = [], [], []
             for s in sets_of(batch.column(1).to_pylist(), n):
                 cls.append(class_of(s))
                 size.append(len(s))
+                bits.append(parities(s))
                 sketch += np.bincount(slot(s), minlength=SKETCH).astype(np.uint32) if len(s) > SKETCH // 8 else 0
                 if len(s) <= SKETCH // 8:
                     np.add.at(sketch, slot(s), np.uint32(1))
             k = len(cls)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(cls, pa.int64()), pa.array(size, pa.int64()), pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary())], names)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(cls, pa.int64()), pa.array(size, pa.int64()), pa.array(bits, pa.binary()), pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary())], names)
         parts = [p.tobytes() for p in np.split(sketch, BLOCKS)]
-        yield pa.RecordBatch.from_arrays([pa.nulls(BLOCKS, pa.int64()), pa.nulls(BLOCKS, pa.int64()), pa.nulls(BLOCKS, pa.int64()), pa.array(range(BLOCKS), pa.int32()), pa.array(parts, pa.binary())], names)
+        yield pa.RecordBatch.from_arrays([pa.nulls(BLOCKS, pa.int64()), pa.nulls(BLOCKS, pa.int64()), pa.nulls(BLOCKS, pa.int64()), pa.nulls(BLOCKS, pa.binary()), pa.array(range(BLOCKS), pa.int32()), pa.array(parts, pa.binary())], names)
 
-    return docs.mapInArrow(run, "id long, cls long, n long, block int, counts binary")
+    return docs.mapInArrow(run, "id long, cls long, n long, bits binary, block int, counts binary")
 
 
 def sum_blocks(blocks: DataFrame) -> bytes:
@@ -232,8 +243,14 @@ def reachable(na: Column, nb: Column, c: Column, per_cent: int) -> Column:
     return (per_cent * F.greatest(na, nb) <= 100 * F.least(na, nb)) & (c + F.greatest(behind(na), behind(nb)) >= needed(na, nb, per_cent))
 
 
-def product(lists: DataFrame, per_cent: int) -> DataFrame:
-    """Overlap counts of pairs of classes of different components, block by block: (a, b, na, nb, c)."""
+def product(lists: DataFrame, per_cent: int, bits: DataFrame | None = None) -> DataFrame:
+    """Overlap counts of pairs of classes of different components, block by block: (a, b, na, nb, c).
+
+    Columns within one component have none. bits: parities by class; with them, pairs whose parities exclude the
+    similarity are not counted.
+    """
+
+    width = BITS // 64 if bits is not None else 0
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
@@ -248,8 +265,8 @@ def product(lists: DataFrame, per_cent: int) -> DataFrame:
             c = np.diff(np.append(at, len(x)))
             return pa.RecordBatch.from_arrays([*(pa.array(x[at, i]) for i in range(4)), pa.array(c)], ["a", "b", "na", "nb", "c"])
 
-        def of_column(x: np.ndarray) -> Iterator[np.ndarray]:
-            """x: class, size, component, by size. Rows outside the largest component meet all of other components."""
+        def of_column(x: np.ndarray, odd: np.ndarray) -> Iterator[np.ndarray]:
+            """x: class, size, component, by size; odd: parities. Rows outside the largest component meet all of other components."""
             comp, at, k = np.unique(x[:, 2], return_inverse=True, return_counts=True)
             if len(comp) < 2:
                 return
@@ -259,6 +276,9 @@ def product(lists: DataFrame, per_cent: int) -> DataFrame:
                 hi = np.searchsorted(x[:, 1], x[i, 1] * 100 // per_cent, "right")
                 j = np.arange(lo, hi)
                 j = j[(at[lo:hi] != at[i]) & ((at[lo:hi] == most) | (j > i))]
+                if odd.shape[1]:
+                    both = x[i, 1] + x[j, 1]
+                    j = j[2 * -(-per_cent * both // (100 + per_cent)) <= both - np.bitwise_count(odd[j] ^ odd[i]).sum(1, dtype=np.int64)]
                 if len(j):
                     a, b = np.full(len(j), x[i, 0]), x[j, 0]
                     na, nb = np.full(len(j), x[i, 1]), x[j, 1]
@@ -266,25 +286,31 @@ def product(lists: DataFrame, per_cent: int) -> DataFrame:
                     yield np.column_stack([np.where(swap, b, a), np.where(swap, a, b), np.where(swap, nb, na), np.where(swap, na, nb)])
 
         rest = np.zeros((0, 4), np.int64)
-        for batch in batches:
-            x = np.vstack([rest, np.column_stack([c.to_numpy() for c in batch.columns])])
-            at = np.flatnonzero(np.append(True, x[1:, 0] != x[:-1, 0]))
-            rest = x[at[-1] :]
-            for a, b in zip(at[:-1], at[1:]):
-                for y in of_column(x[a:b, 1:]):
+        rest_odd = np.zeros((0, width), np.uint64)
+        for batch in chain(batches, (None,)):
+            if batch is None:
+                x, odd = rest, rest_odd
+                ends = [0, len(x)] if len(x) else [0]
+            else:
+                x = np.vstack([rest, np.column_stack([c.to_numpy() for c in batch.columns[:4]])])
+                new = np.frombuffer(b"".join(batch.column(4).to_pylist()), np.uint64).reshape(-1, width) if width else np.zeros((batch.num_rows, 0), np.uint64)
+                odd = np.vstack([rest_odd, new])
+                ends = np.flatnonzero(np.append(True, x[1:, 0] != x[:-1, 0]))
+                rest, rest_odd = x[ends[-1] :], odd[ends[-1] :]
+            for a, b in zip(ends[:-1], ends[1:]):
+                for y in of_column(x[a:b, 1:], odd[a:b]):
                     held.append(y)
                     count += len(y)
                     if count >= PAIRS:
                         yield flush()
-        for y in of_column(rest[:, 1:]):
-            held.append(y)
-            count += len(y)
-            if count >= PAIRS:
-                yield flush()
         if held:
             yield flush()
 
-    blocks = lists.select("h", "cls", "n", "component").repartition("h").sortWithinPartitions("h", "n", "cls")
+    mixed = lists.groupBy("h").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y").select("h")
+    lists = lists.select("h", "cls", "n", "component").join(mixed, "h", "left_semi")
+    if bits is not None:
+        lists = lists.join(bits, "cls").select("h", "cls", "n", "component", "bits")
+    blocks = lists.repartition("h").sortWithinPartitions("h", "n", "cls")
     pairs = blocks.mapInArrow(run, "a long, b long, na long, nb long, c long")
     pairs = pairs.groupBy("a", "b").agg(F.first("na").alias("na"), F.first("nb").alias("nb"), F.sum("c").alias("c"))
     return pairs.filter(reachable(F.col("na"), F.col("nb"), F.col("c"), per_cent))
@@ -297,9 +323,15 @@ def with_components(lists: DataFrame, known: DataFrame | None) -> DataFrame:
 
 
 def leaders(lists: DataFrame, per_cent: int, turn: int) -> DataFrame:
-    """For each class the leader of other component that it shares most columns with: (a, b, na, nb). Turns have other leaders."""
+    """For each class the leader of other component that it shares most columns with: (a, b, na, nb). The first
+    turn has the rows with the largest part of their set in shared columns, later ones any.
+    """
     row = F.struct("cls", "n", "component")
-    lead = lists.groupBy("h").agg((F.min(row) if turn == 0 else F.min_by(row, F.struct(F.xxhash64("cls", F.lit(turn)), "cls"))).alias("lead"))
+    if turn == 0:
+        of = lists.join(lists.groupBy("cls").agg((F.count("*") / F.first("n")).alias("part")), "cls")
+        lead = of.groupBy("h").agg(F.max_by(row, F.struct("part", "cls")).alias("lead"))
+    else:
+        lead = lists.groupBy("h").agg(F.min_by(row, F.struct(F.xxhash64("cls", F.lit(turn)), "cls")).alias("lead"))
     pairs = lists.join(lead, "h").filter("component <> lead.component").groupBy(F.col("lead.cls").alias("a"), F.col("cls").alias("b")).agg(F.first("lead.n").alias("na"), F.first("n").alias("nb"), F.count("*").alias("c"))
     pairs = pairs.filter(reachable(F.col("na"), F.col("nb"), F.col("c"), per_cent))
     return pairs.groupBy("b").agg(F.max_by(F.struct("a", "na", "nb"), F.struct("c", "a")).alias("x")).select("x.a", "b", "x.na", "x.nb")
@@ -339,8 +371,8 @@ class Join:
         s, per_cent = self.scratch, self.per_cent
         rows = s.table(rows_of(self.docs, self.n), "rows")
         sketch = sum_blocks(rows.filter("block is not null").select("block", "counts"))
-        rows = rows.filter("block is null").select("id", "cls", "n")
-        classes = s.table(rows.groupBy("cls").agg(F.first("n").alias("n"), F.min("id").alias("low"), F.coalesce(F.min("id"), F.lit(-(1 << 63))).alias("key")), "classes")
+        rows = rows.filter("block is null").select("id", "cls", "n", "bits")
+        classes = s.table(rows.groupBy("cls").agg(F.first("n").alias("n"), F.first("bits").alias("bits"), F.min("id").alias("low"), F.coalesce(F.min("id"), F.lit(-(1 << 63))).alias("key")), "classes")
         lists = s.table(shared(prefixes(self.docs, self.n, per_cent, sketch)), "lists")
         links = tried = known = None
         for turn in range(LEADERS):
@@ -350,7 +382,7 @@ class Join:
             pair = star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
             tried = pair if tried is None else tried.unionByName(pair)
             known = s.table(components(links, s), "known")
-        pairs = s.table(product(with_components(lists, known), per_cent).join(tried, ["a", "b"], "left_anti"), "pairs")
+        pairs = s.table(product(with_components(lists, known), per_cent, classes.select("cls", "bits")).join(tried, ["a", "b"], "left_anti"), "pairs")
         s.drop(lists)
         more = self.verified(pairs, classes)
         s.drop(pairs)
@@ -358,7 +390,7 @@ class Join:
         of = classes.filter("n > 0").join(whole, "cls", "left").select("cls", F.coalesce("component", "cls").alias("component"), "low")
         low = of.groupBy("component").agg(F.min("low").alias("component_id"))
         named = s.table(of.join(low, "component").select("cls", "component_id"), "named")
-        out = rows.join(named, "cls", "left")
+        out = rows.drop("bits").join(named, "cls", "left")
         return out.select("id", F.col("n").alias("n_shingles"), F.when(F.col("n") == 0, F.col("id")).otherwise(F.col("component_id")).alias("component_id"))
 
 
