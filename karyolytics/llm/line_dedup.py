@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import WHITE, Scratch, components
-from .ngram_join import BROADCAST_IDS, LEADERS, distinct_sorted, leaders, mix, product, shared, with_components
+from .ngram_join import BITS, BROADCAST_IDS, LEADERS, distinct_sorted, leaders, mix, product, shared, with_components
 
 CHARS, PER_CENT = 9, 80
 BANDS, ROWS = 16, 6
@@ -63,10 +63,14 @@ def shingle_hashes(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return h[np.cumsum(real[:-1], dtype=np.int8).view(bool)], count
 
 
-def bands(lines: list[str]) -> np.ndarray:
-    """Band keys, a row for each line."""
+def bands(lines: list[str]) -> tuple[np.ndarray, list[bytes]]:
+    """Band keys, a row for each line; and of each line, which of BITS bins have a shingle, then its number of shingles."""
     h, count = shingle_hashes(lines)
     of = np.repeat(np.arange(len(lines)), count)
+    taken = np.zeros(len(lines) * BITS, np.uint8)
+    taken[of * BITS + (h & np.uint64(BITS - 1)).astype(np.int64)] = 1
+    taken = np.packbits(taken.reshape(len(lines), BITS), axis=1)
+    bins = [x.tobytes() + n.tobytes() for x, n in zip(taken, count.astype(np.int64))]
     slot = of * BINS + (((h >> np.uint64(32)) * np.uint64(BINS)) >> np.uint64(32)).astype(np.int64)
     sig = np.full(len(lines) * BINS, _NONE, np.uint32)
     np.minimum.at(sig, slot, (h & np.uint64(0xFFFFFFFE)).astype(np.uint32))
@@ -79,7 +83,7 @@ def bands(lines: list[str]) -> np.ndarray:
     key = np.tile(np.arange(1, BANDS + 1, dtype=np.uint64), (len(lines), 1))
     for r in range(ROWS):
         key = mix(key * _FACTORS[0] + sig[:, r::ROWS])
-    return key.view(np.int64)
+    return key.view(np.int64), bins
 
 
 def similar(x: list[str], y: list[str], per_cent: int) -> np.ndarray:
@@ -104,7 +108,7 @@ def key_of() -> Column:
     return F.xxhash64("id", "text")
 
 
-LINES = "id long, key long, at int, h long, bands array<long>"
+LINES = "id long, key long, at int, h long, bands array<long>, bits binary"
 
 
 def lines_of(docs: DataFrame) -> DataFrame:
@@ -115,11 +119,12 @@ def lines_of(docs: DataFrame) -> DataFrame:
 
         def out(rows: list[tuple], fresh: list[str], where: list[int]) -> pa.RecordBatch:
             keys: list = [None] * len(rows)
+            bits: list = [None] * len(rows)
             if fresh:
-                for i, k in zip(where, bands(fresh)):
-                    keys[i] = k
+                for i, k, x in zip(where, *bands(fresh)):
+                    keys[i], bits[i] = k, x
             cols = list(zip(*rows))
-            return pa.RecordBatch.from_arrays([*(pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.int32(), pa.int64()))), pa.array(keys, pa.list_(pa.int64()))], ["id", "key", "at", "h", "bands"])
+            return pa.RecordBatch.from_arrays([*(pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.int32(), pa.int64()))), pa.array(keys, pa.list_(pa.int64())), pa.array(bits, pa.binary())], ["id", "key", "at", "h", "bands", "bits"])
 
         rows, fresh, where, size = [], [], [], 0
         for batch in batches:
@@ -175,7 +180,8 @@ def dropped_lines(spark: SparkSession, docs: DataFrame, per_cent: int = PER_CENT
     lines = s.table(lines_of(docs), "lines")
     entries = lines.filter("bands is not null").select(F.explode("bands").alias("h"), F.col("h").alias("cls"), F.lit(1).cast("long").alias("n"))
     lists = s.table(shared(entries), "lists")
-    lines = lines.drop("bands")
+    bits = lines.filter("bits is not null").select(F.col("h").alias("cls"), "bits").dropDuplicates(["cls"])
+    lines = lines.drop("bands", "bits")
     texts = texts_of(docs, lists, s)
     links = tried = known = None
     for turn in range(LEADERS):
@@ -185,7 +191,7 @@ def dropped_lines(spark: SparkSession, docs: DataFrame, per_cent: int = PER_CENT
         pair = star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         tried = pair if tried is None else tried.unionByName(pair)
         known = s.table(components(links, s), "known")
-    pairs = s.table(product(with_components(lists, known), per_cent).select("a", "b").join(tried, ["a", "b"], "left_anti"), "pairs")
+    pairs = s.table(product(with_components(lists, known), per_cent, bits, prefix=False).select("a", "b").join(tried, ["a", "b"], "left_anti"), "pairs")
     s.drop(lists)
     more = verified(texts, pairs, per_cent, s)
     s.drop(pairs, texts)

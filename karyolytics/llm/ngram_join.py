@@ -139,8 +139,8 @@ def slot(s: np.ndarray) -> np.ndarray:
 
 
 def parities(s: np.ndarray) -> bytes:
-    """Of each bin, whether an odd number of the shingles falls into it."""
-    return np.packbits(np.bincount(s & (BITS - 1), minlength=BITS) & 1).tobytes()
+    """Of each bin, whether an odd number of the shingles falls into it; then the set's size as eight bytes."""
+    return np.packbits(np.bincount(s & (BITS - 1), minlength=BITS) & 1).tobytes() + np.int64(len(s)).tobytes()
 
 
 def rows_of(docs: DataFrame, n: int) -> DataFrame:
@@ -243,14 +243,15 @@ def reachable(na: Column, nb: Column, c: Column, per_cent: int) -> Column:
     return (per_cent * F.greatest(na, nb) <= 100 * F.least(na, nb)) & (c + F.greatest(behind(na), behind(nb)) >= needed(na, nb, per_cent))
 
 
-def product(lists: DataFrame, per_cent: int, bits: DataFrame | None = None) -> DataFrame:
+def product(lists: DataFrame, per_cent: int, bits: DataFrame | None = None, prefix: bool = True) -> DataFrame:
     """Overlap counts of pairs of classes of different components, block by block: (a, b, na, nb, c).
 
-    Columns within one component have none. bits: parities by class; with them, pairs whose parities exclude the
-    similarity are not counted.
+    Columns within one component have none. bits: by class, BITS bins that differ no more often than shingles do, then
+    at least the set's size; with them, pairs whose bins exclude the similarity are not counted. prefix: whether columns
+    are prefixes of the sets, so that counts bound the overlap.
     """
 
-    width = BITS // 64 if bits is not None else 0
+    width = BITS // 64 + 1 if bits is not None else 0
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
@@ -277,8 +278,8 @@ def product(lists: DataFrame, per_cent: int, bits: DataFrame | None = None) -> D
                 j = np.arange(lo, hi)
                 j = j[(at[lo:hi] != at[i]) & ((at[lo:hi] == most) | (j > i))]
                 if odd.shape[1]:
-                    both = x[i, 1] + x[j, 1]
-                    j = j[2 * -(-per_cent * both // (100 + per_cent)) <= both - np.bitwise_count(odd[j] ^ odd[i]).sum(1, dtype=np.int64)]
+                    most_shingles = (odd[j, -1] + odd[i, -1]).astype(np.int64)
+                    j = j[(100 + per_cent) * np.bitwise_count(odd[j, :-1] ^ odd[i, :-1]).sum(1, dtype=np.int64) <= (100 - per_cent) * most_shingles]
                 if len(j):
                     a, b = np.full(len(j), x[i, 0]), x[j, 0]
                     na, nb = np.full(len(j), x[i, 1]), x[j, 1]
@@ -313,7 +314,7 @@ def product(lists: DataFrame, per_cent: int, bits: DataFrame | None = None) -> D
     blocks = lists.repartition("h").sortWithinPartitions("h", "n", "cls")
     pairs = blocks.mapInArrow(run, "a long, b long, na long, nb long, c long")
     pairs = pairs.groupBy("a", "b").agg(F.first("na").alias("na"), F.first("nb").alias("nb"), F.sum("c").alias("c"))
-    return pairs.filter(reachable(F.col("na"), F.col("nb"), F.col("c"), per_cent))
+    return pairs.filter(reachable(F.col("na"), F.col("nb"), F.col("c"), per_cent)) if prefix else pairs
 
 
 def with_components(lists: DataFrame, known: DataFrame | None) -> DataFrame:
