@@ -3,8 +3,8 @@
 Each distinct line gets a one-permutation MinHash signature of its nine-character shingles; empty bins borrow from the
 next filled one. Bands of six values make lines that share one candidates: with sixteen bands a pair of similarity 0.8 is
 found with probability 0.99, one of 0.9 with 0.99999. Candidates are verified by the exact Jaccard similarity of their
-shingle sets, first each line against the leader of its fullest common band, then all pairs of a band that are not in one
-component yet. Verified links are united, and of each component the first line, by document and position, stays.
+shingle sets, first each line against leaders that it shares most bands with, then all pairs of a band that are not in one
+component yet, save those that the bins of their shingles exclude: bins that differ are at most the shingles that differ. Verified links are united, and of each component the first line, by document and position, stays.
 
 Lines are compared without white space at their ends, by a 64-bit hash of their text. Blank lines always stay.
 
