@@ -1,6 +1,6 @@
 """Fuzzy line dedup over all documents: MinHash signatures of character shingles, bands, verification, components.
 
-Each distinct line gets a one-permutation MinHash signature of its nine-character shingles; empty bins borrow from the
+Each distinct line gets a one-permutation MinHash signature of its five-character shingles; empty bins borrow from the
 next filled one. Bands of six values make lines that share one candidates: with sixteen bands a pair of similarity 0.8 is
 found with probability 0.99, one of 0.9 with 0.99999. Candidates are verified by the exact Jaccard similarity of their
 shingle sets, first each line against leaders that it shares most bands with, then all pairs of a band that are not in one
@@ -26,19 +26,18 @@ from pyspark.sql import functions as F
 from .common import WHITE, Scratch, components
 from .ngram_join import BITS, BROADCAST_IDS, LEADERS, distinct_sorted, leaders, mix, product, shared, with_components
 
-CHARS, PER_CENT = 9, 80
+CHARS, PER_CENT = 5, 80
 BANDS, ROWS = 16, 6
 BINS = BANDS * ROWS
 CHUNK = 1 << 20
-_FACTORS = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
+_FACTORS = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 _NONE = np.uint32(0xFFFFFFFF)
 
 
 def shingle_hashes(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all shingles of all lines, and their counts by line; a line shorter than a shingle has one.
 
-    A shingle is nine UTF-16 units; four of them are read as one number. Shorter ones would be common to most long lines of
-    a language, whose bands would then meet without similarity.
+    A shingle is five UTF-16 units; four of them are read as one number.
     """
     pad = "\0" * (CHARS - 1)
     data = (pad.join(lines) + pad + "\0").encode("utf-16-le", "surrogatepass")
@@ -50,9 +49,7 @@ def shingle_hashes(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
     n = len(data) // 2 - len(pad)
     h = np.ndarray((n,), "<u8", data, 0, (2,)) * _FACTORS[0]
     h ^= h >> np.uint64(32)
-    h += np.ndarray((n,), "<u8", data, 8, (2,)) * _FACTORS[1]
-    h ^= h >> np.uint64(31)
-    h += np.ndarray((n,), "<u2", data, 16, (2,)) * _FACTORS[4]
+    h += np.ndarray((n,), "<u2", data, 2 * CHARS - 2, (2,)) * _FACTORS[1]
     h *= _FACTORS[2]
     h ^= h >> np.uint64(29)
     h *= _FACTORS[3]
