@@ -440,7 +440,7 @@ def repeat_period(s, d):
 
 @query("WITH " + ctes("seqs") + ", p AS (SELECT contig, substring(seq, 1, 60) AS t FROM seqs), c AS (SELECT contig, i AS pos, t[i] AS base FROM p, range(1, 61) r(i) WHERE i <= length(t)), v AS (SELECT contig, pos, base, count(*) AS n FROM c GROUP BY 1, 2, 3), w AS (SELECT contig, pos, sum(n) AS al, max(n) AS n, first(base ORDER BY n DESC, ascii(base)) AS base FROM v GROUP BY 1, 2) SELECT contig, string_agg(CASE WHEN base = '-' THEN '' WHEN n >= 0.5 * al THEN base ELSE 'N' END, '' ORDER BY pos) AS consensus FROM w GROUP BY contig")
 def column_consensus(s, d):
-    return rdna.column_consensus(view(s, d, "seqs").select("contig", F.substring("seq", 1, 60).alias("seq")), "contig", "seq")
+    return rdna.column_consensus(view(s, d, "seqs"), "contig", "seq")
 
 
 @query(f"WITH {_CL}, sg AS (SELECT assembly, contig, ref_id AS origin, c_start AS s, c_start + span_bp AS e FROM lc), b AS (SELECT DISTINCT assembly, contig, qs, qe, CAST(l_orderkey * 1000 + l_linenumber AS BIGINT) AS block_id FROM kept WHERE l_orderkey % 5 = 0), o AS (SELECT block_id, origin, CAST(sum(least(qe, e) - greatest(qs, s)) AS BIGINT) AS bp FROM b JOIN sg ON b.assembly = sg.assembly AND b.contig = sg.contig AND qs < e AND qe > s GROUP BY 1, 2) SELECT block_id, first(origin ORDER BY bp DESC, origin DESC) AS origin, max(bp) AS bp FROM o GROUP BY block_id")
