@@ -447,7 +447,7 @@ def column_consensus(s, d):
 def ref_origin_split(s, d):
     k = view(s, d, "kept")
     seg = evidence.largest_cluster(k).select("assembly", "contig", F.col("ref_id").alias("origin"), F.col("c_start").alias("s"), (F.col("c_start") + F.col("span_bp")).alias("e"))
-    blocks = k.filter("l_orderkey % 5 = 0").select("assembly", "contig", "qs", "qe", (F.col("l_orderkey") * 1000 + F.col("l_linenumber")).cast("long").alias("block_id")).distinct()
+    blocks = k.select("assembly", "contig", "qs", "qe", (F.col("l_orderkey") * 1000 + F.col("l_linenumber")).cast("long").alias("block_id")).distinct()
     return compare.origin_split(blocks, seg)
 
 
@@ -484,7 +484,7 @@ def scaffold_agp(s, d):
 
 @query(_WITH + ", p AS (SELECT DISTINCT CAST(substring(assembly, 5) AS INT) AS o, best_ref AS ref_id FROM best WHERE (best_bp // 1000) % 3 <> 0), l AS (SELECT ref_id, lag(o) OVER (PARTITION BY ref_id ORDER BY o) AS left_ord, o AS right_ord FROM p) SELECT *, right_ord - left_ord = 1 AS adjacent FROM l WHERE left_ord IS NOT NULL")
 def assembly_pairs(s, d):
-    p = _best(s, d).filter("(best_bp div 1000) % 3 <> 0").select(F.substring("assembly", 5, 9).cast("int").alias("ord"), F.col("best_ref").alias("ref_id")).distinct()
+    p = _best(s, d).select(F.substring("assembly", 5, 9).cast("int").alias("ord"), F.col("best_ref").alias("ref_id")).distinct()
     return compare.assembly_pairs(p)
 
 
