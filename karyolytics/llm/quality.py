@@ -2,7 +2,7 @@
 
 Each rule reads counts of a text and votes good (1), bad (-1) or abstains (0). The votes of all documents are summed up
 by vote pattern, at most 3^rules of them, and expectation-maximisation over the patterns estimates the share of good
-documents and how often each rule is right where it votes. A document is kept if the posterior
+documents and how often each rule is right where it votes. Limits are shares that hold for texts of every size. A document is kept if the posterior
 probability that it is good reaches a threshold; no single rule rejects it, save the base limits of the contract.
 
 Counts are DataFrame expressions only: no Python runs on executors. The driver sees vote patterns and their counts.
@@ -76,7 +76,7 @@ def rules() -> dict[str, Column]:
         "symbols": bad(10 * symbols > n),
         "word_length": bad((c > 14 * n) | (c < 2 * n)),
         "dup_lines": bad((lines >= 4) & (10 * F.col("f_dup_lines") > 3 * lines)),
-        "repeats": bad((n < 3000) & (100 * repeats > 40 * n)),
+        "repeats": bad(100 * repeats > 40 * n),
         "case": bad(10 * upper > 4 * c),
         "shouting": bad(2 * stops > n),
         "unpunctuated": bad((n >= 50) & (200 * stops < n)),
