@@ -3,7 +3,7 @@
 A text is cut into sentences; each is normalised (lower case, words only, names of holders and years as placeholders) and
 looked up among known licence sentences. The identifiers found, in order and with their places, are matched against
 rules: sequences of identifiers that name a licence, tried longest first at each place, with at most a few unknown
-sentences between two neighbours. Sentences that no rule takes are reported as unmatched evidence.
+sentences or lines between the end of one and the next. Sentences that no rule takes are reported as unmatched evidence.
 
 All known sentences hold a cue, so a text without any cue needs no cutting; that saves time and changes no result.
 
@@ -76,6 +76,8 @@ CUES = ("licens", "permi", "warrant", "copyright", "redistribut")
 GAP = 2
 
 _KNOWN = {s: k for k, v in SENTENCES.items() for s in v}
+#: All beginnings of known sentences, by whole words.
+_BEGINS = {" ".join(w[:n]) for w in map(str.split, _KNOWN) for n in range(1, len(w))}
 _BREAK = re.compile(r"\n|(?<!\d)[.:;!?]+(?=\s|$)|(?<=\d)[.:;!?]+(?=\s|$)")
 _WORD = re.compile(r"[a-z0-9]+")
 _HOLDER = re.compile(r"^((?:all rights reserved )?copyright(?: c)?) .+$")
@@ -89,33 +91,35 @@ def normalise(sentence: str) -> str:
     return s if s in _KNOWN else _HOLDER.sub(r"\1 <who>", s)
 
 
-def sentence_ids(text: str) -> list[tuple[int, str]]:
-    """(place, identifier) of known sentences. A licence sentence may run over line ends, so joined lines are tried too."""
+def sentence_ids(text: str) -> list[tuple[int, str, int]]:
+    """(first part, identifier, last part) of known sentences. They may run over any number of line ends: parts are joined
+    as long as their words begin a known sentence, and the longest one counts.
+    """
     if not any(c in (low := text.lower()) for c in CUES):
         return []
     parts = [s for s in _BREAK.split(low) if s.strip()]
     out, i = [], 0
     while i < len(parts):
-        joined, found = "", None
-        for k in range(i, min(i + 12, len(parts))):
-            joined = f"{joined} {parts[k]}" if joined else parts[k]
-            if (got := _KNOWN.get(normalise(joined))) is not None and (k == i or got not in ("copyright", "all-rights")):
+        found = (i, got) if (got := _KNOWN.get(normalise(parts[i]))) is not None else None
+        joined, k = " ".join(_WORD.findall(parts[i])), i
+        while joined in _BEGINS and k + 1 < len(parts):
+            k += 1
+            joined = " ".join([joined, *_WORD.findall(parts[k])])
+            if (got := _KNOWN.get(joined)) is not None:
                 found = (k, got)
-            if not any(c in joined for c in CUES) and k - i > 3:
-                break
         if found:
-            out.append((i, found[1]))
+            out.append((i, found[1], found[0]))
             i = found[0]
         i += 1
     return out
 
 
-def match(ids: list[tuple[int, str]], gap: int = GAP) -> list[tuple[str, int, int]]:
+def match(ids: list[tuple[int, str, int]], gap: int = GAP) -> list[tuple[str, int, int]]:
     """(licence, first place, sentences) of rules in order; each sentence serves one rule."""
     out, i = [], 0
     while i < len(ids):
         for licence, rule in _BY_FIRST.get(ids[i][1], ()):
-            if len(rule) <= len(ids) - i and all(ids[i + j][1] == rule[j] for j in range(len(rule))) and all(ids[i + j][0] - ids[i + j - 1][0] <= gap + 12 for j in range(1, len(rule))):
+            if len(rule) <= len(ids) - i and all(ids[i + j][1] == rule[j] for j in range(len(rule))) and all(ids[i + j][0] - ids[i + j - 1][2] <= gap + 12 for j in range(1, len(rule))):
                 out.append((licence, ids[i][0], len(rule)))
                 i += len(rule)
                 break
