@@ -4,13 +4,20 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from itertools import chain
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 #: White space of all contracts: [\x20\x09-\x0D].
 WHITE = "\x20\x09\x0a\x0b\x0c\x0d"
 WHITE_CLASS = "[\\x20\\x09-\\x0D]"
+#: Edges that a task unites at once.
+FOREST = 1 << 19
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -39,14 +46,18 @@ class Scratch:
         self.n += 1
         return f"{self.root}/{self.n:03d}-{name}"
 
-    def table(self, df: DataFrame, name: str) -> DataFrame:
+    def table(self, df: DataFrame, name: str, *by: str) -> DataFrame:
         path = self.path(name)
-        df.write.mode("overwrite").parquet(path)
+        df.write.mode("overwrite").partitionBy(*by).parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         self.paths[id(out)] = path
         out._scratch_path = path
         return out
 
+    def clear(self) -> None:
+        """Removes all tables of this scratch. Nothing that reads them can run afterwards."""
+        self.drop(self.root)
+
     def drop(self, *tables: DataFrame | str) -> None:
         for t in tables:
             path = t if isinstance(t, str) else getattr(t, "_scratch_path", None)
@@ -60,29 +71,56 @@ def documents(spark: SparkSession, sf_dir: str, name: str = "documents") -> Data
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def components(edges: DataFrame, scratch: Scratch, a: str = "a", b: str = "b", max_rounds: int = 60) -> DataFrame:
+def forest(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of each node with an edge but the smallest of its component: the node and that smallest one."""
+    nodes, at = np.unique(np.concatenate([u, v]), return_inverse=True)
+    low, (a, b) = np.arange(len(nodes)), np.split(at, 2)
+    while (low[a] != low[b]).any():
+        x, y = low[a], low[b]
+        np.minimum.at(low, np.maximum(x, y), np.minimum(x, y))
+        while (low != low[low]).any():
+            low = low[low]
+    rest = low != np.arange(len(nodes))
+    return nodes[rest], nodes[low[rest]]
+
+
+def contracted(edges: DataFrame) -> DataFrame:
+    """Edges (u, v) with u > v of the same components: each task unites its edges in portions, which takes the hubs' load."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+        for batch in chain(batches, (None,)):
+            if batch is not None:
+                held.append(np.column_stack([c.to_numpy() for c in batch.columns]))
+            if held and (batch is None or sum(map(len, held)) > FOREST):
+                x = np.concatenate(held)
+                held = []
+                u, v = forest(x[:, 0], x[:, 1])
+                yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], ["u", "v"])
+
+    return edges.mapInArrow(run, "u long, v long")
+
+
+def components(edges: DataFrame, scratch: Scratch, a: str = "a", b: str = "b") -> DataFrame:
     """Connected components of an edge list as (node, component = smallest node reachable), by large-star and small-star rounds.
 
-    Each round is two aggregations and joins on the node, whose partial minima absorb hubs; the edges of a round are a
-    written table, so lineage stays one round long. Only a count and a checksum come to the driver. Isolated nodes are
-    not in the result. An empty edge list gives an empty result; loops and repeated edges are ignored.
+    Tasks first unite their own edges, so that of a hub at most one edge a portion is left. Each round then takes two
+    windows over the edges of a node and a distinct; its edges are a written table, so lineage stays one round long. It
+    ends when all edges are stars, of which the driver sees a count only. Isolated nodes are not in the result. An empty
+    edge list gives an empty result; loops and repeated edges are ignored.
     """
-    e = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).filter("u <> v").distinct()
-    cur = scratch.table(e, "edges")
-    seen = None
-    for _ in range(max_rounds):
+    cur = scratch.table(contracted(edges.select(F.col(a).cast("long").alias("u"), F.col(b).cast("long").alias("v"))), "edges")
+    of = W.partitionBy("u")
+    while True:
+        ends = cur.select(F.explode(F.array(F.struct(F.col("u").alias("x"), F.lit(1).alias("up")), F.struct(F.col("v").alias("x"), F.lit(0).alias("up")))).alias("e")).select("e.*")
+        bad = ends.groupBy("x").agg(F.sum("up").alias("up"), F.min("up").alias("low")).filter("up > 1 or up = 1 and low = 0").limit(1)
+        if not bad.count():
+            break
         both = cur.unionByName(cur.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = both.filter("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
-        root = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(root, "u").select(F.explode(F.array(F.struct(F.col("u").alias("u"), F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("x")).select("x.*").filter("u <> v").distinct()
-        new = scratch.table(small, "edges")
-        row = new.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")), F.countDistinct("u")).first()
+        large = both.withColumn("m", F.least("u", F.min("v").over(of))).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        small = large.withColumn("m", F.min("v").over(of)).select(F.explode(F.array(F.struct("u", "m"), F.struct(F.col("v").alias("u"), "m"))).alias("e"))
+        new = scratch.table(small.select("e.u", F.col("e.m").alias("v")).filter("u <> v").distinct(), "edges")
         scratch.drop(cur)
         cur = new
-        state = (row[0], row[1])
-        if row[0] == row[2] and state == seen:
-            break
-        seen = state
     roots = cur.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return cur.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)

@@ -2,20 +2,30 @@
 
 Each distinct line gets a one-permutation MinHash signature of its five-character shingles; empty bins borrow from the
 next filled one. Bands of six values make lines that share one candidates: with sixteen bands a pair of similarity 0.8 is
-found with probability 0.99, one of 0.9 with 0.99999. Candidates are verified by the exact Jaccard similarity of their
-shingle sets, first each line against leaders that it shares most bands with, then all pairs of a band that are not in one
-component yet, save those that the bins of their shingles exclude: bins that differ are at most the shingles that differ. Verified links are united, and of each component the first line, by document and position, stays.
+found with probability 0.99, one of 0.9 with 0.99999. Verified links are united, and of each component the first line,
+by document and position, stays.
+
+Each task packs its lines and band keys as arrays, one for each bucket of keys, so that the shuffle moves few large rows and
+equal keys meet in one sort of numbers. Of a line that a task meets again and again only the first occurrence goes on; the
+others are dropped on the spot. Of a band that several lines share, one is the leader, and each line is compared with the
+leader that it shares most bands with. Lines that a leader took carry its label, and bands with one label are done. In the
+others, lines whose bins (of their shingles) exclude the similarity with every line of other label go; those that remain are
+compared on their whole shingle sets, band by band, and a band gives only links that unite lines it hasn't united yet.
+So a group of n near copies costs some links a line and band, never its pairs.
 
 Lines are compared without white space at their ends, by a 64-bit hash of their text. Blank lines always stay.
 
 Cases: null and empty texts have no lines that could be dropped, and null stays null; lines shorter than a shingle are one
 shingle; rows that repeat both identifier and text count as one document and keep the same lines; null identifiers come
-first; an empty table gives an empty result; columns other than identifier and text are carried along untouched.
+first; an empty table gives an empty result; columns other than identifier and text are carried along untouched, save those
+that are named as the two columns of counts: these are replaced.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -24,12 +34,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import WHITE, Scratch, components
-from .ngram_join import BITS, BROADCAST_IDS, LEADERS, distinct_sorted, leaders, mix, product, shared, with_components
+from .ngram_join import BITS, BROADCAST_IDS, distinct_sorted, mix
 
 CHARS, PER_CENT = 5, 80
 BANDS, ROWS = 16, 6
 BINS = BANDS * ROWS
-CHUNK = 1 << 20
+#: Characters of new lines, or lines, that a task takes at once.
+CHUNK, MOST_LINES = 1 << 19, 20_000
+#: Buckets of keys for each shuffle partition.
+FINE = 4
+#: Shingles whose sets are compared at once.
+COMPARED = 1 << 21
 _FACTORS = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 _NONE = np.uint32(0xFFFFFFFF)
 
@@ -60,14 +75,10 @@ def shingle_hashes(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return h[np.cumsum(real[:-1], dtype=np.int8).view(bool)], count
 
 
-def bands(lines: list[str]) -> tuple[np.ndarray, list[bytes]]:
-    """Band keys, a row for each line; and of each line, which of BITS bins have a shingle, then its number of shingles."""
+def bands(lines: list[str]) -> np.ndarray:
+    """Band keys, a row for each line."""
     h, count = shingle_hashes(lines)
     of = np.repeat(np.arange(len(lines)), count)
-    taken = np.zeros(len(lines) * BITS, np.uint8)
-    taken[of * BITS + (h & np.uint64(BITS - 1)).astype(np.int64)] = 1
-    taken = np.packbits(taken.reshape(len(lines), BITS), axis=1)
-    bins = [x.tobytes() + n.tobytes() for x, n in zip(taken, count.astype(np.int64))]
     slot = of * BINS + (((h >> np.uint64(32)) * np.uint64(BINS)) >> np.uint64(32)).astype(np.int64)
     sig = np.full(len(lines) * BINS, _NONE, np.uint32)
     np.minimum.at(sig, slot, (h & np.uint64(0xFFFFFFFE)).astype(np.uint32))
@@ -80,7 +91,15 @@ def bands(lines: list[str]) -> tuple[np.ndarray, list[bytes]]:
     key = np.tile(np.arange(1, BANDS + 1, dtype=np.uint64), (len(lines), 1))
     for r in range(ROWS):
         key = mix(key * _FACTORS[0] + sig[:, r::ROWS])
-    return key.view(np.int64), bins
+    return key.view(np.int64)
+
+
+def bins(lines: list[str]) -> tuple[np.ndarray, list[bytes]]:
+    """Of each line the number of shingles, repeated ones included, and which of BITS bins have one."""
+    h, count = shingle_hashes(lines)
+    taken = np.zeros(len(lines) * BITS, np.uint8)
+    taken[np.repeat(np.arange(len(lines)), count) * BITS + (h & np.uint64(BITS - 1)).astype(np.int64)] = 1
+    return count, [x.tobytes() for x in np.packbits(taken.reshape(len(lines), BITS), axis=1)]
 
 
 def similar(x: list[str], y: list[str], per_cent: int) -> np.ndarray:
@@ -101,29 +120,60 @@ def similar(x: list[str], y: list[str], per_cent: int) -> np.ndarray:
     return 100 * both >= per_cent * (na + nb - both)
 
 
-def key_of() -> Column:
-    return F.xxhash64("id", "text")
+#: A line of a document: hash, whether the document has an identifier, the identifier, the document's key, the line's place.
+PLACE = np.dtype([("h", "<i8"), ("has", "u1"), ("id", "<i8"), ("key", "<i8"), ("at", "<i4")])
+#: A line that has a band key.
+ENTRY = np.dtype([("band", "<i8"), ("h", "<i8")])
+#: A line that goes.
+DROP = np.dtype([("key", "<i8"), ("at", "<i4")])
+_KINDS = (PLACE, ENTRY, DROP)
 
 
-LINES = "id long, key long, at int, h long, bands array<long>, bits binary"
+def key_of(id_: Column, text: Column) -> Column:
+    return F.xxhash64(id_, text)
 
 
-def lines_of(docs: DataFrame) -> DataFrame:
-    """One row for each line that is not blank; a task gives the bands of a line once."""
+def first_of(x: np.ndarray, *names: str) -> np.ndarray:
+    """Which rows differ from the row before them."""
+    new = np.zeros(len(x), bool)
+    new[:1] = True
+    for name in names:
+        new[1:] |= x[name][1:] != x[name][:-1]
+    return new
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
 
-        def out(rows: list[tuple], fresh: list[str], where: list[int]) -> pa.RecordBatch:
-            keys: list = [None] * len(rows)
-            bits: list = [None] * len(rows)
-            if fresh:
-                for i, k, x in zip(where, *bands(fresh)):
-                    keys[i], bits[i] = k, x
-            cols = list(zip(*rows))
-            return pa.RecordBatch.from_arrays([*(pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.int32(), pa.int64()))), pa.array(keys, pa.list_(pa.int64())), pa.array(bits, pa.binary())], ["id", "key", "at", "h", "bands", "bits"])
+def firsts(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of places: the first one of each line, and the others. A place that occurs twice is one."""
+    x = x[np.lexsort((x["at"], x["key"], x["id"], x["has"], x["h"]))]
+    x = x[first_of(x, *PLACE.names)]
+    new = first_of(x, "h")
+    drops = np.zeros(int((~new).sum()), DROP)
+    drops["key"], drops["at"] = x["key"][~new], x["at"][~new]
+    return x[new], drops
+
 
-        rows, fresh, where, size = [], [], [], 0
+def packed(docs: DataFrame, buckets: int) -> DataFrame:
+    """Arrays of places, band entries and drops by bucket of their keys: (bucket, kind, data)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def out(rows: list[tuple], fresh: list[str], hashes: list[int]) -> pa.RecordBatch:
+            places, drops = firsts(np.array(rows, PLACE))
+            parts = [(places["h"], places), (drops["key"], drops)]
+            if fresh:
+                keys = bands(fresh)
+                entries = np.zeros(keys.size, ENTRY)
+                entries["band"], entries["h"] = keys.ravel(), np.repeat(np.array(hashes, np.int64), BANDS)
+                parts.append((entries["band"], entries))
+            got = []
+            for key, x in parts:
+                b = (mix(key.view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+                order = np.argsort(b, kind="stable")
+                b, x, kind = b[order], x[order], _KINDS.index(x.dtype)
+                at = np.flatnonzero(np.append(True, b[1:] != b[:-1])[: len(b)])
+                got += [(int(b[i]), kind, x[i:j].tobytes()) for i, j in zip(at, [*at[1:], len(b)])]
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*got), (pa.int32(), pa.int8(), pa.binary()))], ["bucket", "kind", "data"])
+
+        rows, fresh, hashes, size, seen = [], [], [], 0, set()
         for batch in batches:
             for id_, key, text in zip(*(c.to_pylist() for c in batch.columns)):
                 for at, line in enumerate((text or "").split("\n")):
@@ -133,97 +183,288 @@ def lines_of(docs: DataFrame) -> DataFrame:
                     h -= (h >> 63) << 64
                     if h not in seen:
                         seen.add(h)
-                        where.append(len(rows))
+                        hashes.append(h)
                         fresh.append(line)
                         size += len(line)
-                    rows.append((id_, key, at, h))
-                    if size > CHUNK or len(rows) > 50_000:
-                        yield out(rows, fresh, where)
-                        rows, fresh, where, size = [], [], [], 0
+                    rows.append((h, id_ is not None, id_ or 0, key, at))
+                    if size > CHUNK or len(rows) > MOST_LINES:
+                        yield out(rows, fresh, hashes)
+                        rows, fresh, hashes, size = [], [], [], 0
+                        if len(seen) > 1_000_000:
+                            seen.clear()
         if rows:
-            yield out(rows, fresh, where)
+            yield out(rows, fresh, hashes)
+
+    return docs.mapInArrow(run, "bucket int, kind byte, data binary")
+
 
-    return docs.mapInArrow(run, LINES)
+MET = "kind byte, band long, h long, lead long, has boolean, id long, key long, at int"
 
 
-def texts_of(docs: DataFrame, lists: DataFrame, scratch: Scratch) -> DataFrame:
-    """The text of each line that shares a band with another one: (h, line). No other line is ever compared."""
-    ids = scratch.table(lists.select(F.col("cls").alias("h")).distinct(), "queries")
+def met(blobs: DataFrame) -> DataFrame:
+    """What arrays of a bucket have in common. kind 0: the first place of each line; 1: entries of bands that several lines
+    share, with the leader; 2: places that go, as another place of the same text stays.
+    """
+
+    def batch(kind: int, **columns: np.ndarray) -> pa.RecordBatch:
+        n = len(next(iter(columns.values())))
+        kinds = {"kind": pa.int8(), "has": pa.bool_(), "at": pa.int32()}
+        columns["kind"] = np.full(n, kind, np.int8)
+        names = ["kind", "band", "h", "lead", "has", "id", "key", "at"]
+        return pa.RecordBatch.from_arrays([pa.array(columns[c], kinds.get(c, pa.int64())) if c in columns else pa.nulls(n, kinds.get(c, pa.int64())) for c in names], names)
+
+    def drops_of(x: np.ndarray) -> pa.RecordBatch:
+        return batch(2, key=x["key"].copy(), at=x["at"].copy())
+
+    def of_bucket(kind: int, data: list[bytes]) -> Iterator[pa.RecordBatch]:
+        x = np.frombuffer(b"".join(data), _KINDS[kind])
+        if kind == 0:
+            x, drops = firsts(x)
+            yield batch(0, h=x["h"].copy(), has=x["has"].astype(bool), id=x["id"].copy(), key=x["key"].copy(), at=x["at"].copy())
+            yield drops_of(drops)
+        elif kind == 1:
+            order = mix(x["h"].view(np.uint64).copy() * _FACTORS[1])  # the leader is as good as drawn
+            x = x[np.lexsort((order, x["band"]))]
+            x = x[first_of(x, "band", "h")]
+            new = first_of(x, "band")
+            group = np.cumsum(new) - 1
+            several = np.bincount(group, minlength=1)[group] > 1
+            lead = x["h"][new][group]
+            yield batch(1, band=x["band"][several], h=x["h"][several], lead=lead[several])
+        else:
+            yield drops_of(x)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, last = [], None
+        for b in chain(batches, (None,)):
+            rows = zip(*(c.to_pylist() for c in b.columns)) if b is not None else [(None, None, None)]
+            for bucket, kind, data in rows:
+                if (bucket, kind) != last:
+                    if held:
+                        yield from of_bucket(last[1], held)
+                    held, last = [], (bucket, kind)
+                held.append(data)
+
+    return blobs.repartition("bucket").sortWithinPartitions("bucket", "kind").mapInArrow(run, MET)
+
+
+def texts_of(docs: DataFrame, entries: DataFrame, scratch: Scratch) -> DataFrame:
+    """The text and bins of each line that shares a band with another one: (h, line, n, bits). No other line is ever compared."""
+    ids = scratch.table(entries.select("h").distinct(), "queries")
     of = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
     line = docs.select(F.explode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("line")).select(F.btrim("line", F.lit(WHITE)).alias("line")).filter("line <> ''")
-    line = scratch.table(line.withColumn("h", F.xxhash64("line")).join(of, "h", "left_semi").dropDuplicates(["h"]).select("h", "line"), "texts")
+    line = line.withColumn("h", F.xxhash64("line")).join(of, "h", "left_semi").dropDuplicates(["h"]).select("h", "line")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lines = batch.column(1).to_pylist()
+            counts, got, at = [np.zeros(0, np.int64)], [], 0
+            while at < len(lines):
+                n, size = at, 0
+                while n < len(lines) and size < CHUNK:
+                    size += len(lines[n])
+                    n += 1
+                k, x = bins(lines[at:n])
+                counts.append(k)
+                got += x
+                at = n
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(np.concatenate(counts)), pa.array(got, pa.binary())], ["h", "line", "n", "bits"])
+
+    out = scratch.table(line.mapInArrow(run, "h long, line string, n long, bits binary"), "texts")
     scratch.drop(ids)
-    return line
+    return out
 
 
-def verified(line: DataFrame, pairs: DataFrame, per_cent: int, scratch: Scratch) -> DataFrame:
-    """Of pairs (a, b) of line hashes those whose shingle sets reach the similarity. line: (h, line)."""
-    both = pairs.select("a", "b").join(line.select(F.col("h").alias("a"), F.col("line").alias("x")), "a").join(line.select(F.col("h").alias("b"), F.col("line").alias("y")), "b")
+def verified(texts: DataFrame, pairs: DataFrame, per_cent: int) -> DataFrame:
+    """Of pairs (a, b) of line hashes those whose shingle sets reach the similarity. texts: (h, line)."""
+    both = pairs.select("a", "b").join(texts.select(F.col("h").alias("a"), F.col("line").alias("x")), "a").join(texts.select(F.col("h").alias("b"), F.col("line").alias("y")), "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             a, b, x, y = (c.to_pylist() for c in batch.columns)
-            keep = []
-            for i in range(0, len(x), 1000):
-                keep += similar(x[i : i + 1000], y[i : i + 1000], per_cent).tolist()
+            keep, i = [], 0
+            while i < len(x):
+                n, size = i, 0
+                while n < len(x) and size < CHUNK and n - i < 1000:
+                    size += len(x[n]) + len(y[n])
+                    n += 1
+                keep += similar(x[i:n], y[i:n], per_cent).tolist()
+                i = n
             yield pa.RecordBatch.from_arrays([pa.array([v for v, k in zip(a, keep) if k], pa.int64()), pa.array([v for v, k in zip(b, keep) if k], pa.int64())], ["a", "b"])
 
-    return scratch.table(both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long"), "links")
+    return both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+
+
+def by_band(rows: DataFrame, run_group, schema: str) -> DataFrame:
+    """Hands run_group the rows of each band; rows: band first. Only one band is held at a time, beside a batch."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest = None
+        for batch in chain(batches, (None,)):
+            if batch is not None:
+                rest = batch if rest is None else pa.Table.from_batches([rest, batch]).combine_chunks().to_batches(max_chunksize=None)[0]
+                band = rest.column(0).to_numpy()
+                ends = np.flatnonzero(np.append(True, band[1:] != band[:-1])) if len(band) else np.zeros(1, np.int64)
+                whole, rest = (rest.slice(0, ends[-1]), ends), rest.slice(ends[-1])
+            elif rest is not None and len(rest):
+                band = rest.column(0).to_numpy()
+                whole = (rest, np.append(np.flatnonzero(np.append(True, band[1:] != band[:-1])), len(band)))
+            else:
+                return
+            yield from run_group(*whole)
+
+    return rows.repartition("band").sortWithinPartitions("band", "h").mapInArrow(run, schema)
+
+
+def possible(bits: np.ndarray, n: np.ndarray, i: int, j: np.ndarray, per_cent: int) -> np.ndarray:
+    """Which of j the bins don't exclude: bins that differ are at most the shingles that differ; n: at least the sets' sizes."""
+    return (100 + per_cent) * np.bitwise_count(bits[j] ^ bits[i]).sum(1, dtype=np.int64) <= (100 - per_cent) * (n[j] + n[i])
+
+
+def outside(label: np.ndarray) -> np.ndarray:
+    """Rows that aren't of the most frequent label."""
+    names, k = np.unique(label, return_counts=True)
+    return np.flatnonzero(label != names[np.argmax(k)])
+
+
+def alive(entries: DataFrame, per_cent: int) -> DataFrame:
+    """Of entries (band, h, label, n, bits) those that have another one of other label in their band that they may be like."""
+
+    def run_group(x: pa.RecordBatch, ends: np.ndarray) -> Iterator[pa.RecordBatch]:
+        h, label, n = (x.column(i).to_numpy() for i in (1, 2, 3))
+        bits = np.frombuffer(b"".join(x.column(4).to_pylist()), np.uint64).reshape(-1, BITS // 64)
+        live = np.zeros(len(h), bool)
+        for a, b in zip(ends[:-1], ends[1:]):
+            if b - a == 2:
+                if label[a] != label[a + 1] and possible(bits, n, a, np.array([a + 1]), per_cent)[0]:
+                    live[a:b] = True
+                continue
+            for i in outside(label[a:b]) + a:
+                j = np.flatnonzero(label[a:b] != label[i]) + a
+                j = j[possible(bits, n, i, j, per_cent)]
+                if len(j):
+                    live[j] = live[i] = True
+        band = x.column(0).to_numpy()
+        yield pa.RecordBatch.from_arrays([pa.array(v[live]) for v in (band, h, label)], ["band", "h", "label"])
+
+    return by_band(entries, run_group, "band long, h long, label long")
+
+
+def compare(lines: list[str], label: np.ndarray, bits: np.ndarray, per_cent: int) -> Iterator[tuple[int, int]]:
+    """Pairs of lines of other label that reach the similarity. Their labels become one, so further pairs of them are left out."""
+    hashes, count = shingle_hashes(lines)
+    code = np.unique(hashes, return_inverse=True)[1]
+    codes = int(code.max()) + 1
+    of, code = np.divmod(np.unique(np.repeat(np.arange(len(lines)), count) * codes + code), codes)  # a shingle of a line once
+    n = np.bincount(of, minlength=len(lines))
+    start = np.cumsum(n) - n
+    own = np.zeros(codes, np.int8)
+    for i in outside(label):
+        j = np.flatnonzero(label != label[i])
+        j = j[possible(bits, n, i, j, per_cent)]
+        mine = code[start[i] : start[i] + n[i]]
+        own[mine] = 1
+        while len(j):
+            take = max(1, int(np.searchsorted(np.cumsum(n[j]), COMPARED)))
+            some, j = j[:take], j[take:]
+            before = np.cumsum(n[some]) - n[some]
+            place = np.repeat(start[some] - before, n[some]) + np.arange(n[some].sum())
+            same = np.add.reduceat(own[code[place]], before, dtype=np.int64)
+            for k in some[100 * same >= per_cent * (n[some] + n[i] - same)]:
+                if label[k] != label[i]:
+                    yield i, k
+                    label[label == label[k]] = label[i]
+            j = j[label[j] != label[i]]
+        own[mine] = 0
+
+
+def united(entries: DataFrame, per_cent: int) -> DataFrame:
+    """Links (a, b) between lines of other label, on whole shingle sets. entries: (band, h, label, bits, line).
+
+    Within a band, labels that a link has united count as one, so that a band of n lines gives n - 1 links at most. A band
+    with more text than a task should hold as sets is compared part by part.
+    """
+
+    def run_group(x: pa.RecordBatch, ends: np.ndarray) -> Iterator[pa.RecordBatch]:
+        h, label = (x.column(i).to_numpy() for i in (1, 2))
+        bits = np.frombuffer(b"".join(x.column(3).to_pylist()), np.uint64).reshape(-1, BITS // 64)
+        left, right = [], []
+        for a, b in zip(ends[:-1], ends[1:]):
+            lines, own = x.column(4).slice(a, b - a).to_pylist(), label[a:b].copy()
+            part = np.cumsum([len(y) for y in lines]) // COMPARED
+            parts = [np.flatnonzero(part == k) for k in np.unique(part)]
+            for p, first in enumerate(parts):
+                for second in parts[p:] if p == len(parts) - 1 else parts[p + 1 :]:
+                    at = first if second is first else np.concatenate([first, second])
+                    some = own[at]
+                    for i, k in compare([lines[y] for y in at], some, bits[a + at], per_cent):
+                        left.append(h[a + at[i]])
+                        right.append(h[a + at[k]])
+                        own[own == own[at[k]]] = own[at[i]]
+        yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], ["a", "b"])
+
+    return by_band(entries, run_group, "a long, b long")
+
+
+def links_of(docs: DataFrame, entries: DataFrame, per_cent: int, s: Scratch) -> DataFrame:
+    """Links between lines alike that share a band, enough of them to unite all such lines. entries: (band, h, lead)."""
+    texts = texts_of(docs, entries, s)
+    best = entries.filter("h <> lead").groupBy("h", "lead").agg(F.count("*").alias("n")).groupBy(F.col("h").alias("a")).agg(F.max_by("lead", F.struct("n", "lead")).alias("b"))
+    stars = s.table(verified(texts, best, per_cent), "stars")
+    up = stars.select(F.col("a").alias("b"), F.col("b").alias("c"))
+    label = stars.join(up, "b", "left").select(F.col("a").alias("h"), F.coalesce("c", "b").alias("label"))
+    # a leader that has no leader itself keeps its own label
+    named = s.table(entries.select("band", "h").join(label, "h", "left").withColumn("label", F.coalesce("label", "h")), "named")
+    open_ = named.groupBy("band").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x <> y").select("band")
+    of = texts.select("h", "n", "bits")
+    live = s.table(alive(named.join(open_, "band", "left_semi").join(of, "h").select("band", "h", "label", "n", "bits"), per_cent), "alive")
+    more = united(live.join(texts, "h").select("band", "h", "label", "bits", "line"), per_cent)
+    links = s.table(stars.unionByName(more), "links")
+    s.drop(texts, stars, named, live)
+    return links
 
 
 def dropped_lines(spark: SparkSession, docs: DataFrame, per_cent: int = PER_CENT) -> DataFrame:
     """docs: id, key, text. Per document with lines to drop: key, and their places in order."""
     s = Scratch(spark, "line-dedup")
-    lines = s.table(lines_of(docs), "lines")
-    entries = lines.filter("bands is not null").select(F.explode("bands").alias("h"), F.col("h").alias("cls"), F.lit(1).cast("long").alias("n"))
-    lists = s.table(shared(entries), "lists")
-    bits = lines.filter("bits is not null").select(F.col("h").alias("cls"), "bits").dropDuplicates(["cls"])
-    lines = lines.drop("bands", "bits")
-    texts = texts_of(docs, lists, s)
-    links = tried = known = None
-    for turn in range(LEADERS):
-        star = s.table(leaders(with_components(lists, known), per_cent, turn).select("a", "b"), "star")
-        more = verified(texts, star, per_cent, s)
-        links = more if links is None else links.unionByName(more)
-        pair = star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        tried = pair if tried is None else tried.unionByName(pair)
-        known = s.table(components(links, s), "known")
-    pairs = s.table(product(with_components(lists, known), per_cent, bits, prefix=False).select("a", "b").join(tried, ["a", "b"], "left_anti"), "pairs")
-    s.drop(lists)
-    more = verified(texts, pairs, per_cent, s)
-    s.drop(pairs, texts)
-    whole = components(links.unionByName(more), s)
-    of = lines.join(whole.withColumnRenamed("node", "h"), "h", "left").select("id", "key", "at", F.coalesce("component", "h").alias("component"))
-    of = s.table(of, "placed")
-    first = of.groupBy("component").agg(F.min(F.struct("id", "key", "at")).alias("first"), F.count("*").alias("n")).filter("n > 1").select("component", "first")
-    gone = of.join(first, "component").filter((F.col("key") != F.col("first.key")) | (F.col("at") != F.col("first.at")))
-    return gone.select("key", "at").distinct().groupBy("key").agg(F.sort_array(F.collect_list("at")).alias("gone"))
-
-
-def dedup_lines(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id", text: str = "text", per_cent: int = PER_CENT) -> DataFrame:
-    """All columns of docs, with the text without dropped lines, and _line_count, _line_drops (of lines that aren't blank)."""
-    keyed = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
-    keyed = keyed.select("id", key_of().alias("key"), "text")
-    gone = dropped_lines(spark, keyed, per_cent)
-    whole = docs.withColumn("_line_key", F.xxhash64(F.col(doc_id).cast("long"), F.col(text)))
-    out = whole.join(gone.select(F.col("key").alias("_line_key"), F.col("gone").alias("_gone")), "_line_key", "left").drop("_line_key")
-    names = [c for c in out.columns if c != "_gone"]
+    buckets = FINE * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = s.table(met(packed(docs, buckets)), "met", "kind")
+    entries = rows.filter("kind = 1").select("band", "h", "lead")
+    whole = components(links_of(docs, entries, per_cent, s), s).withColumnRenamed("node", "h")
+    place = F.struct("has", "id", "key", "at")
+    linked = s.table(rows.filter("kind = 0").join(whole, "h").select("component", place.alias("place")), "linked")
+    first = linked.groupBy("component").agg(F.min("place").alias("first"))
+    gone = linked.join(first, "component").filter("place <> first").select("place.key", "place.at")
+    gone = gone.unionByName(rows.filter("kind = 2").select("key", "at"))
+    out = s.table(gone.groupBy("key").agg(F.sort_array(F.collect_set("at")).alias("gone")), "gone")
+    s.drop(rows, linked)
+    return out
+
+
+def dedup_lines(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id", text: str = "text", per_cent: int = PER_CENT, count: str = "_line_count", drops: str = "_line_drops") -> DataFrame:
+    """All columns of docs, with the text without dropped lines, and the count and the drops of lines that aren't blank."""
+    docs = docs.drop(count, drops)
+    key = lambda: key_of(F.col(doc_id).cast("long"), F.col(text))
+    gone = dropped_lines(spark, docs.select(F.col(doc_id).cast("long").alias("id"), key().alias("key"), F.col(text).alias("text")), per_cent)
+    own = f"_{uuid.uuid4().hex}"
+    names = docs.columns
+    out = docs.withColumn(own, key()).join(gone.select(F.col("key").alias(own), F.col("gone").alias(f"{own}_gone")), own, "left").select(*(f"`{c}`" for c in names), f"{own}_gone")
     at = names.index(text)
-    schema = out.select(*names).schema.add("_line_count", "long").add("_line_drops", "long")
+    schema = docs.schema.add(count, "long").add(drops, "long")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, count, drops = [], [], []
+            texts, counts, lost = [], [], []
             for t, g in zip(batch.column(at).to_pylist(), batch.column(len(names)).to_pylist()):
                 lines = (t or "").split("\n")
-                count.append(sum(1 for x in lines if x.strip(WHITE)))
-                drops.append(len(g or ()))
+                counts.append(sum(1 for x in lines if x.strip(WHITE)))
+                lost.append(len(g or ()))
                 if g:
                     places = set(g)
                     t = "\n".join(x for i, x in enumerate(lines) if i not in places)
                 texts.append(t)
             cols = [batch.column(i) for i in range(len(names))]
             cols[at] = pa.array(texts, cols[at].type)
-            yield pa.RecordBatch.from_arrays([*cols, pa.array(count, pa.int64()), pa.array(drops, pa.int64())], [*names, "_line_count", "_line_drops"])
+            yield pa.RecordBatch.from_arrays([*cols, pa.array(counts, pa.int64()), pa.array(lost, pa.int64())], [*names, count, drops])
 
-    return out.select(*names, "_gone").mapInArrow(run, schema)
+    return out.mapInArrow(run, schema)
