@@ -18,6 +18,8 @@ WHITE = "\x20\x09\x0a\x0b\x0c\x0d"
 WHITE_CLASS = "[\\x20\\x09-\\x0D]"
 #: Edges that a task unites at once.
 FOREST = 1 << 19
+#: Rows of a small scratch table's file.
+FILE_ROWS = 100_000
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -46,9 +48,11 @@ class Scratch:
         self.n += 1
         return f"{self.root}/{self.n:03d}-{name}"
 
-    def table(self, df: DataFrame, name: str, *by: str) -> DataFrame:
+    def table(self, df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
+        """rows: about how many there are at most; then small partitions share tasks and files, yet all cores have some."""
         path = self.path(name)
-        df.write.mode("overwrite").partitionBy(*by).parquet(path)
+        out = df if rows is None else df.coalesce(max(self.spark.sparkContext.defaultParallelism, rows // FILE_ROWS))
+        out.write.mode("overwrite").parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         self.paths[id(out)] = path
         out._scratch_path = path
@@ -101,15 +105,15 @@ def contracted(edges: DataFrame) -> DataFrame:
     return edges.mapInArrow(run, "u long, v long")
 
 
-def components(edges: DataFrame, scratch: Scratch, a: str = "a", b: str = "b") -> DataFrame:
+def components(edges: DataFrame, scratch: Scratch, a: str = "a", b: str = "b", rows: int | None = None) -> DataFrame:
     """Connected components of an edge list as (node, component = smallest node reachable), by large-star and small-star rounds.
 
     Tasks first unite their own edges, so that of a hub at most one edge a portion is left. Each round then takes two
     windows over the edges of a node and a distinct; its edges are a written table, so lineage stays one round long. It
     ends when all edges are stars, of which the driver sees a count only. Isolated nodes are not in the result. An empty
-    edge list gives an empty result; loops and repeated edges are ignored.
+    edge list gives an empty result; loops and repeated edges are ignored. rows: about how many edges there are at most.
     """
-    cur = scratch.table(contracted(edges.select(F.col(a).cast("long").alias("u"), F.col(b).cast("long").alias("v"))), "edges")
+    cur = scratch.table(contracted(edges.select(F.col(a).cast("long").alias("u"), F.col(b).cast("long").alias("v"))), "edges", rows)
     of = W.partitionBy("u")
     while True:
         ends = cur.select(F.explode(F.array(F.struct(F.col("u").alias("x"), F.lit(1).alias("up")), F.struct(F.col("v").alias("x"), F.lit(0).alias("up")))).alias("e")).select("e.*")
@@ -119,7 +123,7 @@ def components(edges: DataFrame, scratch: Scratch, a: str = "a", b: str = "b") -
         both = cur.unionByName(cur.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = both.withColumn("m", F.least("u", F.min("v").over(of))).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         small = large.withColumn("m", F.min("v").over(of)).select(F.explode(F.array(F.struct("u", "m"), F.struct(F.col("v").alias("u"), "m"))).alias("e"))
-        new = scratch.table(small.select("e.u", F.col("e.m").alias("v")).filter("u <> v").distinct(), "edges")
+        new = scratch.table(small.select("e.u", F.col("e.m").alias("v")).filter("u <> v").distinct(), "edges", rows)
         scratch.drop(cur)
         cur = new
     roots = cur.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()

@@ -248,10 +248,10 @@ def met(blobs: DataFrame) -> DataFrame:
     return blobs.repartition("bucket").sortWithinPartitions("bucket", "kind").mapInArrow(run, MET)
 
 
-def texts_of(docs: DataFrame, entries: DataFrame, scratch: Scratch) -> DataFrame:
+def texts_of(docs: DataFrame, entries: DataFrame, n: int, scratch: Scratch) -> DataFrame:
     """The text and bins of each line that shares a band with another one: (h, line, n, bits). No other line is ever compared."""
-    ids = scratch.table(entries.select("h").distinct(), "queries")
-    of = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+    ids = entries.select("h").distinct()
+    of = F.broadcast(ids) if n <= 2 * BROADCAST_IDS else ids  # a line that shares a band mostly shares several
     line = docs.select(F.explode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("line")).select(F.btrim("line", F.lit(WHITE)).alias("line")).filter("line <> ''")
     line = line.withColumn("h", F.xxhash64("line")).join(of, "h", "left_semi").dropDuplicates(["h"]).select("h", "line")
 
@@ -270,8 +270,7 @@ def texts_of(docs: DataFrame, entries: DataFrame, scratch: Scratch) -> DataFrame
                 at = n
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(np.concatenate(counts)), pa.array(got, pa.binary())], ["h", "line", "n", "bits"])
 
-    out = scratch.table(line.mapInArrow(run, "h long, line string, n long, bits binary"), "texts")
-    scratch.drop(ids)
+    out = scratch.table(line.mapInArrow(run, "h long, line string, n long, bits binary"), "texts", n)
     return out
 
 
@@ -406,38 +405,34 @@ def united(entries: DataFrame, per_cent: int) -> DataFrame:
     return by_band(entries, run_group, "a long, b long")
 
 
-def links_of(docs: DataFrame, entries: DataFrame, per_cent: int, s: Scratch) -> DataFrame:
-    """Links between lines alike that share a band, enough of them to unite all such lines. entries: (band, h, lead)."""
-    texts = texts_of(docs, entries, s)
-    best = entries.filter("h <> lead").groupBy("h", "lead").agg(F.count("*").alias("n")).groupBy(F.col("h").alias("a")).agg(F.max_by("lead", F.struct("n", "lead")).alias("b"))
-    stars = s.table(verified(texts, best, per_cent), "stars")
+def links_of(docs: DataFrame, entries: DataFrame, n: int, per_cent: int, s: Scratch) -> DataFrame:
+    """Links between lines alike that share a band, enough of them to unite all such lines. entries: n rows (band, h, lead)."""
+    texts = texts_of(docs, entries, n, s)
+    best = entries.filter("h <> lead").groupBy("h", "lead").agg(F.count("*").alias("k")).groupBy(F.col("h").alias("a")).agg(F.max_by("lead", F.struct("k", "lead")).alias("b"))
+    stars = s.table(verified(texts, best, per_cent), "stars", n)
     up = stars.select(F.col("a").alias("b"), F.col("b").alias("c"))
     label = stars.join(up, "b", "left").select(F.col("a").alias("h"), F.coalesce("c", "b").alias("label"))
     # a leader that has no leader itself keeps its own label
-    named = s.table(entries.select("band", "h").join(label, "h", "left").withColumn("label", F.coalesce("label", "h")), "named")
-    open_ = named.groupBy("band").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x <> y").select("band")
-    of = texts.select("h", "n", "bits")
-    live = s.table(alive(named.join(open_, "band", "left_semi").join(of, "h").select("band", "h", "label", "n", "bits"), per_cent), "alive")
-    more = united(live.join(texts, "h").select("band", "h", "label", "bits", "line"), per_cent)
-    links = s.table(stars.unionByName(more), "links")
-    s.drop(texts, stars, named, live)
-    return links
+    named = entries.select("band", "h").join(label, "h", "left").join(texts.select("h", "n", "bits"), "h").select("band", "h", F.coalesce("label", "h").alias("label"), "n", "bits")
+    live = alive(named, per_cent).join(texts, "h").select("band", "h", "label", "bits", "line")
+    return stars.unionByName(united(live, per_cent))
 
 
 def dropped_lines(spark: SparkSession, docs: DataFrame, per_cent: int = PER_CENT) -> DataFrame:
     """docs: id, key, text. Per document with lines to drop: key, and their places in order."""
     s = Scratch(spark, "line-dedup")
     buckets = FINE * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = s.table(met(packed(docs, buckets)), "met", "kind")
+    rows = s.table(met(packed(docs, buckets)), "met")
     entries = rows.filter("kind = 1").select("band", "h", "lead")
-    whole = components(links_of(docs, entries, per_cent, s), s).withColumnRenamed("node", "h")
+    n = entries.count()
+    whole = components(links_of(docs, entries, n, per_cent, s), s, rows=n).withColumnRenamed("node", "h")
     place = F.struct("has", "id", "key", "at")
-    linked = s.table(rows.filter("kind = 0").join(whole, "h").select("component", place.alias("place")), "linked")
+    linked = s.table(rows.filter("kind = 0").join(whole, "h").select("component", place.alias("place")), "linked", n)
     first = linked.groupBy("component").agg(F.min("place").alias("first"))
     gone = linked.join(first, "component").filter("place <> first").select("place.key", "place.at")
     gone = gone.unionByName(rows.filter("kind = 2").select("key", "at"))
-    out = s.table(gone.groupBy("key").agg(F.sort_array(F.collect_set("at")).alias("gone")), "gone")
-    s.drop(rows, linked)
+    out = Scratch(spark, "line-dedup").table(gone.groupBy("key").agg(F.sort_array(F.collect_set("at")).alias("gone")), "gone")
+    s.clear()
     return out
 
 
