@@ -9,6 +9,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -43,6 +44,7 @@ class Scratch:
         self.root = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
         self.n = 0
         self.paths: dict[int, str] = {}
+        self.kept: list[DataFrame] = []
 
     def path(self, name: str) -> str:
         self.n += 1
@@ -58,8 +60,15 @@ class Scratch:
         out._scratch_path = path
         return out
 
+    def keep(self, df: DataFrame) -> DataFrame:
+        """Holds the rows on the executors' disks for steps that follow at once; what a lost executor held is made again."""
+        self.kept.append(df.persist(StorageLevel.DISK_ONLY))
+        return self.kept[-1]
+
     def clear(self) -> None:
-        """Removes all tables of this scratch. Nothing that reads them can run afterwards."""
+        """Removes all tables of this scratch, and what it keeps. Nothing that reads them should run afterwards."""
+        for df in self.kept:
+            df.unpersist()
         self.drop(self.root)
 
     def drop(self, *tables: DataFrame | str) -> None:

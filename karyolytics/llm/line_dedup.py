@@ -270,8 +270,7 @@ def texts_of(docs: DataFrame, entries: DataFrame, n: int, scratch: Scratch) -> D
                 at = n
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(np.concatenate(counts)), pa.array(got, pa.binary())], ["h", "line", "n", "bits"])
 
-    out = scratch.table(line.mapInArrow(run, "h long, line string, n long, bits binary"), "texts", n)
-    return out
+    return scratch.keep(line.mapInArrow(run, "h long, line string, n long, bits binary"))
 
 
 def verified(texts: DataFrame, pairs: DataFrame, per_cent: int) -> DataFrame:
@@ -409,7 +408,7 @@ def links_of(docs: DataFrame, entries: DataFrame, n: int, per_cent: int, s: Scra
     """Links between lines alike that share a band, enough of them to unite all such lines. entries: n rows (band, h, lead)."""
     texts = texts_of(docs, entries, n, s)
     best = entries.filter("h <> lead").groupBy("h", "lead").agg(F.count("*").alias("k")).groupBy(F.col("h").alias("a")).agg(F.max_by("lead", F.struct("k", "lead")).alias("b"))
-    stars = s.table(verified(texts, best, per_cent), "stars", n)
+    stars = s.keep(verified(texts, best, per_cent))
     up = stars.select(F.col("a").alias("b"), F.col("b").alias("c"))
     label = stars.join(up, "b", "left").select(F.col("a").alias("h"), F.coalesce("c", "b").alias("label"))
     # a leader that has no leader itself keeps its own label
@@ -422,12 +421,12 @@ def dropped_lines(spark: SparkSession, docs: DataFrame, per_cent: int = PER_CENT
     """docs: id, key, text. Per document with lines to drop: key, and their places in order."""
     s = Scratch(spark, "line-dedup")
     buckets = FINE * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = s.table(met(packed(docs, buckets)), "met")
+    rows = s.keep(met(packed(docs, buckets)))
     entries = rows.filter("kind = 1").select("band", "h", "lead")
     n = entries.count()
     whole = components(links_of(docs, entries, n, per_cent, s), s, rows=n).withColumnRenamed("node", "h")
     place = F.struct("has", "id", "key", "at")
-    linked = s.table(rows.filter("kind = 0").join(whole, "h").select("component", place.alias("place")), "linked", n)
+    linked = s.keep(rows.filter("kind = 0").join(whole, "h").select("component", place.alias("place")))
     first = linked.groupBy("component").agg(F.min("place").alias("first"))
     gone = linked.join(first, "component").filter("place <> first").select("place.key", "place.at")
     gone = gone.unionByName(rows.filter("kind = 2").select("key", "at"))
