@@ -50,10 +50,14 @@ class Scratch:
         self.n += 1
         return f"{self.root}/{self.n:03d}-{name}"
 
-    def table(self, df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
-        """rows: about how many there are at most; then small partitions share tasks and files, yet all cores have some."""
+    def table(self, df: DataFrame, name: str, rows: int | None = None, dealt: bool = False) -> DataFrame:
+        """rows: about how many there are at most; then small partitions share tasks and files, yet all cores have some.
+        dealt: df's last step deals its rows into the shuffle partitions; a file then holds four of them.
+        """
         path = self.path(name)
-        out = df if rows is None else df.coalesce(max(self.spark.sparkContext.defaultParallelism, rows // FILE_ROWS))
+        least = self.spark.sparkContext.defaultParallelism
+        most = rows // FILE_ROWS if rows is not None else int(self.spark.conf.get("spark.sql.shuffle.partitions")) // 4
+        out = df if rows is None and not dealt else df.coalesce(max(2 * least if dealt else least, most))
         out.write.mode("overwrite").parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         self.paths[id(out)] = path

@@ -251,7 +251,7 @@ def met(blobs: DataFrame) -> DataFrame:
 def texts_of(docs: DataFrame, entries: DataFrame, n: int, scratch: Scratch) -> DataFrame:
     """The text and bins of each line that shares a band with another one: (h, line, n, bits). No other line is ever compared."""
     ids = entries.select("h").distinct()
-    of = F.broadcast(ids) if n <= 2 * BROADCAST_IDS else ids  # a line that shares a band mostly shares several
+    of = F.broadcast(ids) if n <= BROADCAST_IDS else ids
     line = docs.select(F.explode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("line")).select(F.btrim("line", F.lit(WHITE)).alias("line")).filter("line <> ''")
     line = line.withColumn("h", F.xxhash64("line")).join(of, "h", "left_semi").dropDuplicates(["h"]).select("h", "line")
 
@@ -270,7 +270,7 @@ def texts_of(docs: DataFrame, entries: DataFrame, n: int, scratch: Scratch) -> D
                 at = n
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(np.concatenate(counts)), pa.array(got, pa.binary())], ["h", "line", "n", "bits"])
 
-    return scratch.keep(line.mapInArrow(run, "h long, line string, n long, bits binary"))
+    return scratch.table(line.mapInArrow(run, "h long, line string, n long, bits binary"), "texts", n)
 
 
 def verified(texts: DataFrame, pairs: DataFrame, per_cent: int) -> DataFrame:
@@ -405,7 +405,7 @@ def united(entries: DataFrame, per_cent: int) -> DataFrame:
 
 
 def links_of(docs: DataFrame, entries: DataFrame, n: int, per_cent: int, s: Scratch) -> DataFrame:
-    """Links between lines alike that share a band, enough of them to unite all such lines. entries: n rows (band, h, lead)."""
+    """Links between lines alike that share a band, enough of them to unite all such lines. entries: (band, h, lead) of n lines."""
     texts = texts_of(docs, entries, n, s)
     best = entries.filter("h <> lead").groupBy("h", "lead").agg(F.count("*").alias("k")).groupBy(F.col("h").alias("a")).agg(F.max_by("lead", F.struct("k", "lead")).alias("b"))
     stars = s.keep(verified(texts, best, per_cent))
@@ -421,16 +421,16 @@ def dropped_lines(spark: SparkSession, docs: DataFrame, per_cent: int = PER_CENT
     """docs: id, key, text. Per document with lines to drop: key, and their places in order."""
     s = Scratch(spark, "line-dedup")
     buckets = FINE * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = s.keep(met(packed(docs, buckets)))
+    rows = s.table(met(packed(docs, buckets)), "met", dealt=True)
     entries = rows.filter("kind = 1").select("band", "h", "lead")
-    n = entries.count()
+    n = entries.agg(F.countDistinct("h")).first()[0]
     whole = components(links_of(docs, entries, n, per_cent, s), s, rows=n).withColumnRenamed("node", "h")
     place = F.struct("has", "id", "key", "at")
     linked = s.keep(rows.filter("kind = 0").join(whole, "h").select("component", place.alias("place")))
     first = linked.groupBy("component").agg(F.min("place").alias("first"))
     gone = linked.join(first, "component").filter("place <> first").select("place.key", "place.at")
     gone = gone.unionByName(rows.filter("kind = 2").select("key", "at"))
-    out = Scratch(spark, "line-dedup").table(gone.groupBy("key").agg(F.sort_array(F.collect_set("at")).alias("gone")), "gone")
+    out = Scratch(spark, "line-dedup").table(gone.groupBy("key").agg(F.sort_array(F.collect_set("at")).alias("gone")), "gone", dealt=True)
     s.clear()
     return out
 
