@@ -64,9 +64,9 @@ class Scratch:
         out._scratch_path = path
         return out
 
-    def keep(self, df: DataFrame) -> DataFrame:
+    def keep(self, df: DataFrame, rows: int) -> DataFrame:
         """Holds the rows on the executors' disks for steps that follow at once; what a lost executor held is made again."""
-        self.kept.append(df.persist(StorageLevel.DISK_ONLY))
+        self.kept.append(df.coalesce(max(2 * self.spark.sparkContext.defaultParallelism, rows // FILE_ROWS)).persist(StorageLevel.DISK_ONLY))
         return self.kept[-1]
 
     def clear(self) -> None:

@@ -9,7 +9,7 @@ Each task packs its lines and band keys as arrays, one for each bucket of keys,
 equal keys meet in one sort of numbers. Of a line that a task meets again and again only the first occurrence goes on; the
 others are dropped on the spot. Of a band that several lines share, one is the leader, and each line is compared with the
 leader that it shares most bands with. Lines that a leader took carry its label, and bands with one label are done. In the
-others, lines whose bins (of their shingles) exclude the similarity with every line of other label go; those that remain are
+others, lines whose bins (of their shingles, by parity) exclude the similarity with every line of other label go; those that remain are
 compared on their whole shingle sets, band by band, and a band gives only links that unite lines it hasn't united yet.
 So a group of n near copies costs some links a line and band, never its pairs.
 
@@ -40,7 +40,11 @@ CHARS, PER_CENT = 5, 80
 BANDS, ROWS = 16, 6
 BINS = BANDS * ROWS
 #: Characters of new lines, or lines, that a task takes at once.
-CHUNK, MOST_LINES = 1 << 19, 20_000
+CHUNK, MOST_LINES = 1 << 18, 5_000
+#: Lines that a task remembers, so as not to give their bands again.
+SEEN = 200_000
+#: A line takes the label of the leader that so many doublings reach. It decides what is left to compare, not what is found.
+DOUBLINGS = 1
 #: Buckets of keys for each shuffle partition.
 FINE = 4
 #: Shingles whose sets are compared at once.
@@ -78,13 +82,14 @@ def shingle_hashes(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
 def bands(lines: list[str]) -> np.ndarray:
     """Band keys, a row for each line."""
     h, count = shingle_hashes(lines)
-    of = np.repeat(np.arange(len(lines)), count)
-    slot = of * BINS + (((h >> np.uint64(32)) * np.uint64(BINS)) >> np.uint64(32)).astype(np.int64)
+    slot = h >> np.uint64(32)
+    slot *= np.uint64(BINS)
+    slot >>= np.uint64(32)
+    slot += np.repeat(np.arange(len(lines), dtype=np.uint64) * np.uint64(BINS), count)
     sig = np.full(len(lines) * BINS, _NONE, np.uint32)
-    np.minimum.at(sig, slot, (h & np.uint64(0xFFFFFFFE)).astype(np.uint32))
+    np.minimum.at(sig, slot.view(np.int64), h.view("<u4")[::2] & np.uint32(0xFFFFFFFE))
     sig = sig.reshape(len(lines), BINS)
-    twice = np.concatenate([sig, sig], axis=1) != _NONE
-    place = np.where(twice, np.arange(2 * BINS), 4 * BINS)
+    place = np.where(np.tile(sig != _NONE, 2), np.arange(2 * BINS, dtype=np.int16), np.int16(4 * BINS))
     nearest = np.minimum.accumulate(place[:, ::-1], axis=1)[:, ::-1][:, :BINS]
     gap = nearest - np.arange(BINS)
     sig = np.take_along_axis(sig, nearest % BINS, axis=1).astype(np.uint64) + gap.astype(np.uint64) * np.uint64(0x9E3779B1)
@@ -95,11 +100,14 @@ def bands(lines: list[str]) -> np.ndarray:
 
 
 def bins(lines: list[str]) -> tuple[np.ndarray, list[bytes]]:
-    """Of each line the number of shingles, repeated ones included, and which of BITS bins have one."""
+    """Of each line the number of its shingles, and of each of BITS bins whether an odd number of them falls into it."""
     h, count = shingle_hashes(lines)
-    taken = np.zeros(len(lines) * BITS, np.uint8)
-    taken[np.repeat(np.arange(len(lines)), count) * BITS + (h & np.uint64(BITS - 1)).astype(np.int64)] = 1
-    return count, [x.tobytes() for x in np.packbits(taken.reshape(len(lines), BITS), axis=1)]
+    of = np.repeat(np.arange(len(lines), dtype=np.uint64), count)
+    bits = np.uint64(max(1, len(lines).bit_length()))
+    x = distinct_sorted((of << (np.uint64(64) - bits)) | (h >> bits))
+    of = (x >> (np.uint64(64) - bits)).astype(np.int64)
+    odd = np.bincount(of * BITS + (x & np.uint64(BITS - 1)).astype(np.int64), minlength=len(lines) * BITS) & 1
+    return np.bincount(of, minlength=len(lines)), [x.tobytes() for x in np.packbits(odd.astype(np.uint8).reshape(len(lines), BITS), axis=1)]
 
 
 def similar(x: list[str], y: list[str], per_cent: int) -> np.ndarray:
@@ -142,58 +150,79 @@ def first_of(x: np.ndarray, *names: str) -> np.ndarray:
     return new
 
 
+def several(x: np.ndarray) -> np.ndarray:
+    """Which rows of sorted numbers have an equal neighbour."""
+    same = x[1:] == x[:-1]
+    return np.append(same, False) | np.append(False, same)
+
+
 def firsts(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Of places: the first one of each line, and the others. A place that occurs twice is one."""
+    x = x[np.argsort(x["h"])]
+    again = several(x["h"])
+    alone, x = x[~again], x[again]
     x = x[np.lexsort((x["at"], x["key"], x["id"], x["has"], x["h"]))]
     x = x[first_of(x, *PLACE.names)]
     new = first_of(x, "h")
     drops = np.zeros(int((~new).sum()), DROP)
     drops["key"], drops["at"] = x["key"][~new], x["at"][~new]
-    return x[new], drops
+    return np.concatenate([alone, x[new]]), drops
 
 
 def packed(docs: DataFrame, buckets: int) -> DataFrame:
     """Arrays of places, band entries and drops by bucket of their keys: (bucket, kind, data)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def out(rows: list[tuple], fresh: list[str], hashes: list[int]) -> pa.RecordBatch:
-            places, drops = firsts(np.array(rows, PLACE))
+        def out(docs_: list[tuple], counts: list[int], h: list[int], at: list[int], fresh: list[str], hashes: list[int]) -> pa.RecordBatch:
+            of, place = np.repeat(np.arange(len(counts)), counts), np.zeros(len(h), PLACE)
+            place["h"], place["at"] = np.array(h, np.uint64).view(np.int64), at
+            for name, values in zip(("has", "id", "key"), zip(*docs_)):
+                place[name] = np.array(values, PLACE[name])[of]
+            places, drops = firsts(place)
             parts = [(places["h"], places), (drops["key"], drops)]
             if fresh:
                 keys = bands(fresh)
                 entries = np.zeros(keys.size, ENTRY)
-                entries["band"], entries["h"] = keys.ravel(), np.repeat(np.array(hashes, np.int64), BANDS)
+                entries["band"], entries["h"] = keys.ravel(), np.repeat(np.array(hashes, np.uint64).view(np.int64), BANDS)
                 parts.append((entries["band"], entries))
             got = []
             for key, x in parts:
-                b = (mix(key.view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+                b = (((mix(key.view(np.uint64)) >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)).astype(np.uint16 if buckets < 1 << 16 else np.int64)
                 order = np.argsort(b, kind="stable")
                 b, x, kind = b[order], x[order], _KINDS.index(x.dtype)
                 at = np.flatnonzero(np.append(True, b[1:] != b[:-1])[: len(b)])
                 got += [(int(b[i]), kind, x[i:j].tobytes()) for i, j in zip(at, [*at[1:], len(b)])]
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*got), (pa.int32(), pa.int8(), pa.binary()))], ["bucket", "kind", "data"])
 
-        rows, fresh, hashes, size, seen = [], [], [], 0, set()
+        empty = lambda: ([], [], [], [], [], [])
+        parts, size, seen = empty(), 0, set()
         for batch in batches:
             for id_, key, text in zip(*(c.to_pylist() for c in batch.columns)):
-                for at, line in enumerate((text or "").split("\n")):
+                docs_, counts, h, at, fresh, hashes = parts
+                docs_.append((id_ is not None, id_ or 0, key))
+                before = len(h)
+                for i, line in enumerate((text or "").split("\n")):
                     if not (line := line.strip(WHITE)):
                         continue
-                    h = xxhash.xxh64_intdigest(line.encode("utf-8", "replace"), 42)
-                    h -= (h >> 63) << 64
-                    if h not in seen:
-                        seen.add(h)
-                        hashes.append(h)
+                    x = xxhash.xxh64_intdigest(line.encode("utf-8", "replace"), 42)
+                    if x not in seen:
+                        seen.add(x)
+                        hashes.append(x)
                         fresh.append(line)
                         size += len(line)
-                    rows.append((h, id_ is not None, id_ or 0, key, at))
-                    if size > CHUNK or len(rows) > MOST_LINES:
-                        yield out(rows, fresh, hashes)
-                        rows, fresh, hashes, size = [], [], [], 0
-                        if len(seen) > 1_000_000:
+                    h.append(x)
+                    at.append(i)
+                    if size > CHUNK or len(h) > MOST_LINES:
+                        counts.append(len(h) - before)
+                        yield out(*parts)
+                        parts, size, before = empty(), 0, 0
+                        docs_, counts, h, at, fresh, hashes = parts
+                        docs_.append((id_ is not None, id_ or 0, key))
+                        if len(seen) > SEEN:
                             seen.clear()
-        if rows:
-            yield out(rows, fresh, hashes)
+                counts.append(len(h) - before)
+        if parts[2]:
+            yield out(*parts)
 
     return docs.mapInArrow(run, "bucket int, kind byte, data binary")
 
@@ -203,7 +232,7 @@ MET = "kind byte, band long, h long, lead long, has boolean, id long, key long,
 
 def met(blobs: DataFrame) -> DataFrame:
     """What arrays of a bucket have in common. kind 0: the first place of each line; 1: entries of bands that several lines
-    share, with the leader; 2: places that go, as another place of the same text stays.
+    share, with the leader; 2: places that go, as another place of the same text stays. A task holds one partition.
     """
 
     def batch(kind: int, **columns: np.ndarray) -> pa.RecordBatch:
@@ -216,36 +245,37 @@ def met(blobs: DataFrame) -> DataFrame:
     def drops_of(x: np.ndarray) -> pa.RecordBatch:
         return batch(2, key=x["key"].copy(), at=x["at"].copy())
 
-    def of_bucket(kind: int, data: list[bytes]) -> Iterator[pa.RecordBatch]:
+    def of_kind(kind: int, data: list[bytes]) -> Iterator[pa.RecordBatch]:
         x = np.frombuffer(b"".join(data), _KINDS[kind])
         if kind == 0:
             x, drops = firsts(x)
             yield batch(0, h=x["h"].copy(), has=x["has"].astype(bool), id=x["id"].copy(), key=x["key"].copy(), at=x["at"].copy())
             yield drops_of(drops)
         elif kind == 1:
-            order = mix(x["h"].view(np.uint64).copy() * _FACTORS[1])  # the leader is as good as drawn
+            x = x[np.argsort(x["band"])]
+            x = x[several(x["band"])]
+            order = mix(x["h"].copy().view(np.uint64) * _FACTORS[1])  # the leader is as good as drawn
             x = x[np.lexsort((order, x["band"]))]
             x = x[first_of(x, "band", "h")]
             new = first_of(x, "band")
             group = np.cumsum(new) - 1
-            several = np.bincount(group, minlength=1)[group] > 1
+            shared = np.bincount(group, minlength=1)[group] > 1
             lead = x["h"][new][group]
-            yield batch(1, band=x["band"][several], h=x["h"][several], lead=lead[several])
+            yield batch(1, band=x["band"][shared], h=x["h"][shared], lead=lead[shared])
         else:
             yield drops_of(x)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, last = [], None
-        for b in chain(batches, (None,)):
-            rows = zip(*(c.to_pylist() for c in b.columns)) if b is not None else [(None, None, None)]
-            for bucket, kind, data in rows:
-                if (bucket, kind) != last:
-                    if held:
-                        yield from of_bucket(last[1], held)
-                    held, last = [], (bucket, kind)
-                held.append(data)
+        held: list[list[bytes]] = [[], [], []]
+        for b in batches:
+            for kind, data in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
+                held[kind].append(data)
+        for kind in range(3):
+            data, held[kind] = held[kind], []
+            if data:
+                yield from of_kind(kind, data)
 
-    return blobs.repartition("bucket").sortWithinPartitions("bucket", "kind").mapInArrow(run, MET)
+    return blobs.repartition("bucket").mapInArrow(run, MET)
 
 
 def texts_of(docs: DataFrame, entries: DataFrame, n: int, scratch: Scratch) -> DataFrame:
@@ -315,7 +345,7 @@ def by_band(rows: DataFrame, run_group, schema: str) -> DataFrame:
 
 
 def possible(bits: np.ndarray, n: np.ndarray, i: int, j: np.ndarray, per_cent: int) -> np.ndarray:
-    """Which of j the bins don't exclude: bins that differ are at most the shingles that differ; n: at least the sets' sizes."""
+    """Which of j the bins don't exclude: bins that differ are at most the shingles that differ. n: sizes of the sets."""
     return (100 + per_cent) * np.bitwise_count(bits[j] ^ bits[i]).sum(1, dtype=np.int64) <= (100 - per_cent) * (n[j] + n[i])
 
 
@@ -326,26 +356,51 @@ def outside(label: np.ndarray) -> np.ndarray:
 
 
 def alive(entries: DataFrame, per_cent: int) -> DataFrame:
-    """Of entries (band, h, label, n, bits) those that have another one of other label in their band that they may be like."""
+    """What the bins leave to compare of entries (band, h, label, n, bits): pairs of lines of other label where a band has few
+    of them, as (h, other); else the lines of the band that have such a partner, as (h, label, band). Either way a band of n
+    lines gives 2 n rows at most.
+    """
 
     def run_group(x: pa.RecordBatch, ends: np.ndarray) -> Iterator[pa.RecordBatch]:
-        h, label, n = (x.column(i).to_numpy() for i in (1, 2, 3))
+        band, h, label, n = (x.column(i).to_numpy() for i in range(4))
         bits = np.frombuffer(b"".join(x.column(4).to_pylist()), np.uint64).reshape(-1, BITS // 64)
-        live = np.zeros(len(h), bool)
-        for a, b in zip(ends[:-1], ends[1:]):
-            if b - a == 2:
-                if label[a] != label[a + 1] and possible(bits, n, a, np.array([a + 1]), per_cent)[0]:
-                    live[a:b] = True
-                continue
-            for i in outside(label[a:b]) + a:
-                j = np.flatnonzero(label[a:b] != label[i]) + a
+        live, left, right = np.zeros(len(h), bool), [], []
+        two = ends[:-1][np.diff(ends) == 2]
+        two = two[label[two] != label[two + 1]]
+        two = two[(100 + per_cent) * np.bitwise_count(bits[two] ^ bits[two + 1]).sum(1, dtype=np.int64) <= (100 - per_cent) * (n[two] + n[two + 1])]
+        left.append(two)
+        right.append(two + 1)
+        at = ends[:-1]
+        more = (np.diff(ends) > 2) & (np.minimum.reduceat(label, at) != np.maximum.reduceat(label, at)) if len(at) else np.zeros(0, bool)
+        for a, b in zip(at[more], ends[1:][more]):
+            rows = outside(label[a:b]) + a
+            few: list[np.ndarray] | None = []
+            size, most = 0, np.ones(b - a, bool)
+            most[rows - a] = False
+            for i in rows:
+                j = np.flatnonzero((label[a:b] != label[i]) & (most | (np.arange(a, b) > i))) + a
                 j = j[possible(bits, n, i, j, per_cent)]
-                if len(j):
+                size += len(j)
+                if few is not None:
+                    few.append(j)
+                    if size <= 2 * (b - a):
+                        continue
+                    for i_, j_ in zip(rows, few):
+                        if len(j_):
+                            live[j_] = live[i_] = True
+                    few = None
+                elif len(j):
                     live[j] = live[i] = True
-        band = x.column(0).to_numpy()
-        yield pa.RecordBatch.from_arrays([pa.array(v[live]) for v in (band, h, label)], ["band", "h", "label"])
+            if few is not None:
+                left.append(np.repeat(rows, [len(j) for j in few]).astype(np.int64))
+                right += few
+        left, right = np.concatenate(left), np.concatenate(right)
+        pairs, lines = len(left), int(live.sum())
+        none = lambda k: pa.nulls(k, pa.int64())
+        yield pa.RecordBatch.from_arrays([pa.array(h[left]), pa.array(h[right]), none(pairs), none(pairs)], ["h", "other", "label", "band"])
+        yield pa.RecordBatch.from_arrays([pa.array(h[live]), none(lines), pa.array(label[live]), pa.array(band[live])], ["h", "other", "label", "band"])
 
-    return by_band(entries, run_group, "band long, h long, label long")
+    return by_band(entries, run_group, "h long, other long, label long, band long")
 
 
 def compare(lines: list[str], label: np.ndarray, bits: np.ndarray, per_cent: int) -> Iterator[tuple[int, int]]:
@@ -408,13 +463,18 @@ def links_of(docs: DataFrame, entries: DataFrame, n: int, per_cent: int, s: Scra
     """Links between lines alike that share a band, enough of them to unite all such lines. entries: (band, h, lead) of n lines."""
     texts = texts_of(docs, entries, n, s)
     best = entries.filter("h <> lead").groupBy("h", "lead").agg(F.count("*").alias("k")).groupBy(F.col("h").alias("a")).agg(F.max_by("lead", F.struct("k", "lead")).alias("b"))
-    stars = s.keep(verified(texts, best, per_cent))
-    up = stars.select(F.col("a").alias("b"), F.col("b").alias("c"))
-    label = stars.join(up, "b", "left").select(F.col("a").alias("h"), F.coalesce("c", "b").alias("label"))
-    # a leader that has no leader itself keeps its own label
+    stars = s.keep(verified(texts, best, per_cent), n)
+    label = stars
+    for _ in range(DOUBLINGS):
+        up = label.select(F.col("a").alias("b"), F.col("b").alias("c"))
+        label = label.join(up, "b", "left").select("a", F.coalesce("c", "b").alias("b"))
+    label = label.select(F.col("a").alias("h"), F.col("b").alias("label"))
+    # the last leader, who has none, keeps its own label
     named = entries.select("band", "h").join(label, "h", "left").join(texts.select("h", "n", "bits"), "h").select("band", "h", F.coalesce("label", "h").alias("label"), "n", "bits")
-    live = alive(named, per_cent).join(texts, "h").select("band", "h", "label", "bits", "line")
-    return stars.unionByName(united(live, per_cent))
+    left = s.keep(alive(named, per_cent), 2 * n)
+    pairs = left.filter("other is not null").select(F.least("h", "other").alias("a"), F.greatest("h", "other").alias("b")).distinct()
+    bands = left.filter("other is null").join(texts, "h").select("band", "h", "label", "bits", "line")
+    return stars.unionByName(verified(texts, pairs, per_cent)).unionByName(united(bands, per_cent))
 
 
 def dropped_lines(spark: SparkSession, docs: DataFrame, per_cent: int = PER_CENT) -> DataFrame:
@@ -426,7 +486,7 @@ def dropped_lines(spark: SparkSession, docs: DataFrame, per_cent: int = PER_CENT
     n = entries.agg(F.countDistinct("h")).first()[0]
     whole = components(links_of(docs, entries, n, per_cent, s), s, rows=n).withColumnRenamed("node", "h")
     place = F.struct("has", "id", "key", "at")
-    linked = s.keep(rows.filter("kind = 0").join(whole, "h").select("component", place.alias("place")))
+    linked = s.keep(rows.filter("kind = 0").join(whole, "h").select("component", place.alias("place")), n)
     first = linked.groupBy("component").agg(F.min("place").alias("first"))
     gone = linked.join(first, "component").filter("place <> first").select("place.key", "place.at")
     gone = gone.unionByName(rows.filter("kind = 2").select("key", "at"))
