@@ -115,7 +115,8 @@ def contracted(edges: DataFrame) -> DataFrame:
                 u, v = forest(x[:, 0], x[:, 1])
                 yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], ["u", "v"])
 
-    return edges.mapInArrow(run, "u long, v long")
+    # dealt anew, else the Python workers of the step that makes the edges would run beside these
+    return edges.repartition("u").mapInArrow(run, "u long, v long")
 
 
 def components(edges: DataFrame, scratch: Scratch, a: str = "a", b: str = "b", rows: int | None = None) -> DataFrame:
