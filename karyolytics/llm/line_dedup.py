@@ -45,8 +45,8 @@ CHUNK, MOST_LINES = 1 << 18, 5_000
 SEEN = 200_000
 #: A line takes the label of the leader that so many doublings reach. It decides what is left to compare, not what is found.
 DOUBLINGS = 1
-#: Buckets of keys for each shuffle partition.
-FINE = 4
+#: Buckets of keys for each shuffle partition, and the bytes of them that a task holds before it gives them out.
+FINE, HELD = 4, 8 << 20
 #: Shingles whose sets are compared at once.
 COMPARED = 1 << 21
 _FACTORS = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
@@ -173,7 +173,8 @@ def packed(docs: DataFrame, buckets: int) -> DataFrame:
     """Arrays of places, band entries and drops by bucket of their keys: (bucket, kind, data)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def out(docs_: list[tuple], counts: list[int], h: list[int], at: list[int], fresh: list[str], hashes: list[int]) -> pa.RecordBatch:
+        def out(docs_: list[tuple], counts: list[int], h: list[int], at: list[int], fresh: list[str], hashes: list[int]) -> None:
+            nonlocal held_size
             of, place = np.repeat(np.arange(len(counts)), counts), np.zeros(len(h), PLACE)
             place["h"], place["at"] = np.array(h, np.uint64).view(np.int64), at
             for name, values in zip(("has", "id", "key"), zip(*docs_)):
@@ -185,15 +186,24 @@ def packed(docs: DataFrame, buckets: int) -> DataFrame:
                 entries = np.zeros(keys.size, ENTRY)
                 entries["band"], entries["h"] = keys.ravel(), np.repeat(np.array(hashes, np.uint64).view(np.int64), BANDS)
                 parts.append((entries["band"], entries))
-            got = []
             for key, x in parts:
                 b = (((mix(key.view(np.uint64)) >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)).astype(np.uint16 if buckets < 1 << 16 else np.int64)
                 order = np.argsort(b, kind="stable")
                 b, x, kind = b[order], x[order], _KINDS.index(x.dtype)
                 at = np.flatnonzero(np.append(True, b[1:] != b[:-1])[: len(b)])
-                got += [(int(b[i]), kind, x[i:j].tobytes()) for i, j in zip(at, [*at[1:], len(b)])]
+                for i, j in zip(at, [*at[1:], len(b)]):
+                    held.setdefault((int(b[i]), kind), []).append(x[i:j].tobytes())
+                held_size += x.nbytes
+
+        def flush() -> pa.RecordBatch:
+            nonlocal held_size
+            got = [(bucket, kind, b"".join(data)) for (bucket, kind), data in held.items()]
+            held.clear()
+            held_size = 0
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*got), (pa.int32(), pa.int8(), pa.binary()))], ["bucket", "kind", "data"])
 
+        held: dict[tuple[int, int], list[bytes]] = {}
+        held_size = 0
         empty = lambda: ([], [], [], [], [], [])
         parts, size, seen = empty(), 0, set()
         for batch in batches:
@@ -214,7 +224,9 @@ def packed(docs: DataFrame, buckets: int) -> DataFrame:
                     at.append(i)
                     if size > CHUNK or len(h) > MOST_LINES:
                         counts.append(len(h) - before)
-                        yield out(*parts)
+                        out(*parts)
+                        if held_size > HELD:
+                            yield flush()
                         parts, size, before = empty(), 0, 0
                         docs_, counts, h, at, fresh, hashes = parts
                         docs_.append((id_ is not None, id_ or 0, key))
@@ -222,7 +234,9 @@ def packed(docs: DataFrame, buckets: int) -> DataFrame:
                             seen.clear()
                 counts.append(len(h) - before)
         if parts[2]:
-            yield out(*parts)
+            out(*parts)
+        if held:
+            yield flush()
 
     return docs.mapInArrow(run, "bucket int, kind byte, data binary")
 
@@ -477,8 +491,8 @@ def links_of(docs: DataFrame, entries: DataFrame, n: int, per_cent: int, s: Scra
     return stars.unionByName(verified(texts, pairs, per_cent)).unionByName(united(bands, per_cent))
 
 
-def dropped_lines(spark: SparkSession, docs: DataFrame, per_cent: int = PER_CENT) -> DataFrame:
-    """docs: id, key, text. Per document with lines to drop: key, and their places in order."""
+def dropped_lines(spark: SparkSession, docs: DataFrame, per_cent: int = PER_CENT, scratch: Scratch | None = None) -> DataFrame:
+    """docs: id, key, text. Per document with lines to drop: key, and their places in order; scratch: holds this result."""
     s = Scratch(spark, "line-dedup")
     buckets = FINE * int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = s.table(met(packed(docs, buckets)), "met", dealt=True)
@@ -490,16 +504,16 @@ def dropped_lines(spark: SparkSession, docs: DataFrame, per_cent: int = PER_CENT
     first = linked.groupBy("component").agg(F.min("place").alias("first"))
     gone = linked.join(first, "component").filter("place <> first").select("place.key", "place.at")
     gone = gone.unionByName(rows.filter("kind = 2").select("key", "at"))
-    out = Scratch(spark, "line-dedup").table(gone.groupBy("key").agg(F.sort_array(F.collect_set("at")).alias("gone")), "gone", dealt=True)
+    out = (scratch or Scratch(spark, "line-dedup")).table(gone.groupBy("key").agg(F.sort_array(F.collect_set("at")).alias("gone")), "gone", dealt=True)
     s.clear()
     return out
 
 
-def dedup_lines(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id", text: str = "text", per_cent: int = PER_CENT, count: str = "_line_count", drops: str = "_line_drops") -> DataFrame:
+def dedup_lines(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id", text: str = "text", per_cent: int = PER_CENT, count: str = "_line_count", drops: str = "_line_drops", scratch: Scratch | None = None) -> DataFrame:
     """All columns of docs, with the text without dropped lines, and the count and the drops of lines that aren't blank."""
     docs = docs.drop(count, drops)
     key = lambda: key_of(F.col(doc_id).cast("long"), F.col(text))
-    gone = dropped_lines(spark, docs.select(F.col(doc_id).cast("long").alias("id"), key().alias("key"), F.col(text).alias("text")), per_cent)
+    gone = dropped_lines(spark, docs.select(F.col(doc_id).cast("long").alias("id"), key().alias("key"), F.col(text).alias("text")), per_cent, scratch)
     own = f"_{uuid.uuid4().hex}"
     names = docs.columns
     out = docs.withColumn(own, key()).join(gone.select(F.col("key").alias(own), F.col("gone").alias(f"{own}_gone")), own, "left").select(*(f"`{c}`" for c in names), f"{own}_gone")

@@ -341,16 +341,16 @@ def leaders(lists: DataFrame, per_cent: int, turn: int) -> DataFrame:
 class Join:
     """The join over one table of documents; ``linked`` gives its result."""
 
-    def __init__(self, spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n: int = WORDS, per_cent: int = PER_CENT):
+    def __init__(self, spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n: int = WORDS, per_cent: int = PER_CENT, scratch: Scratch | None = None):
         self.spark, self.n, self.per_cent = spark, n, per_cent
-        self.scratch = Scratch(spark, "ngram-join")
+        self.scratch = scratch or Scratch(spark, "ngram-join")
         self.docs = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
 
     def verified(self, pairs: DataFrame, classes: DataFrame) -> DataFrame:
         """Of pairs (a, b, na, nb) those whose whole sets reach the similarity, as links (a, b)."""
         n = self.n
         ids = pairs.select(F.col("a").alias("cls")).unionByName(pairs.select(F.col("b").alias("cls"))).distinct().join(classes.filter("n > 0"), "cls").select("key")
-        ids = self.scratch.table(ids, "queries")
+        ids = self.scratch.table(ids, "queries", dealt=True)
         key = F.coalesce("id", F.lit(-(1 << 63)))
         of = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
         texts = self.docs.withColumn("key", key).join(of, "key", "left_semi").select("text")
@@ -360,10 +360,10 @@ class Join:
                 got = list(sets_of(batch.column(0).to_pylist(), n))
                 yield pa.RecordBatch.from_arrays([pa.array([class_of(s) for s in got], pa.int64()), pa.array(got, pa.list_(pa.int64()))], ["cls", "items"])
 
-        sets = self.scratch.table(texts.mapInArrow(run, "cls long, items array<long>").dropDuplicates(["cls"]), "sets")
+        sets = self.scratch.table(texts.mapInArrow(run, "cls long, items array<long>").dropDuplicates(["cls"]), "sets", dealt=True)
         both = pairs.join(sets.select(F.col("cls").alias("a"), F.col("items").alias("x")), "a").join(sets.select(F.col("cls").alias("b"), F.col("items").alias("y")), "b")
         both = both.withColumn("c", F.size(F.array_intersect("x", "y")))
-        links = self.scratch.table(both.filter(100 * F.col("c") >= self.per_cent * (F.col("na") + F.col("nb") - F.col("c"))).select("a", "b"), "links")
+        links = self.scratch.table(both.filter(100 * F.col("c") >= self.per_cent * (F.col("na") + F.col("nb") - F.col("c"))).select("a", "b"), "links", dealt=True)
         self.scratch.drop(ids, sets)
         return links
 
@@ -373,27 +373,28 @@ class Join:
         rows = s.table(rows_of(self.docs, self.n), "rows")
         sketch = sum_blocks(rows.filter("block is not null").select("block", "counts"))
         rows = rows.filter("block is null").select("id", "cls", "n", "bits")
-        classes = s.table(rows.groupBy("cls").agg(F.first("n").alias("n"), F.first("bits").alias("bits"), F.min("id").alias("low"), F.coalesce(F.min("id"), F.lit(-(1 << 63))).alias("key")), "classes")
-        lists = s.table(shared(prefixes(self.docs, self.n, per_cent, sketch)), "lists")
+        classes = s.table(rows.groupBy("cls").agg(F.first("n").alias("n"), F.first("bits").alias("bits"), F.min("id").alias("low"), F.coalesce(F.min("id"), F.lit(-(1 << 63))).alias("key")), "classes", dealt=True)
+        count = classes.count()
+        lists = s.table(shared(prefixes(self.docs, self.n, per_cent, sketch)), "lists", dealt=True)
         links = tried = known = None
         for turn in range(LEADERS):
-            star = s.table(leaders(with_components(lists, known), per_cent, turn), "star")
+            star = s.table(leaders(with_components(lists, known), per_cent, turn), "star", dealt=True)
             more = self.verified(star, classes)
             links = more if links is None else links.unionByName(more)
             pair = star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
             tried = pair if tried is None else tried.unionByName(pair)
-            known = s.table(components(links, s), "known")
-        pairs = s.table(product(with_components(lists, known), per_cent, classes.select("cls", "bits")).join(tried, ["a", "b"], "left_anti"), "pairs")
+            known = s.table(components(links, s, rows=count), "known", count)
+        pairs = s.table(product(with_components(lists, known), per_cent, classes.select("cls", "bits")).join(tried, ["a", "b"], "left_anti"), "pairs", dealt=True)
         s.drop(lists)
         more = self.verified(pairs, classes)
         s.drop(pairs)
-        whole = components(links.unionByName(more), s).withColumnRenamed("node", "cls")
+        whole = components(links.unionByName(more), s, rows=count).withColumnRenamed("node", "cls")
         of = classes.filter("n > 0").join(whole, "cls", "left").select("cls", F.coalesce("component", "cls").alias("component"), "low")
         low = of.groupBy("component").agg(F.min("low").alias("component_id"))
-        named = s.table(of.join(low, "component").select("cls", "component_id"), "named")
+        named = s.table(of.join(low, "component").select("cls", "component_id"), "named", dealt=True)
         out = rows.drop("bits").join(named, "cls", "left")
         return out.select("id", F.col("n").alias("n_shingles"), F.when(F.col("n") == 0, F.col("id")).otherwise(F.col("component_id")).alias("component_id"))
 
 
-def near_duplicates(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n: int = WORDS, per_cent: int = PER_CENT) -> DataFrame:
-    return Join(spark, docs, doc_id, text, n, per_cent).linked()
+def near_duplicates(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n: int = WORDS, per_cent: int = PER_CENT, scratch: Scratch | None = None) -> DataFrame:
+    return Join(spark, docs, doc_id, text, n, per_cent, scratch).linked()

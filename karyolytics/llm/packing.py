@@ -174,9 +174,9 @@ def token_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end: int
     return rows.mapInArrow(run, PIECES)
 
 
-def pack_documents(spark: SparkSession, docs: DataFrame, path: str, capacity: int = CAPACITY, end: int = END, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def pack_documents(spark: SparkSession, docs: DataFrame, path: str, capacity: int = CAPACITY, end: int = END, doc_id: str = "doc_id", text: str = "text", scratch: Scratch | None = None) -> DataFrame:
     """Per piece: id, uid (the row's number), piece, start, length, crc, sequence_id, offset."""
-    scratch = Scratch(spark, "packing")
+    scratch = scratch or Scratch(spark, "packing")
     pieces = scratch.table(token_pieces(docs, path, capacity, end, doc_id, text).withColumn("part", F.pmod(F.xxhash64("uid", "piece"), F.lit(PARTS)).cast("int")), "pieces")
     open_, full = pieces.filter(F.col("length") < capacity), pieces.filter(F.col("length") == capacity)
     counts = open_.groupBy("length", "part").agg(F.count("*").alias("n"))

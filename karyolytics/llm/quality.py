@@ -113,9 +113,9 @@ def odds(votes: tuple[int, ...], share: float, accuracy: list[float]) -> float:
     return math.log(share / (1 - share)) + sum(v * math.log(a / (1 - a)) for v, a in zip(votes, accuracy))
 
 
-def assess(spark: SparkSession, docs: DataFrame, text: str = "text", threshold: float = 0.5) -> DataFrame:
-    """Keeps the rows' columns and adds f_* counts, votes, base_failed, posterior and kept."""
-    scratch = Scratch(spark, "quality")
+def assess(spark: SparkSession, docs: DataFrame, text: str = "text", threshold: float = 0.5, scratch: Scratch | None = None) -> DataFrame:
+    """Keeps the rows' columns and adds f_* counts, votes, base_failed, posterior and kept; own columns of these names are replaced."""
+    scratch = scratch or Scratch(spark, "quality")
     named = rules()
     names = [f"vote_{k}" for k in named]
     df = features(docs, text)
