@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,31 +12,50 @@ from karyolytics.llm.common import WHITE, Scratch
 from karyolytics.llm.queries import tokenizer
 
 
+_LEFT: list[Scratch] = []
+
+
+def fresh(spark: SparkSession, name: str) -> Scratch:
+    """The scratch of a stage. The result of the stage before is written when the next one begins, so what it left goes."""
+    while _LEFT:
+        _LEFT.pop().clear()
+    _LEFT.append(Scratch(spark, name))
+    return _LEFT[-1]
+
+
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
-    rows = docs.select(F.struct(*docs.columns).alias("row"), "text")  # own columns may have the names of counts
-    return quality.assess(spark, rows).filter("kept").select("row.*")
+    names = {c: f"c{i}" for i, c in enumerate(docs.columns)}  # own columns may have the names of counts
+    out = quality.assess(spark, docs.toDF(*names.values()), names["text"], scratch=fresh(spark, "quality"))
+    return out.filter("kept").select(*names.values()).toDF(*names)
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that an earlier document or line has; those left without any line go."""
-    out = line_dedup.dedup_lines(spark, docs)
-    out = out.filter((F.col("_line_drops") == 0) | (F.btrim("text", F.lit(WHITE)) != ""))
+    count, drops = (f"_{uuid.uuid4().hex}" for _ in range(2))
+    out = line_dedup.dedup_lines(spark, docs, count=count, drops=drops, scratch=fresh(spark, "lines"))
+    out = out.filter((F.col(drops) == 0) | (F.btrim("text", F.lit(WHITE)) != ""))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
+    return out.select(*(f"`{c}`" for c in docs.columns))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document with the smallest doc_id."""
-    groups = ngram_join.near_duplicates(spark, docs)
-    gone = groups.filter("id <> component_id").select(F.col("id").alias("doc_id"))
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """Of each group of near duplicates the document with the smallest doc_id, a null one first.
+
+    Rows that repeat both doc_id and text are one document, of which one row stays; other rows with one doc_id are told apart.
+    """
+    key = f"_{uuid.uuid4().hex}"
+    keyed = docs.withColumn(key, F.xxhash64(F.col("doc_id").cast("long"), "text"))
+    groups = ngram_join.near_duplicates(spark, keyed, key, scratch=fresh(spark, "near"))
+    member = keyed.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(key).alias("id")).join(groups.select("id", "component_id"), "id")
+    stays = member.groupBy("component_id").agg(F.min(F.struct("doc_id", "id")).alias("first")).select(F.col("first.id").alias(key))
+    return keyed.join(stays, key, "left_semi").dropDuplicates([key]).select(*(f"`{c}`" for c in docs.columns))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces of all documents in sequences."""
-    out = packing.pack_documents(spark, docs, tokenizer("byte_bpe_50k.json"))
+    out = packing.pack_documents(spark, docs, tokenizer("byte_bpe_50k.json"), scratch=fresh(spark, "packing"))
     return out.select(F.col("id").alias("doc_id"), "piece", "start", "length", F.col("crc").alias("ids_crc32"), "sequence_id", "offset")
 
 
