@@ -32,6 +32,11 @@ def shared_dir(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
+def gathered(df: DataFrame, rows: int, each: int) -> DataFrame:
+    """df in as many partitions as so many rows a partition need, but two for each core; never in more than it has."""
+    return df.coalesce(max(2 * df.sparkSession.sparkContext.defaultParallelism, rows // each))
+
+
 class Scratch:
     """Written tables that cut lineage. They lie in the shared folder, so they outlive a lost executor.
 
@@ -64,9 +69,12 @@ class Scratch:
         out._scratch_path = path
         return out
 
-    def keep(self, df: DataFrame, rows: int) -> DataFrame:
-        """Holds the rows on the executors' disks for steps that follow at once; what a lost executor held is made again."""
-        self.kept.append(df.coalesce(max(2 * self.spark.sparkContext.defaultParallelism, rows // FILE_ROWS)).persist(StorageLevel.DISK_ONLY))
+    def keep(self, df: DataFrame, rows: int | None = None) -> DataFrame:
+        """Holds the rows on the executors' disks for steps that follow at once; what a lost executor held is made again.
+
+        They stay until ``clear``. rows: as for ``table``.
+        """
+        self.kept.append((df if rows is None else gathered(df, rows, FILE_ROWS)).persist(StorageLevel.DISK_ONLY))
         return self.kept[-1]
 
     def clear(self) -> None:

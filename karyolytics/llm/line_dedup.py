@@ -314,7 +314,7 @@ def texts_of(docs: DataFrame, entries: DataFrame, n: int, scratch: Scratch) -> D
                 at = n
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(np.concatenate(counts)), pa.array(got, pa.binary())], ["h", "line", "n", "bits"])
 
-    return scratch.table(line.mapInArrow(run, "h long, line string, n long, bits binary"), "texts", n)
+    return scratch.keep(line.mapInArrow(run, "h long, line string, n long, bits binary"), n)
 
 
 def verified(texts: DataFrame, pairs: DataFrame, per_cent: int) -> DataFrame:
@@ -495,7 +495,7 @@ def dropped_lines(spark: SparkSession, docs: DataFrame, per_cent: int = PER_CENT
     """docs: id, key, text. Per document with lines to drop: key, and their places in order; scratch: holds this result."""
     s = Scratch(spark, "line-dedup")
     buckets = FINE * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = s.table(met(packed(docs, buckets)), "met", dealt=True)
+    rows = s.keep(met(packed(docs, buckets)))
     entries = rows.filter("kind = 1").select("band", "h", "lead")
     n = entries.agg(F.countDistinct("h")).first()[0]
     whole = components(links_of(docs, entries, n, per_cent, s), s, rows=n).withColumnRenamed("node", "h")
@@ -504,7 +504,7 @@ def dropped_lines(spark: SparkSession, docs: DataFrame, per_cent: int = PER_CENT
     first = linked.groupBy("component").agg(F.min("place").alias("first"))
     gone = linked.join(first, "component").filter("place <> first").select("place.key", "place.at")
     gone = gone.unionByName(rows.filter("kind = 2").select("key", "at"))
-    out = (scratch or Scratch(spark, "line-dedup")).table(gone.groupBy("key").agg(F.sort_array(F.collect_set("at")).alias("gone")), "gone", dealt=True)
+    out = (scratch or Scratch(spark, "line-dedup")).table(gone.groupBy("key").agg(F.sort_array(F.collect_set("at")).alias("gone")), "gone", n)
     s.clear()
     return out
 

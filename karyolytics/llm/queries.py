@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bpe, exact_dedup, html_extract, licenses, line_dedup, maxent_lm, ngram_join, packing, quality, sharding
-from .common import documents
+from .common import documents, gathered
 
 #: Folder of the tokenizer files; unset, the installed package of public tokenizers.
 TOKENIZERS = "KARYOLYTICS_TOKENIZERS"
@@ -36,8 +36,9 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = line_dedup.dedup_lines(spark, documents(spark, sf_dir).select("doc_id", "text"))
-    return out.select("doc_id", F.col("_line_count").alias("n_lines"), F.col("_line_drops").alias("n_dropped"), "text")
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    out = line_dedup.dedup_lines(spark, docs)
+    return gathered(out.select("doc_id", F.col("_line_count").alias("n_lines"), F.col("_line_drops").alias("n_dropped"), "text"), docs.count(), 50_000)
 
 
 def op5_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
