@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from karyolytics.llm import line_dedup, ngram_join, packing, quality
-from karyolytics.llm.common import WHITE, Scratch
+from karyolytics.llm.common import WHITE, Scratch, gathered
 from karyolytics.llm.queries import tokenizer
 
 
@@ -23,11 +23,16 @@ def fresh(spark: SparkSession, name: str) -> Scratch:
     return _LEFT[-1]
 
 
+def whole_files(df: DataFrame, docs: DataFrame) -> DataFrame:
+    """A stage's result in files of some hundred MB at scale, of which each core has two at least."""
+    return gathered(df, docs.count(), 50_000)
+
+
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
     names = {c: f"c{i}" for i, c in enumerate(docs.columns)}  # own columns may have the names of counts
     out = quality.assess(spark, docs.toDF(*names.values()), names["text"], scratch=fresh(spark, "quality"))
-    return out.filter("kept").select(*names.values()).toDF(*names)
+    return whole_files(out.filter("kept").select(*names.values()).toDF(*names), docs)
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,7 +42,7 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     out = out.filter((F.col(drops) == 0) | (F.btrim("text", F.lit(WHITE)) != ""))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(*(f"`{c}`" for c in docs.columns))
+    return whole_files(out.select(*(f"`{c}`" for c in docs.columns)), docs)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,7 +55,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     groups = ngram_join.near_duplicates(spark, keyed, key, scratch=fresh(spark, "near"))
     member = keyed.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(key).alias("id")).join(groups.select("id", "component_id"), "id")
     stays = member.groupBy("component_id").agg(F.min(F.struct("doc_id", "id")).alias("first")).select(F.col("first.id").alias(key))
-    return keyed.join(stays, key, "left_semi").dropDuplicates([key]).select(*(f"`{c}`" for c in docs.columns))
+    return whole_files(keyed.join(stays, key, "left_semi").dropDuplicates([key]).select(*(f"`{c}`" for c in docs.columns)), docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
