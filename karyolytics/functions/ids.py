@@ -6,8 +6,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: Names of organelle references.
-CHLOROPLAST = ("chrc", "c", "pt", "cp", "chloroplast", "plastid", "chrpt", "chrcp")
-MITOCHONDRION = ("chrm", "m", "mt", "mito", "mitochondrion", "mitochondria", "chrmt")
+CHLOROPLAST = ("chrc", "cpdna", "chloroplast", "plastid", "pt")
+MITOCHONDRION = ("chrm", "mt", "mitochondrion", "mitochondria", "mitochondrial")
 
 
 def normalize_ref_id(c: Column) -> Column:
@@ -24,13 +24,19 @@ def bare(c: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(c, "_[fc]\\d+$", ""), "_[A-Z]$", "")
 
 
+def styled(c: Column, found: Column) -> Column:
+    """Names keep a capital Chr of their own; any other case becomes chr."""
+    return F.when(c.startswith("Chr"), F.regexp_replace(found, "^chr", "Chr")).otherwise(found)
+
+
 def chrom_id(c: Column) -> Column:
-    b = bare(c)
-    return F.coalesce(organelle_id(c), F.when(b.rlike("^(?i:chr)\\d+([A-Za-z]|At|Dt)?$"), F.regexp_extract(b, "^((?i:chr)\\d+)", 1)), c)
+    b = bare(normalize_ref_id(c))
+    nuclear = F.when(b.rlike("^chr\\d+([A-Za-z]|(?i:At|Dt))?$"), F.regexp_extract(b, "^(chr\\d+)", 1))
+    return F.coalesce(styled(c, F.coalesce(organelle_id(c), nuclear)), c)
 
 
 def subgenome(c: Column) -> Column:
-    part = F.regexp_extract(bare(c), "^(?i:chr)\\d+([A-Za-z]|At|Dt)$", 1)
+    part = F.regexp_extract(bare(normalize_ref_id(c)), "^chr\\d+([A-Za-z]|(?i:At|Dt))$", 1)
     return F.when(organelle_id(c).isNotNull() | (part == ""), "NA").otherwise(part)
 
 

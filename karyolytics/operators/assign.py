@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -51,23 +50,22 @@ def reciprocal_pairs(ranked: DataFrame) -> DataFrame:
     return ranked.filter("second_ref is not null").join(other, ["assembly", "best_ref", "second_ref"], "left_semi").select(*CONTIG, "best_ref", "second_ref")
 
 
-def resolve_reciprocal(spans: DataFrame, refs: DataFrame) -> DataFrame:
-    """spans: assembly, contig, best_ref, second_ref, best_frac, second_frac. Moves one of the two leading contigs of a reference
-    to their common second reference if nothing is assigned there; references go in order of name.
+def resolve_reciprocal(spans: DataFrame) -> DataFrame:
+    """spans: assembly, contig, best_ref, best_frac, second_ref, second_frac, the last two null without a second reference.
 
-    The candidates of an assembly are at most two contigs for each reference.
+    Of the contigs of a reference the two of largest share are looked at: if both have the same second reference, with a
+    share of 0.05 at least, and nothing of the assembly is assigned there, the weaker one moves to it; of the other contigs
+    of the reference those with that second reference follow. A reference that a contig moved to is taken for those that
+    come later in order of name; equal shares go by name. Gives one row for each move.
+
+    Only the conflict between references needs an order: it is settled on one row for each reference of an assembly.
     """
     w = W.partitionBy("assembly", "best_ref").orderBy(F.desc("best_frac"), "contig")
-    top = spans.withColumn("_r", F.row_number().over(w)).filter("_r <= 2 and second_ref is not null")
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        taken, moves = set(pdf["best_ref"]), []
-        for ref, g in sorted(pdf.groupby("best_ref")):
-            g = g.sort_values("_r")
-            if len(g) == 2 and g["second_ref"].nunique() == 1 and (g["second_frac"] >= 0.05).all() and (to := g["second_ref"].iloc[0]) not in taken:
-                weak = g.sort_values(["best_frac", "contig"]).iloc[0]
-                taken.add(to)
-                moves.append((weak["assembly"], weak["contig"], ref, to))
-        return pd.DataFrame(moves, columns=["assembly", "contig", "old_ref", "new_ref"])
-
-    return top.groupBy("assembly").applyInPandas(run, "assembly string, contig string, old_ref string, new_ref string")
+    df = spans.withColumn("_r", F.row_number().over(w))
+    at = lambda k, c: F.max(F.when(F.col("_r") == k, F.col(c)))
+    pair = df.groupBy("assembly", "best_ref").agg(at(1, "second_ref").alias("a"), at(1, "second_frac").alias("fa"), at(2, "second_ref").alias("b"), at(2, "second_frac").alias("fb"))
+    wanted = pair.filter("a = b and fa >= 0.05 and fb >= 0.05").select("assembly", "best_ref", F.col("a").alias("new_ref"))
+    taken = spans.select("assembly", F.col("best_ref").alias("new_ref")).distinct()
+    first = wanted.join(taken, ["assembly", "new_ref"], "left_anti").groupBy("assembly", "new_ref").agg(F.min("best_ref").alias("best_ref"))
+    moved = df.join(first, ["assembly", "best_ref"]).filter("_r >= 2 and second_ref = new_ref")
+    return moved.select("assembly", "contig", F.col("best_ref").alias("old_ref"), "new_ref")

@@ -6,47 +6,61 @@ import bisect
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import DEFAULT, Config
+from .intervals import islands, union_bp
 
 GROUP = ["assembly", "contig", "ref_id", "strand"]
 
 
 def chain_numbers(blocks: list[tuple[int, int, int, int]], minus: bool, cfg: Config) -> list[int]:
-    """The chain of each block (qs, qe, rs, re), which come in order: the open chain of least penalty within the gaps."""
-    chains: list[list[int]] = []
-    out = []
+    """The chain of each block (qs, qe, rs, re), which come in order: the open chain of least penalty within the gaps.
+
+    Blocks come by query start, so a chain that ended more than the gap before can take no other: it is closed.
+    """
+    open_: list[list[int]] = []
+    out, count, full = [], 0, 64
     for qs, qe, rs, re_ in blocks:
         place, diag = (-re_, rs + qs) if minus else (rs, rs - qs)
-        best, at = None, None
-        for i, (last_q, last_r, diag0) in enumerate(chains):
-            dq, dr, dd = qs - last_q, place - last_r, abs(diag - diag0)
+        if len(open_) > full:
+            open_ = [c for c in open_ if qs - c[0] <= cfg.chain_q_gap]
+            full = max(64, 2 * len(open_))
+        best, to = None, None
+        for c in open_:
+            dq, dr, dd = qs - c[0], place - c[1], abs(diag - c[2])
             if dq <= cfg.chain_q_gap and abs(dr) <= cfg.chain_r_gap and dd <= cfg.chain_diag_slop:
                 cost = abs(dq) + abs(dr) + dd // 10
                 if best is None or cost < best:
-                    best, at = cost, i
-        if at is None:
-            at = len(chains)
-            chains.append([qe, place, diag])
+                    best, to = cost, c
+        if to is None:
+            open_.append(to := [qe, place, diag, count])
+            count += 1
         else:
-            chains[at][0] = max(chains[at][0], qe)
-            chains[at][1] = place
-        out.append(at)
+            to[0], to[1] = max(to[0], qe), place
+        out.append(to[3])
     return out
 
 
 def chain_greedy(blocks: DataFrame, ties: list[str], cfg: Config = DEFAULT) -> DataFrame:
-    """Adds chain_id, unique within contig, reference and strand."""
+    """Adds chain_id, unique within contig, reference and strand, in order of the chains' first blocks.
+
+    No chain crosses a gap in the query that is wider than a chain may leave open, so such gaps cut the blocks of a pair
+    into islands, and each island is one group of the grouped map: a pair with very many blocks is many tasks.
+    """
     order = ["qs", "qe", "rs", "re", *ties]
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(order, kind="stable")
         rows = list(zip(*(pdf[c].tolist() for c in ("qs", "qe", "rs", "re"))))
-        return pdf.assign(chain_id=chain_numbers(rows, pdf["strand"].iloc[0] == "-", cfg))
+        return pdf.assign(_chain=chain_numbers(rows, pdf["strand"].iloc[0] == "-", cfg))
 
-    return blocks.groupBy(*GROUP).applyInPandas(run, T.StructType([*blocks.schema.fields, T.StructField("chain_id", T.LongType())]))
+    cut = islands(blocks, GROUP, "qs", "qe", cfg.chain_q_gap, "_island")
+    out = cut.groupBy(*GROUP, "_island").applyInPandas(run, T.StructType([*cut.schema.fields, T.StructField("_chain", T.LongType())]))
+    number = F.dense_rank().over(W.partitionBy(*GROUP).orderBy("_island", "_chain")) - 1
+    return out.withColumn("chain_id", number.cast("long")).drop("_island", "_chain")
 
 
 def kept_intervals(rows: list[tuple[int, int]]) -> list[bool]:
@@ -76,10 +90,9 @@ def suppress_overlaps(blocks: DataFrame, ties: list[str]) -> DataFrame:
 
 def macro_blocks(chained: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
     """One row per chain with union, sums, identity, genes and reference range, past the chain gates."""
-    from .intervals import union_bp
-
     keys = [*GROUP, "chain_id"]
     sums = chained.groupBy(*keys).agg(F.min("qs").alias("qstart"), F.max("qe").alias("qend"), F.sum("matches").alias("matches"), F.sum("aln_len").alias("aln_len"), F.count("*").alias("n_segments"), F.countDistinct("gene_id").alias("gene_count"), F.min("rs").alias("ref_start"), F.max("re").alias("ref_end"))
     out = sums.join(union_bp(chained, keys, "qs", "qe"), keys)
     out = out.withColumn("identity", F.round(F.col("matches") / F.col("aln_len"), 6)).withColumn("qspan_bp", F.col("qend") - F.col("qstart"))
-    return out.filter((F.col("union_bp") > 0) & (F.col("union_bp") >= cfg.chain_min_bp) & (F.col("identity") >= cfg.chain_min_ident) & (F.col("matches") > 0))
+    out = out.filter((F.col("union_bp") > 0) & (F.col("union_bp") >= cfg.chain_min_bp) & (F.col("identity") >= cfg.chain_min_ident) & (F.col("matches") > 0))
+    return out.withColumn("chain_id", F.row_number().over(W.partitionBy(*GROUP).orderBy("chain_id")).cast("long") - 1)  # numbers without gaps

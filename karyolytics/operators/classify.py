@@ -49,8 +49,10 @@ def cascade(contigs: DataFrame) -> DataFrame:
 
 
 def exclude(contigs: DataFrame, *taken: DataFrame) -> DataFrame:
+    """Contigs in none of the tables; a table without the assembly holds for every one."""
     for t in taken:
-        contigs = contigs.join(t.select("contig"), "contig", "left_anti")
+        keys = [c for c in ("assembly", "contig") if c in t.columns]
+        contigs = contigs.join(t.select(*keys), keys, "left_anti")
     return contigs
 
 

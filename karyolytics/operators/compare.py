@@ -50,14 +50,14 @@ def class_breakdown(classified: DataFrame) -> DataFrame:
 
 
 def depth_stats(depth: DataFrame, contigs: DataFrame) -> DataFrame:
-    """Mean by window size, spread, range and breadth; contigs without windows have zeros."""
-    size = F.col("end_pos") - F.col("start_pos")
+    """Mean by window size, spread, range and breadth of each contig of an assembly; contigs without windows have zeros."""
+    keys, size = ["assembly", "contig"], F.col("end_pos") - F.col("start_pos")
     d = depth.filter((F.col("start_pos") >= 0) & (size > 0) & (F.col("depth") >= 0))
-    g = d.groupBy("contig").agg(F.count("*").alias("n_windows"), (F.sum(F.col("depth") * size) / F.sum(size)).alias("mean"), F.median("depth").alias("median"), F.min("depth").alias("low"), F.max("depth").alias("high"), F.sum(F.when(F.col("depth") >= 1, size)).alias("b1"), F.sum(F.when(F.col("depth") >= 10, size)).alias("b10"))
-    df = contigs.select("contig", "contig_len").join(g, "contig", "left")
+    g = d.groupBy(*keys).agg(F.count("*").alias("n_windows"), (F.sum(F.col("depth") * size) / F.sum(size)).alias("mean"), F.median("depth").alias("median"), F.stddev_samp("depth").alias("sd"), F.min("depth").alias("low"), F.max("depth").alias("high"), F.sum(F.when(F.col("depth") >= 1, size)).alias("b1"), F.sum(F.when(F.col("depth") >= 10, size)).alias("b10"))
+    df = contigs.select(*keys, "contig_len").join(g, keys, "left")
     part = lambda b: F.round(F.least(F.lit(1.0), F.coalesce(b, F.lit(0)) / F.col("contig_len")), 6)
     zero = lambda c: F.round(F.coalesce(c, F.lit(0.0)), 4)
-    return df.select("contig", F.coalesce("n_windows", F.lit(0)).alias("n_windows"), zero("mean").alias("mean"), zero("median").alias("median"), zero("low").alias("low"), zero("high").alias("high"), part(F.col("b1")).alias("breadth_1"), part(F.col("b10")).alias("breadth_10"))
+    return df.select(*keys, F.coalesce("n_windows", F.lit(0)).alias("n_windows"), zero("mean").alias("mean"), zero("median").alias("median"), zero("sd").alias("sd"), zero("low").alias("low"), zero("high").alias("high"), part(F.col("b1")).alias("breadth_1"), part(F.col("b10")).alias("breadth_10"))
 
 
 def assembly_pairs(present: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT, Config
-from .intervals import islands, merged
+from .intervals import merged
 
 
 def copy_type(coverage: Column) -> Column:
@@ -26,12 +26,14 @@ def loci(hits: DataFrame, tie: str, cfg: Config = DEFAULT) -> DataFrame:
     df = chained(hits, ["contig"], "start", "end", cfg.locus_gap, [tie], "locus")
     length = F.col("end") - F.col("start")
     votes = df.groupBy("contig", "locus", "strand").agg(F.count("*").alias("n"), F.min(F.struct("start", "end", tie)).alias("first"), F.min("start").alias("s"), F.max("end").alias("e"), F.sum(F.col("pident") * length).alias("w"), F.sum(length).alias("bp"))
-    return votes.groupBy("contig", "locus").agg(F.min("s").alias("start"), F.max("e").alias("end"), F.min_by("strand", F.struct(-F.col("n"), "first")).alias("strand"), F.sum("n").alias("n_hits"), F.round(F.sum("w") / F.sum("bp"), 6).alias("identity"))
+    return votes.groupBy("contig", "locus").agg(F.min("s").alias("start"), F.max("e").alias("end"), F.min_by("strand", F.struct(-F.col("n"), "first")).alias("strand"), F.sum("n").alias("n_hits"), F.round(F.sum("w") / F.sum("bp"), 6).alias("identity"), F.sum("w").alias("identity_sum"), F.sum("bp").alias("identity_bp"))
 
 
 def arrays(loci_: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
+    """Runs of loci. Identities are compared unrounded, as sums over lengths, and rounded once."""
+    loci_ = loci_.withColumn("identity", F.col("identity_sum") / F.col("identity_bp"))
     df = chained(loci_, ["contig"], "start", "end", cfg.array_gap, [], "array")
-    out = df.groupBy("contig", "array").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.count("*").alias("n_copies"), F.min("identity").alias("min_identity"), F.max("identity").alias("max_identity"), F.round(F.median("identity"), 6).alias("median_identity"))
+    out = df.groupBy("contig", "array").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.count("*").alias("n_copies"), F.round(F.min("identity"), 6).alias("min_identity"), F.round(F.max("identity"), 6).alias("max_identity"), F.round(F.median("identity"), 6).alias("median_identity"))
     return out.filter(F.col("n_copies") >= cfg.array_min_copies).drop("array")
 
 
@@ -77,7 +79,3 @@ def spacers(features: DataFrame, left: str, right: str) -> DataFrame:
     df = features.withColumn("after", F.lead("name").over(w)).withColumn("to", F.lead("start").over(w))
     pair = ((F.col("name") == left) & (F.col("after") == right)) | ((F.col("name") == right) & (F.col("after") == left))
     return df.filter(pair & (F.col("to") > F.col("end"))).select("contig", F.col("end").alias("start"), F.col("to").alias("end"))
-
-
-def off_islands(df: DataFrame, keys: list[str]) -> DataFrame:
-    return islands(df, keys, "start", "end")

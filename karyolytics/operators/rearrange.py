@@ -53,5 +53,36 @@ def fissions(ranges: DataFrame, best: DataFrame, refs: DataFrame, cfg: Config =
     return out.select(*keys, "n_contigs", "coverage", (F.col("coverage") > cfg.fission_collinear).alias("collinear"))
 
 
+def fusion_calls(evidence: DataFrame, best: DataFrame, contigs: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
+    """Every pair of references of a contig that each cover a good part of it. The partner is the one the contig isn't assigned
+    to; if it is assigned to neither, the one that covers less, the first by position where both cover as much as the other.
+    """
+    big = evidence.join(contigs, CONTIG).filter(F.col("union_bp") >= cfg.fusion_frac * F.col("contig_len"))
+    side = lambda x: big.select(*CONTIG, *(F.col(c).alias(f"{c}_{x}") for c in ("ref_id", "q_min", "q_max", "union_bp")))
+    pair = side("a").join(side("b"), CONTIG).filter(F.struct("q_min_a", "ref_id_a") < F.struct("q_min_b", "ref_id_b")).join(best.select(*CONTIG, "best_ref"), CONTIG)
+    partner = F.when(F.col("ref_id_a") == F.col("best_ref"), F.col("ref_id_b")).when(F.col("ref_id_b") == F.col("best_ref"), F.col("ref_id_a")).when(F.col("union_bp_a") >= F.col("union_bp_b"), F.col("ref_id_b")).otherwise(F.col("ref_id_a"))
+    span = F.col("union_bp_a") + F.col("union_bp_b")
+    start, end = F.least("q_min_a", "q_min_b"), F.greatest("q_max_a", "q_max_b")
+    return pair.select(*CONTIG, F.col("best_ref").alias("ref_id"), F.lit("fusion").alias("kind"), partner.alias("partner"), start.alias("q_start"), end.alias("q_end"), F.lit(0).cast("long").alias("r_start"), F.lit(0).cast("long").alias("r_end"), span.alias("span"), rearrangement_confidence(span, F.lit(True)).alias("confidence"))
+
+
+def fission_calls(ranges: DataFrame, best: DataFrame, contigs: DataFrame, refs: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
+    """One call for each contig of a reference that several assigned contigs cover together, none of them alone."""
+    keys = ["assembly", "ref_id"]
+    df = ranges.join(best.select(*CONTIG, F.col("best_ref").alias("ref_id")), PAIR).join(contigs, CONTIG)
+    found = fissions(ranges, best, refs, cfg).join(refs, "ref_id").select(*keys, (F.col("coverage") * F.col("ref_len")).alias("covered"), "collinear")
+    conf = rearrangement_confidence(F.col("covered"), F.col("collinear"))
+    return df.join(found, keys).select(*CONTIG, "ref_id", F.lit("fission").alias("kind"), F.lit(None).cast("string").alias("partner"), F.lit(0).cast("long").alias("q_start"), F.col("contig_len").alias("q_end"), F.col("ref_start").alias("r_start"), F.col("ref_end").alias("r_end"), (F.col("ref_end") - F.col("ref_start")).alias("span"), conf.alias("confidence"))
+
+
+def rearrangements(blocks: DataFrame, evidence: DataFrame, best: DataFrame, ranges: DataFrame, contigs: DataFrame, refs: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
+    """All calls in one form: assembly, contig, ref_id, kind, partner, q_start, q_end, r_start, r_end, span, confidence."""
+    none, zero = F.lit(None).cast("string"), F.lit(0).cast("long")
+    moved = translocations(evidence, best, contigs, cfg).join(evidence.select(*PAIR, "q_min", "q_max"), PAIR).join(ranges.select(*PAIR, "ref_start", "ref_end"), PAIR)
+    moved = moved.select(*CONTIG, F.col("best_ref").alias("ref_id"), "kind", F.col("ref_id").alias("partner"), F.col("q_min").alias("q_start"), F.col("q_max").alias("q_end"), F.col("ref_start").alias("r_start"), F.col("ref_end").alias("r_end"), "span", "confidence")
+    turned = inversions(blocks, best, cfg).select(*CONTIG, "ref_id", F.lit("inversion").alias("kind"), none.alias("partner"), F.col("start").alias("q_start"), F.col("end").alias("q_end"), zero.alias("r_start"), zero.alias("r_end"), "span", rearrangement_confidence(F.col("span"), F.col("n_blocks") >= 3).alias("confidence"))
+    return moved.unionByName(turned).unionByName(fusion_calls(evidence, best, contigs, cfg)).unionByName(fission_calls(ranges, best, contigs, refs, cfg))
+
+
 def homeologous(chrom_a, sub_a, chrom_b, sub_b):
     return (chrom_a == chrom_b) & (sub_a != sub_b)

@@ -60,14 +60,14 @@ def choose(xs: list[float], chroms: list[str], most: int = 3) -> list[float]:
     if len(xs) < 4:
         return [sum(xs) / len(xs)] if xs else []
     fits = {k: fit(xs, k) for k in range(1, most + 1)}
-    order = sorted(fits, key=lambda k: bic(fits[k][3], k, len(xs)))
-    for k in [*order, 2]:
+    best = min(fits, key=lambda k: bic(fits[k][3], k, len(xs)))
+    for k in [best, 2]:  # two clusters that the pairing confirms count even where the BIC prefers one
         if k == 1:
-            break
+            continue
         means = sorted(fits[k][0], reverse=True)
         if paired(chroms, [nearest(x, means) for x in xs], k):
             return means
-    return [fits[1][0][0]]
+    return [sum(xs) / len(xs)]
 
 
 def nearest(x: float, means: list[float]) -> int:
@@ -75,7 +75,8 @@ def nearest(x: float, means: list[float]) -> int:
 
 
 def assign(contigs: DataFrame) -> DataFrame:
-    """contigs: assembly, contig, ref_id, identity. Multi-copy chromosomes of an assembly get letters B, C, ... by falling mean.
+    """contigs: assembly, contig, ref_id, ref_subgenome, identity. Multi-copy chromosomes of an assembly and a subgenome of the
+    reference get letters B, C, ... by falling mean.
 
     If a chromosome has exactly as many copies as there are clusters but they share one, copies take letters by rank.
     """
@@ -90,7 +91,7 @@ def assign(contigs: DataFrame) -> DataFrame:
                 pdf.loc[g.sort_values(["identity", "contig"], ascending=[False, True]).index, "cluster"] = range(len(means))
         return pdf.assign(subgenome=[chr(ord("B") + i) for i in pdf["cluster"]])[["assembly", "contig", "ref_id", "subgenome", "k"]]
 
-    return copies.groupBy("assembly").applyInPandas(run, "assembly string, contig string, ref_id string, subgenome string, k long")
+    return copies.groupBy("assembly", "ref_subgenome").applyInPandas(run, "assembly string, contig string, ref_id string, subgenome string, k long")
 
 
 def nearest_mean(values: DataFrame, means: DataFrame, key: str, value: str) -> DataFrame:

@@ -49,21 +49,23 @@ def assign_status(s, d):
     return assign.assign_status(assign.best_second(ev), evidence.contig_totals(ev))
 
 
-_RAW = "WITH " + ctes("aln") + ", ids AS (SELECT DISTINCT CASE l_partkey % 4 WHEN 0 THEN upper(ref_id) WHEN 1 THEN concat(ref_id, '_c2') WHEN 2 THEN ref_id ELSE CASE WHEN l_suppkey % 2 = 0 THEN 'Pt' ELSE 'chrM' END END AS raw FROM aln) "
+_RAW = "WITH " + ctes("aln") + ", ids AS (SELECT DISTINCT CASE l_partkey % 4 WHEN 0 THEN upper(ref_id) WHEN 1 THEN concat('C', substring(ref_id, 2), '_c2') WHEN 2 THEN ref_id ELSE ['Pt', 'ChrM', 'cpDNA', 'Chloroplast', 'plastid', 'chrC', 'MT', 'mitochondrion', 'Mitochondria', 'mitochondrial', 'cp', 'mito', 'scaffold_7'][1 + l_suppkey % 13] END AS raw FROM aln) "
 
 
 def _raw_ids(s, d):
     k = F.col("l_partkey") % 4
-    raw = F.when(k == 0, F.upper("ref_id")).when(k == 1, F.concat("ref_id", F.lit("_c2"))).when(k == 2, F.col("ref_id")).otherwise(F.when(F.col("l_suppkey") % 2 == 0, "Pt").otherwise("chrM"))
+    names = ["Pt", "ChrM", "cpDNA", "Chloroplast", "plastid", "chrC", "MT", "mitochondrion", "Mitochondria", "mitochondrial", "cp", "mito", "scaffold_7"]
+    other = F.get(F.array(*map(F.lit, names)), (F.col("l_suppkey") % 13).cast("int"))
+    raw = F.when(k == 0, F.upper("ref_id")).when(k == 1, F.concat(F.lit("C"), F.substring("ref_id", 2, 99), F.lit("_c2"))).when(k == 2, F.col("ref_id")).otherwise(other)
     return view(s, d, "aln").select(raw.alias("raw")).distinct()
 
 
-@query(_RAW + "SELECT raw, regexp_replace(raw, '^(?i:chr)', 'chr') AS ref_id, CASE WHEN lower(raw) IN ('chrc', 'pt') THEN 'chrC' WHEN lower(raw) IN ('chrm', 'mt') THEN 'chrM' END AS organelle FROM ids")
+@query(_RAW + "SELECT raw, regexp_replace(raw, '^(?i:chr)', 'chr') AS ref_id, CASE WHEN lower(raw) IN ('chrc', 'cpdna', 'chloroplast', 'plastid', 'pt') THEN 'chrC' WHEN lower(raw) IN ('chrm', 'mt', 'mitochondrion', 'mitochondria', 'mitochondrial') THEN 'chrM' END AS organelle FROM ids")
 def id_normalize(s, d):
     return _raw_ids(s, d).select("raw", ids.normalize_ref_id(F.col("raw")).alias("ref_id"), ids.organelle_id(F.col("raw")).alias("organelle"))
 
 
-@query(_RAW + "SELECT raw, CASE WHEN lower(raw) = 'pt' THEN 'chrC' WHEN lower(raw) = 'chrm' THEN 'chrM' ELSE regexp_extract(raw, '^((?i:chr)[0-9]+)', 1) END AS chrom_id, CASE WHEN lower(raw) IN ('pt', 'chrm') THEN 'NA' ELSE regexp_extract(raw, '^(?i:chr)[0-9]+([A-Za-z])', 1) END AS subgenome FROM ids")
+@query(_RAW + ", o AS (SELECT raw, CASE WHEN lower(raw) IN ('chrc', 'cpdna', 'chloroplast', 'plastid', 'pt') THEN 'chrC' WHEN lower(raw) IN ('chrm', 'mt', 'mitochondrion', 'mitochondria', 'mitochondrial') THEN 'chrM' END AS organelle, CASE WHEN substring(raw, 1, 3) = 'Chr' THEN 'Chr' ELSE 'chr' END AS style FROM ids) SELECT raw, CASE WHEN organelle IS NOT NULL THEN concat(style, substring(organelle, 4)) WHEN regexp_matches(raw, '^(?i:chr)[0-9]') THEN concat(style, regexp_extract(raw, '^(?i:chr)([0-9]+)', 1)) ELSE raw END AS chrom_id, CASE WHEN organelle IS NOT NULL OR NOT regexp_matches(raw, '^(?i:chr)[0-9]') THEN 'NA' ELSE regexp_extract(raw, '^(?i:chr)[0-9]+([A-Za-z])', 1) END AS subgenome FROM o")
 def id_split(s, d):
     return _raw_ids(s, d).select("raw", ids.chrom_id(F.col("raw")).alias("chrom_id"), ids.subgenome(F.col("raw")).alias("subgenome"))
 
@@ -190,11 +192,15 @@ def reciprocal_pairs(s, d):
     return assign.reciprocal_pairs(_best(s, d))
 
 
-@query()
+#: Groups of three contigs of an assembly share a best reference; most share a second one that nothing is assigned to.
+_RECIPROCAL = """SELECT assembly, contig, concat('chr', CAST(k // 3 AS STRING)) AS best_ref, CASE WHEN k % 7 = 6 THEN NULL ELSE concat('chr', CAST(CASE WHEN k % 11 = 10 THEN 1 ELSE 100 + (k // 3) % 4 END AS STRING)) END AS second_ref,
+ CAST(40 + (k * 37) % 50 AS DOUBLE) / 100 AS best_frac, CASE WHEN k % 7 = 6 THEN NULL ELSE CAST(3 + (k * 53) % 30 AS DOUBLE) / 100 END AS second_frac FROM (SELECT assembly, contig, row_number() OVER (PARTITION BY assembly ORDER BY contig_len, contig) - 1 AS k FROM contigs)"""
+
+
+@query("WITH " + ctes("contigs") + f", sp AS ({_RECIPROCAL}), rk AS (SELECT *, row_number() OVER (PARTITION BY assembly, best_ref ORDER BY best_frac DESC, contig) AS r FROM sp), pr AS (SELECT a.assembly, a.best_ref, a.second_ref AS new_ref FROM rk a JOIN rk b ON a.assembly = b.assembly AND a.best_ref = b.best_ref AND a.r = 1 AND b.r = 2 AND a.second_ref = b.second_ref AND a.second_frac >= 0.05 AND b.second_frac >= 0.05 WHERE NOT EXISTS (SELECT 1 FROM sp t WHERE t.assembly = a.assembly AND t.best_ref = a.second_ref)), f AS (SELECT *, row_number() OVER (PARTITION BY assembly, new_ref ORDER BY best_ref) AS n FROM pr) SELECT rk.assembly, contig, rk.best_ref AS old_ref, new_ref FROM rk JOIN f ON rk.assembly = f.assembly AND rk.best_ref = f.best_ref AND f.n = 1 AND r >= 2 AND second_ref = new_ref")
 def reciprocal_resolve(s, d):
-    f = lambda c: F.round(F.col(c) / F.col("contig_len"), 6)
-    spans = _best(s, d).join(view(s, d, "contigs"), ["assembly", "contig"]).select("assembly", "contig", "best_ref", "second_ref", f("best_bp").alias("best_frac"), f("second_bp").alias("second_frac"))
-    return assign.resolve_reciprocal(spans, view(s, d, "refs"))
+    sql = _RECIPROCAL.replace("k // 3", "k div 3").replace("FROM contigs", "FROM {contigs}")
+    return assign.resolve_reciprocal(s.sql(sql, contigs=view(s, d, "contigs")))
 
 
 @query(_WITH + ", off AS (SELECT e.*, b.best_ref, c.contig_len, q_max - q_min AS span FROM ev e JOIN best b ON e.assembly = b.assembly AND e.contig = b.contig AND e.ref_id <> b.best_ref JOIN contigs c ON c.assembly = e.assembly AND c.contig = e.contig WHERE q_max - q_min >= 50000 AND union_bp >= 10000), f AS (SELECT o.*, EXISTS (SELECT 1 FROM off x WHERE x.assembly = o.assembly AND x.best_ref = o.ref_id AND x.ref_id = o.best_ref) AS rec, least(100000, CAST(floor(0.02 * contig_len) AS BIGINT)) AS edge FROM off o) SELECT assembly, contig, best_ref, ref_id, span, CASE WHEN rec THEN 'reciprocal_translocation' WHEN (q_min <= edge) <> (q_max >= contig_len - edge) THEN 'terminal_translocation' ELSE 'translocation' END AS kind, CASE WHEN span > 1000000 AND rec THEN 'high' WHEN span > 1000000 OR (span >= 50000 AND rec) THEN 'medium' ELSE 'low' END AS confidence FROM f")
@@ -361,17 +367,22 @@ def contig_names(s, d):
     return classify.names(df).select("assembly", "contig", "name")
 
 
-_DP = ctes("depth", "contigs") + ", dg AS (SELECT contig, count(*) AS n, sum(depth * (end_pos - start_pos)) / sum(end_pos - start_pos) AS mean, median(depth) AS median, min(depth) AS low, max(depth) AS high, sum(CASE WHEN depth >= 1 THEN end_pos - start_pos ELSE 0 END) AS b1, sum(CASE WHEN depth >= 10 THEN end_pos - start_pos ELSE 0 END) AS b10 FROM depth WHERE depth >= 0 AND start_pos >= 0 AND end_pos > start_pos GROUP BY contig), ds AS (SELECT c.contig, coalesce(n, 0) AS n_windows, round(coalesce(mean, 0), 4) AS mean, round(coalesce(median, 0), 4) AS median, round(coalesce(low, 0), 4) AS low, round(coalesce(high, 0), 4) AS high, round(least(1.0, coalesce(b1, 0) / contig_len), 6) AS breadth_1, round(least(1.0, coalesce(b10, 0) / contig_len), 6) AS breadth_10 FROM contigs c LEFT JOIN dg USING (contig))"
+_DP = ctes("depth", "contigs") + ", dg AS (SELECT contig, count(*) AS n, sum(depth * (end_pos - start_pos)) / sum(end_pos - start_pos) AS mean, median(depth) AS median, stddev_samp(depth) AS sd, min(depth) AS low, max(depth) AS high, sum(CASE WHEN depth >= 1 THEN end_pos - start_pos ELSE 0 END) AS b1, sum(CASE WHEN depth >= 10 THEN end_pos - start_pos ELSE 0 END) AS b10 FROM depth WHERE depth >= 0 AND start_pos >= 0 AND end_pos > start_pos GROUP BY contig), ds AS (SELECT c.contig, coalesce(n, 0) AS n_windows, round(coalesce(mean, 0), 4) AS mean, round(coalesce(median, 0), 4) AS median, round(coalesce(sd, 0), 4) AS sd, round(coalesce(low, 0), 4) AS low, round(coalesce(high, 0), 4) AS high, round(least(1.0, coalesce(b1, 0) / contig_len), 6) AS breadth_1, round(least(1.0, coalesce(b10, 0) / contig_len), 6) AS breadth_10 FROM contigs c LEFT JOIN dg USING (contig))"
+
+
+def _depth(s, d):
+    """Windows with the assembly of their contig, of which each name has one here."""
+    return view(s, d, "depth").join(view(s, d, "contigs").select("assembly", "contig"), "contig")
 
 
 @query(f"WITH {_DP} SELECT * FROM ds")
 def depth_stats(s, d):
-    return compare.depth_stats(view(s, d, "depth"), view(s, d, "contigs").drop("assembly"))
+    return compare.depth_stats(_depth(s, d), view(s, d, "contigs")).drop("assembly")
 
 
 @query(f"WITH {_CC}, {_DP.replace(ctes('depth', 'contigs'), ctes('depth'))} SELECT class, count(*) AS n, round(avg(mean), 3) AS mean, round(median(median), 3) AS median, round(avg(breadth_1), 5) AS breadth FROM cc JOIN ds USING (contig) GROUP BY class")
 def depth_by_class(s, d):
-    st = compare.depth_stats(view(s, d, "depth"), view(s, d, "contigs").drop("assembly"))
+    st = compare.depth_stats(_depth(s, d), view(s, d, "contigs")).drop("assembly")
     return _classes(s, d).select("contig", "class").join(st, "contig").groupBy("class").agg(F.count("*").alias("n"), F.round(F.avg("mean"), 3).alias("mean"), F.round(F.median("median"), 3).alias("median"), F.round(F.avg("breadth_1"), 5).alias("breadth"))
 
 
@@ -415,7 +426,7 @@ def subgenome_support(s, d):
     return compare.subgenome_support(ev, "ref_id", "subgenome")
 
 
-_LO = ctes("blast") + ", h AS (SELECT qseqid AS contig, qstart AS s, qend AS e, CASE WHEN o_orderkey % 3 = 0 THEN '-' ELSE '+' END AS strand, pident, o_orderkey AS o FROM blast), l AS (SELECT *, sum(nw) OVER (PARTITION BY contig ORDER BY s, e, o ROWS UNBOUNDED PRECEDING) AS locus FROM (SELECT *, CASE WHEN s - lag(e) OVER (PARTITION BY contig ORDER BY s, e, o) <= 2000 THEN 0 ELSE 1 END AS nw FROM h)), v AS (SELECT contig, locus, strand, count(*) AS n, min({'s': s, 'e': e, 'o': o}) AS f, min(s) AS s, max(e) AS e, CAST(sum(pident * (e - s)) AS BIGINT) AS w, CAST(sum(e - s) AS BIGINT) AS bp FROM l GROUP BY 1, 2, 3), lo AS (SELECT contig, locus, min(s) AS \"start\", max(e) AS \"end\", first(strand ORDER BY n DESC, f) AS strand, CAST(sum(n) AS BIGINT) AS n_hits, round(sum(w) / sum(bp), 6) AS identity FROM v GROUP BY 1, 2)"
+_LO = ctes("blast") + ", h AS (SELECT qseqid AS contig, qstart AS s, qend AS e, CASE WHEN o_orderkey % 3 = 0 THEN '-' ELSE '+' END AS strand, pident, o_orderkey AS o FROM blast), l AS (SELECT *, sum(nw) OVER (PARTITION BY contig ORDER BY s, e, o ROWS UNBOUNDED PRECEDING) AS locus FROM (SELECT *, CASE WHEN s - lag(e) OVER (PARTITION BY contig ORDER BY s, e, o) <= 2000 THEN 0 ELSE 1 END AS nw FROM h)), v AS (SELECT contig, locus, strand, count(*) AS n, min({'s': s, 'e': e, 'o': o}) AS f, min(s) AS s, max(e) AS e, CAST(sum(pident * (e - s)) AS BIGINT) AS w, CAST(sum(e - s) AS BIGINT) AS bp FROM l GROUP BY 1, 2, 3), lo AS (SELECT contig, locus, min(s) AS \"start\", max(e) AS \"end\", first(strand ORDER BY n DESC, f) AS strand, CAST(sum(n) AS BIGINT) AS n_hits, round(sum(w) / sum(bp), 6) AS identity, sum(w) AS w, sum(bp) AS bp FROM v GROUP BY 1, 2)"
 
 
 def _loci(s, d):
@@ -425,10 +436,10 @@ def _loci(s, d):
 
 @query(f"WITH {_LO} SELECT contig, \"start\", \"end\", strand, n_hits, identity FROM lo")
 def rdna_loci(s, d):
-    return _loci(s, d).drop("locus")
+    return _loci(s, d).drop("locus", "identity_sum", "identity_bp")
 
 
-@query(f"WITH {_LO}, a AS (SELECT *, sum(nw) OVER (PARTITION BY contig ORDER BY \"start\", \"end\" ROWS UNBOUNDED PRECEDING) AS arr FROM (SELECT *, CASE WHEN \"start\" - lag(\"end\") OVER (PARTITION BY contig ORDER BY \"start\", \"end\") <= 50000 THEN 0 ELSE 1 END AS nw FROM lo)) SELECT contig, min(\"start\") AS \"start\", max(\"end\") AS \"end\", count(*) AS n_copies, min(identity) AS min_identity, max(identity) AS max_identity, round(median(identity), 6) AS median_identity FROM a GROUP BY contig, arr HAVING count(*) >= 3")
+@query(f"WITH {_LO}, a AS (SELECT *, sum(nw) OVER (PARTITION BY contig ORDER BY \"start\", \"end\" ROWS UNBOUNDED PRECEDING) AS arr FROM (SELECT *, CASE WHEN \"start\" - lag(\"end\") OVER (PARTITION BY contig ORDER BY \"start\", \"end\") <= 50000 THEN 0 ELSE 1 END AS nw FROM lo)) SELECT contig, min(\"start\") AS \"start\", max(\"end\") AS \"end\", count(*) AS n_copies, round(min(w / bp), 6) AS min_identity, round(max(w / bp), 6) AS max_identity, round(median(w / bp), 6) AS median_identity FROM a GROUP BY contig, arr HAVING count(*) >= 3")
 def rdna_arrays(s, d):
     return rdna.arrays(_loci(s, d))
 
@@ -438,12 +449,12 @@ def repeat_period(s, d):
     return rdna.repeat_period(view(s, d, "kept").select("contig", F.abs(F.col("rs") - F.col("qs")).alias("dist")), "contig", "dist")
 
 
-@query("WITH " + ctes("seqs") + ", p AS (SELECT contig, substring(seq, 1, 60) AS t FROM seqs), c AS (SELECT contig, i AS pos, t[i] AS base FROM p, range(1, 61) r(i) WHERE i <= length(t)), v AS (SELECT contig, pos, base, count(*) AS n FROM c GROUP BY 1, 2, 3), w AS (SELECT contig, pos, sum(n) AS al, max(n) AS n, first(base ORDER BY n DESC, ascii(base)) AS base FROM v GROUP BY 1, 2) SELECT contig, string_agg(CASE WHEN base = '-' THEN '' WHEN n >= 0.5 * al THEN base ELSE 'N' END, '' ORDER BY pos) AS consensus FROM w GROUP BY contig")
+@query("WITH " + ctes("seqs") + ", c AS (SELECT contig, unnest(range(1, length(seq) + 1)) AS pos, unnest(regexp_extract_all(seq, '(?s).')) AS base FROM seqs), v AS (SELECT contig, pos, base, count(*) AS n FROM c GROUP BY 1, 2, 3), w AS (SELECT contig, pos, sum(n) AS al, max(n) AS n, first(base ORDER BY n DESC, ascii(base)) AS base FROM v GROUP BY 1, 2) SELECT contig, string_agg(CASE WHEN base = '-' THEN '' WHEN n >= 0.5 * al THEN base ELSE 'N' END, '' ORDER BY pos) AS consensus FROM w GROUP BY contig")
 def column_consensus(s, d):
     return rdna.column_consensus(view(s, d, "seqs"), "contig", "seq")
 
 
-@query(f"WITH {_CL}, sg AS (SELECT assembly, contig, ref_id AS origin, c_start AS s, c_start + span_bp AS e FROM lc), b AS (SELECT DISTINCT assembly, contig, qs, qe, CAST(l_orderkey * 1000 + l_linenumber AS BIGINT) AS block_id FROM kept WHERE l_orderkey % 5 = 0), o AS (SELECT block_id, origin, CAST(sum(least(qe, e) - greatest(qs, s)) AS BIGINT) AS bp FROM b JOIN sg ON b.assembly = sg.assembly AND b.contig = sg.contig AND qs < e AND qe > s GROUP BY 1, 2) SELECT block_id, first(origin ORDER BY bp DESC, origin DESC) AS origin, max(bp) AS bp FROM o GROUP BY block_id")
+@query(f"WITH {_CL}, sg AS (SELECT assembly, contig, ref_id AS origin, c_start AS s, c_start + span_bp AS e FROM lc), b AS (SELECT DISTINCT assembly, contig, qs, qe, CAST(l_orderkey * 1000 + l_linenumber AS BIGINT) AS block_id FROM kept), o AS (SELECT block_id, origin, CAST(sum(least(qe, e) - greatest(qs, s)) AS BIGINT) AS bp FROM b JOIN sg ON b.assembly = sg.assembly AND b.contig = sg.contig AND qs < e AND qe > s GROUP BY 1, 2) SELECT block_id, first(origin ORDER BY bp DESC, origin DESC) AS origin, max(bp) AS bp FROM o GROUP BY block_id")
 def ref_origin_split(s, d):
     k = view(s, d, "kept")
     seg = evidence.largest_cluster(k).select("assembly", "contig", F.col("ref_id").alias("origin"), F.col("c_start").alias("s"), (F.col("c_start") + F.col("span_bp")).alias("e"))
@@ -461,7 +472,7 @@ def nearest_mean(s, d):
 @query()
 def gmm_subgenomes(s, d):
     ev = evidence.pair_evidence(view(s, d, "kept")).join(_best(s, d).select("assembly", "contig", F.col("best_ref").alias("ref_id")), evidence.PAIR)
-    return subgenome.assign(ev.select("assembly", "contig", "ref_id", "identity"))
+    return subgenome.assign(ev.select("assembly", "contig", "ref_id", ids.subgenome(F.col("ref_id")).alias("ref_subgenome"), "identity"))
 
 
 _LAY = _EV + ", rr AS (SELECT k.assembly, k.contig, k.ref_id, min(rs) + max(re) AS ref_mid FROM kept k JOIN best b ON k.assembly = b.assembly AND k.contig = b.contig AND k.ref_id = b.best_ref GROUP BY 1, 2, 3), ly AS (SELECT assembly, ref_id, contig, contig_len AS length, row_number() OVER w AS part, CAST(coalesce(sum(contig_len + 100) OVER (PARTITION BY assembly, ref_id ORDER BY ref_mid, contig ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS s FROM rr JOIN contigs USING (assembly, contig) WINDOW w AS (PARTITION BY assembly, ref_id ORDER BY ref_mid, contig))"
@@ -482,7 +493,7 @@ def scaffold_agp(s, d):
     return scaffold.agp(_layout(s, d)).withColumn("n", F.col("n").cast("long"))
 
 
-@query(_WITH + ", p AS (SELECT DISTINCT CAST(substring(assembly, 5) AS INT) AS o, best_ref AS ref_id FROM best WHERE (best_bp // 1000) % 3 <> 0), l AS (SELECT ref_id, lag(o) OVER (PARTITION BY ref_id ORDER BY o) AS left_ord, o AS right_ord FROM p) SELECT *, right_ord - left_ord = 1 AS adjacent FROM l WHERE left_ord IS NOT NULL")
+@query(_WITH + ", p AS (SELECT DISTINCT CAST(substring(assembly, 5) AS INT) AS o, best_ref AS ref_id FROM best), l AS (SELECT ref_id, lag(o) OVER (PARTITION BY ref_id ORDER BY o) AS left_ord, o AS right_ord FROM p) SELECT *, right_ord - left_ord = 1 AS adjacent FROM l WHERE left_ord IS NOT NULL")
 def assembly_pairs(s, d):
     p = _best(s, d).select(F.substring("assembly", 5, 9).cast("int").alias("ord"), F.col("best_ref").alias("ref_id")).distinct()
     return compare.assembly_pairs(p)

@@ -59,12 +59,17 @@ def paf(spark: SparkSession, path: str, min_len: int = 0, min_mapq: int = 0, tp:
     return df.filter(F.col("tp").isNull() | F.col("tp").isin(*tp)) if tp else df
 
 
-BLAST = "qseqid string, sseqid string, pident double, length long, mismatch long, gapopen long, qstart long, qend long, sstart long, send long, evalue double, bitscore double, staxids string"
+#: Columns of tabular hits; the last one is missing in twelve-column files.
+BLAST = (("qseqid", "string"), ("sseqid", "string"), ("pident", "double"), ("length", "long"), ("mismatch", "long"), ("gapopen", "long"), ("qstart", "long"), ("qend", "long"), ("sstart", "long"), ("send", "long"), ("evalue", "double"), ("bitscore", "double"), ("staxids", "string"))
 
 
 def blast6(spark: SparkSession, path: str) -> DataFrame:
-    """Hits with ordered query range, the first taxid, and matches cut to whole numbers."""
-    df = spark.read.schema(BLAST).option("sep", "\t").option("comment", "#").option("mode", "DROPMALFORMED").csv(path)
+    """Hits with ordered query range, the first taxid, and matches cut to whole numbers. Lines of fewer than twelve fields, or
+    without numbers where they belong, are left out, whichever columns are read; without taxids they are null.
+    """
+    df = fields(lines(spark, path)).filter(F.size("f") >= 12)
+    df = df.select(*(F.get("f", i).try_cast(t).alias(c) if t != "string" else F.get("f", i).alias(c) for i, (c, t) in enumerate(BLAST)))
+    df = df.dropna(subset=[c for c, t in BLAST if t != "string"])
     df = df.withColumn("taxid", F.get(F.split("staxids", ";"), 0).try_cast("long")).withColumn("matches", F.floor(F.col("pident") * F.col("length") / 100).cast("long"))
     return df.withColumns({"qstart": F.least("qstart", "qend"), "qend": F.greatest("qstart", "qend")})
 
@@ -90,9 +95,11 @@ def genes(spark: SparkSession, path: str) -> DataFrame:
 def gff3_by_refs(spark: SparkSession, path: str, refs: DataFrame) -> DataFrame:
     """Rows on known references, by their own name or its normal form; refs: ref_id, original."""
     df = gff3(spark, path)
-    known = refs.select(F.col("ref_id").alias("norm"), "original")
-    out = df.join(known, (normalize_ref_id(df["seqid"]) == known["norm"]) | (df["seqid"] == known["original"]))
-    return out.withColumn("seqid", F.col("original")).drop("norm", "original", "attrs")
+    by_norm = refs.groupBy(F.col("ref_id").alias("_norm")).agg(F.min("original").alias("_by_norm"))
+    own = refs.select(F.col("original").alias("_own")).distinct()
+    out = df.withColumn("_norm", normalize_ref_id(F.col("seqid"))).join(own, F.col("seqid") == F.col("_own"), "left").join(by_norm, "_norm", "left")
+    out = out.withColumn("seqid", F.coalesce("_own", "_by_norm")).filter("seqid is not null")
+    return out.drop("_norm", "_own", "_by_norm", "attrs")
 
 
 def depth_bed(spark: SparkSession, path: str) -> DataFrame:
