@@ -204,7 +204,7 @@ def test_streams(spark, tmp_path):
     from karyolytics.streaming import depth
 
     schema = "ts timestamp, contig string, depth double"
-    turns = [[("2024-01-01 10:00:00", "a", 2.0), ("2024-01-01 10:20:00", "a", 4.0), ("2024-01-01 11:30:00", "b", 1.0)], [("2024-01-01 18:00:00", "a", 9.0)], [("2024-01-01 10:30:00", "a", 100.0), ("2024-01-01 23:00:00", "b", 1.0)]]
+    turns = [[("2024-01-01 10:00:00", "a", 2.0), ("2024-01-01 10:20:00", "a", 4.0), ("2024-01-01 11:30:00", "b", 1.0)], [("2024-01-01 18:00:00", "a", 9.0)], [("2024-01-01 18:30:00", "b", 9.0)], [("2024-01-01 10:30:00", "a", 100.0), ("2024-01-01 23:00:00", "b", 1.0)]]
     for i, turn in enumerate(turns):
         df = spark.createDataFrame(turn, "ts string, contig string, depth double").withColumn("ts", F.to_timestamp("ts"))
         df.coalesce(1).write.mode("append").parquet(str(tmp_path / "in" / str(i)))
