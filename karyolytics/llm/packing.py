@@ -12,6 +12,7 @@ pieces; an empty table gives an empty result; other columns are not read.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 from functools import cache
@@ -30,6 +31,25 @@ PARTS = 64
 Plan = list[tuple[tuple[int, ...], int]]  # lengths of a bin, times used
 
 
+@cache
+def library(path: str):
+    """The `tokenizers` library's own encoder, and a pattern of the tokens that it finds in texts whatever they are cut into."""
+    from tokenizers import Tokenizer
+
+    tok = Tokenizer.from_file(path)
+    marks = [t.content for t in tok.get_added_tokens_decoder().values()]
+    return tok, re.compile("|".join(map(re.escape, marks))) if marks else None
+
+
+def ids_of(texts: list[str], path: str) -> Iterator[np.ndarray]:
+    """Ids of each text; the few texts with a token of the added ones go to the library itself."""
+    tok, marks = library(path)
+    marked = [marks is not None and marks.search(t) is not None for t in texts]
+    plain = encoder(path).whole([t for t, m in zip(texts, marked) if not m])
+    for t, m in zip(texts, marked):
+        yield np.array(tok.encode(t, add_special_tokens=False).ids, np.uint32) if m else next(plain)
+
+
 @cache
 def encoder(path: str) -> Encoder:
     """Ids of the vocabulary file of the `tokenizers` library; its merges have the order of its ids."""
@@ -158,10 +178,9 @@ def token_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end: int
     """Pieces of each row's ids with the end id; the first piece of a long text takes what is left over."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        e = encoder(path)
         for batch in batches:
             out = []
-            for key, uid, ids in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), e.whole([t or "" for t in batch.column(2).to_pylist()])):
+            for key, uid, ids in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), ids_of([t or "" for t in batch.column(2).to_pylist()], path)):
                 ids = np.append(ids, np.uint32(end)).astype("<u4")
                 at, first = 0, len(ids) % capacity or min(capacity, len(ids))
                 for k, stop in enumerate(range(first, len(ids) + 1, capacity)):

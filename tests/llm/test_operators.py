@@ -22,7 +22,7 @@ WORDS = [f"w{i}" for i in range(300)]
 LONG = " ".join(RND.choice(WORDS) for _ in range(3000))
 PROSE = "\n".join(" ".join(RND.choice(WORDS) for _ in range(40)) + "." for _ in range(4))
 NEAR = PROSE.replace("w7 ", "w8 ", 1) + " end"
-ROWS = [(1, None), (2, ""), (3, " \n\t"), (4, "one"), (5, "One  two\nthree"), (6, LONG), (7, LONG), (7, LONG), (8, PROSE), (9, NEAR), (None, PROSE), (10, PROSE.replace(" ", "\t")), (11, "a" * 5000), (12, "é漢字 'll 's x\n\n\U0001f600"), (13, "x\x0by\x0cz"), (14, "# ** && " * 60), (15, "the same " * 80)]
+ROWS = [(1, None), (2, ""), (3, " \n\t"), (4, "one"), (5, "One  two\nthree"), (6, LONG), (7, LONG), (7, LONG), (8, PROSE), (9, NEAR), (None, PROSE), (10, PROSE.replace(" ", "\t")), (11, "a" * 5000), (12, "é漢字 'll 's x\n\n\U0001f600"), (13, "x\x0by\x0cz"), (14, "# ** && " * 60), (15, "the same " * 80), (16, "hi <|endoftext|> there<|endoftext|>")]
 SCHEMA = "doc_id long, text string"
 
 
@@ -290,7 +290,6 @@ def test_packing(spark, docs, empty):
 
     path = P.path("byte_bpe_50k.json")
     tok = Tokenizer.from_file(path)
-    tok.encode_special_tokens = True
     rows = packing.pack_documents(spark, docs, path).collect()
     want = collections.Counter()
     for i, t in ROWS:
