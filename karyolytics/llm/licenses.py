@@ -2,7 +2,7 @@
 
 A text is cut into sentences; each is normalised (lower case, words only, names of holders and years as placeholders) and
 looked up among known licence sentences. The identifiers found, in order and with their places, are matched against
-rules: sequences of identifiers that name a licence, tried longest first at each place, with at most a few unknown
+rules: sequences of identifiers that name a licence, tried longest first at each place, with at most 13 unknown
 sentences or lines between the end of one and the next. Sentences that no rule takes are reported as unmatched evidence.
 
 All known sentences hold a cue, so a text without any cue needs no cutting; that saves time and changes no result.
@@ -72,8 +72,57 @@ RULES = [
     ("CC0-1.0", ("cc0",)),
     ("MPL-2.0", ("mpl-2",)),
 ]
-CUES = ("licens", "permi", "warrant", "copyright", "redistribut")
-GAP = 2
+#: Names of licences in normalised form, by SPDX identifier.
+NAMES = {
+    "MIT": ["mit license"],
+    "ISC": ["isc license"],
+    "Apache-2.0": ["apache license 2 0", "apache license version 2 0", "apache 2 0 license"],
+    "GPL-2.0-only": ["gnu gpl version 2 license"],
+    "GPL-2.0-or-later": ["gnu general public license version 2 or later", "gnu general public license v2 0 or later"],
+    "GPL-3.0-only": ["gnu gpl version 3 license"],
+    "GPL-3.0-or-later": ["gnu general public license version 3 or later", "gnu general public license v3 0 or later"],
+    "LGPL-2.1-only": ["gnu lesser general public license version 2 1", "gnu lesser general public license v2 1"],
+    "LGPL-2.1-or-later": ["gnu lesser general public license version 2 1 or later"],
+    "LGPL-3.0-only": ["gnu lesser general public license version 3", "gnu lesser general public license v3 0"],
+    "LGPL-3.0-or-later": ["gnu lesser general public license version 3 or later"],
+    "AGPL-3.0-only": ["gnu affero general public license version 3", "gnu affero general public license v3 0"],
+    "AGPL-3.0-or-later": ["gnu affero general public license version 3 or later"],
+    "MPL-1.1": ["mozilla public license version 1 1", "mozilla public license 1 1"],
+    "MPL-2.0": ["mozilla public license version 2 0", "mozilla public license 2 0"],
+    "EPL-1.0": ["eclipse public license version 1 0", "eclipse public license 1 0", "eclipse public license v1 0"],
+    "EPL-2.0": ["eclipse public license version 2 0", "eclipse public license 2 0", "eclipse public license v2 0"],
+    "BSD-2-Clause": ["bsd 2 clause license", "simplified bsd license"],
+    "BSD-3-Clause": ["bsd 3 clause license", "new bsd license", "revised bsd license"],
+    "Unlicense": ["unlicense"],
+    "Zlib": ["zlib license"],
+    "BSL-1.0": ["boost software license version 1 0", "boost software license 1 0"],
+    "Artistic-2.0": ["artistic license 2 0", "artistic license version 2 0"],
+    "EUPL-1.2": ["european union public license version 1 2", "european union public license 1 2"],
+    "CC0-1.0": ["cc0 1 0 universal license"],
+    "CC-BY-4.0": ["creative commons attribution 4 0 international license"],
+    "CC-BY-SA-4.0": ["creative commons attribution sharealike 4 0 international license"],
+    "CC-BY-NC-4.0": ["creative commons attribution noncommercial 4 0 international license"],
+    "CC-BY-ND-4.0": ["creative commons attribution noderivatives 4 0 international license"],
+}
+#: Sentences that name a licence.
+NAMED = ["licensed under the {}", "released under the {}", "distributed under the {}", "published under the {}", "available under the {}", "licensed under the terms of the {}", "this project is licensed under the {}", "this work is licensed under the {}", "this software is licensed under the {}", "this file is licensed under the {}", "the {}", "{}"]
+#: What a work of the free software foundation's licences says of itself.
+OR_LATER = "this {} is free software you can redistribute it and or modify it under the terms of the gnu {} general public license as published by the free software foundation either version {} of the license or at your option any later version"
+_TABLE = {s for v in SENTENCES.values() for s in v}
+for _spdx, _names in NAMES.items():
+    _made = [t.format(n) for n in _names for t in NAMED] + ["spdx license identifier " + " ".join(re.findall("[a-z0-9]+", _spdx.lower()))]
+    if _kind := {"LG": "lesser", "AG": "affero"}.get(_spdx[:2]) if _spdx.endswith("or-later") else None:
+        _made += [OR_LATER.format(w, _kind, _spdx.split("-")[1].removesuffix(".0").replace(".", " ")) for w in ("program", "library")]
+    if _made := [s for s in dict.fromkeys(_made) if s not in _TABLE]:
+        SENTENCES[f"name:{_spdx}"] = _made
+        RULES.append((_spdx, (f"name:{_spdx}",)))
+SENTENCES["isc-grant"] = ["permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies"]
+SENTENCES["unlicense-free"] = ["anyone is free to copy modify publish use compile sell or distribute this software either in source code form or as a compiled binary for any purpose commercial or non commercial and by any means"]
+SENTENCES["unlicense-domain"] = ["this is free and unencumbered software released into the public domain"]
+RULES += [("ISC", ("isc-grant",)), ("Unlicense", ("unlicense-domain", "unlicense-free"))]
+CUES = ("licens", "permi", "warrant", "copyright", "redistribut", "unencumbered", "anyone is free")
+#: Places from the end of one sentence of a rule to the next one, at most: 13 unknown sentences or lines lie between them.
+GAP = 14
 
 _KNOWN = {s: k for k, v in SENTENCES.items() for s in v}
 #: All beginnings of known sentences, by whole words.
@@ -119,7 +168,7 @@ def match(ids: list[tuple[int, str, int]], gap: int = GAP) -> list[tuple[str, in
     out, i = [], 0
     while i < len(ids):
         for licence, rule in _BY_FIRST.get(ids[i][1], ()):
-            if len(rule) <= len(ids) - i and all(ids[i + j][1] == rule[j] for j in range(len(rule))) and all(ids[i + j][0] - ids[i + j - 1][2] <= gap + 12 for j in range(1, len(rule))):
+            if len(rule) <= len(ids) - i and all(ids[i + j][1] == rule[j] for j in range(len(rule))) and all(ids[i + j][0] - ids[i + j - 1][2] <= gap for j in range(1, len(rule))):
                 out.append((licence, ids[i][0], len(rule)))
                 i += len(rule)
                 break

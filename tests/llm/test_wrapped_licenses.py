@@ -22,3 +22,17 @@ def test_gap_from_the_end():
     for lines, found in ((0, True), (5, True), (13, True), (14, False), (40, False)):
         got = licenses.match(licenses.sentence_ids("\n".join([grant, *["other words"] * lines, s["mit-notice"][0]])))
         assert bool(got) == found, lines
+
+
+@pytest.mark.parametrize("text,want", [
+    ("ISC License", "ISC"), ("Mozilla Public License 2.0", "MPL-2.0"), ("SPDX-License-Identifier: GPL-2.0-or-later", "GPL-2.0-or-later"), ("// SPDX-License-Identifier: Apache-2.0", "Apache-2.0"),
+    ("Licensed under the Eclipse Public License - v 2.0", None), ("Licensed under the Eclipse Public License 2.0.", "EPL-2.0"), ("Released under the GNU Affero General Public License, version 3.", "AGPL-3.0-only"),
+    ("This library is free software; you can redistribute it and/or\nmodify it under the terms of the GNU Lesser General Public\nLicense as published by the Free Software Foundation; either\nversion 2.1 of the License, or (at your option) any later version.", "LGPL-2.1-or-later"),
+    ("A licence to print money.", None), ("She had a driving license.", None),
+])
+def test_names(text, want):
+    assert [a for a, *_ in licenses.match(licenses.sentence_ids(text))] == ([want] if want else [])
+
+
+def test_every_sentence_has_a_cue():
+    assert all(any(c in x for c in licenses.CUES) for v in licenses.SENTENCES.values() for x in v)
