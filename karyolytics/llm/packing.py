@@ -33,21 +33,26 @@ Plan = list[tuple[tuple[int, ...], int]]  # lengths of a bin, times used
 
 @cache
 def library(path: str):
-    """The `tokenizers` library's own encoder, and a pattern of the tokens that it finds in texts whatever they are cut into."""
+    """The `tokenizers` library's own encoder."""
     from tokenizers import Tokenizer
 
-    tok = Tokenizer.from_file(path)
-    marks = [t.content for t in tok.get_added_tokens_decoder().values()]
-    return tok, re.compile("|".join(map(re.escape, marks))) if marks else None
+    return Tokenizer.from_file(path)
+
+
+@cache
+def added(path: str) -> re.Pattern:
+    """The tokens that the library finds in texts whatever they are cut into."""
+    from tokenizers import Tokenizer
+
+    return re.compile("|".join(re.escape(t.content) for t in Tokenizer.from_file(path).get_added_tokens_decoder().values()) or r"(?!)")
 
 
 def ids_of(texts: list[str], path: str) -> Iterator[np.ndarray]:
-    """Ids of each text; the few texts with a token of the added ones go to the library itself."""
-    tok, marks = library(path)
-    marked = [marks is not None and marks.search(t) is not None for t in texts]
+    """Ids of each text; texts with a token of the added ones, which are few, go to the library itself."""
+    marked = [added(path).search(t) is not None for t in texts]
     plain = encoder(path).whole([t for t, m in zip(texts, marked) if not m])
     for t, m in zip(texts, marked):
-        yield np.array(tok.encode(t, add_special_tokens=False).ids, np.uint32) if m else next(plain)
+        yield np.array(library(path).encode(t, add_special_tokens=False).ids, np.uint32) if m else next(plain)
 
 
 @cache
