@@ -25,6 +25,8 @@ from .common import WHITE_CLASS, Scratch
 
 #: The state is compacted when it has so many deltas.
 DELTAS = 16
+#: Digests that were hit more than once are broadcast up to so many: a few hundred bytes each.
+BROADCAST_DIGESTS = 200_000
 
 
 def normalised(text: Column) -> Column:
@@ -98,7 +100,10 @@ def exact_dedup(spark: SparkSession, path: str, doc_id: str = "doc_id", text: st
     rows = keyed_rows(source, doc_id, text, digest)
     here = (F.col("file") == F.col("best.file")) & (F.col("row") == F.col("best.row"))
     decided = rows.drop("body").join(state, "digest").select("id", "points", "digest", (-F.col("best.neg_id")).alias("keep_id"), F.col("n").alias("group_size"), here.alias("kept"))
-    hit = scratch.table(rows.join(state.filter("n > 1"), "digest").select("id", "points", "file", "row", "digest", normalised(F.col("body")).alias("norm"), here.alias("first")), "hits")
+    again = state.filter("n > 1")
+    # texts move only where their digest is hit again; a table of such digests that is not small is joined by shuffle
+    of = F.broadcast(again) if again.count() <= BROADCAST_DIGESTS else again
+    hit = scratch.table(rows.join(of, "digest").select("id", "points", "file", "row", "digest", normalised(F.col("body")).alias("norm"), here.alias("first")), "hits")
     firsts = hit.filter("first").select("digest", F.col("norm").alias("first_norm"))
     unlike = hit.filter("not first").select("digest", "norm").join(firsts, "digest").filter("norm <> first_norm").select("digest").distinct()
     unlike = scratch.table(unlike, "unlike")
