@@ -314,7 +314,7 @@ def texts_of(docs: DataFrame, entries: DataFrame, n: int, scratch: Scratch) -> D
                 at = n
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(np.concatenate(counts)), pa.array(got, pa.binary())], ["h", "line", "n", "bits"])
 
-    return scratch.keep(line.mapInArrow(run, "h long, line string, n long, bits binary"), n)
+    return scratch.table(line.mapInArrow(run, "h long, line string, n long, bits binary"), "texts", n)
 
 
 def verified(texts: DataFrame, pairs: DataFrame, per_cent: int) -> DataFrame:
@@ -477,7 +477,7 @@ def links_of(docs: DataFrame, entries: DataFrame, n: int, per_cent: int, s: Scra
     """Links between lines alike that share a band, enough of them to unite all such lines. entries: (band, h, lead) of n lines."""
     texts = texts_of(docs, entries, n, s)
     best = entries.filter("h <> lead").groupBy("h", "lead").agg(F.count("*").alias("k")).groupBy(F.col("h").alias("a")).agg(F.max_by("lead", F.struct("k", "lead")).alias("b"))
-    stars = s.keep(verified(texts, best, per_cent), n)
+    stars = s.table(verified(texts, best, per_cent), "stars", n)
     label = stars
     for _ in range(DOUBLINGS):
         up = label.select(F.col("a").alias("b"), F.col("b").alias("c"))
@@ -485,7 +485,7 @@ def links_of(docs: DataFrame, entries: DataFrame, n: int, per_cent: int, s: Scra
     label = label.select(F.col("a").alias("h"), F.col("b").alias("label"))
     # the last leader, who has none, keeps its own label
     named = entries.select("band", "h").join(label, "h", "left").join(texts.select("h", "n", "bits"), "h").select("band", "h", F.coalesce("label", "h").alias("label"), "n", "bits")
-    left = s.keep(alive(named, per_cent), 2 * n)
+    left = s.table(alive(named, per_cent), "alive", n)
     pairs = left.filter("other is not null").select(F.least("h", "other").alias("a"), F.greatest("h", "other").alias("b")).distinct()
     bands = left.filter("other is null").join(texts, "h").select("band", "h", "label", "bits", "line")
     return stars.unionByName(verified(texts, pairs, per_cent)).unionByName(united(bands, per_cent))
