@@ -363,7 +363,7 @@ class Join:
         sets = self.scratch.keep(texts.mapInArrow(run, "cls long, items array<long>").dropDuplicates(["cls"]))
         both = pairs.join(sets.select(F.col("cls").alias("a"), F.col("items").alias("x")), "a").join(sets.select(F.col("cls").alias("b"), F.col("items").alias("y")), "b")
         both = both.withColumn("c", F.size(F.array_intersect("x", "y")))
-        links = self.scratch.keep(both.filter(100 * F.col("c") >= self.per_cent * (F.col("na") + F.col("nb") - F.col("c"))).select("a", "b"))
+        links = self.scratch.table(both.filter(100 * F.col("c") >= self.per_cent * (F.col("na") + F.col("nb") - F.col("c"))).select("a", "b"), "links", dealt=True)
         return links
 
     def linked(self) -> DataFrame:
@@ -372,23 +372,23 @@ class Join:
         rows = s.keep(rows_of(self.docs, self.n))
         sketch = sum_blocks(rows.filter("block is not null").select("block", "counts"))
         rows = rows.filter("block is null").select("id", "cls", "n", "bits")
-        classes = s.keep(rows.groupBy("cls").agg(F.first("n").alias("n"), F.first("bits").alias("bits"), F.min("id").alias("low"), F.coalesce(F.min("id"), F.lit(-(1 << 63))).alias("key")))
+        classes = s.table(rows.groupBy("cls").agg(F.first("n").alias("n"), F.first("bits").alias("bits"), F.min("id").alias("low"), F.coalesce(F.min("id"), F.lit(-(1 << 63))).alias("key")), "classes", dealt=True)
         count = classes.count()
-        lists = s.keep(shared(prefixes(self.docs, self.n, per_cent, sketch)))
+        lists = s.table(shared(prefixes(self.docs, self.n, per_cent, sketch)), "lists", dealt=True)
         links = tried = known = None
         for turn in range(LEADERS):
-            star = s.keep(leaders(with_components(lists, known), per_cent, turn))
+            star = s.table(leaders(with_components(lists, known), per_cent, turn), "star", count)
             more = self.verified(star, classes)
             links = more if links is None else links.unionByName(more)
             pair = star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
             tried = pair if tried is None else tried.unionByName(pair)
-            known = s.keep(components(links, s, rows=count))
-        pairs = s.keep(product(with_components(lists, known), per_cent, classes.select("cls", "bits")).join(tried, ["a", "b"], "left_anti"))
+            known = s.table(components(links, s, rows=count), "known", count)
+        pairs = s.table(product(with_components(lists, known), per_cent, classes.select("cls", "bits")).join(tried, ["a", "b"], "left_anti"), "pairs", dealt=True)
         more = self.verified(pairs, classes)
         whole = components(links.unionByName(more), s, rows=count).withColumnRenamed("node", "cls")
         of = classes.filter("n > 0").join(whole, "cls", "left").select("cls", F.coalesce("component", "cls").alias("component"), "low")
         low = of.groupBy("component").agg(F.min("low").alias("component_id"))
-        named = s.keep(of.join(low, "component").select("cls", "component_id"))
+        named = s.table(of.join(low, "component").select("cls", "component_id"), "named", count)
         out = rows.drop("bits").join(named, "cls", "left")
         return out.select("id", F.col("n").alias("n_shingles"), F.when(F.col("n") == 0, F.col("id")).otherwise(F.col("component_id")).alias("component_id"))
 
