@@ -17,8 +17,8 @@ import numpy as np
 OTHER, LETTER, NUMBER, SPACE, BREAK = range(5)
 #: Code points with the Unicode property White_Space.
 WHITE_SPACE = [0x09, 0x0A, 0x0B, 0x0C, 0x0D, 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
-CHUNK = 1 << 21
-CACHE = 1_000_000
+CHUNK = 1 << 20
+CACHE = 150_000
 
 
 @cache
