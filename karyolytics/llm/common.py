@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -32,6 +35,22 @@ def shared_dir(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
+def trimmed(run):
+    """The same function over Arrow batches, which gives what it has freed back to the system when a task ends.
+
+    Python workers outlive their tasks, so what their allocators keep would stay beside the executor's later steps.
+    """
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(AttributeError, OSError):  # other C libraries have no such call
+            ctypes.CDLL(None).malloc_trim(0)
+
+    return whole
+
+
 def gathered(df: DataFrame, rows: int, each: int) -> DataFrame:
     """df in as many partitions as so many rows a partition need, but two for each core; never in more than it has."""
     return df.coalesce(max(2 * df.sparkSession.sparkContext.defaultParallelism, rows // each))

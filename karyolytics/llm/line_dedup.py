@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import WHITE, Scratch, components
+from .common import WHITE, Scratch, components, trimmed
 from .ngram_join import BITS, BROADCAST_IDS, distinct_sorted, mix
 
 CHARS, PER_CENT = 5, 80
@@ -238,7 +238,7 @@ def packed(docs: DataFrame, buckets: int) -> DataFrame:
         if held:
             yield flush()
 
-    return docs.mapInArrow(run, "bucket int, kind byte, data binary")
+    return docs.mapInArrow(trimmed(run), "bucket int, kind byte, data binary")
 
 
 MET = "kind byte, band long, h long, lead long, has boolean, id long, key long, at int"
@@ -289,7 +289,7 @@ def met(blobs: DataFrame) -> DataFrame:
             if data:
                 yield from of_kind(kind, data)
 
-    return blobs.repartition("bucket").mapInArrow(run, MET)
+    return blobs.repartition("bucket").mapInArrow(trimmed(run), MET)
 
 
 def texts_of(docs: DataFrame, entries: DataFrame, n: int, scratch: Scratch) -> DataFrame:
@@ -314,7 +314,7 @@ def texts_of(docs: DataFrame, entries: DataFrame, n: int, scratch: Scratch) -> D
                 at = n
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(np.concatenate(counts)), pa.array(got, pa.binary())], ["h", "line", "n", "bits"])
 
-    return scratch.table(line.mapInArrow(run, "h long, line string, n long, bits binary"), "texts", n)
+    return scratch.table(line.mapInArrow(trimmed(run), "h long, line string, n long, bits binary"), "texts", n)
 
 
 def verified(texts: DataFrame, pairs: DataFrame, per_cent: int) -> DataFrame:
@@ -334,7 +334,7 @@ def verified(texts: DataFrame, pairs: DataFrame, per_cent: int) -> DataFrame:
                 i = n
             yield pa.RecordBatch.from_arrays([pa.array([v for v, k in zip(a, keep) if k], pa.int64()), pa.array([v for v, k in zip(b, keep) if k], pa.int64())], ["a", "b"])
 
-    return both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+    return both.select("a", "b", "x", "y").mapInArrow(trimmed(run), "a long, b long")
 
 
 def by_band(rows: DataFrame, run_group, schema: str) -> DataFrame:
@@ -355,7 +355,7 @@ def by_band(rows: DataFrame, run_group, schema: str) -> DataFrame:
                 return
             yield from run_group(*whole)
 
-    return rows.repartition("band").sortWithinPartitions("band", "h").mapInArrow(run, schema)
+    return rows.repartition("band").sortWithinPartitions("band", "h").mapInArrow(trimmed(run), schema)
 
 
 def possible(bits: np.ndarray, n: np.ndarray, i: int, j: np.ndarray, per_cent: int) -> np.ndarray:
@@ -535,4 +535,4 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id", te
             cols[at] = pa.array(texts, cols[at].type)
             yield pa.RecordBatch.from_arrays([*cols, pa.array(counts, pa.int64()), pa.array(lost, pa.int64())], [*names, count, drops])
 
-    return out.mapInArrow(run, schema)
+    return out.mapInArrow(trimmed(run), schema)

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, components
+from .common import Scratch, components, trimmed
 
 WORDS, PER_CENT = 5, 80
 SKETCH = 1 << 20
@@ -163,7 +163,7 @@ def rows_of(docs: DataFrame, n: int) -> DataFrame:
         parts = [p.tobytes() for p in np.split(sketch, BLOCKS)]
         yield pa.RecordBatch.from_arrays([pa.nulls(BLOCKS, pa.int64()), pa.nulls(BLOCKS, pa.int64()), pa.nulls(BLOCKS, pa.int64()), pa.nulls(BLOCKS, pa.binary()), pa.array(range(BLOCKS), pa.int32()), pa.array(parts, pa.binary())], names)
 
-    return docs.mapInArrow(run, "id long, cls long, n long, bits binary, block int, counts binary")
+    return docs.mapInArrow(trimmed(run), "id long, cls long, n long, bits binary, block int, counts binary")
 
 
 def sum_blocks(blocks: DataFrame) -> bytes:
@@ -178,7 +178,7 @@ def sum_blocks(blocks: DataFrame) -> bytes:
         if total:
             yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([x.tobytes() for x in total.values()], pa.binary())], ["block", "counts"])
 
-    got = blocks.repartition("block").mapInArrow(run, "block int, counts binary").collect()  # BLOCKS rows, SKETCH counts
+    got = blocks.repartition("block").mapInArrow(trimmed(run), "block int, counts binary").collect()  # BLOCKS rows, SKETCH counts
     return b"".join(bytes(r["counts"]) for r in sorted(got, key=lambda r: r["block"])) or bytes(8 * SKETCH)
 
 
@@ -204,7 +204,7 @@ def prefixes(docs: DataFrame, n: int, per_cent: int, sketch: bytes) -> DataFrame
                 k = [len(x) for x in h]
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(h)), pa.array(np.repeat(np.array(cls, np.int64), k)), pa.array(np.repeat(np.array(size, np.int64), k))], ["h", "cls", "n"])
 
-    return docs.mapInArrow(run, "h long, cls long, n long")
+    return docs.mapInArrow(trimmed(run), "h long, cls long, n long")
 
 
 def shared(entries: DataFrame) -> DataFrame:
@@ -229,7 +229,7 @@ def shared(entries: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(y[:, i]) for i in range(3)], ["h", "cls", "n"])
             last, last_out = x[-1:], out_last
 
-    return entries.repartition("h").sortWithinPartitions("h", "cls").mapInArrow(run, "h long, cls long, n long")
+    return entries.repartition("h").sortWithinPartitions("h", "cls").mapInArrow(trimmed(run), "h long, cls long, n long")
 
 
 def needed(na: Column, nb: Column, per_cent: int) -> Column:
@@ -312,7 +312,7 @@ def product(lists: DataFrame, per_cent: int, bits: DataFrame | None = None, pref
     if bits is not None:
         lists = lists.join(bits, "cls").select("h", "cls", "n", "component", "bits")
     blocks = lists.repartition("h").sortWithinPartitions("h", "n", "cls")
-    pairs = blocks.mapInArrow(run, "a long, b long, na long, nb long, c long")
+    pairs = blocks.mapInArrow(trimmed(run), "a long, b long, na long, nb long, c long")
     pairs = pairs.groupBy("a", "b").agg(F.first("na").alias("na"), F.first("nb").alias("nb"), F.sum("c").alias("c"))
     return pairs.filter(reachable(F.col("na"), F.col("nb"), F.col("c"), per_cent)) if prefix else pairs
 
@@ -360,7 +360,7 @@ class Join:
                 got = list(sets_of(batch.column(0).to_pylist(), n))
                 yield pa.RecordBatch.from_arrays([pa.array([class_of(s) for s in got], pa.int64()), pa.array(got, pa.list_(pa.int64()))], ["cls", "items"])
 
-        sets = self.scratch.keep(texts.mapInArrow(run, "cls long, items array<long>").dropDuplicates(["cls"]))
+        sets = self.scratch.keep(texts.mapInArrow(trimmed(run), "cls long, items array<long>").dropDuplicates(["cls"]))
         both = pairs.join(sets.select(F.col("cls").alias("a"), F.col("items").alias("x")), "a").join(sets.select(F.col("cls").alias("b"), F.col("items").alias("y")), "b")
         both = both.withColumn("c", F.size(F.array_intersect("x", "y")))
         links = self.scratch.table(both.filter(100 * F.col("c") >= self.per_cent * (F.col("na") + F.col("nb") - F.col("c"))).select("a", "b"), "links", dealt=True)

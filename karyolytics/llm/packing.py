@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import Scratch
+from .common import Scratch, trimmed
 from .pieces import Encoder
 
 CAPACITY, END = 1024, 2
@@ -193,9 +193,10 @@ def token_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end: int
                     at = stop
             cols = list(zip(*out)) or [()] * 6
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()))], ["id", "uid", "piece", "start", "length", "crc"])
+        encoder(path).cache.clear()
 
     rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.monotonically_increasing_id().alias("uid"), F.col(text).alias("text"))
-    return rows.mapInArrow(run, PIECES)
+    return rows.mapInArrow(trimmed(run), PIECES)
 
 
 def pack_documents(spark: SparkSession, docs: DataFrame, path: str, capacity: int = CAPACITY, end: int = END, doc_id: str = "doc_id", text: str = "text", scratch: Scratch | None = None) -> DataFrame:
