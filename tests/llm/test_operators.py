@@ -252,8 +252,30 @@ def test_maxent(spark, docs, empty, sf_dir):
 
 
 def test_maxent_sums_to_one():
-    w = np.random.RandomState(1).randn(maxent_lm.ROWS, maxent_lm.CLASSES)
-    assert np.allclose(np.exp(maxent_lm.log_probabilities(w, np.arange(500))).sum(axis=1), 1)
+    """Over classes, over members of each class, and over all words and unknown ones of a made-up vocabulary."""
+    rnd = np.random.RandomState(1)
+    weights, member = (rnd.randn(maxent_lm.ROWS + more, n).astype(np.float32) for more, n in ((1, maxent_lm.CLASSES), (maxent_lm.CLASSES, maxent_lm.MEMBERS)))
+    a, b, c = (rnd.randint(-(2**62), 2**62, 500) for _ in range(3))
+    y = rnd.randint(maxent_lm.SINGLES + 1, maxent_lm.CLASSES, 500)
+    assert np.allclose(np.exp(maxent_lm.log_softmax(weights, maxent_lm.class_rows(a, b, c))).sum(axis=1), 1, atol=1e-5)
+    assert np.allclose(np.exp(maxent_lm.log_softmax(member, maxent_lm.member_rows(y, a, b))).sum(axis=1), 1, atol=1e-5)
+
+
+def test_maxent_learns_words_before(spark, tmp_path):
+    """Words that are told by the word before, or by the one two back, score far above their unigram share."""
+    rnd = random.Random(3)
+    names = [f"q{chr(97 + i % 26)}{i}x" for i in range(60)]
+    after = {n: names[(7 * i + 3) % 60] for i, n in enumerate(names)}
+
+    def text():
+        out = []
+        for _ in range(60):
+            n = rnd.choice(names)
+            out += [n, after[n]]
+        return " ".join(out)
+
+    rows = maxent_lm.score(spark, spark.createDataFrame([(i, text()) for i in range(600)], SCHEMA)).filter("held_out").collect()
+    assert rows and sum(r.score - r.base_score for r in rows) / sum(r.n_tokens for r in rows) > 0.4
 
 
 def best_possible(items, capacity):
