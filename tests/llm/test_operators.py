@@ -257,8 +257,21 @@ def test_maxent_sums_to_one():
     weights, member = (rnd.randn(maxent_lm.ROWS + more, n).astype(np.float32) for more, n in ((1, maxent_lm.CLASSES), (maxent_lm.CLASSES, maxent_lm.MEMBERS)))
     a, b, c = (rnd.randint(-(2**62), 2**62, 500) for _ in range(3))
     y = rnd.randint(maxent_lm.SINGLES + 1, maxent_lm.CLASSES, 500)
-    assert np.allclose(np.exp(maxent_lm.log_softmax(weights, maxent_lm.class_rows(a, b, c))).sum(axis=1), 1, atol=1e-5)
-    assert np.allclose(np.exp(maxent_lm.log_softmax(member, maxent_lm.member_rows(y, a, b))).sum(axis=1), 1, atol=1e-5)
+    for table, rows, n in ((weights, maxent_lm.class_rows(a, b, c), maxent_lm.CLASSES), (member, maxent_lm.member_rows(y, a, b), maxent_lm.MEMBERS)):
+        p = [np.exp(maxent_lm.log_probability(table, rows, np.full(500, i))) for i in range(n)]
+        assert np.allclose(sum(p), 1, atol=1e-5)
+
+
+def test_maxent_gradient_sums():
+    """Sums by sorted runs are those of one addition after another, for rows that few and many tokens share."""
+    rnd = np.random.RandomState(2)
+    rows = [rnd.zipf(1.3, 5000).clip(0, 900).astype(np.uint16), 901]
+    miss = rnd.randn(5000, 4).astype(np.float32)
+    got, seen, want = np.zeros((902, 4), np.float32), np.zeros(902, np.float32), np.zeros((902, 4))
+    maxent_lm.spread(got, seen, rows, miss)
+    for f in rows:
+        np.add.at(want, np.full(5000, f) if isinstance(f, int) else f, miss)
+    assert np.allclose(got, want, atol=1e-2) and seen.sum() == 10000 and seen[901] == 5000
 
 
 def test_maxent_learns_words_before(spark, tmp_path):
