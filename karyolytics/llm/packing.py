@@ -2,9 +2,11 @@
 
 Lengths are whole numbers up to the capacity, so the instance is a histogram of at most ``capacity`` entries however many
 documents there are. The driver packs the histogram: around the largest remaining length it enumerates fillings of the
-rest of the bin in order of waste, skips dominated ones and those that no longer can beat the best found, and applies a
-filling as often as the counts allow. Best-fit-decreasing gives the first incumbent; further descents take other fillings
-at a few levels, and stop at the bound of all lengths over the capacity. Pieces then get their bin by rank within length.
+rest of the bin in order of waste and skips dominated ones. A branch is a filling, taken as often as the counts allow or
+once. Branches are searched depth first with backtracking, in rounds that allow one departure from the first branch more
+each; a branch is cut when its waste can't beat the best plan found, which best-fit-decreasing gives at first. The search
+ends when the lower bound is reached, when no branch is left, or after NODES steps, whatever the number of documents;
+then the best plan so far stays, and all pieces are packed in each case. Pieces get their bin by rank within length.
 
 Cases: a null or empty text is the end id alone; a text of exactly the capacity is not cut; repeated rows each have their
 pieces; an empty table gives an empty result; other columns are not read.
@@ -28,6 +30,7 @@ from .pieces import Encoder
 
 CAPACITY, END = 1024, 2
 PARTS = 64
+NODES = 2_000_000  # steps of the search on the driver, some seconds
 Plan = list[tuple[tuple[int, ...], int]]  # lengths of a bin, times used
 
 
@@ -73,14 +76,14 @@ def encoder(path: str) -> Encoder:
     return Encoder(lambda pieces: [core.encode_single_piece(p.encode("utf-8", "replace")) for p in pieces])
 
 
-def fillings(room: int, counts: list[int], limit: int, nodes: int = 4000) -> list[tuple[int, tuple[int, ...]]]:
+def fillings(room: int, counts: list[int], limit: int, nodes: int = 4000) -> tuple[list[tuple[int, tuple[int, ...]]], int]:
     """Up to ``limit`` undominated fillings of the room as (waste, lengths), least waste first.
 
-    Depth first over lengths in falling order. A filling is dominated if a length not used fits its waste.
+    Depth first over lengths in falling order, with the steps this took. A filling is dominated if a length not used fits its waste.
     """
     sizes = [s for s in range(min(room, len(counts) - 1), 0, -1) if counts[s]]
     if not sizes:
-        return [(room, ())]
+        return [(room, ())], 1
     suffix_min = sizes[-1]
     best: list[tuple[int, tuple[int, ...]]] = []
     left = nodes
@@ -110,7 +113,7 @@ def fillings(room: int, counts: list[int], limit: int, nodes: int = 4000) -> lis
         return False
 
     walk(0, room, ())
-    return best or [(room, ())]
+    return best or [(room, ())], nodes - max(left, 0)
 
 
 def best_fit(counts: dict[int, int], capacity: int) -> Plan:
@@ -136,44 +139,79 @@ def best_fit(counts: dict[int, int], capacity: int) -> Plan:
     return plan
 
 
-def complete(counts: dict[int, int], capacity: int, choice: dict[int, int], most: int) -> Plan | None:
-    """One descent of bin completion; choice: at which level another filling than the first is taken. None if it can't beat most."""
+def lower_bound(counts: dict[int, int], capacity: int) -> int:
+    """Bins that any plan needs: those of lengths above half, and what smaller ones from some length on need beyond their room."""
+    n = np.zeros(capacity + 1, np.int64)
+    n[list(counts)] = list(counts.values())
+    number, total = np.append(0, np.cumsum(n)), np.append(0, np.cumsum(n * np.arange(capacity + 1)))
+    half, best = capacity // 2, 0
+    for least in range(half + 1):
+        alone = number[-1] - number[capacity - least + 1]
+        shared, filled = number[capacity - least + 1] - number[half + 1], total[capacity - least + 1] - total[half + 1]
+        small = total[half + 1] - total[least]
+        best = max(best, int(alone + shared + max(0, -(-(small - (shared * capacity - filled)) // capacity))))
+    return best
+
+
+def complete(counts: dict[int, int], capacity: int, best: Plan, bound: int, nodes: int) -> Plan:
+    """Bin completion by branch and bound from an incumbent, at most so many steps."""
     left = [0] * (capacity + 1)
     for s, n in counts.items():
         left[s] = n
-    plan: Plan = []
-    used, waste, level = 0, 0, 0
-    allowed = (most - 1) * capacity - sum(s * n for s, n in counts.items())  # waste that still gives fewer bins
-    for s in range(capacity, 0, -1):
-        while left[s]:
-            left[s] -= 1
-            found = fillings(capacity - s, left, 1 + choice.get(level, 0))
-            w, rest = found[min(choice.get(level, 0), len(found) - 1)]
-            left[s] += 1
-            taken = (s, *rest)
-            times = min(left[t] // taken.count(t) for t in set(taken))
-            for t in taken:
-                left[t] -= times
-            plan.append((taken, times))
-            used, waste, level = used + times, waste + w * times, level + 1
-            if waste > allowed:
-                return None
-    return plan
+    total, size = sum(s * n for s, n in counts.items()), sum(n for _, n in best)
+    departures, more = 0, True
+    while more and nodes > 0 and size > bound:
+        more = False  # whether a branch was left out for its departures
+        levels: list[list] = []  # branches in order, the next one's place, departures before, the branch taken
+        used = waste = spent = 0
+        s, down = capacity, True
+        while True:
+            if down:
+                while s and not left[s]:
+                    s -= 1
+                if not s and used < size:
+                    best, size = [level[3][:2] for level in levels], used
+                if s and nodes > 0 and size > bound:
+                    left[s] -= 1
+                    want = 1 + departures - spent
+                    found, steps = fillings(capacity - s, left, want + 1)
+                    left[s] += 1
+                    nodes -= steps
+                    plans = [(w, (s, *rest)) for w, rest in found]
+                    most = [min(left[t] // taken.count(t) for t in set(taken)) for _, taken in plans]
+                    branches = [(taken, k, w * k) for (w, taken), k in zip(plans, most)]
+                    branches += [(taken, 1, w) for (w, taken), k in zip(plans, most) if k > 1]
+                    more |= len(branches) > want
+                    levels.append([branches[:want], 0, spent, None])
+            if not levels:
+                break
+            branches, place, spent, taken = levels[-1]
+            if taken is not None:
+                for t in taken[0]:
+                    left[t] += taken[1]
+                used, waste = used - taken[1], waste - taken[2]
+                levels[-1][3] = None
+            if place == len(branches) or nodes <= 0 or size <= bound:
+                levels.pop()
+                down = False
+                continue
+            branch = branches[place]
+            levels[-1][1], spent, s = place + 1, spent + place, branch[0][0]
+            if waste + branch[2] > (size - 1) * capacity - total:
+                down = False
+                continue
+            for t in branch[0]:
+                left[t] -= branch[1]
+            used, waste, down = used + branch[1], waste + branch[2], True
+            levels[-1][3] = branch
+        departures += 1
+    return best
 
 
-def pack(counts: dict[int, int], capacity: int, descents: int = 12) -> Plan:
+def pack(counts: dict[int, int], capacity: int, nodes: int = NODES) -> Plan:
     """Bins for lengths 1 to capacity with their counts."""
     counts = {s: n for s, n in counts.items() if n}
-    bound = -(-sum(s * n for s, n in counts.items()) // capacity)
-    best = best_fit(counts, capacity)
-    size = sum(n for _, n in best)
-    for d in range(descents):
-        if size <= bound:
-            break
-        choice = {} if d == 0 else {(d - 1) % 4: 1 + (d - 1) // 4}
-        if (got := complete(counts, capacity, choice, size)) is not None:
-            best, size = got, sum(n for _, n in got)
-    return best
+    return complete(counts, capacity, best_fit(counts, capacity), lower_bound(counts, capacity), nodes)
 
 
 PIECES = "id long, uid long, piece int, start long, length long, crc long"
