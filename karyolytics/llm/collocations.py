@@ -26,13 +26,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import Scratch, trimmed
+from .common import Scratch, give_back, trimmed
 
 LEAST, TOP = 10, 2000
 #: A phrase is dropped for a longer one that has so many hundredths of its occurrences.
 COVERED = 50
 #: Bytes of text of a block.
-BLOCK = 8 << 20
+BLOCK = 4 << 20
 BLANK, BREAK = b" \t", b".,;:!?\n\v\f\r"
 KIND = np.zeros(256, np.uint8)
 KIND[list(BLANK)], KIND[list(BREAK)] = 1, 2
@@ -129,7 +129,9 @@ def with_ids(left: pa.Table, right: pa.Table) -> pa.Table:
     seq, local = np.frombuffer(left["seq"][0].as_py(), np.int32), column(right, "local")
     to = np.full(int(seq.max(initial=-1)) + 2, -1, np.int32)  # the last place is for breaks
     to[local] = np.arange(len(local))
-    return pa.table({"block": left["b"], "seq": pa.array([to[seq].tobytes()], pa.binary()), "ids": pa.array([column(right, "id").tobytes()], pa.binary())})
+    out = pa.table({"block": left["b"], "seq": pa.array([to[seq].tobytes()], pa.binary()), "ids": pa.array([column(right, "id").tobytes()], pa.binary())})
+    give_back()
+    return out
 
 
 def neighbours(seq: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -172,6 +174,8 @@ def block_triples(left: pa.Table, right: pa.Table) -> pa.Table:
         pairs[at] = to[rank]
         key, n = np.unique(neighbours(pairs, len(local))[1], return_counts=True)
         p, q = (pair_ids[x] for x in np.divmod(key, len(local)))
+        del at, key, distinct, rank, pairs
+        give_back()
     return pa.table({"l": pa.array(p, pa.int64()), "r": pa.array(q, pa.int64()), "n": pa.array(n, pa.int64())})
 
 
@@ -188,7 +192,7 @@ def collocations(spark: SparkSession, docs: DataFrame, lang: str = "lang", text:
     cells = first.select("block", "lang", F.posexplode(F.arrays_zip("words", "counts")).alias("local", "x")).select("block", "local", "lang", F.col("x.words").alias("word"), F.col("x.counts").alias("n"))
     words = named(cells.groupBy("lang", "word").agg(F.sum("n").alias("f")), scratch, "word-names", least)
     of = lambda rows, names, keys: rows.join(names.select("id", *keys).hint("shuffle_hash"), keys).select("block", "local", "id")
-    blocks = scratch.table(first.select(F.col("block").alias("b"), "seq").groupBy("b").cogroup(of(cells, words, ["lang", "word"]).groupBy("block")).applyInArrow(with_ids, "block long, seq binary, ids binary"), "blocks", dealt=True)
+    blocks = scratch.table(first.select(F.col("block").alias("b"), "seq").groupBy("b").cogroup(of(cells, words, ["lang", "word"]).groupBy("block")).applyInArrow(with_ids, "block long, seq binary, ids binary"), "blocks")
     cells = block_pairs(blocks)
     pairs = named(cells.groupBy("l", "r").agg(F.sum("n").alias("f")), scratch, "pair-names", least)
     triples = blocks.select(F.col("block").alias("b"), "seq", "ids").groupBy("b").cogroup(of(cells, pairs, ["l", "r"]).groupBy("block")).applyInArrow(block_triples, "l long, r long, n long")

@@ -35,6 +35,14 @@ def shared_dir(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
+def give_back() -> None:
+    """What this worker's allocators have freed goes back to the system."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(AttributeError, OSError):  # other C libraries have no such call
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def trimmed(run):
     """The same function over Arrow batches, which gives what it has freed back to the system when a task ends.
 
@@ -43,10 +51,7 @@ def trimmed(run):
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from run(batches)
-        gc.collect()
-        pa.default_memory_pool().release_unused()
-        with contextlib.suppress(AttributeError, OSError):  # other C libraries have no such call
-            ctypes.CDLL(None).malloc_trim(0)
+        give_back()
 
     return whole
 
