@@ -113,9 +113,16 @@ def word_blocks(docs: DataFrame, lang: str, text: str) -> DataFrame:
     return rows.mapInArrow(trimmed(run), "block long, lang string, seq binary, n long, words array<string>, counts array<long>")
 
 
-def named(counts: DataFrame, scratch: Scratch, name: str, least: int) -> DataFrame:
-    """The counted things that are frequent, with an id each. The ids are written, so they stay."""
-    return scratch.table(counts.filter(F.col("f") >= least).withColumn("id", F.monotonically_increasing_id()), name, dealt=True)
+def named(cells: DataFrame, keys: list[str], scratch: Scratch, name: str, least: int) -> DataFrame:
+    """cells: block, local, n and the keys of what is counted. Those of frequent keys, with f and id of the key.
+
+    Counts meet and ids come back in one shuffle by key, in which a key has a row for each block that has it. The ids are
+    written, so they stay. ``first`` holds for one row of each key.
+    """
+    of = W.partitionBy(*keys)
+    frequent = cells.withColumn("f", F.sum("n").over(of)).filter(F.col("f") >= least).withColumn("row", F.monotonically_increasing_id())
+    out = frequent.withColumn("id", F.min("row").over(of)).select("block", "local", *keys, "f", "id", (F.col("row") == F.col("id")).alias("first"))
+    return scratch.table(out, name, dealt=True)
 
 
 def column(table: pa.Table, name: str) -> np.ndarray:
@@ -188,18 +195,17 @@ def collocations(spark: SparkSession, docs: DataFrame, lang: str = "lang", text:
     """lang, rank, phrase, a, l, r, n, score of the best phrases of each language; top None gives all."""
     scratch = scratch or Scratch(spark, "collocations")
     first = scratch.table(word_blocks(docs, lang, text), "words")
-    totals = first.groupBy("lang").agg(F.sum("n").alias("n"))
+    totals = scratch.table(first.groupBy("lang").agg(F.sum("n").alias("n")), "totals", dealt=True)
     cells = first.select("block", "lang", F.posexplode(F.arrays_zip("words", "counts")).alias("local", "x")).select("block", "local", "lang", F.col("x.words").alias("word"), F.col("x.counts").alias("n"))
-    words = named(cells.groupBy("lang", "word").agg(F.sum("n").alias("f")), scratch, "word-names", least)
-    of = lambda rows, names, keys: rows.join(names.select("id", *keys).hint("shuffle_hash"), keys).select("block", "local", "id")
-    blocks = scratch.table(first.select(F.col("block").alias("b"), "seq").groupBy("b").cogroup(of(cells, words, ["lang", "word"]).groupBy("block")).applyInArrow(with_ids, "block long, seq binary, ids binary"), "blocks")
-    cells = block_pairs(blocks)
-    pairs = named(cells.groupBy("l", "r").agg(F.sum("n").alias("f")), scratch, "pair-names", least)
-    triples = blocks.select(F.col("block").alias("b"), "seq", "ids").groupBy("b").cogroup(of(cells, pairs, ["l", "r"]).groupBy("block")).applyInArrow(block_triples, "l long, r long, n long")
+    words = named(cells, ["lang", "word"], scratch, "words-named", least)
+    blocks = first.select(F.col("block").alias("b"), "seq").groupBy("b").cogroup(words.select("block", "local", "id").groupBy("block")).applyInArrow(with_ids, "block long, seq binary, ids binary")
+    blocks = scratch.table(blocks, "blocks")
+    scratch.drop(first)
+    pairs = named(block_pairs(blocks), ["l", "r"], scratch, "pairs-named", least)
+    triples = blocks.select(F.col("block").alias("b"), "seq", "ids").groupBy("b").cogroup(pairs.select("block", "local", "id").groupBy("block")).applyInArrow(block_triples, "l long, r long, n long")
     triples = scratch.table(triples.groupBy("l", "r").agg(F.sum("n").alias("f")).filter(F.col("f") >= least), "triples", dealt=True)
-    totals = scratch.table(totals, "totals", dealt=True)
-    scratch.drop(first, blocks)
-    return ranked(words, pairs, triples, totals, top)
+    scratch.drop(blocks)
+    return ranked(words.filter("first"), pairs.filter("first"), triples, totals, top)
 
 
 def ranked(words: DataFrame, pairs: DataFrame, triples: DataFrame, totals: DataFrame, top: int | None) -> DataFrame:
