@@ -62,3 +62,9 @@ def natural_key(c: Column) -> list[Column]:
     """Sort columns: chromosome number, then contig number, then name."""
     n = lambda p: F.regexp_extract(c, p, 1).try_cast("int")
     return [n("(?i)chr(\\d+)").asc_nulls_last(), n("(?i)contig_(\\d+)").asc_nulls_last(), c.asc()]
+
+
+def numeric_key(c: Column) -> Column:
+    """A string that sorts as the name does with its numbers taken as numbers."""
+    parts = F.regexp_extract_all(c, F.lit("(\\d+|\\D+)"), 1)
+    return F.array_join(F.transform(parts, lambda x: F.when(x.rlike("^\\d"), F.lpad(x, F.greatest(F.length(x), F.lit(20)), F.lit("0"))).otherwise(x)), "")

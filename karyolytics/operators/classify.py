@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT, Config
+from .evidence import CONTIG
 
 #: Classes in order of precedence.
 CLASSES = ("chrom_assigned", "chrom_unassigned", "organelle_complete", "organelle_debris", "rDNA", "contaminant", "chrom_debris", "debris", "unclassified")
@@ -20,17 +21,6 @@ def full_length(n_telomeres: Column, ratio: Column, coverage: Column, cfg: Confi
     return yes, conf
 
 
-def chromosome_confidence(frac: Column, genes: Column, collinearity: Column, gc_dev: Column) -> Column:
-    """Order of the tests matters: strong evidence, then what lowers it."""
-    base = F.when((frac >= 0.5) & (genes >= 10), "high").when((frac >= 0.2) & (genes >= 3), "medium").otherwise("low")
-    lowered = F.when(base == "high", "medium").otherwise("low")
-    return F.when((collinearity < 0.5) | (F.coalesce(gc_dev, F.lit(0.0)) > 3), lowered).otherwise(base)
-
-
-def debris_confidence(coverage: Column, identity: Column) -> Column:
-    return F.when((coverage < 0.85) | (identity < 0.92), "medium").otherwise("high")
-
-
 def rearrangement_confidence(span: Column, supported: Column) -> Column:
     return F.when((span > 1_000_000) & supported, "high").when(span > 1_000_000, "medium").when((span >= 50_000) & supported, "medium").otherwise("low")
 
@@ -49,20 +39,24 @@ def cascade(contigs: DataFrame) -> DataFrame:
 
 
 def exclude(contigs: DataFrame, *taken: DataFrame) -> DataFrame:
-    """Contigs in none of the tables; a table without the assembly holds for every one."""
+    """Contigs of an assembly that are in none of the tables."""
     for t in taken:
-        keys = [c for c in ("assembly", "contig") if c in t.columns]
-        contigs = contigs.join(t.select(*keys), keys, "left_anti")
+        contigs = contigs.join(t.select(*CONTIG), CONTIG, "left_anti")
     return contigs
 
 
 def names(contigs: DataFrame) -> DataFrame:
-    """contigs: assembly, contig, ref_id, full_length, identity, length. Names by reference, others by falling length."""
-    full, frag = F.col("full_length") & F.col("ref_id").isNotNull(), ~F.col("full_length") & F.col("ref_id").isNotNull()
-    kind = F.when(full, "c").when(frag, "f").otherwise("o")
+    """contigs: assembly, contig, ref_id, subgenome (of the query, null for the primary one), full_length, identity, length.
+
+    Those of a reference and subgenome are named after both, several full-length ones as copies and others as fragments,
+    by falling identity; contigs without reference by falling length.
+    """
+    on = F.col("ref_id").isNotNull()
+    kind = F.when(on & F.col("full_length"), "c").when(on, "f").otherwise("o")
     df = contigs.withColumn("_kind", kind)
-    group = W.partitionBy("assembly", "ref_id", "_kind")
-    n = F.row_number().over(group.orderBy(F.desc("identity"), F.desc("length"), "contig"))
-    other = F.row_number().over(W.partitionBy("assembly", "ref_id", "_kind").orderBy(F.desc("length"), "contig"))
-    named = F.when(full & (F.count("*").over(group) == 1), F.col("ref_id")).when(full, F.concat("ref_id", F.lit("_c"), n)).when(frag, F.concat("ref_id", F.lit("_f"), n)).otherwise(F.concat(F.lit("contig_"), other))
+    group = W.partitionBy("assembly", "ref_id", F.when(on, F.col("subgenome")), "_kind")
+    n = F.row_number().over(group.orderBy(F.coalesce("identity", F.lit(0.0)).desc(), F.desc("length"), "contig"))
+    other = F.row_number().over(W.partitionBy("assembly", "_kind").orderBy(F.desc("length"), "contig"))
+    base = F.concat_ws("_", "ref_id", "subgenome")
+    named = F.when(F.col("_kind") == "o", F.concat(F.lit("contig_"), other)).when((F.col("_kind") == "c") & (F.count("*").over(group) == 1), base).otherwise(F.concat(base, F.lit("_"), "_kind", n))
     return df.withColumn("name", named).drop("_kind")

@@ -57,12 +57,12 @@ def strand_votes(blocks: DataFrame) -> DataFrame:
     return out.withColumn("strand", F.when(F.col("reverse") > F.col("forward"), "-").otherwise("+"))
 
 
-def collinearity(chains: DataFrame) -> DataFrame:
+def collinearity(chains: DataFrame, ties: list[str]) -> DataFrame:
     """Share of neighbouring chains, weighted by the smaller one, that keep strand and direction."""
-    w = W.partitionBy(*PAIR).orderBy(F.col("qs") + F.col("qe"), *BLOCK, "l_orderkey", "l_linenumber", "l_partkey")
+    w = W.partitionBy(*PAIR).orderBy(F.col("qs") + F.col("qe"), *BLOCK, *ties)
     r = F.col("rs") + F.col("re")
     df = chains.withColumn("_w", F.when(F.lead("matches").over(w).isNotNull(), F.least("matches", F.lead("matches").over(w))))
-    df = df.withColumn("_same", (F.lead("strand").over(w) == F.col("strand")) & F.when(F.col("strand") == "+", F.lead(r).over(w) >= r).otherwise(F.lead(r).over(w) <= r))
+    df = df.withColumn("_same", (F.lead("strand").over(w) == F.col("strand")) & F.when(F.col("strand") == "+", F.lead(r).over(w) > r).otherwise(F.lead(r).over(w) < r))
     out = df.groupBy(*PAIR).agg(F.coalesce(F.sum("_w"), F.lit(0)).alias("weight"), F.coalesce(F.sum(F.when(F.col("_same"), F.col("_w"))), F.lit(0)).alias("kept"))
     return out.select(*PAIR, "weight", F.when(F.col("weight") == 0, 1.0).otherwise(F.round(F.col("kept") / F.col("weight"), 6)).alias("collinearity"))
 

@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from ..config import DEFAULT, Config
+from .evidence import CONTIG
 from .intervals import merged
 
 
@@ -22,33 +29,33 @@ def chained(df: DataFrame, keys: list[str], start: str, end: str, gap: int, ties
 
 
 def loci(hits: DataFrame, tie: str, cfg: Config = DEFAULT) -> DataFrame:
-    """hits: contig, start, end, strand, pident. Majority strand, the first seen on ties; identity by length."""
-    df = chained(hits, ["contig"], "start", "end", cfg.locus_gap, [tie], "locus")
+    """hits: assembly, contig, start, end, strand, pident. Majority strand, the first seen on ties; identity by length."""
+    df = chained(hits, CONTIG, "start", "end", cfg.locus_gap, [tie], "locus")
     length = F.col("end") - F.col("start")
-    votes = df.groupBy("contig", "locus", "strand").agg(F.count("*").alias("n"), F.min(F.struct("start", "end", tie)).alias("first"), F.min("start").alias("s"), F.max("end").alias("e"), F.sum(F.col("pident") * length).alias("w"), F.sum(length).alias("bp"))
-    return votes.groupBy("contig", "locus").agg(F.min("s").alias("start"), F.max("e").alias("end"), F.min_by("strand", F.struct(-F.col("n"), "first")).alias("strand"), F.sum("n").alias("n_hits"), F.round(F.sum("w") / F.sum("bp"), 6).alias("identity"), F.sum("w").alias("identity_sum"), F.sum("bp").alias("identity_bp"))
+    votes = df.groupBy(*CONTIG, "locus", "strand").agg(F.count("*").alias("n"), F.min(F.struct("start", "end", tie)).alias("first"), F.min("start").alias("s"), F.max("end").alias("e"), F.sum(F.col("pident") * length).alias("w"), F.sum(length).alias("bp"))
+    return votes.groupBy(*CONTIG, "locus").agg(F.min("s").alias("start"), F.max("e").alias("end"), F.min_by("strand", F.struct(-F.col("n"), "first")).alias("strand"), F.sum("n").alias("n_hits"), F.round(F.sum("w") / F.sum("bp"), 6).alias("identity"), F.sum("w").alias("identity_sum"), F.sum("bp").alias("identity_bp"))
 
 
 def arrays(loci_: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
     """Runs of loci. Identities are compared unrounded, as sums over lengths, and rounded once."""
     loci_ = loci_.withColumn("identity", F.col("identity_sum") / F.col("identity_bp"))
-    df = chained(loci_, ["contig"], "start", "end", cfg.array_gap, [], "array")
-    out = df.groupBy("contig", "array").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.count("*").alias("n_copies"), F.round(F.min("identity"), 6).alias("min_identity"), F.round(F.max("identity"), 6).alias("max_identity"), F.round(F.median("identity"), 6).alias("median_identity"))
+    df = chained(loci_, CONTIG, "start", "end", cfg.array_gap, [], "array")
+    out = df.groupBy(*CONTIG, "array").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.count("*").alias("n_copies"), F.round(F.min("identity"), 6).alias("min_identity"), F.round(F.max("identity"), 6).alias("max_identity"), F.round(F.median("identity"), 6).alias("median_identity"))
     return out.filter(F.col("n_copies") >= cfg.array_min_copies).drop("array")
 
 
 def regions(hits: DataFrame, least: int, flank: int, lengths: DataFrame) -> DataFrame:
     """Merged hits of some size, with flanks clipped to the contig, merged again."""
-    m = merged(hits, ["contig"], "start", "end").filter(F.col("end") - F.col("start") >= least).join(lengths, "contig")
-    m = m.select("contig", F.greatest(F.lit(0), F.col("start") - flank).alias("start"), F.least("contig_len", F.col("end") + flank).alias("end"))
-    return merged(m, ["contig"], "start", "end")
+    m = merged(hits, CONTIG, "start", "end").filter(F.col("end") - F.col("start") >= least).join(lengths, CONTIG)
+    m = m.select(*CONTIG, F.greatest(F.lit(0), F.col("start") - flank).alias("start"), F.least("contig_len", F.col("end") + flank).alias("end"))
+    return merged(m, CONTIG, "start", "end")
 
 
-def repeat_period(distances: DataFrame, key: str, distance: str, width: int = 500) -> DataFrame:
+def repeat_period(distances: DataFrame, keys: list[str], distance: str, width: int = 500) -> DataFrame:
     """The median distance within the fullest histogram bin, the lowest on ties."""
     df = distances.withColumn("bin", F.floor(F.col(distance) / width))
-    top = df.groupBy(key, "bin").agg(F.count("*").alias("n"), F.median(distance).alias("m"))
-    return top.groupBy(key).agg(F.max_by("m", F.struct("n", -F.col("bin"))).cast("long").alias("period"), F.max("n").alias("support"))
+    top = df.groupBy(*keys, "bin").agg(F.count("*").alias("n"), F.median(distance).alias("m"))
+    return top.groupBy(*keys).agg(F.max_by("m", F.struct("n", -F.col("bin"))).cast("long").alias("period"), F.max("n").alias("support"))
 
 
 def tiles(seqs: DataFrame, period: int) -> DataFrame:
@@ -58,24 +65,134 @@ def tiles(seqs: DataFrame, period: int) -> DataFrame:
     return seqs.filter(n > 0).withColumn("at", at).withColumn("copy", F.substring(F.col("seq"), F.col("at") + 1, F.lit(period)))
 
 
-def column_consensus(seqs: DataFrame, key: str, seq: str, least: float = 0.5) -> DataFrame:
-    """The most frequent sign of each column (the least one on ties) if it has the support, else N; gaps are left out."""
-    pos = seqs.select(key, F.posexplode(F.split(seq, "")).alias("pos", "base"))
-    votes = pos.groupBy(key, "pos", "base").agg(F.count("*").alias("n"))
-    total = votes.groupBy(key, "pos").agg(F.sum("n").alias("all"), F.max(F.struct("n", (-F.ascii("base")).alias("k"), "base")).alias("top"))
-    called = total.select(key, "pos", F.when(F.col("top.base") == "-", "").when(F.col("top.n") >= least * F.col("all"), F.col("top.base")).otherwise("N").alias("call"))
-    return called.groupBy(key).agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("pos", "call"))), lambda x: x["call"]), "").alias("consensus"))
-
-
-def central_copy(hits: DataFrame) -> DataFrame:
-    """The copy with the highest mean over others of the best identity. hits: q, t, pident."""
-    best = hits.filter("q <> t").groupBy("q", "t").agg(F.max("pident").alias("p"))
-    return best.groupBy("q").agg(F.avg("p").alias("mean")).agg(F.max_by("q", F.struct("mean", F.col("q"))).alias("central"))
+def column_consensus(seqs: DataFrame, key: str, seq: str, least: float = 0.5, width: int = 4096) -> DataFrame:
+    """Of each key's aligned sequences the most frequent base of each column, the least one on ties.
+
+    Columns where fewer than the share of all sequences have a base are left out; gaps are - and ., case does not count.
+
+    Sequences are cut into blocks of columns. Tasks count the signs of each block's columns, or hand on the stretches
+    themselves where those are smaller; counts of a block meet by shuffle and are added up as they stream past, so a key
+    with very many or very long sequences is many blocks, and no task holds more than one block's counts.
+    """
+    rows = seqs.select(F.col(key).alias("key"), F.col(seq).alias("seq")).filter("seq is not null")
+    kind = seqs.schema[key].dataType
+
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = {}, 0
+
+        def flush() -> pa.RecordBatch:
+            out = []
+            for (k, b), parts in held.items():
+                counts = Columns(width)
+                for p in parts:
+                    counts.add(p)
+                if sum(map(len, parts)) < len(counts.of) * counts.used:
+                    out += [(k, b, p.astype("<u4").tobytes(), None, None) for p in parts]
+                else:
+                    out += [(k, b, None, int(s), n[: counts.used].astype("<i8").tobytes()) for s, n in counts.of.items()]
+            types = (None, pa.int64(), pa.binary(), pa.int64(), pa.binary())
+            return pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t or to_arrow_type(kind)) for i, t in enumerate(types)], ["key", "block", "part", "sign", "counts"])
+
+        for batch in batches:
+            for k, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                codes = np.frombuffer(text.as_py().encode("utf-32-le", "surrogatepass"), "<u4")
+                codes = codes - 32 * ((codes >= ord("a")) & (codes <= ord("z"))).astype("<u4")
+                for b in range(-(-len(codes) // width)):
+                    held.setdefault((k, b), []).append(codes[b * width : (b + 1) * width])
+                size += codes.nbytes
+                if size > 64 << 20:
+                    yield flush()
+                    held, size = {}, 0
+        if held:
+            yield flush()
+
+    def called(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, counts = None, Columns(width)
+        for batch in batches:
+            keys, out = list(zip(*(batch.column(i).to_pylist() for i in (0, 1, 5)))), []
+            for at, part, sign, n in zip(keys, *(batch.column(i) for i in (2, 3, 4))):
+                if at != now:
+                    if now is not None:
+                        out.append((*now[:2], counts.call(least, now[2])))
+                    now, counts = at, Columns(width)
+                if part.is_valid:
+                    counts.add(np.frombuffer(part.as_py(), "<u4"))
+                else:
+                    counts.plus(sign.as_py(), np.frombuffer(n.as_py(), "<i8"))
+            yield done(out)
+        if now is not None:
+            yield done([(*now[:2], counts.call(least, now[2]))])
+
+    def done(out: list) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate((to_arrow_type(kind), pa.int64(), pa.string()))], ["key", "block", "call"])
+
+    def fields(*more: tuple[str, T.DataType]) -> T.StructType:
+        return T.StructType([T.StructField("key", kind), T.StructField("block", T.LongType()), *(T.StructField(*m) for m in more)])
+
+    counted = rows.mapInArrow(partial, fields(("part", T.BinaryType()), ("sign", T.LongType()), ("counts", T.BinaryType())))
+    counted = counted.join(rows.groupBy("key").agg(F.count("*").alias("n_seqs")), "key")
+    calls = counted.repartition("key", "block").sortWithinPartitions("key", "block").mapInArrow(called, fields(("call", T.StringType())))
+    whole = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("block", "call"))), lambda x: x["call"]), "")
+    return calls.groupBy("key").agg(whole.alias("consensus")).withColumnRenamed("key", key)
+
+
+class Columns:
+    """Counts of signs in the columns of one block."""
+
+    def __init__(self, width: int):
+        self.width, self.of, self.used = width, {}, 0
+
+    def plus(self, sign: int, n: np.ndarray) -> None:
+        self.used = max(self.used, len(n))
+        self.of.setdefault(sign, np.zeros(self.width, np.int64))[: len(n)] += n
+
+    def add(self, codes: np.ndarray) -> None:
+        for sign in np.unique(codes).tolist():
+            self.plus(sign, codes == sign)
+
+    def call(self, least: float, n: int) -> str:
+        signs = np.array(sorted(self.of.keys() - {ord("-"), ord(".")}), np.uint32)
+        if not len(signs):
+            return ""
+        counts = np.array([self.of[s][: self.used] for s in signs.tolist()])
+        top = signs[counts.argmax(0)]  # the first of equal ones, so the least sign
+        return top[counts.sum(0) >= max(1, int(n * least))].astype("<u4").tobytes().decode("utf-32-le", "surrogatepass")
+
+
+def central_copy(hits: DataFrame, keys: list[str]) -> DataFrame:
+    """Of each set of copies the one with the highest mean over others of the best identity. hits: keys, q, t, pident."""
+    best = hits.filter("q <> t").groupBy(*keys, "q", "t").agg(F.max("pident").alias("p"))
+    return best.groupBy(*keys, "q").agg(F.avg("p").alias("mean")).groupBy(*keys).agg(F.max_by("q", F.struct("mean", F.col("q"))).alias("central"))
+
+
+def exemplars(copies: DataFrame, keys: list[str], clusters: DataFrame, aligned: DataFrame, hits: DataFrame, least: int = 1000) -> DataFrame:
+    """Of each set of copies one sequence that stands for it: keys, seq, method, n_copies.
+
+    copies: keys, name, seq. clusters: keys, cluster, name, representative. aligned: keys, name, seq with gaps. hits: keys, q, t,
+    pident. Tables may lack sets. In this order: the only copy; the consensus of the largest cluster (the first of equal
+    ones) if it has three members, all that is aligned of them, and comes out longer than least; that cluster's
+    representative, or the set's first one; the most central copy; the longest.
+    """
+    sets = copies.groupBy(*keys).agg(F.count("*").alias("n"), F.min_by("seq", F.struct(-F.length("seq"), "name")).alias("longest"))
+    size = clusters.groupBy(*keys, "cluster").agg(F.count("*").alias("members"))
+    largest = size.groupBy(*keys).agg(F.max(F.struct("members", (-F.col("cluster")).alias("cluster"))).alias("x")).select(*keys, F.col("x.members").alias("members"), (-F.col("x.cluster")).alias("top"))
+    inside = clusters.join(largest.filter("members >= 3"), keys).filter("cluster = top").join(aligned, [*keys, "name"])
+    joined = inside.select(F.to_json(F.struct(*keys)).alias("set"), "seq")
+    consensus = column_consensus(joined, "set", "seq").join(inside.select(*keys, F.to_json(F.struct(*keys)).alias("set")).distinct(), "set").select(*keys, "consensus")
+    reps = clusters.filter("representative").join(largest, keys).join(copies, [*keys, "name"])
+    rep = reps.groupBy(*keys).agg(F.min_by("seq", F.struct(F.col("cluster") != F.col("top"), "cluster", "name")).alias("rep"))
+    central = central_copy(hits, keys).withColumnRenamed("central", "name").join(copies, [*keys, "name"]).select(*keys, F.col("seq").alias("central"))
+    df = sets.join(largest.drop("top"), keys, "left").join(consensus, keys, "left").join(rep, keys, "left").join(central, keys, "left")
+    first = lambda one, two, three, four, five: F.when(F.col("n") == 1, one).when(F.length("consensus") > least, two).when(F.col("rep").isNotNull(), three).when(F.col("central").isNotNull(), four).otherwise(five)
+    c = F.col
+    # Names of the ways.
+    method = first(*map(F.lit, ("single_copy", "cdhit+mafft", "cdhit_rep", "blast_central", "longest_copy")))
+    return df.select(*keys, first(c("longest"), c("consensus"), c("rep"), c("central"), c("longest")).alias("seq"), method.alias("method"), first(F.lit(1), c("members"), c("members"), c("n"), c("n")).cast("long").alias("n_copies"))
 
 
 def spacers(features: DataFrame, left: str, right: str) -> DataFrame:
     """Gaps between two neighbouring named features of a contig, in either order."""
-    w = W.partitionBy("contig").orderBy("start", "end", "name")
+    w = W.partitionBy(*CONTIG).orderBy("start", "end", "name")
     df = features.withColumn("after", F.lead("name").over(w)).withColumn("to", F.lead("start").over(w))
     pair = ((F.col("name") == left) & (F.col("after") == right)) | ((F.col("name") == right) & (F.col("after") == left))
-    return df.filter(pair & (F.col("to") > F.col("end"))).select("contig", F.col("end").alias("start"), F.col("to").alias("end"))
+    return df.filter(pair & (F.col("to") > F.col("end"))).select(*CONTIG, F.col("end").alias("start"), F.col("to").alias("end"))

@@ -40,7 +40,7 @@ def low_coverage(totals: DataFrame, contigs: DataFrame, least: DataFrame) -> Dat
 
 def best_chain(chains: DataFrame) -> DataFrame:
     """Of each pair the chain of greatest weight, the first one on ties. chains: pair, chain_id, weight, qbp, identity."""
-    top = F.max_by(F.struct("qbp", "identity", "weight"), F.struct("weight", -F.col("chain_id"))).alias("x")
+    top = F.min_by(F.struct("qbp", "identity", "weight"), F.struct(-F.col("weight"), "chain_id")).alias("x")
     return chains.groupBy(*PAIR).agg(top).select(*PAIR, "x.*")
 
 
@@ -71,7 +71,7 @@ def off_diagonal(hits: DataFrame, least: int = 1000, low: int = 0, high: int | N
 
 
 def sub_features(hits: DataFrame, features: DataFrame, least: float = 0.5) -> DataFrame:
-    """Features of a consensus on contigs. hits: contig, locus, qs, qe (consensus), ss, se (contig), strand; features: name,
+    """Features of a consensus on contigs. hits: assembly, contig, locus, qs, qe (consensus), ss, se (contig), strand; features: name,
     start, end. Each hit's part of a feature is mapped by strand; a locus has a feature if half of it is covered.
     """
     a = hits.join(F.broadcast(features), (F.col("qs") <= F.col("end")) & (F.col("qe") >= F.col("start")))
@@ -79,14 +79,14 @@ def sub_features(hits: DataFrame, features: DataFrame, least: float = 0.5) -> Da
     plus = F.col("strand") == "+"
     a = a.filter(high > low).withColumn("_s", F.when(plus, F.col("ss") + low - F.col("qs")).otherwise(F.col("se") - (high - F.col("qs"))))
     a = a.withColumn("_e", F.when(plus, F.col("ss") + high - F.col("qs")).otherwise(F.col("se") - (low - F.col("qs")))).filter("_e > _s")
-    keys = ["contig", "locus", "name"]
+    keys = [*CONTIG, "locus", "name"]
     span = a.groupBy(*keys).agg(F.min("_s").alias("f_start"), F.max("_e").alias("f_end"), F.first(F.col("end") - F.col("start")).alias("_len"))
     return union_bp(a, keys, "_s", "_e").join(span, keys).filter((F.col("_len") > 0) & (F.col("union_bp") >= least * F.col("_len"))).select(*keys, "f_start", "f_end", "union_bp")
 
 
 def rdna_reclassified(loci: DataFrame, contigs: DataFrame, taken: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
     """Share of each contig that loci cover, and whether it is enough for the class; contigs of taken are left out."""
-    keys = [c for c in CONTIG if c in loci.columns]
+    keys = CONTIG
     df = union_bp(loci, keys, "start", "end").join(contigs, keys).join(taken.select(*keys), keys, "left_anti").filter("contig_len > 0")
     cov = F.col("union_bp") / F.col("contig_len")
     return df.select(*keys, F.round(cov, 6).alias("coverage"), (cov >= cfg.rdna_min_cov).alias("rdna"))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..config import DEFAULT as C
 from ..functions import ids, sequence
 from ..operators import assign, chaining, classify, compare, detect, evidence, intervals, rdna, rearrange, scaffold, subgenome
+from ..sources import readers
 from .adapters import ctes, view
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -70,9 +71,9 @@ def id_split(s, d):
     return _raw_ids(s, d).select("raw", ids.chrom_id(F.col("raw")).alias("chrom_id"), ids.subgenome(F.col("raw")).alias("subgenome"))
 
 
-@query("WITH " + ctes("aln") + " SELECT assembly, tp, count(*) AS n, CAST(sum(aln_len) AS BIGINT) AS bp FROM aln WHERE tp IN ('P', 'I') AND aln_len >= 5000 AND mapq >= 20 GROUP BY assembly, tp")
+@query("WITH " + ctes("aln") + " SELECT assembly, tp, count(*) AS n, CAST(sum(aln_len) AS BIGINT) AS bp FROM aln WHERE (tp IS NULL OR tp IN ('P', 'I')) AND aln_len >= 5000 AND mapq >= 20 AND qs < qe AND rs < re GROUP BY assembly, tp")
 def paf_filter(s, d):
-    return view(s, d, "aln").filter("tp in ('P', 'I') and aln_len >= 5000 and mapq >= 20").groupBy("assembly", "tp").agg(F.count("*").alias("n"), F.sum("aln_len").alias("bp"))
+    return view(s, d, "aln").filter(readers.passes(5000, 20)).groupBy("assembly", "tp").agg(F.count("*").alias("n"), F.sum("aln_len").alias("bp"))
 
 
 @query(_WITH + f"SELECT {_P}, union_bp FROM ev")
@@ -132,9 +133,9 @@ def strand_votes(s, d):
     return evidence.strand_votes(view(s, d, "kept"))
 
 
-@query("WITH " + ctes("kept") + f", v AS (SELECT {_P}, least(matches, lead(matches) OVER w) AS wt, lead(matches) OVER w AS nx, lead(strand) OVER w = strand AND CASE WHEN strand = '+' THEN lead(rs + re) OVER w >= rs + re ELSE lead(rs + re) OVER w <= rs + re END AS same FROM kept WINDOW w AS (PARTITION BY {_P} ORDER BY {_O})), g AS (SELECT {_P}, CAST(coalesce(sum(wt) FILTER (WHERE nx IS NOT NULL), 0) AS BIGINT) AS weight, CAST(coalesce(sum(wt) FILTER (WHERE same), 0) AS BIGINT) AS kp, count(*) AS n FROM v GROUP BY {_P}) SELECT {_P}, weight, CASE WHEN weight = 0 THEN 1.0 ELSE round(kp / weight, 6) END AS collinearity FROM g")
+@query("WITH " + ctes("kept") + f", v AS (SELECT {_P}, least(matches, lead(matches) OVER w) AS wt, lead(matches) OVER w AS nx, lead(strand) OVER w = strand AND CASE WHEN strand = '+' THEN lead(rs + re) OVER w > rs + re ELSE lead(rs + re) OVER w < rs + re END AS same FROM kept WINDOW w AS (PARTITION BY {_P} ORDER BY {_O})), g AS (SELECT {_P}, CAST(coalesce(sum(wt) FILTER (WHERE nx IS NOT NULL), 0) AS BIGINT) AS weight, CAST(coalesce(sum(wt) FILTER (WHERE same), 0) AS BIGINT) AS kp, count(*) AS n FROM v GROUP BY {_P}) SELECT {_P}, weight, CASE WHEN weight = 0 THEN 1.0 ELSE round(kp / weight, 6) END AS collinearity FROM g")
 def collinearity(s, d):
-    return evidence.collinearity(view(s, d, "kept"))
+    return evidence.collinearity(view(s, d, "kept"), TIES)
 
 
 @query(_WITH + ", o AS (SELECT k.assembly, k.contig, CAST(sum(CASE WHEN strand = '+' THEN matches ELSE 0 END) AS BIGINT) AS forward_bp, CAST(sum(CASE WHEN strand = '-' THEN matches ELSE 0 END) AS BIGINT) AS reverse_bp FROM kept k JOIN best b ON k.assembly = b.assembly AND k.contig = b.contig AND k.ref_id = b.best_ref GROUP BY k.assembly, k.contig) SELECT *, reverse_bp > forward_bp AS reverse FROM o")
@@ -158,21 +159,40 @@ def rearr_candidates(s, d):
     return evidence.rearrangement_candidates(evidence.largest_cluster(view(s, d, "kept")), _best(s, d), view(s, d, "contigs"))
 
 
+_G = "assembly, contig, ref_id, strand"
+_BO = "qs, qe, rs, re, l_orderkey, l_linenumber, l_partkey"
+
+
+def chains_sql(source: str) -> str:
+    """Greedy chaining as a recursion over the blocks of a stretch; the state is the list of its chains: last end, last place, diagonal, number."""
+    return f"""cs AS (SELECT *, CASE WHEN strand = '-' THEN -re ELSE rs END AS place, CASE WHEN strand = '-' THEN rs + qs ELSE rs - qs END AS diag, sum(CASE WHEN pe IS NULL OR qs > pe + {C.chain_q_gap} THEN 1 ELSE 0 END) OVER (PARTITION BY {_G} ORDER BY {_BO} ROWS UNBOUNDED PRECEDING) AS island FROM (SELECT *, max(qe) OVER (PARTITION BY {_G} ORDER BY {_BO} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS pe FROM {source})),
+ cb AS (SELECT *, dense_rank() OVER (ORDER BY {_G}, island) AS g, row_number() OVER (PARTITION BY {_G}, island ORDER BY {_BO}) AS k FROM cs),
+ cr AS (SELECT g, k, CAST(0 AS BIGINT) AS chain, [{{'e': qe, 'p': place, 'd': diag, 'i': CAST(0 AS BIGINT)}}] AS open FROM cb WHERE k = 1
+  UNION ALL SELECT g, k, coalesce(m.i, len(open)) AS chain, CASE WHEN m IS NULL THEN list_append(open, {{'e': qe, 'p': place, 'd': diag, 'i': CAST(len(open) AS BIGINT)}}) ELSE list_transform(open, lambda x: CASE WHEN x.i = m.i THEN {{'e': greatest(x.e, qe), 'p': place, 'd': x.d, 'i': x.i}} ELSE x END) END
+  FROM (SELECT cb.g, cb.k, open, qs, qe, place, diag, list_min(list_transform(list_filter(open, lambda x: qs - x.e <= {C.chain_q_gap} AND abs(place - x.p) <= {C.chain_r_gap} AND abs(diag - x.d) <= {C.chain_diag_slop}), lambda x: {{'c': abs(qs - x.e) + abs(place - x.p) + abs(diag - x.d) // 10, 'i': x.i}})) AS m FROM cr JOIN cb ON cb.g = cr.g AND cb.k = cr.k + 1)),
+ ch AS (SELECT {_G}, CAST(dense_rank() OVER (PARTITION BY {_G} ORDER BY island, chain) - 1 AS BIGINT) AS chain_id, qs, qe, rs, re, matches, aln_len, gene_id, l_orderkey, l_linenumber, l_partkey FROM cb JOIN cr USING (g, k)),
+ cw AS (SELECT *, max(qe) OVER (PARTITION BY {_G}, chain_id ORDER BY qs, qe ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS pe FROM ch),
+ mb AS (SELECT {_G}, CAST(row_number() OVER (PARTITION BY {_G} ORDER BY chain_id) - 1 AS BIGINT) AS chain_id, qstart, qend, qend - qstart AS qspan_bp, union_bp, matches, aln_len, identity, n_segments, gene_count, ref_start, ref_end FROM (SELECT {_G}, chain_id, min(qs) AS qstart, max(qe) AS qend, CAST(sum(greatest(0, qe - greatest(qs, coalesce(pe, qs)))) AS BIGINT) AS union_bp, CAST(sum(matches) AS BIGINT) AS matches, CAST(sum(aln_len) AS BIGINT) AS aln_len, round(sum(matches) / sum(aln_len), 6) AS identity, count(*) FILTER (WHERE pe IS NULL OR qs > pe) AS n_segments, count(DISTINCT gene_id) AS gene_count, min(rs) AS ref_start, max(re) AS ref_end FROM cw GROUP BY {_G}, chain_id) WHERE union_bp > 0 AND union_bp >= {C.chain_min_bp} AND identity >= {C.chain_min_ident} AND matches > 0)"""
+
+
+_CHAINS = ctes("kept") + ", " + chains_sql("kept")
+
+
 def _chained(s, d):
     return chaining.chain_greedy(view(s, d, "kept"), TIES)
 
 
-@query()
+@query(f"WITH RECURSIVE {_CHAINS} SELECT {_G}, chain_id, {_BO} FROM ch")
 def chain_greedy(s, d):
     return _chained(s, d).select(*chaining.GROUP, "chain_id", "qs", "qe", "rs", "re", *TIES)
 
 
-@query()
+@query(f"WITH RECURSIVE {_CHAINS} SELECT * FROM mb")
 def macro_blocks(s, d):
     return chaining.macro_blocks(_chained(s, d))
 
 
-@query()
+@query(f"WITH RECURSIVE {_CHAINS} SELECT {_G}, chain_id, min(qs) AS qs, max(qe) AS qe, count(*) AS n FROM (SELECT *, sum(CASE WHEN pe IS NULL OR qs > pe THEN 1 ELSE 0 END) OVER (PARTITION BY {_G}, chain_id ORDER BY qs, qe ROWS UNBOUNDED PRECEDING) AS seg FROM cw) GROUP BY {_G}, chain_id, seg")
 def segments(s, d):
     return intervals.merged(_chained(s, d), [*chaining.GROUP, "chain_id"], "qs", "qe")
 
@@ -229,44 +249,46 @@ def fissions(s, d):
     return rearrange.fissions(evidence.ref_span(view(s, d, "kept")), _best(s, d), view(s, d, "refs"))
 
 
-_BL = ctes("blast", "contigs") + """, hb AS (SELECT *, greatest(0, qend - greatest(qstart, coalesce(max(qend) OVER (PARTITION BY qseqid ORDER BY qstart, qend ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), qstart))) AS nb FROM blast),
- cov AS (SELECT qseqid, CAST(sum(nb) AS BIGINT) AS union_bp, count(*) AS n_hits, CAST(sum(length) AS BIGINT) AS hit_bp, CAST(sum(CAST(trunc(pident * length / 100) AS BIGINT)) AS BIGINT) AS matches, first(sseqid ORDER BY evalue_rank, o_orderkey) AS best_subject FROM hb GROUP BY qseqid),
- hp AS (SELECT *, greatest(0, qend - greatest(qstart, coalesce(max(qend) OVER (PARTITION BY qseqid, sseqid ORDER BY qstart, qend ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), qstart))) AS nb FROM blast),
- pcov AS (SELECT qseqid, sseqid, CAST(sum(nb) AS BIGINT) AS union_bp FROM hp GROUP BY qseqid, sseqid)"""
+_BL = ctes("blast", "contigs") + """, hb AS (SELECT *, greatest(0, qend - greatest(qstart, coalesce(max(qend) OVER (PARTITION BY assembly, qseqid ORDER BY qstart, qend ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), qstart))) AS nb FROM blast),
+ cov AS (SELECT assembly, qseqid, CAST(sum(nb) AS BIGINT) AS union_bp, count(*) AS n_hits, CAST(sum(length) AS BIGINT) AS hit_bp, CAST(sum(CAST(trunc(pident * length / 100) AS BIGINT)) AS BIGINT) AS matches, first(sseqid ORDER BY evalue_rank, o_orderkey) AS best_subject FROM hb GROUP BY assembly, qseqid),
+ hp AS (SELECT *, greatest(0, qend - greatest(qstart, coalesce(max(qend) OVER (PARTITION BY assembly, qseqid, sseqid ORDER BY qstart, qend ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), qstart))) AS nb FROM blast),
+ pcov AS (SELECT assembly, qseqid, sseqid, CAST(sum(nb) AS BIGINT) AS union_bp FROM hp GROUP BY assembly, qseqid, sseqid),
+ cc AS (SELECT c.assembly, contig, contig_len, union_bp / contig_len AS coverage, hit_bp, matches FROM cov JOIN contigs c ON c.assembly = cov.assembly AND qseqid = contig)"""
+_HIT = ["assembly", "qseqid"]
 
 
 @query(f"WITH {_BL} SELECT * FROM cov")
 def blast_coverage(s, d):
-    return detect.hit_coverage(view(s, d, "blast"), ["qseqid"])
+    return detect.hit_coverage(view(s, d, "blast"), _HIT)
 
 
 _ORG = C.__class__(organelle_cov=0.02)
 
 
-@query(f"WITH {_BL}, o AS (SELECT contig, sseqid, round(least(1.0, union_bp / contig_len), 6) AS coverage, abs(contig_len - 4000000) AS off FROM pcov JOIN contigs ON qseqid = contig), k AS (SELECT *, CASE WHEN coverage >= 0.02 AND off <= 0.2 * 4000000 THEN 'candidate' WHEN coverage >= 0.5 THEN 'debris' ELSE 'none' END AS kind FROM o) SELECT *, kind = 'candidate' AND row_number() OVER (PARTITION BY sseqid, kind ORDER BY off, contig) = 1 AS chosen FROM k")
+@query(f"WITH {_BL}, o AS (SELECT c.assembly, contig, sseqid, round(least(1.0, union_bp / contig_len), 6) AS coverage, abs(contig_len - 4000000) AS off FROM pcov JOIN contigs c ON c.assembly = pcov.assembly AND qseqid = contig), k AS (SELECT *, CASE WHEN coverage >= 0.02 AND off <= 0.2 * 4000000 THEN 'candidate' WHEN coverage >= 0.5 THEN 'debris' ELSE 'none' END AS kind FROM o) SELECT *, kind = 'candidate' AND row_number() OVER (PARTITION BY assembly, sseqid, kind ORDER BY off, contig) = 1 AS chosen FROM k")
 def organelle_select(s, d):
-    cov = intervals.union_bp(view(s, d, "blast"), ["qseqid", "sseqid"], "qstart", "qend")
-    return detect.organelle_select(cov, view(s, d, "contigs").drop("assembly"), F.lit(4_000_000), F.lit(0.2), _ORG)
+    cov = intervals.union_bp(view(s, d, "blast"), [*_HIT, "sseqid"], "qstart", "qend")
+    return detect.organelle_select(cov, view(s, d, "contigs"), F.lit(4_000_000), F.lit(0.2), _ORG)
 
 
-@query(f"WITH {_BL} SELECT contig, round(union_bp / contig_len, 6) AS coverage FROM cov JOIN contigs ON qseqid = contig WHERE round(union_bp / contig_len, 6) >= 0.02")
+@query(f"WITH {_BL} SELECT assembly, contig, round(coverage, 6) AS coverage FROM cc WHERE round(coverage, 6) >= 0.02")
 def rdna_contigs(s, d):
-    return detect.covered_contigs(intervals.union_bp(view(s, d, "blast"), ["qseqid"], "qstart", "qend"), view(s, d, "contigs").drop("assembly"), 0.02)
+    return detect.covered_contigs(intervals.union_bp(view(s, d, "blast"), _HIT, "qstart", "qend"), view(s, d, "contigs"), 0.02)
 
 
-@query(f"WITH {_BL} SELECT contig, round(union_bp / contig_len, 6) AS coverage, round(matches / hit_bp, 6) AS identity FROM cov JOIN contigs ON qseqid = contig WHERE round(union_bp / contig_len, 6) >= 0.01 AND round(matches / hit_bp, 6) >= 0.9")
+@query(f"WITH {_BL} SELECT assembly, contig, round(coverage, 6) AS coverage, round(matches / hit_bp, 6) AS identity FROM cc WHERE round(coverage, 6) >= 0.01 AND round(matches / hit_bp, 6) >= 0.9")
 def chrom_debris(s, d):
-    return detect.debris(detect.hit_coverage(view(s, d, "blast"), ["qseqid"]), view(s, d, "contigs").drop("assembly"), C, 0.01)
+    return detect.debris(detect.hit_coverage(view(s, d, "blast"), _HIT), view(s, d, "contigs"), C, 0.01)
 
 
-_TX = ctes("taxhits", "contigs") + ", taxa AS (SELECT CAST(n_nationkey AS BIGINT) AS taxid, n_name AS name, CASE n_regionkey WHEN 0 THEN 'Plant' WHEN 1 THEN 'Fungi' WHEN 2 THEN 'Animal' ELSE CAST(n_regionkey AS STRING) END AS kingdom FROM nation), pt AS (SELECT contig, taxid, CAST(sum(score) AS BIGINT) AS score, CAST(sum(matching_bp) AS BIGINT) AS matching_bp FROM taxhits WHERE score >= 1000 GROUP BY contig, taxid), tt AS (SELECT contig, taxid, coalesce(name, 'unknown') AS name, kingdom, score, round(matching_bp / contig_len, 6) AS coverage FROM (SELECT *, row_number() OVER (PARTITION BY contig ORDER BY score DESC, taxid) AS r FROM pt) x LEFT JOIN taxa USING (taxid) JOIN contigs USING (contig) WHERE r = 1)"
+_TX = ctes("taxhits", "contigs") + ", taxa AS (SELECT CAST(n_nationkey AS BIGINT) AS taxid, n_name AS name, CASE n_regionkey WHEN 0 THEN 'Plant' WHEN 1 THEN 'Fungi' WHEN 2 THEN 'Animal' ELSE CAST(n_regionkey AS STRING) END AS kingdom FROM nation), pt AS (SELECT assembly, contig, taxid, CAST(sum(score) AS BIGINT) AS score, CAST(sum(matching_bp) AS BIGINT) AS matching_bp FROM taxhits WHERE score >= 1000 GROUP BY assembly, contig, taxid), tt AS (SELECT assembly, contig, taxid, coalesce(name, 'unknown') AS name, kingdom, score, round(matching_bp / contig_len, 6) AS coverage FROM (SELECT *, row_number() OVER (PARTITION BY assembly, contig ORDER BY score DESC, taxid) AS r FROM pt) x LEFT JOIN taxa USING (taxid) JOIN contigs USING (assembly, contig) WHERE r = 1)"
 
 
 def _contaminants(s, d):
     region = F.col("n_regionkey")
     clade = F.when(region == 0, "Viridiplantae").when(region == 1, "Fungi").when(region == 2, "Metazoa").otherwise(region.cast("string"))
     taxa = s.read.parquet(f"{d}/nation.parquet").select(F.col("n_nationkey").cast("long").alias("taxid"), F.col("n_name").alias("name"), detect.kingdom(clade).alias("kingdom"))
-    return detect.contaminants(view(s, d, "taxhits"), taxa, view(s, d, "contigs").drop("assembly"))
+    return detect.contaminants(view(s, d, "taxhits"), taxa, view(s, d, "contigs"))
 
 
 @query(f"WITH {_TX} SELECT * FROM tt")
@@ -279,10 +301,9 @@ def contaminant_topn(s, d):
     return _contaminants(s, d).groupBy("name").agg(F.count("*").alias("n"), F.sum("score").alias("score")).orderBy(F.desc("score"), "name").limit(10)
 
 
-@query(f"WITH {_TX} SELECT kingdom, name, count(DISTINCT assembly) AS n_assemblies FROM tt JOIN contigs USING (contig) GROUP BY kingdom, name ORDER BY n_assemblies DESC, name LIMIT 10")
+@query(f"WITH {_TX} SELECT kingdom, name, count(DISTINCT assembly) AS n_assemblies FROM tt GROUP BY kingdom, name ORDER BY n_assemblies DESC, name LIMIT 10")
 def taxon_prevalence(s, d):
-    c = view(s, d, "contigs").select("assembly", "contig")
-    return _contaminants(s, d).join(c, "contig").groupBy("kingdom", "name").agg(F.countDistinct("assembly").alias("n_assemblies")).orderBy(F.desc("n_assemblies"), "name").limit(10)
+    return _contaminants(s, d).groupBy("kingdom", "name").agg(F.countDistinct("assembly").alias("n_assemblies")).orderBy(F.desc("n_assemblies"), "name").limit(10)
 
 
 _GC = ctes("seqs") + ", gc AS (SELECT doc_id, assembly, coalesce((length(seq) - length(translate(seq, 'GCgc', ''))) / nullif(length(seq) - length(translate(seq, 'ACGTacgt', '')), 0), 0) AS gc FROM seqs)"
@@ -320,9 +341,9 @@ def telomere(s, d):
     return view(s, d, "seqs").select("doc_id", a.alias("n5"), b.alias("n3"))
 
 
-@query("WITH " + ctes("seqs") + " SELECT doc_id, md5(reverse(translate(seq, 'ACGT', 'TGCA'))) AS rc FROM seqs")
+@query("WITH " + ctes("seqs") + " SELECT doc_id, md5(reverse(translate(seq, 'ACGTRYSWKMBDHVNacgtryswkmbdhvn', 'TGCAYRSWMKVHDBNtgcayrswmkvhdbn'))) AS rc FROM seqs")
 def revcomp(s, d):
-    return view(s, d, "seqs").select("doc_id", F.md5(F.reverse(F.translate("seq", "ACGT", "TGCA"))).alias("rc"))
+    return view(s, d, "seqs").select("doc_id", F.md5(sequence.reverse_complement(F.col("seq"))).alias("rc"))
 
 
 _FL = _EV + ", fl AS (SELECT b.assembly, b.contig, b.best_ref, best_bp, contig_len, ref_len, CAST(substring(b.contig, 5) AS BIGINT) % 3 AS n_telo, contig_len / ref_len AS ratio, best_bp / ref_len AS cov FROM best b JOIN contigs USING (assembly, contig) JOIN refs ON best_ref = ref_id), fc AS (SELECT *, CASE WHEN n_telo >= 2 OR ratio >= 0.8 THEN TRUE ELSE cov >= 0.7 END AS full_length, CASE WHEN n_telo >= 2 THEN 'high' WHEN ratio >= 0.8 THEN CASE WHEN n_telo = 1 THEN 'medium' ELSE 'low' END WHEN n_telo = 1 THEN 'medium' ELSE 'low' END AS confidence FROM fl)"
@@ -340,12 +361,6 @@ def full_length(s, d):
     return _full(s, d).select("assembly", "contig", "full_length", "confidence")
 
 
-@query(f"WITH {_EV}, c AS (SELECT {_P}, union_bp / 1000000 AS f, n_genes, identity FROM ev), b AS (SELECT *, CASE WHEN f >= 0.5 AND n_genes >= 10 THEN 'high' WHEN f >= 0.2 AND n_genes >= 3 THEN 'medium' ELSE 'low' END AS base FROM c) SELECT {_P}, CASE WHEN identity < 0.5 OR n_genes % 7 > 3 THEN CASE WHEN base = 'high' THEN 'medium' ELSE 'low' END ELSE base END AS confidence FROM b")
-def confidence_rules(s, d):
-    ev = evidence.pair_evidence(view(s, d, "kept"))
-    return ev.select(*evidence.PAIR, classify.chromosome_confidence(F.col("union_bp") / 1_000_000, F.col("n_genes"), F.col("identity"), (F.col("n_genes") % 7).cast("double")).alias("confidence"))
-
-
 _CC = _FL + ", k AS (SELECT c.assembly, c.contig, c.contig_len, CAST(substring(c.contig, 5) AS BIGINT) AS i, b.best_ref IS NOT NULL AS assigned, coalesce(fc.full_length, FALSE) AS full_length FROM contigs c LEFT JOIN best b USING (assembly, contig) LEFT JOIN fc USING (assembly, contig)), cc AS (SELECT *, CASE WHEN assigned AND contig_len >= 4000000 THEN 'chrom_assigned' WHEN contig_len >= 4000000 AND i % 5 <> 0 THEN 'chrom_unassigned' WHEN i % 11 = 0 THEN 'organelle_complete' WHEN i % 13 = 0 THEN 'organelle_debris' WHEN i % 7 = 0 THEN 'rDNA' WHEN i % 5 = 0 THEN 'contaminant' WHEN i % 6 = 0 THEN 'chrom_debris' WHEN i % 2 = 0 THEN CASE WHEN assigned THEN 'chrom_debris' ELSE 'debris' END ELSE 'unclassified' END AS class FROM k)"
 
 
@@ -361,29 +376,25 @@ def classify_cascade(s, d):
     return _classes(s, d).select("assembly", "contig", "class")
 
 
-@query(f"WITH {_FL}, n AS (SELECT assembly, contig, contig_len, full_length, CASE WHEN best_bp >= 150000 THEN best_ref END AS ref_id, best_bp FROM fc), k AS (SELECT *, CASE WHEN ref_id IS NULL THEN 'o' WHEN full_length THEN 'c' ELSE 'f' END AS kd FROM n), r AS (SELECT *, row_number() OVER (PARTITION BY assembly, ref_id, kd ORDER BY best_bp DESC, contig_len DESC, contig) AS i, row_number() OVER (PARTITION BY assembly, ref_id, kd ORDER BY contig_len DESC, contig) AS j, count(*) OVER (PARTITION BY assembly, ref_id, kd) AS m FROM k) SELECT assembly, contig, CASE WHEN kd = 'c' AND m = 1 THEN ref_id WHEN kd = 'c' THEN concat(ref_id, '_c', i) WHEN kd = 'f' THEN concat(ref_id, '_f', i) ELSE concat('contig_', j) END AS name FROM r")
+@query(f"WITH {_FL}, n AS (SELECT fc.assembly, fc.contig, contig_len, full_length, CASE WHEN best_bp >= 150000 THEN best_ref END AS ref_id, CASE WHEN identity < 0.95 THEN 'B' END AS sub, identity FROM fc JOIN ev ON ev.assembly = fc.assembly AND ev.contig = fc.contig AND ev.ref_id = best_ref), k AS (SELECT *, CASE WHEN ref_id IS NULL THEN 'o' WHEN full_length THEN 'c' ELSE 'f' END AS kd, CASE WHEN sub IS NULL THEN ref_id ELSE concat(ref_id, '_', sub) END AS base FROM n), r AS (SELECT *, row_number() OVER (PARTITION BY assembly, base, kd ORDER BY identity DESC, contig_len DESC, contig) AS i, row_number() OVER (PARTITION BY assembly, kd ORDER BY contig_len DESC, contig) AS j, count(*) OVER (PARTITION BY assembly, base, kd) AS m FROM k) SELECT assembly, contig, CASE WHEN kd = 'o' THEN concat('contig_', j) WHEN kd = 'c' AND m = 1 THEN base ELSE concat(base, '_', kd, i) END AS name FROM r")
 def contig_names(s, d):
-    df = _full(s, d).select("assembly", "contig", F.when(F.col("best_bp") >= 150_000, F.col("best_ref")).alias("ref_id"), "full_length", F.col("best_bp").alias("identity"), F.col("contig_len").alias("length"))
+    ev = evidence.pair_evidence(view(s, d, "kept")).select("assembly", "contig", F.col("ref_id").alias("best_ref"), "identity")
+    df = _full(s, d).join(ev, ["assembly", "contig", "best_ref"]).select("assembly", "contig", F.when(F.col("best_bp") >= 150_000, F.col("best_ref")).alias("ref_id"), F.when(F.col("identity") < 0.95, "B").alias("subgenome"), "full_length", "identity", F.col("contig_len").alias("length"))
     return classify.names(df).select("assembly", "contig", "name")
 
 
-_DP = ctes("depth", "contigs") + ", dg AS (SELECT contig, count(*) AS n, sum(depth * (end_pos - start_pos)) / sum(end_pos - start_pos) AS mean, median(depth) AS median, stddev_samp(depth) AS sd, min(depth) AS low, max(depth) AS high, sum(CASE WHEN depth >= 1 THEN end_pos - start_pos ELSE 0 END) AS b1, sum(CASE WHEN depth >= 10 THEN end_pos - start_pos ELSE 0 END) AS b10 FROM depth WHERE depth >= 0 AND start_pos >= 0 AND end_pos > start_pos GROUP BY contig), ds AS (SELECT c.contig, coalesce(n, 0) AS n_windows, round(coalesce(mean, 0), 4) AS mean, round(coalesce(median, 0), 4) AS median, round(coalesce(sd, 0), 4) AS sd, round(coalesce(low, 0), 4) AS low, round(coalesce(high, 0), 4) AS high, round(least(1.0, coalesce(b1, 0) / contig_len), 6) AS breadth_1, round(least(1.0, coalesce(b10, 0) / contig_len), 6) AS breadth_10 FROM contigs c LEFT JOIN dg USING (contig))"
-
-
-def _depth(s, d):
-    """Windows with the assembly of their contig, of which each name has one here."""
-    return view(s, d, "depth").join(view(s, d, "contigs").select("assembly", "contig"), "contig")
+_DP = ctes("depth", "contigs") + ", dg AS (SELECT assembly, contig, count(*) AS n, sum(depth * (end_pos - start_pos)) / sum(end_pos - start_pos) AS mean, median(depth) AS median, stddev_samp(depth) AS sd, min(depth) AS low, max(depth) AS high, sum(CASE WHEN depth >= 1 THEN end_pos - start_pos ELSE 0 END) AS b1, sum(CASE WHEN depth >= 10 THEN end_pos - start_pos ELSE 0 END) AS b10 FROM depth WHERE depth >= 0 AND start_pos >= 0 AND end_pos > start_pos GROUP BY assembly, contig), ds AS (SELECT c.assembly, c.contig, coalesce(n, 0) AS n_windows, round(coalesce(mean, 0), 4) AS mean, round(coalesce(median, 0), 4) AS median, round(coalesce(sd, 0), 4) AS sd, round(coalesce(low, 0), 4) AS low, round(coalesce(high, 0), 4) AS high, round(least(1.0, coalesce(b1, 0) / contig_len), 6) AS breadth_1, round(least(1.0, coalesce(b10, 0) / contig_len), 6) AS breadth_10 FROM contigs c LEFT JOIN dg USING (assembly, contig))"
 
 
 @query(f"WITH {_DP} SELECT * FROM ds")
 def depth_stats(s, d):
-    return compare.depth_stats(_depth(s, d), view(s, d, "contigs")).drop("assembly")
+    return compare.depth_stats(view(s, d, "depth"), view(s, d, "contigs"))
 
 
-@query(f"WITH {_CC}, {_DP.replace(ctes('depth', 'contigs'), ctes('depth'))} SELECT class, count(*) AS n, round(avg(mean), 3) AS mean, round(median(median), 3) AS median, round(avg(breadth_1), 5) AS breadth FROM cc JOIN ds USING (contig) GROUP BY class")
+@query(f"WITH {_CC}, {_DP.replace(ctes('depth', 'contigs'), ctes('depth'))} SELECT class, count(*) AS n, round(avg(mean), 3) AS mean, round(median(median), 3) AS median, round(avg(breadth_1), 5) AS breadth FROM cc JOIN ds USING (assembly, contig) GROUP BY class")
 def depth_by_class(s, d):
-    st = compare.depth_stats(_depth(s, d), view(s, d, "contigs")).drop("assembly")
-    return _classes(s, d).select("contig", "class").join(st, "contig").groupBy("class").agg(F.count("*").alias("n"), F.round(F.avg("mean"), 3).alias("mean"), F.round(F.median("median"), 3).alias("median"), F.round(F.avg("breadth_1"), 5).alias("breadth"))
+    st = compare.depth_stats(view(s, d, "depth"), view(s, d, "contigs"))
+    return _classes(s, d).select("assembly", "contig", "class").join(st, ["assembly", "contig"]).groupBy("class").agg(F.count("*").alias("n"), F.round(F.avg("mean"), 3).alias("mean"), F.round(F.median("median"), 3).alias("median"), F.round(F.avg("breadth_1"), 5).alias("breadth"))
 
 
 _N = ctes("contigs") + ", cu AS (SELECT assembly, contig, contig_len, CAST(sum(contig_len) OVER (PARTITION BY assembly ORDER BY contig_len DESC, contig ROWS UNBOUNDED PRECEDING) AS BIGINT) AS cum, CAST(sum(contig_len) OVER (PARTITION BY assembly) AS BIGINT) AS total, row_number() OVER (PARTITION BY assembly ORDER BY contig_len DESC, contig) AS n FROM contigs)"
@@ -426,32 +437,32 @@ def subgenome_support(s, d):
     return compare.subgenome_support(ev, "ref_id", "subgenome")
 
 
-_LO = ctes("blast") + ", h AS (SELECT qseqid AS contig, qstart AS s, qend AS e, CASE WHEN o_orderkey % 3 = 0 THEN '-' ELSE '+' END AS strand, pident, o_orderkey AS o FROM blast), l AS (SELECT *, sum(nw) OVER (PARTITION BY contig ORDER BY s, e, o ROWS UNBOUNDED PRECEDING) AS locus FROM (SELECT *, CASE WHEN s - lag(e) OVER (PARTITION BY contig ORDER BY s, e, o) <= 2000 THEN 0 ELSE 1 END AS nw FROM h)), v AS (SELECT contig, locus, strand, count(*) AS n, min({'s': s, 'e': e, 'o': o}) AS f, min(s) AS s, max(e) AS e, CAST(sum(pident * (e - s)) AS BIGINT) AS w, CAST(sum(e - s) AS BIGINT) AS bp FROM l GROUP BY 1, 2, 3), lo AS (SELECT contig, locus, min(s) AS \"start\", max(e) AS \"end\", first(strand ORDER BY n DESC, f) AS strand, CAST(sum(n) AS BIGINT) AS n_hits, round(sum(w) / sum(bp), 6) AS identity, sum(w) AS w, sum(bp) AS bp FROM v GROUP BY 1, 2)"
+_LO = ctes("blast") + ", h AS (SELECT assembly, qseqid AS contig, qstart AS s, qend AS e, CASE WHEN o_orderkey % 3 = 0 THEN '-' ELSE '+' END AS strand, pident, o_orderkey AS o FROM blast), l AS (SELECT *, sum(nw) OVER (PARTITION BY assembly, contig ORDER BY s, e, o ROWS UNBOUNDED PRECEDING) AS locus FROM (SELECT *, CASE WHEN s - lag(e) OVER (PARTITION BY assembly, contig ORDER BY s, e, o) <= 2000 THEN 0 ELSE 1 END AS nw FROM h)), v AS (SELECT assembly, contig, locus, strand, count(*) AS n, min({'s': s, 'e': e, 'o': o}) AS f, min(s) AS s, max(e) AS e, CAST(sum(pident * (e - s)) AS BIGINT) AS w, CAST(sum(e - s) AS BIGINT) AS bp FROM l GROUP BY 1, 2, 3, 4), lo AS (SELECT assembly, contig, locus, min(s) AS \"start\", max(e) AS \"end\", first(strand ORDER BY n DESC, f) AS strand, CAST(sum(n) AS BIGINT) AS n_hits, round(sum(w) / sum(bp), 6) AS identity, sum(w) AS w, sum(bp) AS bp FROM v GROUP BY 1, 2, 3)"
 
 
 def _loci(s, d):
-    h = view(s, d, "blast").select(F.col("qseqid").alias("contig"), F.col("qstart").alias("start"), F.col("qend").alias("end"), F.when(F.col("o_orderkey") % 3 == 0, "-").otherwise("+").alias("strand"), "pident", "o_orderkey")
+    h = view(s, d, "blast").select("assembly", F.col("qseqid").alias("contig"), F.col("qstart").alias("start"), F.col("qend").alias("end"), F.when(F.col("o_orderkey") % 3 == 0, "-").otherwise("+").alias("strand"), "pident", "o_orderkey")
     return rdna.loci(h, "o_orderkey")
 
 
-@query(f"WITH {_LO} SELECT contig, \"start\", \"end\", strand, n_hits, identity FROM lo")
+@query(f"WITH {_LO} SELECT assembly, contig, \"start\", \"end\", strand, n_hits, identity FROM lo")
 def rdna_loci(s, d):
     return _loci(s, d).drop("locus", "identity_sum", "identity_bp")
 
 
-@query(f"WITH {_LO}, a AS (SELECT *, sum(nw) OVER (PARTITION BY contig ORDER BY \"start\", \"end\" ROWS UNBOUNDED PRECEDING) AS arr FROM (SELECT *, CASE WHEN \"start\" - lag(\"end\") OVER (PARTITION BY contig ORDER BY \"start\", \"end\") <= 50000 THEN 0 ELSE 1 END AS nw FROM lo)) SELECT contig, min(\"start\") AS \"start\", max(\"end\") AS \"end\", count(*) AS n_copies, round(min(w / bp), 6) AS min_identity, round(max(w / bp), 6) AS max_identity, round(median(w / bp), 6) AS median_identity FROM a GROUP BY contig, arr HAVING count(*) >= 3")
+@query(f"WITH {_LO}, a AS (SELECT *, sum(nw) OVER (PARTITION BY assembly, contig ORDER BY \"start\", \"end\" ROWS UNBOUNDED PRECEDING) AS arr FROM (SELECT *, CASE WHEN \"start\" - lag(\"end\") OVER (PARTITION BY assembly, contig ORDER BY \"start\", \"end\") <= 50000 THEN 0 ELSE 1 END AS nw FROM lo)) SELECT assembly, contig, min(\"start\") AS \"start\", max(\"end\") AS \"end\", count(*) AS n_copies, round(min(w / bp), 6) AS min_identity, round(max(w / bp), 6) AS max_identity, round(median(w / bp), 6) AS median_identity FROM a GROUP BY assembly, contig, arr HAVING count(*) >= 3")
 def rdna_arrays(s, d):
     return rdna.arrays(_loci(s, d))
 
 
-@query("WITH " + ctes("kept") + ", x AS (SELECT contig, abs(rs - qs) // 1 AS dist, abs(rs - qs) // 500 AS bin FROM kept), g AS (SELECT contig, bin, count(*) AS n, median(dist) AS m FROM x GROUP BY 1, 2) SELECT contig, CAST(trunc(first(m ORDER BY n DESC, bin)) AS BIGINT) AS period, max(n) AS support FROM g GROUP BY contig")
+@query("WITH " + ctes("kept") + ", x AS (SELECT assembly, contig, abs(rs - qs) // 1 AS dist, abs(rs - qs) // 500 AS bin FROM kept), g AS (SELECT assembly, contig, bin, count(*) AS n, median(dist) AS m FROM x GROUP BY 1, 2, 3) SELECT assembly, contig, CAST(trunc(first(m ORDER BY n DESC, bin)) AS BIGINT) AS period, max(n) AS support FROM g GROUP BY assembly, contig")
 def repeat_period(s, d):
-    return rdna.repeat_period(view(s, d, "kept").select("contig", F.abs(F.col("rs") - F.col("qs")).alias("dist")), "contig", "dist")
+    return rdna.repeat_period(view(s, d, "kept").select("assembly", "contig", F.abs(F.col("rs") - F.col("qs")).alias("dist")), ["assembly", "contig"], "dist")
 
 
-@query("WITH " + ctes("seqs") + ", c AS (SELECT contig, unnest(range(1, length(seq) + 1)) AS pos, unnest(regexp_extract_all(seq, '(?s).')) AS base FROM seqs), v AS (SELECT contig, pos, base, count(*) AS n FROM c GROUP BY 1, 2, 3), w AS (SELECT contig, pos, sum(n) AS al, max(n) AS n, first(base ORDER BY n DESC, ascii(base)) AS base FROM v GROUP BY 1, 2) SELECT contig, string_agg(CASE WHEN base = '-' THEN '' WHEN n >= 0.5 * al THEN base ELSE 'N' END, '' ORDER BY pos) AS consensus FROM w GROUP BY contig")
+@query("WITH " + ctes("seqs") + ", q AS (SELECT concat(assembly, ':', contig) AS contig, translate(seq, 'abcdefghijklmnopqrstuvwxyz', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ') AS seq FROM seqs), k AS (SELECT contig, count(*) AS n_seqs FROM q GROUP BY contig), c AS (SELECT contig, unnest(range(1, length(seq) + 1)) AS pos, unnest(regexp_extract_all(seq, '(?s).')) AS base FROM q), v AS (SELECT contig, pos, base, count(*) AS n FROM c WHERE base NOT IN ('-', '.') GROUP BY 1, 2, 3), w AS (SELECT contig, pos, sum(n) AS al, first(base ORDER BY n DESC, unicode(base)) AS base FROM v GROUP BY 1, 2) SELECT contig, coalesce(string_agg(base, '' ORDER BY pos) FILTER (WHERE al >= greatest(1, floor(n_seqs * 0.5))), '') AS consensus FROM w JOIN k USING (contig) GROUP BY contig")
 def column_consensus(s, d):
-    return rdna.column_consensus(view(s, d, "seqs"), "contig", "seq")
+    return rdna.column_consensus(view(s, d, "seqs").withColumn("contig", F.concat_ws(":", "assembly", "contig")), "contig", "seq")
 
 
 @query(f"WITH {_CL}, sg AS (SELECT assembly, contig, ref_id AS origin, c_start AS s, c_start + span_bp AS e FROM lc), b AS (SELECT DISTINCT assembly, contig, qs, qe, CAST(l_orderkey * 1000 + l_linenumber AS BIGINT) AS block_id FROM kept), o AS (SELECT block_id, origin, CAST(sum(least(qe, e) - greatest(qs, s)) AS BIGINT) AS bp FROM b JOIN sg ON b.assembly = sg.assembly AND b.contig = sg.contig AND qs < e AND qe > s GROUP BY 1, 2) SELECT block_id, first(origin ORDER BY bp DESC, origin DESC) AS origin, max(bp) AS bp FROM o GROUP BY block_id")
@@ -499,10 +510,10 @@ def assembly_pairs(s, d):
     return compare.assembly_pairs(p)
 
 
-@query(_WITH + ", " + ctes("blast") + " SELECT assembly, contig FROM contigs c WHERE contig NOT IN (SELECT contig FROM best WHERE best_bp > 200000) AND contig NOT IN (SELECT qseqid FROM blast WHERE evalue_rank = 0)")
+@query(_WITH + ", " + ctes("blast") + " SELECT assembly, contig FROM contigs c WHERE NOT EXISTS (SELECT 1 FROM best x WHERE x.assembly = c.assembly AND x.contig = c.contig AND second_bp > 0.9 * best_bp) AND NOT EXISTS (SELECT 1 FROM blast x WHERE x.assembly = c.assembly AND qseqid = c.contig AND evalue_rank = 0)")
 def exclusion_cascade(s, d):
-    taken = _best(s, d).filter("best_bp > 200000").select("contig")
-    hit = view(s, d, "blast").filter("evalue_rank = 0").select(F.col("qseqid").alias("contig"))
+    taken = _best(s, d).filter("second_bp > 0.9 * best_bp")
+    hit = view(s, d, "blast").filter("evalue_rank = 0").withColumnRenamed("qseqid", "contig")
     return classify.exclude(view(s, d, "contigs").select("assembly", "contig"), taken, hit)
 
 

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import ids
-from ..operators import evidence, rearrange, report
+from ..operators import chaining, evidence, rearrange, report
 from .adapters import ctes, view
-from .catalog import _EV, _WITH, _best, query
+from .catalog import _CHAINS, _EV, _P, _WITH, _best, _chained, query
 
 _CHROM = "concat('chr', regexp_extract(ref_id, '^chr([0-9]+)', 1))"
 _SUB = "regexp_extract(ref_id, '^chr[0-9]+([A-Z])', 1)"
@@ -27,10 +27,9 @@ def low_coverage(s, d):
     return report.low_coverage(evidence.contig_totals(_evidence(s, d)), view(s, d, "contigs").select("assembly", "contig"), report.default_min_length(view(s, d, "refs")))
 
 
-@query("WITH " + ctes("kept") + ", n AS (SELECT assembly, contig, ref_id, l_orderkey * 100 + l_linenumber AS chain_id, matches AS weight, aln_len AS qbp, matches / aln_len AS identity, row_number() OVER (PARTITION BY assembly, contig, ref_id ORDER BY matches DESC, l_orderkey * 100 + l_linenumber) AS r FROM kept) SELECT assembly, contig, ref_id, qbp, round(identity, 6) AS identity, weight FROM n WHERE r = 1")
+@query(f"WITH RECURSIVE {_CHAINS} SELECT {_P}, union_bp AS qbp, identity, matches AS weight FROM (SELECT *, row_number() OVER (PARTITION BY {_P} ORDER BY matches DESC, chain_id, strand) AS r FROM mb) WHERE r = 1")
 def best_chain(s, d):
-    k = view(s, d, "kept").select(*evidence.PAIR, (F.col("l_orderkey") * 100 + F.col("l_linenumber")).alias("chain_id"), F.col("matches").alias("weight"), F.col("aln_len").alias("qbp"), (F.col("matches") / F.col("aln_len")).alias("identity"))
-    return report.best_chain(k).withColumn("identity", F.round("identity", 6))
+    return report.best_chain(chaining.macro_blocks(_chained(s, d)).select(*evidence.PAIR, F.struct("chain_id", "strand").alias("chain_id"), F.col("matches").alias("weight"), F.col("union_bp").alias("qbp"), "identity"))
 
 
 _PROT = "SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN concat('tx', CAST(p_partkey AS STRING)) WHEN 1 THEN concat('tx', CAST(p_partkey AS STRING), ' protein 1') WHEN 2 THEN concat('tx', CAST(p_partkey AS STRING), '|p1') ELSE concat('none', CAST(p_partkey AS STRING)) END AS raw FROM part"
@@ -48,10 +47,10 @@ def off_diagonal(s, d):
     return report.off_diagonal(view(s, d, "kept").select(F.col("ref_id").alias("q"), t.alias("t"), "qs", F.col("rs").alias("ts")), high=9000)
 
 
-@query("WITH " + ctes("blast", "contigs") + ", nw AS (SELECT qseqid, greatest(0, qend - greatest(qstart, coalesce(max(qend) OVER (PARTITION BY qseqid ORDER BY qstart, qend ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), qstart))) AS nb FROM blast), g AS (SELECT qseqid AS contig, sum(nb) * 40 AS bp FROM nw GROUP BY 1) SELECT contig, round(bp / contig_len, 6) AS coverage, bp / contig_len >= 0.5 AS rdna FROM g JOIN contigs USING (contig) WHERE contig_len <= 5500000")
+@query("WITH " + ctes("blast", "contigs") + ", nw AS (SELECT assembly, qseqid, greatest(0, qend - greatest(qstart, coalesce(max(qend) OVER (PARTITION BY assembly, qseqid ORDER BY qstart, qend ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), qstart))) AS nb FROM blast), g AS (SELECT assembly, qseqid AS contig, sum(nb) * 40 AS bp FROM nw GROUP BY 1, 2) SELECT assembly, contig, round(bp / contig_len, 6) AS coverage, bp / contig_len >= 0.5 AS rdna FROM g JOIN contigs USING (assembly, contig) WHERE contig_len <= 5500000")
 def rdna_reclassified(s, d):
-    loci = view(s, d, "blast").select(F.col("qseqid").alias("contig"), (F.col("qstart") * 40).alias("start"), (F.col("qend") * 40).alias("end"))
-    c = view(s, d, "contigs").drop("assembly")
+    loci = view(s, d, "blast").select("assembly", F.col("qseqid").alias("contig"), (F.col("qstart") * 40).alias("start"), (F.col("qend") * 40).alias("end"))
+    c = view(s, d, "contigs")
     return report.rdna_reclassified(loci, c, c.filter("contig_len > 5500000"))
 
 

@@ -4,12 +4,15 @@ from __future__ import annotations
 
 import os
 import tomllib
+from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.ids import normalize_ref_id
+from ..functions.sequence import base_count
 
 FASTA_SUFFIXES = (".fa", ".fasta", ".fna", ".fa.gz", ".fasta.gz", ".fna.gz")
 
@@ -37,9 +40,53 @@ def fasta(spark: SparkSession, path: str) -> DataFrame:
     return df.select(name.alias("name"), seq.alias("seq")).withColumn("length", F.length("seq").cast("long"))
 
 
+def carried(spark: SparkSession, path: str, header: str) -> DataFrame:
+    """Lines other than headers, each with what the header before it captures: mark, value, file, split.
+
+    Formats of blocks under a header line are read so without a block ever being one row. Within a split of a file lines
+    come in order and the mark is filled forward; a split begins with the last mark of the splits before it, which is found
+    among one row for each split.
+    """
+    at = F.col("_metadata")
+    df = spark.read.text(path).select("value", at["file_path"].alias("file"), at["file_block_start"].alias("split"))
+    mark = F.when(F.col("value").rlike(header), F.regexp_extract("value", header, 1))
+    df = df.withColumn("mark", mark).withColumn("head", F.col("mark").isNotNull())
+
+    def fill(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        before = None
+        for pdf in parts:
+            key = list(zip(pdf["file"], pdf["split"]))
+            filled = pdf.groupby(["file", "split"], sort=False)["mark"].ffill()
+            if before and key:
+                same = pd.Series([k == before[0] for k in key], index=pdf.index)
+                filled = filled.where(~(same & filled.isna()), before[1])
+            if key:
+                before = (key[-1], None if pd.isna(filled.iloc[-1]) else filled.iloc[-1])
+            yield pdf.assign(mark=filled.where(filled.notna(), None))
+
+    last = df.withColumn("at", F.monotonically_increasing_id()).groupBy("file", "split").agg(F.max_by("mark", F.when(F.col("head"), F.col("at"))).alias("mark"))
+    before = last.select("file", "split", F.last("mark", ignorenulls=True).over(W.partitionBy("file").orderBy("split").rowsBetween(W.unboundedPreceding, -1)).alias("before"))
+    out = df.mapInPandas(fill, df.schema).filter("not head").join(before, ["file", "split"], "left")
+    return out.select(F.coalesce("mark", "before").alias("mark"), "value", "file", "split")
+
+
+def fasta_lines(spark: SparkSession, path: str) -> DataFrame:
+    """name and seq of each line of sequences, file; so a chromosome is as many rows as lines."""
+    df = carried(spark, path, "^>\\s*(\\S*)")
+    return df.select(F.col("mark").alias("name"), F.regexp_replace("value", "\\s", "").alias("seq"), "file").filter("name is not null and name <> ''")
+
+
 def fasta_lengths(spark: SparkSession, path: str) -> DataFrame:
     """Lengths by normalised id; the largest where ids collide."""
-    return fasta(spark, path).groupBy(normalize_ref_id(F.col("name")).alias("ref_id")).agg(F.max("length").alias("ref_len"))
+    per = fasta_lines(spark, path).groupBy("file", "name").agg(F.sum(F.length("seq")).alias("length"))
+    return per.groupBy(normalize_ref_id(F.col("name")).alias("ref_id")).agg(F.max("length").alias("ref_len"))
+
+
+def fasta_gc(spark: SparkSession, path: str) -> DataFrame:
+    """name, length and gc of each sequence, added up over its lines."""
+    n = lambda bases: F.sum(base_count(F.col("seq"), bases))
+    per = fasta_lines(spark, path).groupBy("file", "name").agg(F.sum(F.length("seq")).alias("length"), n("GC").alias("gc"), n("ACGT").alias("all"))
+    return per.select("name", "length", F.coalesce(F.col("gc") / F.nullif(F.col("all"), F.lit(0)), F.lit(0.0)).alias("gc"))
 
 
 def paf(spark: SparkSession, path: str, min_len: int = 0, min_mapq: int = 0, tp: tuple[str, ...] | None = ("P", "I"), protein: bool = False) -> DataFrame:
@@ -55,8 +102,13 @@ def paf(spark: SparkSession, path: str, min_len: int = 0, min_mapq: int = 0, tp:
         col[q].alias("contig"), col[f"{side(q)}len"].alias("contig_len"), low(side(q)).alias("qs"), high(side(q)).alias("qe"), col["strand"].alias("strand"),
         col[t].alias("ref_id"), col[f"{side(t)}len"].alias("ref_len"), low(side(t)).alias("rs"), high(side(t)).alias("re"), _at(9, "long").alias("matches"), _at(10, "long").alias("aln_len"), _at(11, "long").alias("mapq"), F.element_at(F.split(tag, ":"), -1).alias("tp"),
     ).dropna(subset=["contig_len", "qs", "qe", "ref_len", "rs", "re", "matches", "aln_len", "mapq"])
-    df = df.filter((F.col("aln_len") >= min_len) & (F.col("mapq") >= min_mapq) & (F.col("qs") < F.col("qe")) & (F.col("rs") < F.col("re")))
-    return df.filter(F.col("tp").isNull() | F.col("tp").isin(*tp)) if tp else df
+    return df.filter(passes(min_len, min_mapq, tp))
+
+
+def passes(min_len: int, min_mapq: int, tp: tuple[str, ...] | None = ("P", "I")) -> Column:
+    """Whether an alignment block passes the gates; a missing tp tag does."""
+    gates = (F.col("aln_len") >= min_len) & (F.col("mapq") >= min_mapq) & (F.col("qs") < F.col("qe")) & (F.col("rs") < F.col("re"))
+    return gates & (F.col("tp").isNull() | F.col("tp").isin(*tp)) if tp else gates
 
 
 #: Columns of tabular hits; the last one is missing in twelve-column files.
@@ -140,10 +192,9 @@ def model_hits(spark: SparkSession, path: str) -> DataFrame:
 
 
 def clusters(spark: SparkSession, path: str) -> DataFrame:
-    """cluster, member, representative of a cluster file. Blocks are read whole, one row for each cluster."""
-    df = spark.read.option("lineSep", "\n>Cluster ").text(path).select(F.regexp_replace("value", "^>Cluster ", "").alias("v"))
-    df = df.select(F.regexp_extract("v", "^(\\d+)", 1).try_cast("long").alias("cluster"), F.explode(F.split("v", "\n")).alias("line")).filter(F.col("line").contains(">"))
-    return df.select("cluster", F.regexp_extract("line", ">(.+?)\\.\\.\\.", 1).alias("member"), F.trim("line").endswith("*").alias("representative"))
+    """cluster, member, representative of a cluster file, of which a cluster may span any number of splits."""
+    df = carried(spark, path, "^>Cluster\\s+(\\d+)").filter(F.col("mark").isNotNull() & F.col("value").contains(">"))
+    return df.select(F.col("mark").cast("long").alias("cluster"), F.regexp_extract("value", ">(.+?)\\.\\.\\.", 1).alias("member"), F.trim("value").endswith("*").alias("representative"))
 
 
 def agp(spark: SparkSession, path: str) -> DataFrame:

@@ -9,7 +9,7 @@ import pytest
 from karyolytics.config import DEFAULT
 from karyolytics.operators.chaining import chain_numbers, kept_intervals
 from karyolytics.operators.subgenome import fit, nearest
-from karyolytics.plans import catalog, reports  # noqa: F401
+from karyolytics.plans import catalog, reports, runs  # noqa: F401
 
 
 def shown(v):

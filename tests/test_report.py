@@ -6,6 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from karyolytics.config import Config
 from karyolytics.functions import ids
 from karyolytics.operators import assign, classify, compare, detect, evidence, rdna, rearrange, report, scaffold, subgenome
 
@@ -92,19 +93,19 @@ def test_sub_features(spark):
             qs = rng.randrange(0, 5000)
             n = rng.randrange(100, 3000)
             ss = locus * 10_000 + qs
-            hits.append(("c", locus, qs, qs + n, ss, ss + n, rng.choice("+-")))
+            hits.append(("x", "c", locus, qs, qs + n, ss, ss + n, rng.choice("+-")))
     want = []
-    for locus, group in itertools.groupby(hits, lambda h: h[1]):
+    for locus, group in itertools.groupby(hits, lambda h: h[2]):
         group = list(group)
         for name, a, z in features:
             covered = set()
-            for _, _, qs, qe, ss, se, strand in group:
+            for _, _, _, qs, qe, ss, se, strand in group:
                 low, high = max(a, qs), min(z, qe)
                 if qs <= z and qe >= a and high > low:
                     covered |= set(range(ss + low - qs, ss + high - qs) if strand == "+" else range(se - (high - qs), se - (low - qs)))
             if len(covered) >= 0.5 * (z - a):
-                want.append(("c", locus, name, min(covered), max(covered) + 1, len(covered)))
-    got = report.sub_features(spark.createDataFrame(hits, "contig string, locus long, qs long, qe long, ss long, se long, strand string"), spark.createDataFrame(features, "name string, start long, end long"))
+                want.append(("x", "c", locus, name, min(covered), max(covered) + 1, len(covered)))
+    got = report.sub_features(spark.createDataFrame(hits, "assembly string, contig string, locus long, qs long, qe long, ss long, se long, strand string"), spark.createDataFrame(features, "name string, start long, end long"))
     assert rows(got) == sorted(want, key=repr) and len(want) > 10
 
 
@@ -117,21 +118,21 @@ def test_look_ups(spark):
 
 
 def test_rdna_parts(spark):
-    hits = spark.createDataFrame([("a", 1000, 2000), ("a", 1900, 3000), ("a", 9000, 9100), ("a", 3500, 4600)], "contig string, start long, end long")
-    lengths = spark.createDataFrame([("a", 5000)], "contig string, contig_len long")
-    assert [tuple(r)[:3] for r in rdna.regions(hits, 1000, 400, lengths).collect()] == [("a", 600, 5000)]
+    hits = spark.createDataFrame([("x", "a", 1000, 2000), ("x", "a", 1900, 3000), ("x", "a", 9000, 9100), ("x", "a", 3500, 4600), ("y", "a", 0, 1500)], "assembly string, contig string, start long, end long")
+    lengths = spark.createDataFrame([("x", "a", 5000), ("y", "a", 1600)], "assembly string, contig string, contig_len long")
+    assert sorted(tuple(r)[:4] for r in rdna.regions(hits, 1000, 400, lengths).collect()) == [("x", "a", 600, 5000), ("y", "a", 0, 1600)]
     seqs = spark.createDataFrame([("s", "ACGTACGTAC"), ("t", "ACGTACGTACG"), ("e", "")], "name string, seq string")
     assert rows(rdna.tiles(seqs, 4).select("name", "at", "copy")) == [("s", 0, "ACGT"), ("s", 4, "ACGT"), ("t", 0, "ACGT"), ("t", 4, "ACGT"), ("t", 8, "ACG")]
-    central = spark.createDataFrame([("a", "b", 90.0), ("a", "b", 95.0), ("a", "c", 91.0), ("b", "a", 95.0), ("b", "c", 99.0), ("c", "a", 1.0), ("a", "a", 100.0)], "q string, t string, pident double")
-    assert rdna.central_copy(central).first()["central"] == "b"
-    feats = spark.createDataFrame([("a", "18S", 0, 100), ("a", "5.8S", 150, 200), ("a", "18S", 400, 500), ("a", "18S", 600, 700)], "contig string, name string, start long, end long")
-    assert rows(rdna.spacers(feats, "18S", "5.8S")) == [("a", 100, 150), ("a", 200, 400)]
+    central = spark.createDataFrame([(1, "a", "b", 90.0), (1, "a", "b", 95.0), (1, "a", "c", 91.0), (1, "b", "a", 95.0), (1, "b", "c", 99.0), (1, "c", "a", 1.0), (1, "a", "a", 100.0), (2, "z", "b", 1.0)], "k int, q string, t string, pident double")
+    assert rows(rdna.central_copy(central, ["k"])) == [(1, "b"), (2, "z")]
+    feats = spark.createDataFrame([("x", "a", "18S", 0, 100), ("x", "a", "5.8S", 150, 200), ("x", "a", "18S", 400, 500), ("x", "a", "18S", 600, 700), ("y", "a", "5.8S", 520, 530)], "assembly string, contig string, name string, start long, end long")
+    assert rows(rdna.spacers(feats, "18S", "5.8S")) == [("x", "a", 100, 150), ("x", "a", 200, 400)]
 
 
 def test_debris_and_groups(spark):
-    cov = spark.createDataFrame([("a", 0.6), ("b", 0.4)], "contig string, coverage double")
-    genes = spark.createDataFrame([("a", 3), ("c", 2), ("d", 1)], "contig string, gene_hits long")
-    assert rows(detect.reference_debris(cov, genes)) == [("a",), ("c",)]
+    cov = spark.createDataFrame([("x", "a", 0.6), ("x", "b", 0.4)], "assembly string, contig string, coverage double")
+    genes = spark.createDataFrame([("x", "a", 3), ("x", "c", 2), ("x", "d", 1), ("y", "b", 2)], "assembly string, contig string, gene_hits long")
+    assert rows(detect.reference_debris(cov, genes)) == [("x", "a"), ("x", "c"), ("y", "b")]
     c = spark.createDataFrame([("x", "r", "k1", 1, 0.9), ("x", "r", "k2", 2, 0.5)], "assembly string, ref_id string, contig string, group int, identity double")
     groups = scaffold.group_identity(c)
     assert rows(groups) == [("x", "r", 1, 0.9), ("x", "r", 2, 0.5)]
@@ -165,6 +166,31 @@ def test_same_names_in_two_assemblies(spark):
     assert rows(classify.exclude(contigs.drop("contig_len"), contigs.filter("assembly = 'x'"))) == [("y", "contig_1")]
 
 
+def test_detection_by_assembly(spark):
+    """Two assemblies with contigs of one name: each has an organelle of its own, and hits count for their own contig only."""
+    contigs = spark.createDataFrame([("x", "contig_1", 1000), ("y", "contig_1", 1000), ("y", "contig_2", 980)], "assembly string, contig string, contig_len long")
+    cov = spark.createDataFrame([("x", "contig_1", "chrC", 990), ("y", "contig_1", "chrC", 990), ("y", "contig_2", "chrC", 970)], "assembly string, qseqid string, sseqid string, union_bp long")
+    got = detect.organelle_select(cov, contigs, F.lit(1000), F.lit(0.05))
+    assert rows(got.filter("chosen").select("assembly", "contig")) == [("x", "contig_1"), ("y", "contig_1")]
+    one = cov.filter("assembly = 'x'")
+    assert rows(detect.covered_contigs(one, contigs, 0.5)) == [("x", "contig_1", 0.99)]
+    assert rows(detect.debris(one.withColumn("matches", F.lit(950)).withColumn("hit_bp", F.lit(1000)), contigs)) == [("x", "contig_1", 0.99, 0.95)]
+    taxa = spark.createDataFrame([(1, "E", "Bacteria")], "taxid long, name string, kingdom string")
+    hits = spark.createDataFrame([("x", "contig_1", 1, 5000, 900), ("y", "contig_2", 1, 5000, 100)], "assembly string, contig string, taxid long, score long, matching_bp long")
+    assert rows(detect.contaminants(hits, taxa, contigs, least_cov=0.5).select("assembly", "contig", "coverage")) == [("x", "contig_1", 0.9)]
+    loci = spark.createDataFrame([(a, "contig_1", i * 100, i * 100 + 50, "+", 99.0, i) for a in "xy" for i in range(3 if a == "x" else 2)], "assembly string, contig string, start long, end long, strand string, pident double, k long")
+    found = rdna.loci(loci, "k", Config(locus_gap=10))
+    assert rows(found.groupBy("assembly").count()) == [("x", 3), ("y", 2)]
+    assert rows(rdna.arrays(found).select("assembly", "n_copies")) == [("x", 3)]
+
+
+def test_names_by_subgenome(spark):
+    schema = "assembly string, contig string, ref_id string, subgenome string, full_length boolean, identity double, length long"
+    data = [("x", "a", "chr1A", None, True, 0.9, 10), ("x", "b", "chr1A", "B", True, 0.8, 9), ("x", "c", "chr1A", "B", False, 0.7, 8), ("x", "d", "chr1A", "B", False, 0.95, 7), ("x", "e", "chr2A", None, True, 0.5, 5), ("x", "f", "chr2A", None, True, 0.6, 4), ("x", "g", None, None, False, None, 3), ("x", "h", None, None, True, None, 30), ("y", "a", "chr1A", None, True, None, 3)]
+    got = {(r.assembly, r.contig): r["name"] for r in classify.names(spark.createDataFrame(data, schema)).collect()}
+    assert got == {("x", "a"): "chr1A", ("x", "b"): "chr1A_B", ("x", "c"): "chr1A_B_f2", ("x", "d"): "chr1A_B_f1", ("x", "e"): "chr2A_c2", ("x", "f"): "chr2A_c1", ("x", "g"): "contig_2", ("x", "h"): "contig_1", ("y", "a"): "chr1A"}
+
+
 def test_choice_of_clusters():
     rng = random.Random(1)
     chroms = [f"chr{i}" for i in range(6) for _ in range(2)]

@@ -1,6 +1,7 @@
 """Files written by hand are read as told, and sinks give what sources read."""
 
 import gzip
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -73,3 +74,33 @@ def test_tsv_sink(spark, tmp_path):
     sinks.tsv(df, str(tmp_path / "o"), ["k"])
     text = next((tmp_path / "o").glob("part-*")).read_text().splitlines()
     assert text == ["k\ty\tx\tn", "a\tno\t\t3", "b\tyes\t0.2500\t"]
+
+
+def test_blocks_that_span_splits(spark, tmp_path):
+    """Splits of a few bytes: a cluster or a sequence goes on over many of them, and none starts with another file's mark."""
+    rng = random.Random(4)
+    want, sizes = [], {}
+    for name in ("one", "two"):
+        text = ""
+        for k in range(6):
+            text += f">Cluster {k}\n"
+            for i in range(rng.choice([1, 2, 40])):
+                text += f"{i}\t{100 + i}nt, >{name}_{k}_{i}... {'*' if i == 0 else 'at 99%'}\n"
+                want.append((k, f"{name}_{k}_{i}", i == 0))
+        (tmp_path / f"{name}.clstr").write_text(text)
+        seqs = {f"{name}{k}": "".join(rng.choice("ACGTN") for _ in range(rng.choice([0, 7, 900]))) for k in range(5)}
+        (tmp_path / f"{name}.fa").write_text("".join(f">{k} note\n" + "".join(f"{v[i : i + 30]}\n" for i in range(0, len(v), 30)) for k, v in seqs.items()))
+        (tmp_path / f"{name}.fa.gz").write_bytes(gzip.compress((tmp_path / f"{name}.fa").read_bytes()))
+        sizes |= {k: (len(v), sum(c in "GC" for c in v) / max(1, sum(c in "ACGT" for c in v))) for k, v in seqs.items() if v}
+    old = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        for k in old:
+            spark.conf.set(k, "97")
+        assert sorted(tuple(r) for r in readers.clusters(spark, str(tmp_path / "*.clstr")).collect()) == sorted(want)
+        got = {r.name: (r.length, r.gc) for r in readers.fasta_gc(spark, str(tmp_path / "*.fa")).collect()}
+        assert got == sizes and readers.carried(spark, str(tmp_path / "*.fa"), "^>(\\S+)").select("file", "split").distinct().count() > 8
+        packed = {r.name: (r.length, r.gc) for r in readers.fasta_gc(spark, str(tmp_path / "*.fa.gz")).collect()}
+        assert packed == sizes
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
