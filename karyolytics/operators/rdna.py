@@ -17,6 +17,10 @@ from .evidence import CONTIG
 from .intervals import merged
 
 
+#: So few stretches of a block are handed on as they are, else their counts.
+FEW = 16
+
+
 def copy_type(coverage: Column) -> Column:
     return F.when(coverage >= 0.9, "full").when(coverage >= 0.5, "partial").otherwise("fragment")
 
@@ -83,13 +87,14 @@ def column_consensus(seqs: DataFrame, key: str, seq: str, least: float = 0.5, wi
         def flush() -> pa.RecordBatch:
             out = []
             for (k, b), parts in held.items():
+                if len(parts) < FEW:
+                    out += [(k, b, p.astype("<u4").tobytes(), None, None) for p in parts]
+                    continue
                 counts = Columns(width)
                 for p in parts:
                     counts.add(p)
-                if sum(map(len, parts)) < len(counts.of) * counts.used:
-                    out += [(k, b, p.astype("<u4").tobytes(), None, None) for p in parts]
-                else:
-                    out += [(k, b, None, int(s), n[: counts.used].astype("<i8").tobytes()) for s, n in counts.of.items()]
+                counts.settle()
+                out += [(k, b, None, int(s), n[: counts.used].astype("<i8").tobytes()) for s, n in counts.of.items()]
             types = (None, pa.int64(), pa.binary(), pa.int64(), pa.binary())
             return pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t or to_arrow_type(kind)) for i, t in enumerate(types)], ["key", "block", "part", "sign", "counts"])
 
@@ -137,20 +142,36 @@ def column_consensus(seqs: DataFrame, key: str, seq: str, least: float = 0.5, wi
 
 
 class Columns:
-    """Counts of signs in the columns of one block."""
+    """Counts of signs in the columns of one block. Stretches wait until there are some, then they are counted at once."""
 
     def __init__(self, width: int):
-        self.width, self.of, self.used = width, {}, 0
+        self.width, self.of, self.used, self.parts, self.size = width, {}, 0, [], 0
 
     def plus(self, sign: int, n: np.ndarray) -> None:
         self.used = max(self.used, len(n))
         self.of.setdefault(sign, np.zeros(self.width, np.int64))[: len(n)] += n
 
     def add(self, codes: np.ndarray) -> None:
-        for sign in np.unique(codes).tolist():
-            self.plus(sign, codes == sign)
+        self.parts.append(codes)
+        self.size += len(codes)
+        if self.size > 1 << 18:
+            self.settle()
+
+    def settle(self) -> None:
+        if self.size:
+            codes, at = np.concatenate(self.parts), np.concatenate([np.arange(len(p)) for p in self.parts])
+            top = int(codes.max()) + 1
+            seen = np.flatnonzero(np.bincount(codes, minlength=top))
+            rank = np.zeros(top, np.int64)
+            rank[seen] = np.arange(len(seen))
+            n = np.bincount(rank[codes] * self.width + at, minlength=len(seen) * self.width).reshape(len(seen), self.width)
+            longest = max(map(len, self.parts))
+            for sign, row in zip(seen.tolist(), n):
+                self.plus(sign, row[:longest])
+            self.parts, self.size = [], 0
 
     def call(self, least: float, n: int) -> str:
+        self.settle()
         signs = np.array(sorted(self.of.keys() - {ord("-"), ord(".")}), np.uint32)
         if not len(signs):
             return ""
