@@ -32,20 +32,126 @@ VOID_TAGS = frozenset("area base br col embed hr img input link meta param sourc
 RAW_TAGS = frozenset("script style noscript template svg iframe object".split())
 #: An opening tag closes an open one of these.
 CLOSES = {"p": ("p",), "li": ("li", "p"), "dt": ("dt", "dd", "p"), "dd": ("dt", "dd", "p"), "tr": ("tr", "td", "th", "p"), "td": ("td", "th", "p"), "th": ("td", "th", "p"), "option": ("option",)} | {t: ("p",) for t in ("article", "aside", "blockquote", "div", "dl", "fieldset", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hr", "main", "nav", "ol", "pre", "section", "table", "ul")}
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*(?:>|\Z)|</?[a-zA-Z][^<>]*\Z", re.S)
+TAG = re.compile(r"</?(?=[a-zA-Z])")
+NAME_ENDS, SPECIAL = re.compile(r"[\s/>]"), re.compile("[>\"']")
 NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))")
 PATH_DIMS, WORD_DIMS, EXTRA = 96, 64, 6
 DIMS = PATH_DIMS + WORD_DIMS + EXTRA
 HIDDEN = 12
 TRAIN_PAGES = 480
 
-Block = tuple[tuple[str, ...], str, int]  # path, text, characters in links
+Block = tuple[np.ndarray, str, int]  # hashed path, text, characters in links
+
+
+class Tags:
+    """Tags, comments and declarations of a page, found in one pass: what a failed search has learnt is not searched again."""
+
+    def __init__(self, page: str):
+        self.page, self.size = page, len(page)
+        self.last = {c: page.rfind(c) for c in "<>\"'"}
+        self.known = {NAME_ENDS: (0, -1), SPECIAL: (0, -1)}  # between these places nothing of the kind stands
+        self.dead: set[int] = set()  # places outside quotes from which no tag ends
+
+    def next(self, kind: re.Pattern, at: int) -> int:
+        low, high = self.known[kind]
+        if not low <= at <= high:
+            m = kind.search(self.page, at)
+            self.known[kind] = at, m.start() if m else self.size
+        return self.known[kind][1]
+
+    def end_of_tag(self, at: int) -> int:
+        """Where the > outside quotes is, or -1."""
+        seen = []
+        while at not in self.dead:
+            seen.append(at)
+            at = self.next(SPECIAL, at)
+            if at == self.size:
+                break
+            c = self.page[at]
+            if c == ">":
+                return at
+            if at >= self.last[c]:  # a quote that nothing closes
+                break
+            at = self.page.find(c, at + 1) + 1
+        self.dead.update(seen)
+        return -1
+
+    def __iter__(self) -> Iterator[tuple[int, int, str, bool, str]]:
+        """start, end, name (empty for what is no tag), whether it closes, attributes. Assign to ``at`` to skip."""
+        page, self.at = self.page, 0
+        while (start := page.find("<", self.at)) >= 0:
+            if page.startswith("<!--", start):
+                end = page.find("-->", start + 4)
+                self.at = self.size if end < 0 else end + 3
+                yield start, self.at, "", False, ""
+            elif page[start + 1 : start + 2] in ("!", "?"):
+                end = page.find(">", start + 2)
+                self.at = self.size if end < 0 else end + 1
+                yield start, self.at, "", False, ""
+            elif m := TAG.match(page, start):
+                named = self.next(NAME_ENDS, m.end())
+                end = self.end_of_tag(named)
+                if end >= 0:
+                    self.at = end + 1
+                    yield start, self.at, page[m.end() : named], len(m[0]) == 2, page[named:end]
+                elif start == self.last["<"] and self.last[">"] < start:
+                    self.at = self.size  # an unfinished tag
+                    yield start, self.at, "", False, ""
+                else:
+                    self.at = start + 1
+            else:
+                self.at = start + 1
+
+
+class Stack:
+    """Open tags with the hashed words of their path, kept up as tags open and close."""
+
+    def __init__(self):
+        self.tags: list[tuple[str, tuple[int, ...]]] = []
+        self.of: dict[str, list[int]] = {}
+        self.blocks: list[int] = []
+        self.path = np.zeros(PATH_DIMS, np.int64)
+
+    def open(self, tag: str, words: list[str]) -> None:
+        dims = tuple(zlib.crc32(w.encode()) % PATH_DIMS for w in words)
+        for d in dims:
+            self.path[d] += 1
+        self.of.setdefault(tag, []).append(len(self.tags))
+        if tag in BLOCK_TAGS:
+            self.blocks.append(len(self.tags))
+        self.tags.append((tag, dims))
+
+    def cut(self, at: int) -> None:
+        while len(self.tags) > at:
+            tag, dims = self.tags.pop()
+            self.of[tag].pop()
+            if tag in BLOCK_TAGS:
+                self.blocks.pop()
+            for d in dims:
+                self.path[d] -= 1
+
+    def close(self, tag: str) -> None:
+        """Closes the tag and what is open in it; an inline tag only within its block."""
+        if (at := self.of.get(tag)) and (tag in BLOCK_TAGS or not self.blocks or at[-1] > self.blocks[-1]):
+            self.cut(at[-1])
+
+    def closed_by(self, tag: str) -> None:
+        while self.blocks and self.tags[self.blocks[-1]][0] in CLOSES.get(tag, ()):
+            self.cut(self.blocks[-1])
+
+
+def plain(text: str) -> str:
+    """Text with character references decoded and white space as one space; numbers of any length are none of a character."""
+    if "&#" in text:
+        text = re.sub(r"&#0+(?=\d)", "&#", text)
+        text = re.sub(r"&#\d{8,};?", "\ufffd", text)
+    return " ".join(entities.unescape(text).split())
 
 
 def blocks(page: str | None) -> list[Block]:
     """Leaf blocks in page order."""
     out: list[Block] = []
-    stack: list[tuple[str, tuple[str, ...]]] = []
+    stack = Stack()
     parts: list[str] = []
     linked = 0
     page = page or ""
@@ -53,56 +159,47 @@ def blocks(page: str | None) -> list[Block]:
     def close() -> None:
         nonlocal linked
         if parts:
-            text = " ".join(entities.unescape("".join(parts)).split())
-            if text:
-                out.append((tuple(w for _, words in stack for w in words), text, min(linked, len(text))))
+            if text := plain("".join(parts)):
+                out.append((np.minimum(stack.path, 2).astype(np.float32), text, min(linked, len(text))))
             parts.clear()
         linked = 0
 
-    at = 0
-    while at < len(page):
-        m = TOKEN.search(page, at)
-        if m is None or m.start() > at:
-            text = page[at : m.start() if m else len(page)]
+    def take(text: str) -> None:
+        nonlocal linked
+        if text:
             parts.append(text)
-            if any(t == "a" for t, _ in stack[-4:]):
+            if any(t == "a" for t, _ in stack.tags[-4:]):
                 linked += len(text.strip())
-        if m is None:
-            break
-        at = m.end()
-        if not m[2]:
+
+    at, tags = 0, Tags(page)
+    for start, end, name, closing, attributes in tags:
+        take(page[at:start])
+        at = end
+        tag = name.lower()
+        if not tag:
             continue
-        tag = m[2].lower()
         if tag in VOID_TAGS:
             if tag == "hr":
                 close()
             parts.append(" ")
-        elif m[1]:
+        elif closing:
             if tag in BLOCK_TAGS:
                 close()
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == tag:
-                    del stack[i:]
-                    break
-                if tag not in BLOCK_TAGS and stack[i][0] in BLOCK_TAGS:
-                    break
+            stack.close(tag)
         elif tag in RAW_TAGS:
-            if not m[3].endswith("/"):
-                end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
-                at = end.end() if end else len(page)
+            if not attributes.endswith("/"):
+                m = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
+                at = tags.at = m.end() if m else len(page)
         else:
             if tag in BLOCK_TAGS:
                 close()
-                for i in range(len(stack) - 1, -1, -1):
-                    if stack[i][0] in CLOSES.get(tag, ()):
-                        del stack[i:]
-                    elif stack[i][0] in BLOCK_TAGS:
-                        break
+                stack.closed_by(tag)
             words = [tag]
-            if m[3]:
-                for n in NAMES.findall(m[3]):
+            if attributes:
+                for n in NAMES.findall(attributes):
                     words += [f".{w}" for w in re.findall(r"[a-z]+", "".join(n).lower())]
-            stack.append((tag, tuple(words)))
+            stack.open(tag, words)
+    take(page[at:])
     close()
     return out
 
@@ -111,11 +208,9 @@ def vectors(seq: list[Block]) -> np.ndarray:
     """A row for each block. Counts are scaled so that no block's length dominates."""
     x = np.zeros((len(seq), DIMS), np.float32)
     for i, (path, text, linked) in enumerate(seq):
-        for w in path:
-            x[i, zlib.crc32(w.encode()) % PATH_DIMS] += 1
+        x[i, :PATH_DIMS] = path
         n = len(text)
         x[i, -EXTRA:] = (np.log1p(n) / 6, linked / n, text[-1] in ".?!", sum(map(text.count, ".,;")) * 10 / n, i / len(seq), 1)
-    np.minimum(x[:, :PATH_DIMS], 2, out=x[:, :PATH_DIMS])
     for i, h in enumerate(words_of([t for _, t, _ in seq])):
         if len(h):
             x[i, PATH_DIMS : PATH_DIMS + WORD_DIMS] = np.bincount((h % np.uint64(WORD_DIMS)).astype(np.int64), minlength=WORD_DIMS) / np.sqrt(len(h))
