@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+import re
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 #: Names of organelle references.
@@ -68,3 +71,46 @@ def numeric_key(c: Column) -> Column:
     """A string that sorts as the name does with its numbers taken as numbers."""
     parts = F.regexp_extract_all(c, F.lit("(\\d+|\\D+)"), 1)
     return F.array_join(F.transform(parts, lambda x: F.when(x.rlike("^\\d"), F.lpad(x, F.greatest(F.length(x), F.lit(20)), F.lit("0"))).otherwise(x)), "")
+
+
+class Patterns:
+    """A user's patterns for reference names, checked when they are given: the first that matches a name splits it.
+
+    Patterns are as in Python, with a group named chrom and perhaps one named sg; case does not count. Names that none matches
+    stay whole and have no subgenome. Organelles keep their own names.
+    """
+
+    def __init__(self, patterns: list[str]):
+        self.java = []
+        for p in patterns:
+            try:
+                groups = re.compile(p, re.IGNORECASE).groupindex
+            except re.error as e:
+                raise ValueError(f"no regular expression: {p} ({e})") from e
+            if "chrom" not in groups:
+                raise ValueError(f"no group named chrom: {p}")
+            self.java.append(("(?i)" + p.replace("(?P<", "(?<"), groups["chrom"], groups.get("sg")))
+
+    def _first(self, name: Column, group: int, missing: Column) -> Column:
+        out = missing
+        for regex, chrom, sg in reversed(self.java):
+            at = (chrom, sg)[group]
+            # patterns hold from the start of a name, as a match in Python does
+            found = F.regexp_extract(name, f"^(?:{regex})", at) if at else F.lit("")
+            out = F.when(name.rlike(f"^(?:{regex})"), F.coalesce(F.nullif(found, F.lit("")), F.lit("NA"))).otherwise(out)
+        return out
+
+    def chrom_id(self, c: Column) -> Column:
+        found = self._first(bare(normalize_ref_id(c)), 0, F.lit(None).cast("string"))
+        return F.coalesce(styled(c, F.coalesce(organelle_id(c), found)), c)
+
+    def subgenome(self, c: Column) -> Column:
+        return F.when(organelle_id(c).isNotNull(), "NA").otherwise(self._first(bare(normalize_ref_id(c)), 1, F.lit("NA")))
+
+
+def id_map(names: DataFrame, name: str, order: str) -> DataFrame:
+    """original, ref_id (normal name; organelles by kind) and whether it is the first original of its normal name, by order."""
+    df = names.select(F.col(name).alias("original"), F.coalesce(organelle_id(F.col(name)), normalize_ref_id(F.col(name))).alias("ref_id"), F.col(order).alias("_order"))
+    df = df.groupBy("original", "ref_id").agg(F.min("_order").alias("_order"))
+    first = F.row_number().over(W.partitionBy("ref_id").orderBy("_order", "original")) == 1
+    return df.select("original", "ref_id", first.alias("first"))

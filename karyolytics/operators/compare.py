@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..config import Config
+from .chaining import chain_greedy, macro_blocks
 from .intervals import overlap_join
 
 
@@ -91,3 +93,20 @@ def suppress_ribbons(blocks: DataFrame, present: DataFrame) -> DataFrame:
     between = blocks.join(present.withColumnRenamed("ord", "mid"), "ref_id").filter("mid > left_ord and mid < right_ord").groupBy("ref_id", "left_ord", "right_ord").agg(F.countDistinct("mid").alias("n"))
     full = between.filter("n = right_ord - left_ord - 1")
     return blocks.join(full, ["ref_id", "left_ord", "right_ord"], "left_anti")
+
+
+#: Gaps and the least size of chains between two assemblies.
+PAIRWISE = Config(chain_q_gap=500_000, chain_r_gap=500_000, chain_diag_slop=200_000, chain_min_bp=50_000)
+
+
+def pairwise_synteny(blocks: DataFrame, ties: list[str], cfg: Config = PAIRWISE) -> DataFrame:
+    """Chains of alignments of pairs of assemblies, all pairs as one job.
+
+    blocks: left and right (assemblies), contig (of the right one), target (contig of the left one), strand, qs, qe, rs, re,
+    matches, aln_len, past the gates of alignments. The pair takes the place of the assembly in chaining.
+    """
+    pair = F.concat_ws("\x01", "left", "right")
+    chained = chain_greedy(blocks.withColumns({"assembly": pair, "ref_id": F.col("target"), "gene_id": F.lit(None).cast("string")}).drop("left", "right", "target"), ties, cfg)
+    out = macro_blocks(chained, cfg)
+    side = lambda i: F.split("assembly", "\x01")[i]
+    return out.select(side(0).alias("left"), side(1).alias("right"), F.col("ref_id").alias("target"), "contig", "strand", "chain_id", "qstart", "qend", "qspan_bp", "union_bp", "matches", "aln_len", "identity", "n_segments", "ref_start", "ref_end")

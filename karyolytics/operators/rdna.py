@@ -14,7 +14,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from ..config import DEFAULT, Config
 from .evidence import CONTIG
-from .intervals import merged
+from .intervals import merged, union_bp
 
 
 #: So few stretches of a block are handed on as they are, else their counts.
@@ -32,20 +32,39 @@ def chained(df: DataFrame, keys: list[str], start: str, end: str, gap: int, ties
     return df.withColumn(name, F.sum("_new").over(w.rowsBetween(W.unboundedPreceding, 0))).drop("_new")
 
 
-def loci(hits: DataFrame, tie: str, cfg: Config = DEFAULT) -> DataFrame:
-    """hits: assembly, contig, start, end, strand, pident. Majority strand, the first seen on ties; identity by length."""
+def loci(hits: DataFrame, tie: str, cfg: Config = DEFAULT, consensus: int | None = None, region: tuple[int, int] | None = None) -> DataFrame:
+    """hits: assembly, contig, start, end, strand, pident. Majority strand, the first seen on ties; identity by length.
+
+    With the length of the consensus, hits have cs and ce on it, and loci the share of it that they cover; with its
+    transcribed region too, they have a copy type by the share of that.
+    """
     df = chained(hits, CONTIG, "start", "end", cfg.locus_gap, [tie], "locus")
     length = F.col("end") - F.col("start")
     votes = df.groupBy(*CONTIG, "locus", "strand").agg(F.count("*").alias("n"), F.min(F.struct("start", "end", tie)).alias("first"), F.min("start").alias("s"), F.max("end").alias("e"), F.sum(F.col("pident") * length).alias("w"), F.sum(length).alias("bp"))
-    return votes.groupBy(*CONTIG, "locus").agg(F.min("s").alias("start"), F.max("e").alias("end"), F.min_by("strand", F.struct(-F.col("n"), "first")).alias("strand"), F.sum("n").alias("n_hits"), F.round(F.sum("w") / F.sum("bp"), 6).alias("identity"), F.sum("w").alias("identity_sum"), F.sum("bp").alias("identity_bp"))
+    out = votes.groupBy(*CONTIG, "locus").agg(F.min("s").alias("start"), F.max("e").alias("end"), F.min_by("strand", F.struct(-F.col("n"), "first")).alias("strand"), F.sum("n").alias("n_hits"), F.round(F.sum("w") / F.sum("bp"), 6).alias("identity"), F.sum("w").alias("identity_sum"), F.sum("bp").alias("identity_bp"))
+    share = lambda a, z: union_bp(df.withColumns({"_a": F.greatest(F.col("cs"), F.lit(a)), "_z": F.least(F.col("ce"), F.lit(z))}).filter("_a < _z"), [*CONTIG, "locus"], "_a", "_z", "_bp").withColumn("_bp", F.col("_bp") / (z - a))
+    if consensus:
+        out = out.join(share(0, consensus).withColumnRenamed("_bp", "consensus_coverage"), [*CONTIG, "locus"], "left").fillna(0.0, ["consensus_coverage"])
+    if region:
+        out = out.join(share(*region), [*CONTIG, "locus"], "left").withColumn("copy_type", copy_type(F.coalesce("_bp", F.lit(0.0)))).drop("_bp")
+    return out
 
 
 def arrays(loci_: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
-    """Runs of loci. Identities are compared unrounded, as sums over lengths, and rounded once."""
+    """Runs of loci. Identities are compared unrounded, as sums over lengths, and rounded once.
+
+    An array has a strand by majority, the first locus' on ties, counts of copy types where loci have them, and a number
+    within its assembly by contig and place.
+    """
     loci_ = loci_.withColumn("identity", F.col("identity_sum") / F.col("identity_bp"))
     df = chained(loci_, CONTIG, "start", "end", cfg.array_gap, [], "array")
-    out = df.groupBy(*CONTIG, "array").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.count("*").alias("n_copies"), F.round(F.min("identity"), 6).alias("min_identity"), F.round(F.max("identity"), 6).alias("max_identity"), F.round(F.median("identity"), 6).alias("median_identity"))
-    return out.filter(F.col("n_copies") >= cfg.array_min_copies).drop("array")
+    kinds = [F.sum(F.col("copy_type").eqNullSafe(k).cast("long")).alias(f"n_{k}") for k in ("full", "partial", "fragment")] if "copy_type" in loci_.columns else []
+    plus, minus = (F.count_if(F.col("strand") == x) for x in "+-")
+    first = F.min_by("strand", F.struct("start", "end"))
+    strand = F.when(plus > minus, "+").when(minus > plus, "-").otherwise(first)
+    out = df.groupBy(*CONTIG, "array").agg(F.min("start").alias("start"), F.max_by("end", F.struct("start", "end")).alias("end"), F.count("*").alias("n_copies"), *kinds, strand.alias("strand"), F.round(F.min("identity"), 6).alias("min_identity"), F.round(F.max("identity"), 6).alias("max_identity"), F.round(F.median("identity"), 6).alias("median_identity"))
+    number = F.row_number().over(W.partitionBy("assembly").orderBy("contig", "start"))
+    return out.filter(F.col("n_copies") >= cfg.array_min_copies).withColumn("array_id", F.concat(F.lit("array_"), number)).drop("array")
 
 
 def regions(hits: DataFrame, least: int, flank: int, lengths: DataFrame) -> DataFrame:

@@ -221,7 +221,7 @@ def comparison_summary(contigs: DataFrame, classes: tuple[str, ...]) -> DataFram
     return contigs.groupBy("assembly").agg(*out)
 
 
-def pairwise_synteny(left: DataFrame, right: DataFrame) -> DataFrame:
+def shared_stretches(left: DataFrame, right: DataFrame) -> DataFrame:
     """Shared stretches of two assemblies through a common reference. Both: assembly, contig, ref_id, rs, re.
 
     Overlaps on the reference are dealt by bins; rows of one pair of contigs that touch become one.

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ..config import DEFAULT, Config
 from ..functions.sequence import gc_deviation
-from .assign import resolve_reciprocal, synteny_gate
+from .assign import NO_SECOND, resolve_reciprocal, synteny_gate
 from .chaining import chain_greedy, macro_blocks
 from .classify import cascade, exclude, full_length, names
 from .detect import contaminants, covered_contigs, debris, hit_coverage, organelle_select
@@ -50,13 +50,25 @@ def synteny_ranks(blocks: DataFrame, contigs: DataFrame, refs: DataFrame, cfg: C
 
 
 def assignments(ranks: DataFrame) -> DataFrame:
-    """assembly, contig, ref_id, second_ref of contigs with a reference, reciprocal swaps resolved."""
+    """assembly, contig, ref_id, second_ref of contigs with a reference, reciprocal swaps resolved; with the union and score (the
+    share spanned) of the best and the second one that pass the gate.
+    """
     at = lambda k, c: F.max(F.when(F.col("rank") == k, F.col(c)))
-    best = ranks.groupBy(*CONTIG).agg(at(1, "ref_id").alias("best_ref"), at(1, "frac").alias("best_frac"), at(2, "ref_id").alias("gated_second")).filter("best_ref is not null")
+    best = ranks.groupBy(*CONTIG).agg(at(1, "ref_id").alias("best_ref"), at(1, "frac").alias("best_frac"), at(2, "ref_id").alias("gated_second"), at(1, "union_bp").alias("best_bp"), at(2, "union_bp").alias("second_bp"), at(2, "frac").alias("gated_frac")).filter("best_ref is not null")
     other = ranks.join(best.select(*CONTIG, "best_ref"), CONTIG).filter("ref_id <> best_ref").groupBy(*CONTIG).agg(F.max(F.struct("frac", "ref_id")).alias("o"))
-    spans = best.join(other, CONTIG, "left").select(*CONTIG, "best_ref", "best_frac", F.col("o.ref_id").alias("second_ref"), F.col("o.frac").alias("second_frac"), "gated_second")
-    moves = resolve_reciprocal(spans.drop("gated_second")).select(*CONTIG, "new_ref")
-    return spans.join(moves, CONTIG, "left").select(*CONTIG, F.coalesce("new_ref", "best_ref").alias("ref_id"), F.col("gated_second").alias("second_ref"))
+    spans = best.join(other, CONTIG, "left").select(*CONTIG, "best_ref", "best_frac", F.col("o.ref_id").alias("second_ref"), F.col("o.frac").alias("second_frac"), "gated_second", "best_bp", "second_bp", "gated_frac")
+    moves = resolve_reciprocal(spans.drop("gated_second", "best_bp", "second_bp", "gated_frac")).select(*CONTIG, "new_ref")
+    return spans.join(moves, CONTIG, "left").select(*CONTIG, F.coalesce("new_ref", "best_ref").alias("ref_id"), F.col("gated_second").alias("second_ref"), "best_bp", F.coalesce("second_bp", F.lit(0)).alias("second_bp"), F.col("best_frac").alias("best_score"), F.coalesce("gated_frac", F.lit(0.0)).alias("second_score"))
+
+
+def status(ref: Column, by_chain: Column, cfg: Config = DEFAULT) -> Column:
+    """State of an assignment, from contig_len and what ``assignments`` gives. Classes that have their reference by another
+    way than chains (not by_chain) need no score.
+    """
+    score, second = F.coalesce("best_score", F.lit(0.0)), F.coalesce("second_score", F.lit(0.0))
+    frac = F.when(F.col("contig_len") > 0, F.coalesce("best_bp", F.lit(0)) / F.col("contig_len")).otherwise(0.0)
+    ratio = F.when(second > 0, score / second).when(score > 0, NO_SECOND).otherwise(0.0)
+    return F.when(ref.isNull() | (by_chain & (score <= 0)), "NO_HITS").when(frac < cfg.assign_min_frac, "AMBIG_LOW_FRAC").when(ratio < cfg.assign_min_ratio, "AMBIG_LOW_RATIO").otherwise("OK")
 
 
 def classified(
@@ -106,6 +118,10 @@ def classified(
     out = stage(out.fillna(False, [kind for kind, _ in joined]), "evidence")
     out = out.withColumns({"ref_id": F.col("assigned_to_ref_id"), "assigned": F.col("assigned_to"), "chromosome_like": F.col("contig_len") >= least, "organelle": F.coalesce("organelle_any_complete", F.lit(False))})
     out = cascade(out.withColumn("organelle_debris", F.col("organelle_any") & ~F.col("organelle")))
+    out = out.join(to.drop("ref_id", "second_ref"), CONTIG, "left").join(ranks.groupBy(*CONTIG).agg(F.sum("union_bp").alias("total_bp"), F.count("*").alias("n_refs")), CONTIG, "left")
+    zero = lambda c: F.coalesce(c, F.lit(0))
+    mixed = (zero("n_refs") > 1) & (zero("best_bp") < cfg.chimera_primary * F.col("total_bp")) & (zero("second_bp") >= cfg.chimera_secondary * F.col("total_bp"))
+    out = out.withColumns({"low_coverage": zero("total_bp") < least, "chimeric": F.coalesce(mixed & (F.col("total_bp") > 0), F.lit(False))})
     return finished(out, blocks, ties, ranks, gc, telomeres, ref_gc, refs, cfg, stage)
 
 
@@ -136,9 +152,10 @@ def finished(out: DataFrame, blocks: DataFrame, ties: list[str], ranks: DataFram
     shown = F.when(cls.isin("chrom_assigned", "chrom_debris"), F.col("ref_id")).when(cls.startswith("organelle"), F.col("organelle_any_organelle_ref"))
     name = F.when(cls == "organelle_complete", F.col("organelle_any_organelle_ref")).otherwise(F.col("name"))
     out = out.join(label, CONTIG).join(turn, CONTIG, "left")
+    state = status(shown, cls.isin("chrom_assigned", "chrom_unassigned"), cfg)
     six = lambda c: F.round(c, 6).alias(c)
     return out.select(
-        *CONTIG, "contig_len", "class", shown.alias("ref_id"), F.when(chrom, F.col("assigned_to_second_ref")).alias("second_ref"), "confidence", name.alias("name"), "full_length", "full_length_confidence",
+        *CONTIG, "contig_len", "class", shown.alias("ref_id"), F.when(chrom, F.col("assigned_to_second_ref")).alias("second_ref"), state.alias("status"), "low_coverage", "chimeric", "confidence", name.alias("name"), "full_length", "full_length_confidence",
         F.coalesce("reverse", F.lit(False)).alias("reversed"), F.coalesce("telo5", F.lit(False)).alias("telo5"), F.coalesce("telo3", F.lit(False)).alias("telo3"), *(six(c) for c in ("gc_dev", "coverage", "identity")), *(F.when(chrom, F.round(c, 6)).alias(c) for c in ("ref_coverage", "chain_identity", "collinearity")),
         F.when(chrom, F.col("n_chains")).alias("n_chains"), F.when(cls == "contaminant", F.col("contaminant_name")).alias("species"), F.when(cls == "contaminant", contaminant_score(F.col("contaminant_score"))).alias("contaminant_score"),
     )

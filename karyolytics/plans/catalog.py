@@ -71,6 +71,32 @@ def id_split(s, d):
     return _raw_ids(s, d).select("raw", ids.chrom_id(F.col("raw")).alias("chrom_id"), ids.subgenome(F.col("raw")).alias("subgenome"))
 
 
+#: Names of two styles, each split by a pattern of its own.
+_CUSTOM = ids.Patterns([r"chr(?:omosome)?_?(?P<chrom>\d+)(?P<sg>[ab]t)?$", r"(?P<chrom>ns\d+)\.(?P<sg>[A-Z])$"])
+_STYLES = _RAW + ", st AS (SELECT raw FROM ids UNION SELECT concat('Chromosome_', CAST(l_partkey % 12 AS STRING), CASE l_linenumber % 3 WHEN 0 THEN 'At' WHEN 1 THEN 'bT' ELSE '' END) FROM aln UNION SELECT concat('NS', CAST(l_suppkey AS STRING), CASE WHEN l_linenumber < 3 THEN '.D' WHEN l_linenumber < 5 THEN '.E_f3' ELSE '_5' END) FROM aln) "
+
+
+def _styles(s, d):
+    aln = view(s, d, "aln")
+    line = F.col("l_linenumber") % 3
+    two = F.concat(F.lit("Chromosome_"), (F.col("l_partkey") % 12).cast("string"), F.when(line == 0, "At").when(line == 1, "bT").otherwise(""))
+    three = F.concat(F.lit("NS"), F.col("l_suppkey").cast("string"), F.when(F.col("l_linenumber") < 3, ".D").when(F.col("l_linenumber") < 5, ".E_f3").otherwise("_5"))
+    return _raw_ids(s, d).union(aln.select(two)).union(aln.select(three)).distinct()
+
+
+_ORGANELLE = "CASE WHEN lower(raw) IN ('chrc', 'cpdna', 'chloroplast', 'plastid', 'pt') THEN 'chrC' WHEN lower(raw) IN ('chrm', 'mt', 'mitochondrion', 'mitochondria', 'mitochondrial') THEN 'chrM' END"
+
+
+@query(_STYLES + f", n AS (SELECT raw, {_ORGANELLE} AS org, regexp_replace(regexp_replace(regexp_replace(raw, '^(?i:chr)', 'chr'), '_[fc][0-9]+$', ''), '_[A-Z]$', '') AS nm FROM st), f AS (SELECT *, regexp_matches(nm, '(?i)^chr(?:omosome)?_?[0-9]+(?:[ab]t)?$') AS a, regexp_matches(nm, '(?i)^ns[0-9]+[.][A-Z]$') AS b FROM n) SELECT raw, CASE WHEN org IS NOT NULL THEN CASE WHEN starts_with(raw, 'Chr') THEN concat('Chr', substring(org, 4)) ELSE org END WHEN a THEN regexp_extract(nm, '([0-9]+)', 1) WHEN b THEN regexp_extract(nm, '(?i)(ns[0-9]+)', 1) ELSE raw END AS chrom_id, CASE WHEN org IS NOT NULL THEN 'NA' WHEN a THEN coalesce(nullif(regexp_extract(nm, '(?i)([ab]t)$', 1), ''), 'NA') WHEN b THEN right(nm, 1) ELSE 'NA' END AS subgenome FROM f")
+def id_custom(s, d):
+    return _styles(s, d).select("raw", _CUSTOM.chrom_id(F.col("raw")).alias("chrom_id"), _CUSTOM.subgenome(F.col("raw")).alias("subgenome"))
+
+
+@query(_STYLES + f", n AS (SELECT raw AS original, coalesce({_ORGANELLE}, regexp_replace(raw, '^(?i:chr)', 'chr')) AS ref_id FROM st) SELECT original, ref_id, row_number() OVER (PARTITION BY ref_id ORDER BY length(original), original) = 1 AS first FROM n")
+def id_maps(s, d):
+    return ids.id_map(_styles(s, d).withColumn("order", F.length("raw")), "raw", "order")
+
+
 @query("WITH " + ctes("aln") + " SELECT assembly, tp, count(*) AS n, CAST(sum(aln_len) AS BIGINT) AS bp FROM aln WHERE (tp IS NULL OR tp IN ('P', 'I')) AND aln_len >= 5000 AND mapq >= 20 AND qs < qe AND rs < re GROUP BY assembly, tp")
 def paf_filter(s, d):
     return view(s, d, "aln").filter(readers.passes(5000, 20)).groupBy("assembly", "tp").agg(F.count("*").alias("n"), F.sum("aln_len").alias("bp"))
@@ -163,7 +189,7 @@ _G = "assembly, contig, ref_id, strand"
 _BO = "qs, qe, rs, re, l_orderkey, l_linenumber, l_partkey"
 
 
-def chains_sql(source: str) -> str:
+def chains_sql(source: str, C=C) -> str:
     """Greedy chaining as a recursion over the blocks of a stretch; the state is the list of its chains: last end, last place, diagonal, number."""
     return f"""cs AS (SELECT *, CASE WHEN strand = '-' THEN -re ELSE rs END AS place, CASE WHEN strand = '-' THEN rs + qs ELSE rs - qs END AS diag, sum(CASE WHEN pe IS NULL OR qs > pe + {C.chain_q_gap} THEN 1 ELSE 0 END) OVER (PARTITION BY {_G} ORDER BY {_BO} ROWS UNBOUNDED PRECEDING) AS island FROM (SELECT *, max(qe) OVER (PARTITION BY {_G} ORDER BY {_BO} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS pe FROM {source})),
  cb AS (SELECT *, dense_rank() OVER (ORDER BY {_G}, island) AS g, row_number() OVER (PARTITION BY {_G}, island ORDER BY {_BO}) AS k FROM cs),
@@ -437,20 +463,29 @@ def subgenome_support(s, d):
     return compare.subgenome_support(ev, "ref_id", "subgenome")
 
 
-_LO = ctes("blast") + ", h AS (SELECT assembly, qseqid AS contig, qstart AS s, qend AS e, CASE WHEN o_orderkey % 3 = 0 THEN '-' ELSE '+' END AS strand, pident, o_orderkey AS o FROM blast), l AS (SELECT *, sum(nw) OVER (PARTITION BY assembly, contig ORDER BY s, e, o ROWS UNBOUNDED PRECEDING) AS locus FROM (SELECT *, CASE WHEN s - lag(e) OVER (PARTITION BY assembly, contig ORDER BY s, e, o) <= 2000 THEN 0 ELSE 1 END AS nw FROM h)), v AS (SELECT assembly, contig, locus, strand, count(*) AS n, min({'s': s, 'e': e, 'o': o}) AS f, min(s) AS s, max(e) AS e, CAST(sum(pident * (e - s)) AS BIGINT) AS w, CAST(sum(e - s) AS BIGINT) AS bp FROM l GROUP BY 1, 2, 3, 4), lo AS (SELECT assembly, contig, locus, min(s) AS \"start\", max(e) AS \"end\", first(strand ORDER BY n DESC, f) AS strand, CAST(sum(n) AS BIGINT) AS n_hits, round(sum(w) / sum(bp), 6) AS identity, sum(w) AS w, sum(bp) AS bp FROM v GROUP BY 1, 2, 3)"
+_LO = ctes("blast") + ", h AS (SELECT assembly, qseqid AS contig, qstart AS s, qend AS e, CASE WHEN o_orderkey % 3 = 0 THEN '-' ELSE '+' END AS strand, pident, o_orderkey AS o, (o_orderkey * 53) % 6000 AS cs, (o_orderkey * 53) % 6000 + length * 4 AS ce FROM blast), l AS (SELECT *, sum(nw) OVER (PARTITION BY assembly, contig ORDER BY s, e, o ROWS UNBOUNDED PRECEDING) AS locus FROM (SELECT *, CASE WHEN s - lag(e) OVER (PARTITION BY assembly, contig ORDER BY s, e, o) <= 2000 THEN 0 ELSE 1 END AS nw FROM h)), v AS (SELECT assembly, contig, locus, strand, count(*) AS n, min({'s': s, 'e': e, 'o': o}) AS f, min(s) AS s, max(e) AS e, CAST(sum(pident * (e - s)) AS BIGINT) AS w, CAST(sum(e - s) AS BIGINT) AS bp FROM l GROUP BY 1, 2, 3, 4), lo AS (SELECT assembly, contig, locus, min(s) AS \"start\", max(e) AS \"end\", first(strand ORDER BY n DESC, f) AS strand, CAST(sum(n) AS BIGINT) AS n_hits, round(sum(w) / sum(bp), 6) AS identity, sum(w) AS w, sum(bp) AS bp FROM v GROUP BY 1, 2, 3)"
 
 
 def _loci(s, d):
-    h = view(s, d, "blast").select("assembly", F.col("qseqid").alias("contig"), F.col("qstart").alias("start"), F.col("qend").alias("end"), F.when(F.col("o_orderkey") % 3 == 0, "-").otherwise("+").alias("strand"), "pident", "o_orderkey")
-    return rdna.loci(h, "o_orderkey")
+    h = view(s, d, "blast").select("assembly", F.col("qseqid").alias("contig"), F.col("qstart").alias("start"), F.col("qend").alias("end"), F.when(F.col("o_orderkey") % 3 == 0, "-").otherwise("+").alias("strand"), "pident", "o_orderkey", (F.col("o_orderkey") * 53 % 6000).alias("cs"), (F.col("o_orderkey") * 53 % 6000 + F.col("length") * 4).alias("ce"))
+    return rdna.loci(h, "o_orderkey", consensus=9000, region=(1000, 6800))
+
+
+def _covered(name: str, low: int, high: int) -> str:
+    """Share of a part of the consensus that each locus covers."""
+    k = "assembly, contig, locus"
+    return f"{name}_c AS (SELECT {k}, greatest(cs, {low}) AS a, least(ce, {high}) AS z FROM l), {name} AS (SELECT {k}, sum(greatest(0, z - greatest(a, coalesce(pe, a)))) / {high - low} AS share FROM (SELECT *, max(z) OVER (PARTITION BY {k} ORDER BY a, z ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS pe FROM {name}_c WHERE a < z) GROUP BY {k})"
+
+
+_LT = _LO + ", " + _covered("cv", 0, 9000) + ", " + _covered("rv", 1000, 6800) + ", lt AS (SELECT lo.*, coalesce(cv.share, 0) AS consensus_coverage, CASE WHEN coalesce(rv.share, 0) >= 0.9 THEN 'full' WHEN coalesce(rv.share, 0) >= 0.5 THEN 'partial' ELSE 'fragment' END AS copy_type FROM lo LEFT JOIN cv USING (assembly, contig, locus) LEFT JOIN rv USING (assembly, contig, locus))"
 
 
-@query(f"WITH {_LO} SELECT assembly, contig, \"start\", \"end\", strand, n_hits, identity FROM lo")
+@query(f"WITH {_LT} SELECT assembly, contig, \"start\", \"end\", strand, n_hits, identity, round(consensus_coverage, 6) AS consensus_coverage, copy_type FROM lt")
 def rdna_loci(s, d):
-    return _loci(s, d).drop("locus", "identity_sum", "identity_bp")
+    return _loci(s, d).drop("locus", "identity_sum", "identity_bp").withColumn("consensus_coverage", F.round("consensus_coverage", 6))
 
 
-@query(f"WITH {_LO}, a AS (SELECT *, sum(nw) OVER (PARTITION BY assembly, contig ORDER BY \"start\", \"end\" ROWS UNBOUNDED PRECEDING) AS arr FROM (SELECT *, CASE WHEN \"start\" - lag(\"end\") OVER (PARTITION BY assembly, contig ORDER BY \"start\", \"end\") <= 50000 THEN 0 ELSE 1 END AS nw FROM lo)) SELECT assembly, contig, min(\"start\") AS \"start\", max(\"end\") AS \"end\", count(*) AS n_copies, round(min(w / bp), 6) AS min_identity, round(max(w / bp), 6) AS max_identity, round(median(w / bp), 6) AS median_identity FROM a GROUP BY assembly, contig, arr HAVING count(*) >= 3")
+@query(f"WITH {_LT}, a AS (SELECT *, sum(nw) OVER (PARTITION BY assembly, contig ORDER BY \"start\", \"end\" ROWS UNBOUNDED PRECEDING) AS arr FROM (SELECT *, CASE WHEN \"start\" - lag(\"end\") OVER (PARTITION BY assembly, contig ORDER BY \"start\", \"end\") <= 50000 THEN 0 ELSE 1 END AS nw FROM lt)), g AS (SELECT assembly, contig, min(\"start\") AS \"start\", last(\"end\" ORDER BY \"start\", \"end\") AS \"end\", count(*) AS n_copies, CAST(count(*) FILTER (WHERE copy_type = 'full') AS BIGINT) AS n_full, CAST(count(*) FILTER (WHERE copy_type = 'partial') AS BIGINT) AS n_partial, CAST(count(*) FILTER (WHERE copy_type = 'fragment') AS BIGINT) AS n_fragment, CASE WHEN 2 * count(*) FILTER (WHERE strand = '+') > count(*) THEN '+' WHEN 2 * count(*) FILTER (WHERE strand = '-') > count(*) THEN '-' ELSE first(strand ORDER BY \"start\", \"end\") END AS strand, round(min(w / bp), 6) AS min_identity, round(max(w / bp), 6) AS max_identity, round(median(w / bp), 6) AS median_identity FROM a GROUP BY assembly, contig, arr HAVING count(*) >= 3) SELECT *, concat('array_', row_number() OVER (PARTITION BY assembly ORDER BY contig, \"start\")) AS array_id FROM g")
 def rdna_arrays(s, d):
     return rdna.arrays(_loci(s, d))
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import ids
-from ..operators import chaining, evidence, rearrange, report
+from ..operators import chaining, evidence, rearrange, report, run, taxonomy
 from .adapters import ctes, view
 from .catalog import _CHAINS, _EV, _P, _WITH, _best, _chained, query
 
@@ -142,3 +142,23 @@ def fusion_calls(s, d):
 def rearrangements(s, d):
     k = view(s, d, "kept")
     return rearrange.rearrangements(k, _evidence(s, d), _best(s, d), evidence.ref_span(k), view(s, d, "contigs"), view(s, d, "refs"))
+
+
+#: Taxa from the nations: species under genera, families, an order and clades of domains. Species 20 and up have no node.
+_NODES = """
+SELECT CAST(n_nationkey AS BIGINT) AS taxid, CAST(100 + n_nationkey % 7 AS BIGINT) AS parent, 'species' AS rank, concat('Genus', CAST(n_nationkey % 7 AS STRING), ' ', lower(n_name)) AS name FROM nation WHERE n_nationkey < 20
+UNION ALL SELECT DISTINCT CAST(100 + n_nationkey % 7 AS BIGINT), CAST(200 + n_nationkey % 7 % 3 AS BIGINT), 'genus', concat('Genus', CAST(n_nationkey % 7 AS STRING)) FROM nation
+UNION ALL SELECT DISTINCT CAST(200 + n_nationkey % 3 AS BIGINT), CAST(300 + n_nationkey % 3 AS BIGINT), 'family', concat('Family', CAST(n_nationkey % 3 AS STRING)) FROM nation
+UNION ALL SELECT DISTINCT CAST(300 + n_nationkey % 3 AS BIGINT), CAST(CASE n_nationkey % 3 WHEN 2 THEN 500 ELSE 400 + n_nationkey % 3 END AS BIGINT), 'no rank', 'x' FROM nation
+UNION ALL SELECT DISTINCT CAST(400 + n_regionkey % 2 AS BIGINT), CAST(501 AS BIGINT), 'kingdom', CASE n_regionkey % 2 WHEN 0 THEN 'Viridiplantae' ELSE 'Apusozoa' END FROM nation
+UNION ALL SELECT DISTINCT CAST(500 + n_regionkey % 2 AS BIGINT), CAST(999 AS BIGINT), 'domain', CASE n_regionkey % 2 WHEN 0 THEN 'Bacteria' ELSE 'Eukaryota' END FROM nation
+UNION ALL SELECT CAST(999 AS BIGINT), CAST(999 AS BIGINT), 'no rank', 'root' FROM nation WHERE n_nationkey = 0"""
+_TAXA = "SELECT c_custkey, CAST(c_nationkey AS BIGINT) AS taxid, CASE WHEN c_nationkey = 24 THEN '' ELSE concat(CASE WHEN c_custkey % 2 = 0 THEN 's__' ELSE '' END, 'Genus', CAST(CASE WHEN c_nationkey = 23 THEN 77 ELSE c_nationkey % 7 END AS STRING), CASE WHEN c_custkey % 5 = 0 THEN ' sp. nov' ELSE ' alba' END) END AS name FROM customer"
+
+
+@query(f"WITH RECURSIVE nodes AS ({_NODES}), hits AS ({_TAXA}), cl AS (SELECT *, trim(regexp_replace(trim(name), '^[a-z]__', '')) AS bare FROM hits), gn AS (SELECT name AS g, min(taxid) AS gt FROM nodes WHERE rank = 'genus' GROUP BY name), st AS (SELECT cl.*, n.taxid IS NOT NULL AS own, CASE WHEN n.taxid IS NOT NULL THEN n.taxid ELSE gt END AS start FROM cl LEFT JOIN nodes n USING (taxid) LEFT JOIN gn ON g = split_part(bare, ' ', 1)), w AS (SELECT DISTINCT start FROM st WHERE start IS NOT NULL), up AS (SELECT start, taxid, parent, rank, name FROM w JOIN nodes ON taxid = start UNION ALL SELECT start, n.taxid, n.parent, n.rank, n.name FROM up JOIN nodes n ON n.taxid = up.parent WHERE up.parent <> up.taxid), l AS (SELECT start, max(CASE rank WHEN 'domain' THEN name END) AS d, max(CASE rank WHEN 'kingdom' THEN name END) AS k, max(CASE rank WHEN 'family' THEN name END) AS family, max(CASE rank WHEN 'genus' THEN name END) AS genus, max(CASE rank WHEN 'species' THEN name END) AS species FROM up GROUP BY start) SELECT c_custkey, taxid, CASE WHEN d = 'Eukaryota' AND k = 'Viridiplantae' THEN 'Plantae' WHEN d = 'Eukaryota' AND k IS NOT NULL THEN 'Protozoa' ELSE d END AS kingdom, family, genus, CASE WHEN own THEN species ELSE nullif(bare, '') END AS species, CASE WHEN own THEN 'taxid' WHEN genus IS NOT NULL THEN 'genus' ELSE 'none' END AS found_by FROM st LEFT JOIN l USING (start)")
+def lineage_fallback(s, d):
+    nation, customer = (s.read.parquet(f"{d}/{t}.parquet") for t in ("nation", "customer"))
+    nodes = run.written(s.sql(_NODES.replace("FROM nation", "FROM {nation}"), nation=nation), "nodes")
+    hits = s.sql(_TAXA.replace("FROM customer", "FROM {customer}"), customer=customer)
+    return taxonomy.with_fallback(hits, nodes).select("c_custkey", "taxid", "kingdom", "family", "genus", "species", "found_by")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..config import DEFAULT as C
 from ..functions import ids, sequence
-from ..operators import evidence, layout, run, scaffold
+from ..operators import compare, evidence, layout, run, scaffold
 from .adapters import ctes, view
 from .catalog import TIES, chains_sql, query
 
@@ -35,11 +35,12 @@ _RUN = ctes("run_contigs", "refs", "scan", "run_blocks", "run_taxhits", "seqs")
  {_union("uq", "run_blocks", _P, "qs", "qe", ", count(*) AS n_blocks, min(qs) AS q_min, max(qe) AS q_max")},
  {_union("ur", "run_blocks", _P, "rs", "re")},
  rk AS (SELECT *, row_number() OVER (PARTITION BY {_K} ORDER BY ok DESC, frac DESC, bp DESC, ref_id) AS r FROM (SELECT uq.*, ur.bp / ref_len AS frac, q_max - q_min >= {C.synteny_min_span} AND (q_max - q_min) / contig_len >= {C.synteny_min_frac} AS ok FROM uq JOIN ur USING ({_P}) JOIN run_contigs USING ({_K}) JOIN refs USING (ref_id))),
- b0 AS (SELECT {_K}, max(CASE WHEN ok AND r = 1 THEN ref_id END) AS best_ref, max(CASE WHEN ok AND r = 1 THEN frac END) AS best_frac, max(CASE WHEN ok AND r = 2 THEN ref_id END) AS gated FROM rk GROUP BY {_K} HAVING best_ref IS NOT NULL),
+ b0 AS (SELECT {_K}, max(CASE WHEN ok AND r = 1 THEN ref_id END) AS best_ref, max(CASE WHEN ok AND r = 1 THEN frac END) AS best_frac, max(CASE WHEN ok AND r = 2 THEN ref_id END) AS gated, max(CASE WHEN ok AND r = 1 THEN bp END) AS best_bp, coalesce(max(CASE WHEN ok AND r = 2 THEN bp END), 0) AS second_bp, coalesce(max(CASE WHEN ok AND r = 2 THEN frac END), 0) AS second_score FROM rk GROUP BY {_K} HAVING best_ref IS NOT NULL),
  ot AS (SELECT {_K}, ref_id AS second_ref, frac AS second_frac FROM (SELECT rk.assembly, rk.contig, ref_id, frac, row_number() OVER (PARTITION BY rk.assembly, rk.contig ORDER BY frac DESC, ref_id DESC) AS o FROM rk JOIN b0 ON b0.assembly = rk.assembly AND b0.contig = rk.contig AND ref_id <> best_ref) WHERE o = 1),
  sp AS (SELECT b0.*, second_ref, second_frac, row_number() OVER (PARTITION BY assembly, best_ref ORDER BY best_frac DESC, contig) AS m FROM b0 LEFT JOIN ot USING ({_K})),
  pr AS (SELECT a.assembly, a.best_ref, a.second_ref AS new_ref, row_number() OVER (PARTITION BY a.assembly, a.second_ref ORDER BY a.best_ref) AS n FROM sp a JOIN sp b ON a.assembly = b.assembly AND a.best_ref = b.best_ref AND a.m = 1 AND b.m = 2 AND a.second_ref = b.second_ref AND a.second_frac >= 0.05 AND b.second_frac >= 0.05 WHERE NOT EXISTS (SELECT 1 FROM sp t WHERE t.assembly = a.assembly AND t.best_ref = a.second_ref)),
- asg AS (SELECT sp.assembly, contig, CASE WHEN new_ref IS NOT NULL AND m >= 2 AND second_ref = new_ref THEN new_ref ELSE sp.best_ref END AS ref_id, gated AS second_ref FROM sp LEFT JOIN pr ON pr.assembly = sp.assembly AND pr.best_ref = sp.best_ref AND n = 1),
+ asg AS (SELECT sp.assembly, contig, CASE WHEN new_ref IS NOT NULL AND m >= 2 AND second_ref = new_ref THEN new_ref ELSE sp.best_ref END AS ref_id, gated AS second_ref, best_bp, second_bp, best_frac AS best_score, second_score FROM sp LEFT JOIN pr ON pr.assembly = sp.assembly AND pr.best_ref = sp.best_ref AND n = 1),
+ tt AS (SELECT {_K}, sum(bp) AS total, count(*) AS n_refs FROM uq GROUP BY {_K}),
  chm AS (SELECT {_K}, ref_id FROM asg JOIN run_contigs USING ({_K}), lm WHERE contig_len >= least),
  ohits AS (SELECT * FROM scan h WHERE kind IN ('1-URGENT', '2-HIGH') AND {_anti("qseqid", "chm")}),
  {_union("oc", "ohits", "assembly, qseqid, sseqid", "qstart", "qend")},
@@ -58,10 +59,10 @@ _RUN = ctes("run_contigs", "refs", "scan", "run_blocks", "run_taxhits", "seqs")
  fhits AS (SELECT * FROM scan h WHERE kind = '5-LOW' AND {_anti("qseqid", "chm", "org", "rd", "cp", "fo")}),
  {_union("fc", "fhits", "assembly, qseqid", "qstart", "qend")},
  de AS (SELECT fc.assembly, contig, round(least(1.0, bp / contig_len), 6) AS coverage FROM fc JOIN run_contigs c ON c.assembly = fc.assembly AND c.contig = qseqid WHERE round(least(1.0, bp / contig_len), 6) >= 0.5),
- cl AS (SELECT c.assembly, c.contig, contig_len, a.ref_id, a.second_ref, organelle_ref, species, al.score, cp.contig IS NULL AND de.contig IS NOT NULL AS by_ref,
+ cl AS (SELECT c.assembly, c.contig, contig_len, a.ref_id, a.second_ref, organelle_ref, species, al.score, coalesce(total, 0) < least AS low_coverage, coalesce(n_refs, 0) > 1 AND total > 0 AND coalesce(best_bp, 0) < {C.chimera_primary} * total AND coalesce(second_bp, 0) >= {C.chimera_secondary} * total AS chimeric, coalesce(best_bp, 0) AS best_bp, coalesce(best_score, 0) AS best_score, coalesce(second_score, 0) AS second_score, cp.contig IS NULL AND de.contig IS NOT NULL AS by_ref,
   CASE WHEN a.ref_id IS NOT NULL AND contig_len >= least THEN 'chrom_assigned' WHEN contig_len >= least AND al.contig IS NULL THEN 'chrom_unassigned' WHEN org.complete THEN 'organelle_complete' WHEN org.contig IS NOT NULL THEN 'organelle_debris' WHEN rd.contig IS NOT NULL THEN 'rDNA' WHEN al.contig IS NOT NULL THEN 'contaminant' WHEN cp.contig IS NOT NULL THEN 'chrom_debris' WHEN de.contig IS NOT NULL THEN CASE WHEN a.ref_id IS NOT NULL THEN 'chrom_debris' ELSE 'debris' END ELSE 'unclassified' END AS class,
   org.coverage AS c1, rd.coverage AS c2, cp.coverage AS c3, al.coverage AS c4, de.coverage AS c5, rd.identity AS i2, cp.identity AS i3
-  FROM run_contigs c LEFT JOIN asg a USING ({_K}) LEFT JOIN org USING ({_K}) LEFT JOIN rd USING ({_K}) LEFT JOIN cp USING ({_K}) LEFT JOIN al USING ({_K}) LEFT JOIN de USING ({_K}), lm),
+  FROM run_contigs c LEFT JOIN asg a USING ({_K}) LEFT JOIN tt USING ({_K}) LEFT JOIN org USING ({_K}) LEFT JOIN rd USING ({_K}) LEFT JOIN cp USING ({_K}) LEFT JOIN al USING ({_K}) LEFT JOIN de USING ({_K}), lm),
  {chains_sql("run_blocks")},
  li AS (SELECT *, least(union_bp, lead(union_bp) OVER w) AS wt, lead(strand) OVER w = strand AND CASE strand WHEN '+' THEN lead(ref_start + ref_end) OVER w > ref_start + ref_end ELSE lead(ref_start + ref_end) OVER w < ref_start + ref_end END AS same, lead(strand) OVER w IS NOT NULL AS nx FROM mb WINDOW w AS (PARTITION BY {_P} ORDER BY qstart + qend, qstart, qend, ref_start, ref_end, strand)),
  pe AS (SELECT {_P}, count(*) AS n_chains, first(identity ORDER BY matches DESC, chain_id, strand) AS chain_identity, CASE WHEN coalesce(sum(wt) FILTER (WHERE nx), 0) = 0 THEN 1.0 ELSE round(coalesce(sum(wt) FILTER (WHERE same), 0) / sum(wt) FILTER (WHERE nx), 6) END AS collinearity, sum(CASE WHEN strand = '-' THEN union_bp ELSE 0 END) > sum(CASE WHEN strand = '+' THEN union_bp ELSE 0 END) AS reverse FROM li GROUP BY {_P}),
@@ -82,7 +83,7 @@ _RUN = ctes("run_contigs", "refs", "scan", "run_blocks", "run_taxhits", "seqs")
   WHEN class = 'debris' OR (class = 'chrom_debris' AND by_ref) THEN CASE WHEN dev > 3 AND ref_id IS NULL THEN 'low' WHEN coverage >= 0.8 THEN 'high' WHEN coverage < 0.55 THEN 'low' ELSE 'medium' END WHEN class = 'chrom_debris' THEN CASE WHEN dev > 3 THEN CASE d1 WHEN 'high' THEN 'medium' ELSE 'low' END ELSE d1 END ELSE 'low' END AS confidence,
   class = 'chrom_assigned' AS chrom, CASE WHEN class = 'chrom_assigned' THEN CASE WHEN full_length THEN 'c' ELSE 'f' END ELSE 'o' END AS nk FROM f3),
  f5 AS (SELECT *, row_number() OVER (PARTITION BY assembly, CASE WHEN chrom THEN ref_id END, nk ORDER BY coalesce(chain_identity, 0) DESC, contig_len DESC, contig) AS ni, count(*) OVER (PARTITION BY assembly, CASE WHEN chrom THEN ref_id END, nk) AS nc, row_number() OVER (PARTITION BY assembly, nk ORDER BY contig_len DESC, contig) AS nj FROM f4),
- report AS (SELECT {_K}, contig_len, class, CASE WHEN class IN ('chrom_assigned', 'chrom_debris') THEN ref_id WHEN starts_with(class, 'organelle') THEN organelle_ref END AS ref_id, CASE WHEN chrom THEN second_ref END AS second_ref, confidence,
+ report AS (SELECT {_K}, contig_len, class, CASE WHEN class IN ('chrom_assigned', 'chrom_debris') THEN ref_id WHEN starts_with(class, 'organelle') THEN organelle_ref END AS ref_id, CASE WHEN chrom THEN second_ref END AS second_ref, CASE WHEN NOT (class IN ('chrom_assigned', 'chrom_debris') AND ref_id IS NOT NULL OR starts_with(class, 'organelle')) OR (class IN ('chrom_assigned', 'chrom_unassigned') AND best_score <= 0) THEN 'NO_HITS' WHEN best_bp / contig_len < {C.assign_min_frac} THEN 'AMBIG_LOW_FRAC' WHEN (CASE WHEN second_score > 0 THEN best_score / second_score WHEN best_score > 0 THEN 1e9 ELSE 0 END) < {C.assign_min_ratio} THEN 'AMBIG_LOW_RATIO' ELSE 'OK' END AS status, low_coverage, coalesce(chimeric, FALSE) AS chimeric, confidence,
   CASE WHEN class = 'organelle_complete' THEN organelle_ref WHEN nk = 'o' THEN concat('contig_', nj) WHEN nk = 'c' AND nc = 1 THEN ref_id ELSE concat(ref_id, '_', nk, ni) END AS name, full_length, full_length_confidence, chrom AND coalesce(reverse, FALSE) AS reversed, telo5, telo3, round(dev, 6) AS gc_dev, coverage, identity,
   CASE WHEN chrom THEN round(ref_coverage, 6) END AS ref_coverage, CASE WHEN chrom THEN chain_identity END AS chain_identity, CASE WHEN chrom THEN collinearity END AS collinearity, CASE WHEN chrom THEN n_chains END AS n_chains, CASE WHEN class = 'contaminant' THEN species END AS species, CASE WHEN class = 'contaminant' THEN least(1.0, score / 1e9) END AS contaminant_score FROM f5)"""
 
@@ -200,3 +201,17 @@ def riparian_layout(s, d):
 def riparian_joins(s, d):
     placed, agp = _drawn(s, d)
     return layout.joins(placed, agp).withColumn("x", F.round("x", 6))
+
+
+#: Alignments of each assembly with the one before it.
+_PAIR = """
+SELECT concat('asm_', CAST(CAST(substring(assembly, 5) AS INT) - 1 AS STRING)) AS left_assembly, assembly AS right_assembly, contig,
+       concat('ctg_', CAST((CAST(substring(contig, 5) AS INT) + CASE WHEN l_linenumber <= 5 THEN 0 ELSE l_partkey % 3 END) % 20 AS STRING)) AS target,
+       strand, qs, qe, rs, re, matches, aln_len, l_orderkey, l_linenumber, l_partkey
+FROM kept WHERE assembly <> 'asm_0' AND aln_len >= 5000"""
+
+
+@query("WITH RECURSIVE " + ctes("kept") + f", pb AS (SELECT concat(left_assembly, '|', right_assembly) AS assembly, target AS ref_id, * EXCLUDE (target), CAST(NULL AS VARCHAR) AS gene_id FROM ({_PAIR})), {chains_sql('pb', compare.PAIRWISE)} SELECT split_part(assembly, '|', 1) AS \"left\", split_part(assembly, '|', 2) AS \"right\", ref_id AS target, contig, strand, chain_id, qstart, qend, qspan_bp, union_bp, matches, aln_len, identity, n_segments, ref_start, ref_end FROM mb")
+def pairwise_synteny(s, d):
+    df = s.sql(_PAIR.replace("FROM kept", "FROM {kept}"), kept=view(s, d, "kept"))
+    return compare.pairwise_synteny(df.withColumnsRenamed({"left_assembly": "left", "right_assembly": "right"}), TIES)

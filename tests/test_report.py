@@ -209,11 +209,11 @@ def test_comparison_summary(spark):
     assert (r.mean_identity, r.mean_coverage, r.mean_depth) == (0.8, 0.6, round((1000 + 1200) / 150, 4))
 
 
-def test_pairwise_synteny(spark):
+def test_shared_stretches(spark):
     schema = "assembly string, contig string, ref_id string, rs long, re long"
     left = spark.createDataFrame([("x", "a", "r", 0, 150_000), ("x", "a", "r", 140_000, 260_000)], schema)
     right = spark.createDataFrame([("y", "b", "r", 100_000, 200_000), ("y", "b", "r", 250_000, 300_000), ("y", "c", "s", 0, 10)], schema)
-    assert rows(report.pairwise_synteny(left, right)) == [("x", "y", "a", "b", "r", 100_000, 200_000, 2), ("x", "y", "a", "b", "r", 250_000, 260_000, 1)]
+    assert rows(report.shared_stretches(left, right)) == [("x", "y", "a", "b", "r", 100_000, 200_000, 2), ("x", "y", "a", "b", "r", 250_000, 260_000, 1)]
 
 
 def test_all_rearrangements(spark, sf_dir):
