@@ -228,7 +228,13 @@ def segment_support(s, d):
     return evidence.segment_support(evidence.pair_evidence(view(s, d, "kept")), ids.chrom_id(F.col("ref_id")), ids.subgenome(F.col("ref_id")))
 
 
-@query()
+#: Blocks of a contig one by one, by falling identity; the state is the list of kept intervals.
+_KEPT = ctes("kept") + """, kb AS (SELECT *, row_number() OVER (PARTITION BY assembly, contig ORDER BY matches / aln_len DESC, l_orderkey, l_linenumber, l_partkey) AS k FROM kept),
+ kr AS (SELECT assembly, contig, k, qs < qe AS ok, CASE WHEN qs < qe THEN [{'s': qs, 'e': qe}] ELSE [] END AS held FROM kb WHERE k = 1
+  UNION ALL SELECT assembly, contig, k, ok, CASE WHEN ok THEN list_append(held, {'s': qs, 'e': qe}) ELSE held END FROM (SELECT kb.assembly, kb.contig, kb.k, qs, qe, held, qs < qe AND len(list_filter(held, lambda x: x.s < qe AND x.e > qs)) = 0 AS ok FROM kr JOIN kb ON kb.assembly = kr.assembly AND kb.contig = kr.contig AND kb.k = kr.k + 1))"""
+
+
+@query(f"WITH RECURSIVE {_KEPT} SELECT assembly, contig, ref_id, strand, qs, qe, matches, aln_len, l_orderkey, l_linenumber, l_partkey FROM kb JOIN kr USING (assembly, contig, k) WHERE ok")
 def overlap_suppression(s, d):
     return chaining.suppress_overlaps(view(s, d, "kept").select("assembly", "contig", "ref_id", "strand", "qs", "qe", "matches", "aln_len", *TIES), TIES)
 
