@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -83,6 +83,31 @@ def origin_split(blocks: DataFrame, segments: DataFrame) -> DataFrame:
     return per.groupBy("block_id").agg(F.max_by("origin", F.struct("bp", "origin")).alias("origin"), F.max("bp").alias("bp"))
 
 
+def oriented_origins(chains: DataFrame, contigs: DataFrame, origin: Column, least: int = 50_000) -> DataFrame:
+    """assembly, contig, origin, s, e: stretches of contigs by reference, in coordinates of the oriented contig.
+
+    chains: rows of ``macro_blocks``, of which those of small span are left out; contigs: assembly, contig, contig_len, reversed.
+    """
+    df = chains.filter(F.col("qspan_bp") >= least).select("assembly", "contig", origin.alias("origin"), "qstart", "qend").filter("origin <> ''").join(contigs.select("assembly", "contig", "contig_len", "reversed"), ["assembly", "contig"])
+    at = lambda one, other: F.when(F.col("reversed"), F.col("contig_len") - F.col(other)).otherwise(F.col(one))
+    return df.select("assembly", "contig", "origin", at("qstart", "qend").alias("s"), at("qend", "qstart").alias("e"))
+
+
+def origin_segments(blocks: DataFrame, origins: DataFrame) -> DataFrame:
+    """Each block split where its reference changes: origin, its part of the block, bp, and that part as shares of the block.
+
+    blocks: assembly, contig, qs, qe, told apart by these. A block without origin is one part without a name.
+    """
+    keys = ["assembly", "contig", "qs", "qe"]
+    o = overlap_join(blocks.select(*keys).distinct(), origins, keys[:2], ("qs", "qe"), ("s", "e"))
+    parts = o.groupBy(*keys, "origin").agg(F.min(F.greatest("qs", "s")).alias("start"), F.max(F.least("qe", "e")).alias("end"), F.sum("overlap").alias("bp"))
+    df = blocks.select(*keys).distinct().join(parts, keys, "left")
+    size = F.col("qe") - F.col("qs")
+    share = lambda c, none: F.coalesce((F.col(c) - F.col("qs")) / size, F.lit(none))
+    number = F.row_number().over(W.partitionBy(*keys).orderBy("start", "origin"))
+    return df.select(*keys, "origin", F.coalesce("start", "qs").alias("start"), F.coalesce("end", "qe").alias("end"), F.coalesce("bp", F.lit(0)).alias("bp"), share("start", 0.0).alias("from_share"), share("end", 1.0).alias("to_share"), number.cast("long").alias("part"))
+
+
 def order_by_identity(classified: DataFrame) -> DataFrame:
     m = classified.groupBy("assembly").agg(F.median("identity").alias("m"))
     return m.withColumn("ord", F.row_number().over(W.orderBy(F.desc_nulls_last("m"), "assembly")))

@@ -215,3 +215,10 @@ FROM kept WHERE assembly <> 'asm_0' AND aln_len >= 5000"""
 def pairwise_synteny(s, d):
     df = s.sql(_PAIR.replace("FROM kept", "FROM {kept}"), kept=view(s, d, "kept"))
     return compare.pairwise_synteny(df.withColumnsRenamed({"left_assembly": "left", "right_assembly": "right"}), TIES)
+
+
+@query(f"WITH RECURSIVE {ctes('kept')}, {_RUN}, og AS (SELECT mb.assembly, mb.contig, regexp_extract(mb.ref_id, '^(chr[0-9]+)', 1) AS origin, CASE WHEN reversed THEN contig_len - qend ELSE qstart END AS s, CASE WHEN reversed THEN contig_len - qstart ELSE qend END AS e FROM mb JOIN report r ON r.assembly = mb.assembly AND r.contig = mb.contig WHERE qspan_bp >= 50000), bl AS (SELECT DISTINCT assembly, contig, qs, qe FROM kept WHERE aln_len >= 5000), j AS (SELECT bl.assembly, bl.contig, qs, qe, origin, min(greatest(qs, s)) AS s1, max(least(qe, e)) AS e1, CAST(sum(least(qe, e) - greatest(qs, s)) AS BIGINT) AS bp FROM bl JOIN og ON og.assembly = bl.assembly AND og.contig = bl.contig AND s < qe AND e > qs GROUP BY ALL) SELECT {_K}, qs, qe, origin, coalesce(s1, qs) AS \"start\", coalesce(e1, qe) AS \"end\", coalesce(bp, 0) AS bp, round(coalesce((s1 - qs) / (qe - qs), 0), 6) AS from_share, round(coalesce((e1 - qs) / (qe - qs), 1), 6) AS to_share, row_number() OVER (PARTITION BY {_K}, qs, qe ORDER BY s1, origin) AS part FROM bl LEFT JOIN j USING ({_K}, qs, qe)")
+def origin_segments(s, d):
+    origins = compare.oriented_origins(_chains(s, d), _report(s, d), F.regexp_extract("ref_id", "^(chr\\d+)", 1))
+    blocks = view(s, d, "kept").filter("aln_len >= 5000")
+    return compare.origin_segments(blocks, origins).withColumns({c: F.round(c, 6) for c in ("from_share", "to_share")})
