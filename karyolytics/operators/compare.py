@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..config import Config
 from .chaining import chain_greedy, macro_blocks
-from .intervals import overlap_join
+from .intervals import dealt, overlap_join, tasks
 
 
 def n50(contigs: DataFrame) -> DataFrame:
@@ -76,10 +76,10 @@ def subgenome_support(evidence: DataFrame, chrom: str, sub: str) -> DataFrame:
     return df.withColumn("share", F.round(F.col("bp") / F.sum("bp").over(W.partitionBy("assembly", "contig")), 6))
 
 
-def origin_split(blocks: DataFrame, segments: DataFrame) -> DataFrame:
-    """For each block the reference of the segments that overlaps it most."""
-    o = overlap_join(blocks, segments, ["assembly", "contig"], ("qs", "qe"), ("s", "e"))
-    per = o.groupBy("block_id", "origin").agg(F.sum("overlap").alias("bp"))
+def origin_split(blocks: DataFrame, segments: DataFrame, n: int = 1) -> DataFrame:
+    """For each block the reference of the segments that overlaps it most. Blocks are dealt to n tasks."""
+    o = overlap_join(blocks, segments, ["assembly", "contig"], ("qs", "qe"), ("s", "e"), n=n)
+    per = dealt(o, ["block_id"], n).groupBy("block_id", "origin").agg(F.sum("overlap").alias("bp"))
     return per.groupBy("block_id").agg(F.max_by("origin", F.struct("bp", "origin")).alias("origin"), F.max("bp").alias("bp"))
 
 
@@ -99,9 +99,11 @@ def origin_segments(blocks: DataFrame, origins: DataFrame) -> DataFrame:
     blocks: assembly, contig, qs, qe, told apart by these. A block without origin is one part without a name.
     """
     keys = ["assembly", "contig", "qs", "qe"]
-    o = overlap_join(blocks.select(*keys).distinct(), origins, keys[:2], ("qs", "qe"), ("s", "e"))
-    parts = o.groupBy(*keys, "origin").agg(F.min(F.greatest("qs", "s")).alias("start"), F.max(F.least("qe", "e")).alias("end"), F.sum("overlap").alias("bp"))
-    df = blocks.select(*keys).distinct().join(parts, keys, "left")
+    n = tasks(blocks)
+    own = dealt(blocks.select(*keys), keys, n).distinct()
+    o = overlap_join(own, origins, keys[:2], ("qs", "qe"), ("s", "e"), n=n)
+    parts = dealt(o, keys, n).groupBy(*keys, "origin").agg(F.min(F.greatest("qs", "s")).alias("start"), F.max(F.least("qe", "e")).alias("end"), F.sum("overlap").alias("bp"))
+    df = own.join(parts, keys, "left")
     size = F.col("qe") - F.col("qs")
     share = lambda c, none: F.coalesce((F.col(c) - F.col("qs")) / size, F.lit(none))
     number = F.row_number().over(W.partitionBy(*keys).orderBy("start", "origin"))
