@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import DEFAULT, Config
-from .intervals import islands
+from .intervals import dealt, islands, tasks
 
 GROUP = ["assembly", "contig", "ref_id", "strand"]
 
@@ -60,12 +60,14 @@ def chain_greedy(blocks: DataFrame, ties: list[str], cfg: Config = DEFAULT) -> D
 
     No chain crosses a gap in the query that is wider than a chain may leave open, so such gaps cut the blocks of a pair
     into islands, which are dealt to tasks: a pair with very many blocks is many tasks. Within a task blocks stream in order
-    past the open chains of one island at a time; an island of one block has one chain and skips this.
+    past the open chains of one island at a time; an island of one block has one chain and skips this. What comes out lies
+    in as many partitions by GROUP as the blocks need, which later windows by GROUP and more keep.
     """
+    n = tasks(blocks)
     order = ["qs", "qe", "rs", "re", *ties]
-    cut = islands(blocks, GROUP, "qs", "qe", cfg.chain_q_gap, "_island", tuple(order[2:]))
+    cut = islands(dealt(blocks, GROUP, n), GROUP, "qs", "qe", cfg.chain_q_gap, "_island", tuple(order[2:]))
     cut = cut.withColumn("_more", F.count("*").over(W.partitionBy(*GROUP, "_island")) > 1)
-    many = cut.filter("_more").drop("_more").repartition(*GROUP, "_island").sortWithinPartitions(*GROUP, "_island", *order)
+    many = cut.filter("_more").drop("_more").repartition(*([n] if n > 1 else []), *GROUP, "_island").sortWithinPartitions(*GROUP, "_island", *order)
     edge = F.xxhash64(*GROUP, "_island")  # a cheap sign of where the next island begins; the island itself decides
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -86,7 +88,7 @@ def chain_greedy(blocks: DataFrame, ties: list[str], cfg: Config = DEFAULT) -> D
     numbered = many.mapInArrow(run, T.StructType([*many.schema.fields, T.StructField("_chain", T.LongType())])).drop("_edge")
     out = numbered.unionByName(cut.filter("not _more").drop("_more").withColumn("_chain", F.lit(0).cast("long")))
     number = F.dense_rank().over(W.partitionBy(*GROUP).orderBy("_island", "_chain")) - 1
-    return out.withColumn("chain_id", number.cast("long")).drop("_island", "_chain")
+    return dealt(out, GROUP, n).withColumn("chain_id", number.cast("long")).drop("_island", "_chain")
 
 
 def kept_intervals(rows: list[tuple[int, int]]) -> list[bool]:
