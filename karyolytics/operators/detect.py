@@ -9,17 +9,19 @@ from pyspark.sql import functions as F
 from ..config import DEFAULT, Config
 from ..functions.ids import is_circular
 from .evidence import CONTIG
-from .intervals import union_bp
+from .intervals import dealt, tasks, union_bp
 
 #: Eukaryote kingdoms by clade.
 KINGDOMS = {"Viridiplantae": "Plant", "Fungi": "Fungi", "Metazoa": "Animal"}
 
 
-def hit_coverage(hits: DataFrame, keys: list[str]) -> DataFrame:
+def hit_coverage(hits: DataFrame, keys: list[str], n: int | None = None) -> DataFrame:
     """Union of query ranges, mean identity by length and the hit of least e-value, of each key."""
+    n = tasks(hits) if n is None else n
+    hits = dealt(hits, keys, n)
     best = F.min_by("sseqid", F.struct("evalue_rank", "o_orderkey"))
     sums = hits.groupBy(*keys).agg(F.count("*").alias("n_hits"), F.sum("length").alias("hit_bp"), F.sum(F.floor(F.col("pident") * F.col("length") / 100)).cast("long").alias("matches"), best.alias("best_subject"))
-    return union_bp(hits, keys, "qstart", "qend").join(sums, keys)
+    return union_bp(hits, keys, "qstart", "qend", n=1).join(sums, keys)
 
 
 def on_contigs(cov: DataFrame, contigs: DataFrame) -> DataFrame:

@@ -22,7 +22,7 @@ from .chaining import chain_greedy, macro_blocks
 from .classify import cascade, exclude, full_length, names
 from .detect import contaminants, covered_contigs, debris, hit_coverage, organelle_select
 from .evidence import CONTIG, PAIR, collinearity, orientation_votes, pair_evidence
-from .intervals import union_bp
+from .intervals import dealt, tasks, union_bp
 from .report import best_chain, confidence, default_min_length
 
 
@@ -43,7 +43,8 @@ def synteny_ranks(blocks: DataFrame, contigs: DataFrame, refs: DataFrame, cfg: C
 
     Adds rank among those that pass (null for others), by share, then union, then name.
     """
-    spans = pair_evidence(blocks).join(union_bp(blocks, PAIR, "rs", "re", "ref_bp"), PAIR).join(contigs.select(*CONTIG, "contig_len"), CONTIG)
+    n = tasks(blocks)
+    spans = pair_evidence(blocks, n).join(union_bp(blocks, PAIR, "rs", "re", "ref_bp", n), PAIR).join(contigs.select(*CONTIG, "contig_len"), CONTIG)
     df = spans.join(refs.select("ref_id", "ref_len"), "ref_id").withColumn("frac", F.col("ref_bp") / F.col("ref_len")).withColumn("_ok", synteny_gate(cfg))
     w = W.partitionBy(*CONTIG).orderBy(F.desc("_ok"), F.desc("frac"), F.desc("union_bp"), "ref_id")
     return df.withColumn("rank", F.when(F.col("_ok"), F.row_number().over(w))).drop("_ok")
@@ -90,32 +91,33 @@ def classified(
     chroms = stage(contigs.join(to, CONTIG).filter(F.col("contig_len") >= least).select(*CONTIG, "ref_id"), "chromosomes")
     left = lambda hits, *taken: exclude(hits.withColumnRenamed("qseqid", "contig"), *taken).withColumnRenamed("contig", "qseqid")
 
-    of_kind = union_bp(left(organelle_hits, chroms), ["assembly", "qseqid", "sseqid"], "qstart", "qend")
+    of_kind = union_bp(left(organelle_hits, chroms), ["assembly", "qseqid", "sseqid"], "qstart", "qend", n=tasks(organelle_hits))
     lengths = refs.filter("ref_id in ('chrC', 'chrM')").select(F.col("ref_id").alias("sseqid"), "ref_len")
     tolerance = F.when(F.col("sseqid") == "chrC", cfg.organelle_tol_c).otherwise(cfg.organelle_tol_m)
     organelle = organelle_select(of_kind.join(lengths, "sseqid"), contigs, F.col("ref_len"), tolerance, cfg)
     organelle = organelle.filter("chosen or kind = 'debris'").groupBy(*CONTIG).agg(F.max("chosen").alias("complete"), F.min_by(F.struct("sseqid", "coverage"), F.struct(~F.col("chosen"), "sseqid")).alias("o"))
     organelle = stage(organelle.select(*CONTIG, "complete", F.col("o.sseqid").alias("organelle_ref"), F.col("o.coverage").alias("coverage")), "organelles")
 
-    rdna = hit_coverage(left(rdna_hits, chroms, organelle), ["assembly", "qseqid"])
+    rdna = hit_coverage(left(rdna_hits, chroms, organelle), ["assembly", "qseqid"], tasks(rdna_hits))
     rdna = covered_contigs(rdna, contigs, cfg.rdna_min_cov).join(rdna.select("assembly", F.col("qseqid").alias("contig"), F.round(F.col("matches") / F.col("hit_bp"), 6).alias("identity")), CONTIG)
     rdna = stage(rdna, "rdna")
 
     on_chroms = left(self_hits, chroms, organelle, rdna).join(chroms.select("assembly", F.col("contig").alias("sseqid")), ["assembly", "sseqid"], "left_semi")
-    copies = stage(debris(hit_coverage(on_chroms, ["assembly", "qseqid"]), contigs, cfg), "copies")
+    copies = stage(debris(hit_coverage(on_chroms, ["assembly", "qseqid"], tasks(self_hits)), contigs, cfg), "copies")
 
     foreign = stage(contaminants(exclude(taxon_hits, chroms, organelle, rdna, copies), taxa, contigs, cfg), "contaminants")
     alien = foreign.filter(F.col("coverage") >= cfg.contaminant_cov)
 
-    rest = covered_contigs(union_bp(left(ref_hits, chroms, organelle, rdna, copies, foreign), ["assembly", "qseqid"], "qstart", "qend"), contigs, 0.5)
+    rest = covered_contigs(union_bp(left(ref_hits, chroms, organelle, rdna, copies, foreign), ["assembly", "qseqid"], "qstart", "qend", n=tasks(ref_hits)), contigs, 0.5)
 
     joined = []
     for kind, table, more in (("assigned_to", to, ["ref_id", "second_ref"]), ("organelle_any", organelle, ["complete", "organelle_ref", "coverage"]), ("rdna", rdna, ["coverage", "identity"]), ("chrom_debris", copies, ["coverage", "identity"]), ("contaminant", alien, ["coverage", "taxid", "name", "score"]), ("debris", rest, ["coverage"])):
         joined.append((kind, table.select(*CONTIG, *(F.col(c).alias(f"{kind}_{c}") for c in more), F.lit(True).alias(kind))))
-    out = contigs.select(*CONTIG, "contig_len")
+    n = tasks(contigs)
+    out = dealt(contigs.select(*CONTIG, "contig_len"), CONTIG, n)
     for _, table in joined:
         out = out.join(table, CONTIG, "left")
-    out = stage(out.fillna(False, [kind for kind, _ in joined]), "evidence")
+    out = dealt(stage(out.fillna(False, [kind for kind, _ in joined]), "evidence"), CONTIG, n)
     out = out.withColumns({"ref_id": F.col("assigned_to_ref_id"), "assigned": F.col("assigned_to"), "chromosome_like": F.col("contig_len") >= least, "organelle": F.coalesce("organelle_any_complete", F.lit(False))})
     out = cascade(out.withColumn("organelle_debris", F.col("organelle_any") & ~F.col("organelle")))
     out = out.join(to.drop("ref_id", "second_ref"), CONTIG, "left").join(ranks.groupBy(*CONTIG).agg(F.sum("union_bp").alias("total_bp"), F.count("*").alias("n_refs")), CONTIG, "left")
@@ -131,7 +133,7 @@ def finished(out: DataFrame, blocks: DataFrame, ties: list[str], ranks: DataFram
     by_class = lambda c: F.when(cls.startswith("organelle"), F.col("organelle_any_coverage") if c == "coverage" else None).when(cls == "rDNA", F.col(f"rdna_{c}")).when(F.col("chrom_debris"), F.col(f"chrom_debris_{c}")).when(cls == "contaminant", F.col("contaminant_coverage") if c == "coverage" else None).when(F.col("debris"), F.col("debris_coverage") if c == "coverage" else None)
     # a contig that only the reference's debris scan found has its class by that scan's coverage
     out = out.withColumns({"coverage": by_class("coverage"), "identity": by_class("identity"), "by_reference": F.col("debris") & ~F.col("chrom_debris")})
-    chains = stage(macro_blocks(chain_greedy(blocks, ties, cfg), cfg), "chains")
+    chains = dealt(stage(macro_blocks(chain_greedy(blocks, ties, cfg), cfg), "chains"), PAIR)
     mid = chains.select(*PAIR, "strand", F.col("qstart").alias("qs"), F.col("qend").alias("qe"), F.col("ref_start").alias("rs"), F.col("ref_end").alias("re"), F.col("union_bp").alias("matches"))
     line = collinearity(mid, ["strand"]).select(*PAIR, "collinearity")
     top = best_chain(chains.select(*PAIR, F.struct("chain_id", "strand").alias("chain_id"), F.col("matches").alias("weight"), F.col("union_bp").alias("qbp"), "identity")).select(*PAIR, F.col("identity").alias("chain_identity"))
