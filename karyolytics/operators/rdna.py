@@ -21,6 +21,16 @@ from .intervals import merged, union_bp
 FEW = 16
 
 
+def packed(n: np.ndarray) -> bytes:
+    """Whole numbers from 0 in as few bytes each as the largest one takes, after a byte that tells how many."""
+    size = next(s for s in (1, 2, 4, 8) if s == 8 or n.max(initial=0) < 1 << 8 * s)
+    return bytes([size]) + n.astype(f"<u{size}").tobytes()
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, f"<u{data[0]}", offset=1)
+
+
 def copy_type(coverage: Column) -> Column:
     return F.when(coverage >= 0.9, "full").when(coverage >= 0.5, "partial").otherwise("fragment")
 
@@ -103,17 +113,24 @@ def column_consensus(seqs: DataFrame, key: str, seq: str, least: float = 0.5, wi
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = {}, 0
 
-        def flush() -> pa.RecordBatch:
+        def flush() -> Iterator[pa.RecordBatch]:
             out = []
             for (k, b), parts in held.items():
                 if len(parts) < FEW:
-                    out += [(k, b, p.astype("<u4").tobytes(), None, None) for p in parts]
-                    continue
-                counts = Columns(width)
-                for p in parts:
-                    counts.add(p)
-                counts.settle()
-                out += [(k, b, None, int(s), n[: counts.used].astype("<i8").tobytes()) for s, n in counts.of.items()]
+                    out += [(k, b, packed(p), None, None) for p in parts]
+                else:
+                    counts = Columns(width)
+                    for p in parts:
+                        counts.add(p)
+                    counts.settle()
+                    out += [(k, b, None, int(s), packed(n[: counts.used])) for s, n in counts.of.items()]
+                if len(out) >= 256:
+                    yield piece(out)
+                    out = []
+            if out:
+                yield piece(out)
+
+        def piece(out: list) -> pa.RecordBatch:
             types = (None, pa.int64(), pa.binary(), pa.int64(), pa.binary())
             return pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t or to_arrow_type(kind)) for i, t in enumerate(types)], ["key", "block", "part", "sign", "counts"])
 
@@ -125,10 +142,10 @@ def column_consensus(seqs: DataFrame, key: str, seq: str, least: float = 0.5, wi
                     held.setdefault((k, b), []).append(codes[b * width : (b + 1) * width])
                 size += codes.nbytes
                 if size > 64 << 20:
-                    yield flush()
+                    yield from flush()
                     held, size = {}, 0
         if held:
-            yield flush()
+            yield from flush()
 
     def called(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, counts = None, Columns(width)
@@ -140,9 +157,9 @@ def column_consensus(seqs: DataFrame, key: str, seq: str, least: float = 0.5, wi
                         out.append((*now[:2], counts.call(least, now[2])))
                     now, counts = at, Columns(width)
                 if part.is_valid:
-                    counts.add(np.frombuffer(part.as_py(), "<u4"))
+                    counts.add(unpacked(part.as_py()).astype("<u4"))
                 else:
-                    counts.plus(sign.as_py(), np.frombuffer(n.as_py(), "<i8"))
+                    counts.plus(sign.as_py(), unpacked(n.as_py()).astype("<i8"))
             yield done(out)
         if now is not None:
             yield done([(*now[:2], counts.call(least, now[2]))])
