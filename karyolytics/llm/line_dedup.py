@@ -23,6 +23,8 @@ that are named as the two columns of counts: these are replaced.
 
 from __future__ import annotations
 
+import functools
+import operator
 import uuid
 from collections.abc import Iterator
 from itertools import chain
@@ -49,6 +51,8 @@ DOUBLINGS = 1
 FINE, HELD = 4, 8 << 20
 #: Shingles whose sets are compared at once.
 COMPARED = 1 << 21
+#: Lines of a band whose pairs are compared by their bins together with those of other bands.
+SMALL = 64
 _FACTORS = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 _NONE = np.uint32(0xFFFFFFFF)
 
@@ -100,13 +104,17 @@ def bands(lines: list[str]) -> np.ndarray:
 
 
 def bins(lines: list[str]) -> tuple[np.ndarray, list[bytes]]:
-    """Of each line the number of its shingles, and of each of BITS bins whether an odd number of them falls into it."""
+    """Of each line the number of its shingles, and of each of BITS bins whether an odd number of them falls into it.
+
+    The bin is the head of a shingle's hash, so that it doesn't depend on how many lines are taken at once.
+    """
     h, count = shingle_hashes(lines)
     of = np.repeat(np.arange(len(lines), dtype=np.uint64), count)
     bits = np.uint64(max(1, len(lines).bit_length()))
     x = distinct_sorted((of << (np.uint64(64) - bits)) | (h >> bits))
     of = (x >> (np.uint64(64) - bits)).astype(np.int64)
-    odd = np.bincount(of * BITS + (x & np.uint64(BITS - 1)).astype(np.int64), minlength=len(lines) * BITS) & 1
+    bin_ = ((x >> (np.uint64(64 - BITS.bit_length() + 1) - bits)) & np.uint64(BITS - 1)).astype(np.int64)
+    odd = np.bincount(of * BITS + bin_, minlength=len(lines) * BITS) & 1
     return np.bincount(of, minlength=len(lines)), [x.tobytes() for x in np.packbits(odd.astype(np.uint8).reshape(len(lines), BITS), axis=1)]
 
 
@@ -123,7 +131,7 @@ def similar(x: list[str], y: list[str], per_cent: int) -> np.ndarray:
         return k, np.bincount((k >> (np.uint64(64) - bits)).astype(np.int64), minlength=len(lines))
 
     (a, na), (b, nb) = by_pair(x), by_pair(y)
-    k = np.sort(np.concatenate([a, b]))
+    k = np.sort(np.concatenate([a, b]), kind="stable")  # two sorted runs
     both = np.bincount((k[1:][k[1:] == k[:-1]] >> (np.uint64(64) - bits)).astype(np.int64), minlength=len(x))
     return 100 * both >= per_cent * (na + nb - both)
 
@@ -156,6 +164,13 @@ def several(x: np.ndarray) -> np.ndarray:
     return np.append(same, False) | np.append(False, same)
 
 
+def crowded(x: np.ndarray) -> np.ndarray:
+    """Rows of numbers whose tail occurs more than once; all that have an equal are among them, and few others need sorting."""
+    bits = max(10, len(x).bit_length() + 1)
+    tail = (x & ((1 << bits) - 1)).astype(np.int64)
+    return np.flatnonzero((np.bincount(tail) > 1)[tail])
+
+
 def firsts(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Of places: the first one of each line, and the others. A place that occurs twice is one."""
     x = x[np.argsort(x["h"])]
@@ -266,6 +281,7 @@ def met(blobs: DataFrame) -> DataFrame:
             yield batch(0, h=x["h"].copy(), has=x["has"].astype(bool), id=x["id"].copy(), key=x["key"].copy(), at=x["at"].copy())
             yield drops_of(drops)
         elif kind == 1:
+            x = x[crowded(x["band"])]
             x = x[np.argsort(x["band"])]
             x = x[several(x["band"])]
             order = mix(x["h"].copy().view(np.uint64) * _FACTORS[1])  # the leader is as good as drawn
@@ -292,11 +308,17 @@ def met(blobs: DataFrame) -> DataFrame:
     return blobs.repartition("bucket").mapInArrow(trimmed(run), MET)
 
 
-def texts_of(docs: DataFrame, entries: DataFrame, n: int, scratch: Scratch) -> DataFrame:
-    """The text and bins of each line that shares a band with another one: (h, line, n, bits). No other line is ever compared."""
-    ids = entries.select("h").distinct()
+def bare(line: Column) -> Column:
+    """The line without white space at its ends. btrim visits every sign of a line, so it is left to those that need it."""
+    x = F.trim(line)
+    ends = functools.reduce(operator.or_, (x.startswith(c) | x.endswith(c) for c in WHITE[1:]))
+    return F.when(ends, F.btrim(line, F.lit(WHITE))).otherwise(x)
+
+
+def texts_of(docs: DataFrame, ids: DataFrame, n: int, scratch: Scratch) -> DataFrame:
+    """The text and bins of each of n lines that share a band with another one: (h, line, n, bits). No other line is ever compared."""
     of = F.broadcast(ids) if n <= BROADCAST_IDS else ids
-    line = docs.select(F.explode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("line")).select(F.btrim("line", F.lit(WHITE)).alias("line")).filter("line <> ''")
+    line = docs.select(F.explode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("line")).select(bare(F.col("line")).alias("line")).filter("line <> ''")
     line = line.withColumn("h", F.xxhash64("line")).join(of, "h", "left_semi").dropDuplicates(["h"]).select("h", "line")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -317,13 +339,30 @@ def texts_of(docs: DataFrame, entries: DataFrame, n: int, scratch: Scratch) -> D
     return scratch.table(line.mapInArrow(trimmed(run), "h long, line string, n long, bits binary"), "texts", n)
 
 
+def words_of(bits: pa.Array) -> np.ndarray:
+    """The bins of lines as numbers, a row for each line."""
+    return np.frombuffer(bits.cast(pa.binary(BITS // 8)).buffers()[1], np.uint64).reshape(-1, BITS // 64)
+
+
+def apart(x: np.ndarray, y: np.ndarray, sizes: np.ndarray, per_cent: int) -> np.ndarray:
+    """Which pairs the bins exclude: bins that differ are at most the shingles that differ. sizes: of both sets together."""
+    return (100 + per_cent) * np.bitwise_count(x ^ y).sum(1, dtype=np.int64) > (100 - per_cent) * sizes
+
+
 def verified(texts: DataFrame, pairs: DataFrame, per_cent: int) -> DataFrame:
-    """Of pairs (a, b) of line hashes those whose shingle sets reach the similarity. texts: (h, line)."""
-    both = pairs.select("a", "b").join(texts.select(F.col("h").alias("a"), F.col("line").alias("x")), "a").join(texts.select(F.col("h").alias("b"), F.col("line").alias("y")), "b")
+    """Of pairs (a, b) of line hashes those whose shingle sets reach the similarity. texts: (h, line, n, bits).
+
+    Sets are made only of lines that the bins leave.
+    """
+    both = pairs.select("a", "b")
+    for side in ("a", "b"):
+        both = both.join(texts.select(F.col("h").alias(side), *(F.col(c).alias(f"{c}_{side}") for c in ("line", "n", "bits"))), side)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            a, b, x, y = (c.to_pylist() for c in batch.columns)
+            sizes = batch.column(4).to_numpy() + batch.column(5).to_numpy()
+            batch = batch.take(pa.array(np.flatnonzero(~apart(words_of(batch.column(6)), words_of(batch.column(7)), sizes, per_cent))))
+            x, y = (batch.column(i).to_pylist() for i in (2, 3))
             keep, i = [], 0
             while i < len(x):
                 n, size = i, 0
@@ -332,9 +371,9 @@ def verified(texts: DataFrame, pairs: DataFrame, per_cent: int) -> DataFrame:
                     n += 1
                 keep += similar(x[i:n], y[i:n], per_cent).tolist()
                 i = n
-            yield pa.RecordBatch.from_arrays([pa.array([v for v, k in zip(a, keep) if k], pa.int64()), pa.array([v for v, k in zip(b, keep) if k], pa.int64())], ["a", "b"])
+            yield pa.RecordBatch.from_arrays([batch.column(i).filter(pa.array(keep, pa.bool_())) for i in (0, 1)], ["a", "b"])
 
-    return both.select("a", "b", "x", "y").mapInArrow(trimmed(run), "a long, b long")
+    return both.select("a", "b", "line_a", "line_b", "n_a", "n_b", "bits_a", "bits_b").mapInArrow(trimmed(run), "a long, b long")
 
 
 def by_band(rows: DataFrame, run_group, schema: str) -> DataFrame:
@@ -359,8 +398,8 @@ def by_band(rows: DataFrame, run_group, schema: str) -> DataFrame:
 
 
 def possible(bits: np.ndarray, n: np.ndarray, i: int, j: np.ndarray, per_cent: int) -> np.ndarray:
-    """Which of j the bins don't exclude: bins that differ are at most the shingles that differ. n: sizes of the sets."""
-    return (100 + per_cent) * np.bitwise_count(bits[j] ^ bits[i]).sum(1, dtype=np.int64) <= (100 - per_cent) * (n[j] + n[i])
+    """Which of j the bins don't exclude. n: sizes of the sets."""
+    return ~apart(bits[j], bits[i], n[j] + n[i], per_cent)
 
 
 def outside(label: np.ndarray) -> np.ndarray:
@@ -369,23 +408,37 @@ def outside(label: np.ndarray) -> np.ndarray:
     return np.flatnonzero(label != names[np.argmax(k)])
 
 
+def pairs_of(start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All pairs of rows of each group, the earlier row first."""
+    row = np.repeat(start - np.cumsum(size) + size, size) + np.arange(size.sum())
+    after = np.repeat(start + size, size) - row - 1
+    i = np.repeat(row, after)
+    return i, i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(after) - after, after)
+
+
 def alive(entries: DataFrame, per_cent: int) -> DataFrame:
     """What the bins leave to compare of entries (band, h, label, n, bits): pairs of lines of other label where a band has few
     of them, as (h, other); else the lines of the band that have such a partner, as (h, label, band). Either way a band of n
-    lines gives 2 n rows at most.
+    lines gives 2 n rows at most. The pairs of small bands are compared together.
     """
 
     def run_group(x: pa.RecordBatch, ends: np.ndarray) -> Iterator[pa.RecordBatch]:
         band, h, label, n = (x.column(i).to_numpy() for i in range(4))
-        bits = np.frombuffer(b"".join(x.column(4).to_pylist()), np.uint64).reshape(-1, BITS // 64)
-        live, left, right = np.zeros(len(h), bool), [], []
-        two = ends[:-1][np.diff(ends) == 2]
-        two = two[label[two] != label[two + 1]]
-        two = two[(100 + per_cent) * np.bitwise_count(bits[two] ^ bits[two + 1]).sum(1, dtype=np.int64) <= (100 - per_cent) * (n[two] + n[two + 1])]
-        left.append(two)
-        right.append(two + 1)
-        at = ends[:-1]
-        more = (np.diff(ends) > 2) & (np.minimum.reduceat(label, at) != np.maximum.reduceat(label, at)) if len(at) else np.zeros(0, bool)
+        bits = words_of(x.column(4))
+        live = np.zeros(len(h), bool)
+        at, size_of = ends[:-1], np.diff(ends)
+        more = (size_of > 1) & (np.minimum.reduceat(label, at) != np.maximum.reduceat(label, at)) if len(at) else np.zeros(0, bool)
+        small = more & (size_of <= SMALL)
+        i, j = pairs_of(at[small], size_of[small])
+        other = label[i] != label[j]
+        i, j = i[other], j[other]
+        kept = ~apart(bits[i], bits[j], n[i] + n[j], per_cent)
+        i, j = i[kept], j[kept]
+        group = np.searchsorted(at, i, "right") - 1
+        many = np.bincount(group, minlength=len(at))[group] > 2 * size_of[group]
+        live[i[many]] = live[j[many]] = True
+        left, right = [i[~many]], [j[~many]]
+        more &= ~small
         for a, b in zip(at[more], ends[1:][more]):
             rows = outside(label[a:b]) + a
             few: list[np.ndarray] | None = []
@@ -422,7 +475,7 @@ def compare(lines: list[str], label: np.ndarray, bits: np.ndarray, per_cent: int
     hashes, count = shingle_hashes(lines)
     code = np.unique(hashes, return_inverse=True)[1]
     codes = int(code.max()) + 1
-    of, code = np.divmod(np.unique(np.repeat(np.arange(len(lines)), count) * codes + code), codes)  # a shingle of a line once
+    of, code = np.divmod(distinct_sorted(np.repeat(np.arange(len(lines)), count) * codes + code), codes)  # a shingle of a line once
     n = np.bincount(of, minlength=len(lines))
     start = np.cumsum(n) - n
     own = np.zeros(codes, np.int8)
@@ -454,7 +507,7 @@ def united(entries: DataFrame, per_cent: int) -> DataFrame:
 
     def run_group(x: pa.RecordBatch, ends: np.ndarray) -> Iterator[pa.RecordBatch]:
         h, label = (x.column(i).to_numpy() for i in (1, 2))
-        bits = np.frombuffer(b"".join(x.column(3).to_pylist()), np.uint64).reshape(-1, BITS // 64)
+        bits = words_of(x.column(3))
         left, right = [], []
         for a, b in zip(ends[:-1], ends[1:]):
             lines, own = x.column(4).slice(a, b - a).to_pylist(), label[a:b].copy()
@@ -473,10 +526,12 @@ def united(entries: DataFrame, per_cent: int) -> DataFrame:
     return by_band(entries, run_group, "a long, b long")
 
 
-def links_of(docs: DataFrame, entries: DataFrame, n: int, per_cent: int, s: Scratch) -> DataFrame:
-    """Links between lines alike that share a band, enough of them to unite all such lines. entries: (band, h, lead) of n lines."""
-    texts = texts_of(docs, entries, n, s)
-    best = entries.filter("h <> lead").groupBy("h", "lead").agg(F.count("*").alias("k")).groupBy(F.col("h").alias("a")).agg(F.max_by("lead", F.struct("k", "lead")).alias("b"))
+def links_of(docs: DataFrame, entries: DataFrame, ids: DataFrame, n: int, per_cent: int, s: Scratch) -> DataFrame:
+    """Links between lines alike that share a band, enough of them to unite all such lines. entries: (band, h, lead) of n lines, ids."""
+    texts = texts_of(docs, ids, n, s)
+    # most bands, at most sixteen, then the leader, as one number, which aggregates without sorting
+    order = F.shiftleft("k", 58) + F.shiftright("lead", 6)
+    best = entries.filter("h <> lead").groupBy("h", "lead").agg(F.count("*").alias("k")).groupBy(F.col("h").alias("a")).agg(F.max_by("lead", order).alias("b"))
     stars = s.table(verified(texts, best, per_cent), "stars", n)
     label = stars
     for _ in range(DOUBLINGS):
@@ -484,7 +539,7 @@ def links_of(docs: DataFrame, entries: DataFrame, n: int, per_cent: int, s: Scra
         label = label.join(up, "b", "left").select("a", F.coalesce("c", "b").alias("b"))
     label = label.select(F.col("a").alias("h"), F.col("b").alias("label"))
     # the last leader, who has none, keeps its own label
-    named = entries.select("band", "h").join(label, "h", "left").join(texts.select("h", "n", "bits"), "h").select("band", "h", F.coalesce("label", "h").alias("label"), "n", "bits")
+    named = entries.select("band", "h").join(label.hint("shuffle_hash"), "h", "left").join(texts.select("h", "n", "bits").hint("shuffle_hash"), "h").select("band", "h", F.coalesce("label", "h").alias("label"), "n", "bits")
     left = s.table(alive(named, per_cent), "alive", n)
     pairs = left.filter("other is not null").select(F.least("h", "other").alias("a"), F.greatest("h", "other").alias("b")).distinct()
     bands = left.filter("other is null").join(texts, "h").select("band", "h", "label", "bits", "line")
@@ -497,8 +552,9 @@ def dropped_lines(spark: SparkSession, docs: DataFrame, per_cent: int = PER_CENT
     buckets = FINE * int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = s.table(met(packed(docs, buckets)), "met", dealt=True)
     entries = rows.filter("kind = 1").select("band", "h", "lead")
-    n = entries.agg(F.countDistinct("h")).first()[0]
-    whole = components(links_of(docs, entries, n, per_cent, s), s, rows=n).withColumnRenamed("node", "h")
+    ids = s.table(entries.select("h").distinct(), "ids")
+    n = ids.count()
+    whole = components(links_of(docs, entries, ids, n, per_cent, s), s, rows=n).withColumnRenamed("node", "h")
     place = F.struct("has", "id", "key", "at")
     linked = s.keep(rows.filter("kind = 0").join(whole, "h").select("component", place.alias("place")), n)
     first = linked.groupBy("component").agg(F.min("place").alias("first"))
@@ -516,7 +572,8 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id", te
     gone = dropped_lines(spark, docs.select(F.col(doc_id).cast("long").alias("id"), key().alias("key"), F.col(text).alias("text")), per_cent, scratch)
     own = f"_{uuid.uuid4().hex}"
     names = docs.columns
-    out = docs.withColumn(own, key()).join(gone.select(F.col("key").alias(own), F.col("gone").alias(f"{own}_gone")), own, "left").select(*(f"`{c}`" for c in names), f"{own}_gone")
+    lost_of = gone.select(F.col("key").alias(own), F.col("gone").alias(f"{own}_gone")).hint("shuffle_hash")  # a row for each key, so that texts needn't be sorted
+    out = docs.withColumn(own, key()).join(lost_of, own, "left").select(*(f"`{c}`" for c in names), f"{own}_gone")
     at = names.index(text)
     schema = docs.schema.add(count, "long").add(drops, "long")
 
