@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import WHITE, Scratch, components, trimmed
+from .common import WHITE, Scratch, components, small_batches, trimmed
 from .ngram_join import BITS, BROADCAST_IDS, distinct_sorted, mix
 
 CHARS, PER_CENT = 5, 80
@@ -548,6 +548,7 @@ def links_of(docs: DataFrame, entries: DataFrame, ids: DataFrame, n: int, per_ce
 
 def dropped_lines(spark: SparkSession, docs: DataFrame, per_cent: int = PER_CENT, scratch: Scratch | None = None) -> DataFrame:
     """docs: id, key, text. Per document with lines to drop: key, and their places in order; scratch: holds this result."""
+    small_batches(spark)
     s = Scratch(spark, "line-dedup")
     buckets = FINE * int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = s.table(met(packed(docs, buckets)), "met", dealt=True)

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, components, trimmed
+from .common import Scratch, components, small_batches, trimmed
 
 WORDS, PER_CENT = 5, 80
 SKETCH = 1 << 20
@@ -342,6 +342,7 @@ class Join:
     """The join over one table of documents; ``linked`` gives its result."""
 
     def __init__(self, spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n: int = WORDS, per_cent: int = PER_CENT, scratch: Scratch | None = None):
+        small_batches(spark)
         self.spark, self.n, self.per_cent = spark, n, per_cent
         self.scratch = scratch or Scratch(spark, "ngram-join")
         self.docs = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import Scratch, trimmed
+from .common import Scratch, small_batches, trimmed
 from .pieces import Encoder
 
 CAPACITY, END = 1024, 2
@@ -239,6 +239,7 @@ def token_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end: int
 
 def pack_documents(spark: SparkSession, docs: DataFrame, path: str, capacity: int = CAPACITY, end: int = END, doc_id: str = "doc_id", text: str = "text", scratch: Scratch | None = None) -> DataFrame:
     """Per piece: id, uid (the row's number), piece, start, length, crc, sequence_id, offset."""
+    small_batches(spark)
     scratch = scratch or Scratch(spark, "packing")
     pieces = scratch.table(token_pieces(docs, path, capacity, end, doc_id, text).withColumn("part", F.pmod(F.xxhash64("uid", "piece"), F.lit(PARTS)).cast("int")), "pieces")
     open_, full = pieces.filter(F.col("length") < capacity), pieces.filter(F.col("length") == capacity)
