@@ -8,15 +8,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from karyolytics.llm import line_dedup, ngram_join, packing, quality
-from karyolytics.llm.common import WHITE, Scratch, gathered
+from karyolytics.llm.common import WHITE, Scratch, gathered, small_batches
 from karyolytics.llm.queries import tokenizer
 
 
+#: Keys of rows are broadcast up to so many.
+BROADCAST_KEYS = 1_000_000
+
 _LEFT: list[Scratch] = []
 
 
 def fresh(spark: SparkSession, name: str) -> Scratch:
     """The scratch of a stage. The result of the stage before is written when the next one begins, so what it left goes."""
+    small_batches(spark)
     while _LEFT:
         _LEFT.pop().clear()
     _LEFT.append(Scratch(spark, name))
@@ -49,13 +53,25 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """Of each group of near duplicates the document with the smallest doc_id, a null one first.
 
     Rows that repeat both doc_id and text are one document, of which one row stays; other rows with one doc_id are told apart.
+    Texts don't move: the keys of rows that go or repeat are sought where the texts are read. Only texts of repeated rows meet, and
+    all of them if those keys are more than BROADCAST_KEYS.
     """
-    key = f"_{uuid.uuid4().hex}"
+    key, stays = (f"_{uuid.uuid4().hex}" for _ in range(2))
+    scratch = fresh(spark, "near")
     keyed = docs.withColumn(key, F.xxhash64(F.col("doc_id").cast("long"), "text"))
-    groups = ngram_join.near_duplicates(spark, keyed, key, scratch=fresh(spark, "near"))
-    member = keyed.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(key).alias("id")).join(groups.select("id", "component_id"), "id")
-    stays = member.groupBy("component_id").agg(F.min(F.struct("doc_id", "id")).alias("first")).select(F.col("first.id").alias(key))
-    return whole_files(keyed.join(stays, key, "left_semi").dropDuplicates([key]).select(*(f"`{c}`" for c in docs.columns)), docs)
+    groups = ngram_join.near_duplicates(spark, keyed, key, scratch=scratch).select("id", "component_id").distinct()
+    rows = keyed.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(key).alias("id")).groupBy("id").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("n"))
+    rows = scratch.table(rows.join(groups, "id"), "rows", dealt=True)
+    first = rows.groupBy("component_id").agg(F.min(F.struct("doc_id", "id")).alias("first"))
+    marks = rows.join(first, "component_id").filter("id <> first.id or n > 1").select(F.col("id").alias(key), (F.col("id") == F.col("first.id")).alias(stays))
+    marks = scratch.table(marks, "marks", dealt=True)
+    n, again = marks.agg(F.count("*"), F.count_if(F.col(stays))).first()
+    left = keyed.join(F.broadcast(marks) if n <= BROADCAST_KEYS else marks, key, "left").filter(F.coalesce(stays, F.lit(True)))
+    if n > BROADCAST_KEYS:
+        left = left.dropDuplicates([key])
+    elif again:
+        left = left.filter(F.col(stays).isNull()).unionByName(left.filter(stays).dropDuplicates([key]))
+    return whole_files(left.select(*(f"`{c}`" for c in docs.columns)), docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,5 +1,6 @@
 """How much the Python workers of the pipeline's steps get at once."""
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -45,3 +46,12 @@ def test_own_bound_stays(spark):
         assert spark.conf.get(KEY) == "1m"
     finally:
         spark.conf.unset(KEY) if before is None else spark.conf.set(KEY, before)
+
+
+def test_row_groups_are_small(spark, tmp_path):
+    common.small_batches(spark)
+    spark.range(0, 20000, 1, 1).selectExpr("id", OWN + " AS text").write.parquet(f"{tmp_path}/out")
+    (part,) = tmp_path.glob("out/*.parquet")
+    found = pq.ParquetFile(part).metadata
+    sizes = [found.row_group(i).total_byte_size for i in range(found.num_row_groups)]
+    assert sum(sizes) > 100 << 20 and max(sizes) < 48 << 20, sizes

@@ -60,6 +60,24 @@ def test_empty_table(spark, folder):
     assert corpus_pipeline.run(spark, sf).collect() == []
 
 
+NEAR = [(1, LONG), (1, LONG), (2, LONG.replace("river", "rivers", 1)), (None, OTHER), (None, OTHER), (7, OTHER), (8, None), (8, ""), (9, prose(9)), (10, prose(11)), (10, prose(10))]
+
+
+@pytest.mark.parametrize("most", [1_000_000, 0])
+def test_near_duplicates_leave_one_row(spark, monkeypatch, most):
+    monkeypatch.setattr(corpus_pipeline, "BROADCAST_KEYS", most)
+    docs = spark.createDataFrame(NEAR, "doc_id long, text string").repartition(3)
+    got = [tuple(r) for r in corpus_pipeline.drop_near_duplicates(spark, docs, "").collect()]
+    assert sorted(got, key=str) == sorted([(1, LONG), (None, OTHER), *NEAR[6:]], key=str)
+
+
+def test_texts_of_the_result_stay_in_place(spark, tmp_path):
+    spark.createDataFrame([(1, LONG), (2, LONG.replace("river", "rivers", 1)), (9, prose(9))], "doc_id long, text string").write.parquet(f"{tmp_path}/docs")
+    out = corpus_pipeline.drop_near_duplicates(spark, spark.read.parquet(f"{tmp_path}/docs"), "")
+    assert sorted(r.doc_id for r in out.collect()) == [1, 9]
+    assert "hashpartitioning" not in out._jdf.queryExecution().executedPlan().toString()
+
+
 def test_shards(spark, folder):
     sf = folder([*ROWS, *[(100 + i, prose(RND.randrange(1, 9)), "en", "u", 1) for i in range(300)], *[(500 + i, "same text", "en", "u", 1) for i in range(40)]])
     rows = queries.op8_sharding(spark, sf).collect()
