@@ -122,7 +122,7 @@ def named(cells: DataFrame, keys: list[str], scratch: Scratch, name: str, least:
     of = W.partitionBy(*keys)
     frequent = cells.withColumn("f", F.sum("n").over(of)).filter(F.col("f") >= least).withColumn("row", F.monotonically_increasing_id())
     out = frequent.withColumn("id", F.min("row").over(of)).select("block", "local", *keys, "f", "id", (F.col("row") == F.col("id")).alias("first"))
-    return scratch.table(out, name, dealt=True)
+    return scratch.table(out, name, dealt=True, swept=True)
 
 
 def column(table: pa.Table, name: str) -> np.ndarray:
@@ -195,15 +195,15 @@ def collocations(spark: SparkSession, docs: DataFrame, lang: str = "lang", text:
     """lang, rank, phrase, a, l, r, n, score of the best phrases of each language; top None gives all."""
     scratch = scratch or Scratch(spark, "collocations")
     first = scratch.table(word_blocks(docs, lang, text), "words")
-    totals = scratch.table(first.groupBy("lang").agg(F.sum("n").alias("n")), "totals", dealt=True)
+    totals = scratch.table(first.groupBy("lang").agg(F.sum("n").alias("n")), "totals", dealt=True, swept=True)
     cells = first.select("block", "lang", F.posexplode(F.arrays_zip("words", "counts")).alias("local", "x")).select("block", "local", "lang", F.col("x.words").alias("word"), F.col("x.counts").alias("n"))
     words = named(cells, ["lang", "word"], scratch, "words-named", least)
     blocks = first.select(F.col("block").alias("b"), "seq").groupBy("b").cogroup(words.select("block", "local", "id").groupBy("block")).applyInArrow(with_ids, "block long, seq binary, ids binary")
-    blocks = scratch.table(blocks, "blocks")
+    blocks = scratch.table(blocks, "blocks", swept=True)
     scratch.drop(first)
     pairs = named(block_pairs(blocks), ["l", "r"], scratch, "pairs-named", least)
     triples = blocks.select(F.col("block").alias("b"), "seq", "ids").groupBy("b").cogroup(pairs.select("block", "local", "id").groupBy("block")).applyInArrow(block_triples, "l long, r long, n long")
-    triples = scratch.table(triples.groupBy("l", "r").agg(F.sum("n").alias("f")).filter(F.col("f") >= least), "triples", dealt=True)
+    triples = scratch.table(triples.groupBy("l", "r").agg(F.sum("n").alias("f")).filter(F.col("f") >= least), "triples", dealt=True, swept=True)
     scratch.drop(blocks)
     return ranked(words.filter("first"), pairs.filter("first"), triples, totals, top)
 

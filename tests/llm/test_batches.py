@@ -1,10 +1,13 @@
 """How much the Python workers of the pipeline's steps get at once."""
 
+import time
+from pathlib import Path
+
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from karyolytics.llm import common, line_dedup, ngram_join, packing
+from karyolytics.llm import collocations, common, line_dedup, ngram_join, packing
 from karyolytics.llm.queries import tokenizer
 
 KEY = "spark.sql.execution.arrow.maxBytesPerBatch"
@@ -55,3 +58,24 @@ def test_row_groups_are_small(spark, tmp_path):
     found = pq.ParquetFile(part).metadata
     sizes = [found.row_group(i).total_byte_size for i in range(found.num_row_groups)]
     assert sum(sizes) > 100 << 20 and max(sizes) < 48 << 20, sizes
+
+
+def test_collocations_leave_no_shuffle_files(spark, monkeypatch):
+    """Whenever a step has been written, its shuffle files are gone."""
+    top = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    files = lambda: {f for d in top.localDirsString() for f in Path(d).glob("*/shuffle_*.data")}
+    before, seen, table = files(), [], common.Scratch.table
+
+    def watched(self, df, name, *args, **kwargs):
+        out = table(self, df, name, *args, **kwargs)
+        end = time.time() + 5
+        while (left := files() - before) and time.time() < end:
+            time.sleep(0.1)
+        seen.append((name, len(left)))
+        return out
+
+    monkeypatch.setattr(common.Scratch, "table", watched)
+    docs = spark.range(0, 300, 1, 3).selectExpr("'en' AS lang", "concat('the river house. a stone ', id) AS text")
+    assert collocations.collocations(spark, docs).count() and len(seen) == 6
+    assert not any(n for _, n in seen), seen
+    assert spark.conf.get(common.SWEEP) == "false"
