@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ..config import DEFAULT, Config
 from .evidence import CONTIG
+from .intervals import shuffled
 
 #: Classes in order of precedence.
 CLASSES = ("chrom_assigned", "chrom_unassigned", "organelle_complete", "organelle_debris", "rDNA", "contaminant", "chrom_debris", "debris", "unclassified")
@@ -41,7 +42,7 @@ def cascade(contigs: DataFrame) -> DataFrame:
 def exclude(contigs: DataFrame, *taken: DataFrame) -> DataFrame:
     """Contigs of an assembly that are in none of the tables."""
     for t in taken:
-        contigs = contigs.join(t.select(*CONTIG), CONTIG, "left_anti")
+        contigs = contigs.join(shuffled(t.select(*CONTIG)), CONTIG, "left_anti")
     return contigs
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ..config import DEFAULT, Config
 from ..functions.ids import is_circular
 from .evidence import CONTIG
-from .intervals import dealt, tasks, union_bp
+from .intervals import dealt, shuffled, tasks, union_bp
 
 #: Eukaryote kingdoms by clade.
 KINGDOMS = {"Viridiplantae": "Plant", "Fungi": "Fungi", "Metazoa": "Animal"}
@@ -21,12 +21,12 @@ def hit_coverage(hits: DataFrame, keys: list[str], n: int | None = None) -> Data
     hits = dealt(hits, keys, n)
     best = F.min_by("sseqid", F.struct("evalue_rank", "o_orderkey"))
     sums = hits.groupBy(*keys).agg(F.count("*").alias("n_hits"), F.sum("length").alias("hit_bp"), F.sum(F.floor(F.col("pident") * F.col("length") / 100)).cast("long").alias("matches"), best.alias("best_subject"))
-    return union_bp(hits, keys, "qstart", "qend", n=1).join(sums, keys)
+    return union_bp(hits, keys, "qstart", "qend", n=1).join(shuffled(sums), keys)
 
 
 def on_contigs(cov: DataFrame, contigs: DataFrame) -> DataFrame:
     """Coverage of query ids, as share of their contig of the same assembly."""
-    df = cov.withColumnRenamed("qseqid", "contig").join(contigs, CONTIG)
+    df = cov.withColumnRenamed("qseqid", "contig").join(shuffled(contigs), CONTIG)
     return df.withColumn("coverage", F.round(F.least(F.lit(1.0), F.col("union_bp") / F.col("contig_len")), 6))
 
 
@@ -64,7 +64,7 @@ def contaminants(hits: DataFrame, taxa: DataFrame, contigs: DataFrame, cfg: Conf
     kept = hits.filter(F.col("score") >= cfg.contaminant_score)
     per = kept.groupBy(*CONTIG, "taxid").agg(F.sum("score").alias("score"), F.sum("matching_bp").alias("matching_bp"))
     top = per.withColumn("_r", F.row_number().over(W.partitionBy(*CONTIG).orderBy(F.desc("score"), "taxid"))).filter("_r = 1").drop("_r")
-    top = top.join(taxa, "taxid", "left").join(contigs, CONTIG)
+    top = top.join(taxa, "taxid", "left").join(shuffled(contigs), CONTIG)
     out = top.select(*CONTIG, "taxid", F.coalesce("name", F.lit("unknown")).alias("name"), "kingdom", "score", F.round(F.col("matching_bp") / F.col("contig_len"), 6).alias("coverage"))
     return out.filter(F.col("coverage") >= least_cov) if least_cov else out
 

@@ -22,7 +22,7 @@ from .chaining import chain_greedy, macro_blocks
 from .classify import cascade, exclude, full_length, names
 from .detect import contaminants, covered_contigs, debris, hit_coverage, organelle_select
 from .evidence import CONTIG, PAIR, collinearity, orientation_votes, pair_evidence
-from .intervals import dealt, tasks, union_bp
+from .intervals import dealt, shuffled, tasks, union_bp
 from .report import best_chain, confidence, default_min_length
 
 
@@ -44,7 +44,7 @@ def synteny_ranks(blocks: DataFrame, contigs: DataFrame, refs: DataFrame, cfg: C
     Adds rank among those that pass (null for others), by share, then union, then name.
     """
     n = tasks(blocks)
-    spans = pair_evidence(blocks, n).join(union_bp(blocks, PAIR, "rs", "re", "ref_bp", n), PAIR).join(contigs.select(*CONTIG, "contig_len"), CONTIG)
+    spans = pair_evidence(blocks, n).join(shuffled(union_bp(blocks, PAIR, "rs", "re", "ref_bp", n)), PAIR).join(shuffled(contigs.select(*CONTIG, "contig_len")), CONTIG)
     df = spans.join(refs.select("ref_id", "ref_len"), "ref_id").withColumn("frac", F.col("ref_bp") / F.col("ref_len")).withColumn("_ok", synteny_gate(cfg))
     w = W.partitionBy(*CONTIG).orderBy(F.desc("_ok"), F.desc("frac"), F.desc("union_bp"), "ref_id")
     return df.withColumn("rank", F.when(F.col("_ok"), F.row_number().over(w))).drop("_ok")
@@ -56,10 +56,10 @@ def assignments(ranks: DataFrame) -> DataFrame:
     """
     at = lambda k, c: F.max(F.when(F.col("rank") == k, F.col(c)))
     best = ranks.groupBy(*CONTIG).agg(at(1, "ref_id").alias("best_ref"), at(1, "frac").alias("best_frac"), at(2, "ref_id").alias("gated_second"), at(1, "union_bp").alias("best_bp"), at(2, "union_bp").alias("second_bp"), at(2, "frac").alias("gated_frac")).filter("best_ref is not null")
-    other = ranks.join(best.select(*CONTIG, "best_ref"), CONTIG).filter("ref_id <> best_ref").groupBy(*CONTIG).agg(F.max(F.struct("frac", "ref_id")).alias("o"))
-    spans = best.join(other, CONTIG, "left").select(*CONTIG, "best_ref", "best_frac", F.col("o.ref_id").alias("second_ref"), F.col("o.frac").alias("second_frac"), "gated_second", "best_bp", "second_bp", "gated_frac")
+    other = ranks.join(shuffled(best.select(*CONTIG, "best_ref")), CONTIG).filter("ref_id <> best_ref").groupBy(*CONTIG).agg(F.max(F.struct("frac", "ref_id")).alias("o"))
+    spans = best.join(shuffled(other), CONTIG, "left").select(*CONTIG, "best_ref", "best_frac", F.col("o.ref_id").alias("second_ref"), F.col("o.frac").alias("second_frac"), "gated_second", "best_bp", "second_bp", "gated_frac")
     moves = resolve_reciprocal(spans.drop("gated_second", "best_bp", "second_bp", "gated_frac")).select(*CONTIG, "new_ref")
-    return spans.join(moves, CONTIG, "left").select(*CONTIG, F.coalesce("new_ref", "best_ref").alias("ref_id"), F.col("gated_second").alias("second_ref"), "best_bp", F.coalesce("second_bp", F.lit(0)).alias("second_bp"), F.col("best_frac").alias("best_score"), F.coalesce("gated_frac", F.lit(0.0)).alias("second_score"))
+    return spans.join(shuffled(moves), CONTIG, "left").select(*CONTIG, F.coalesce("new_ref", "best_ref").alias("ref_id"), F.col("gated_second").alias("second_ref"), "best_bp", F.coalesce("second_bp", F.lit(0)).alias("second_bp"), F.col("best_frac").alias("best_score"), F.coalesce("gated_frac", F.lit(0.0)).alias("second_score"))
 
 
 def status(ref: Column, by_chain: Column, cfg: Config = DEFAULT) -> Column:
@@ -88,7 +88,7 @@ def classified(
     least = default_min_length(refs).first()["min_length"]
     ranks = stage(synteny_ranks(blocks, contigs, refs, cfg), "ranks")
     to = stage(assignments(ranks), "assignments")
-    chroms = stage(contigs.join(to, CONTIG).filter(F.col("contig_len") >= least).select(*CONTIG, "ref_id"), "chromosomes")
+    chroms = stage(contigs.join(shuffled(to), CONTIG).filter(F.col("contig_len") >= least).select(*CONTIG, "ref_id"), "chromosomes")
     left = lambda hits, *taken: exclude(hits.withColumnRenamed("qseqid", "contig"), *taken).withColumnRenamed("contig", "qseqid")
 
     of_kind = union_bp(left(organelle_hits, chroms), ["assembly", "qseqid", "sseqid"], "qstart", "qend", n=tasks(organelle_hits))
@@ -99,10 +99,10 @@ def classified(
     organelle = stage(organelle.select(*CONTIG, "complete", F.col("o.sseqid").alias("organelle_ref"), F.col("o.coverage").alias("coverage")), "organelles")
 
     rdna = hit_coverage(left(rdna_hits, chroms, organelle), ["assembly", "qseqid"], tasks(rdna_hits))
-    rdna = covered_contigs(rdna, contigs, cfg.rdna_min_cov).join(rdna.select("assembly", F.col("qseqid").alias("contig"), F.round(F.col("matches") / F.col("hit_bp"), 6).alias("identity")), CONTIG)
+    rdna = covered_contigs(rdna, contigs, cfg.rdna_min_cov).join(shuffled(rdna.select("assembly", F.col("qseqid").alias("contig"), F.round(F.col("matches") / F.col("hit_bp"), 6).alias("identity"))), CONTIG)
     rdna = stage(rdna, "rdna")
 
-    on_chroms = left(self_hits, chroms, organelle, rdna).join(chroms.select("assembly", F.col("contig").alias("sseqid")), ["assembly", "sseqid"], "left_semi")
+    on_chroms = left(self_hits, chroms, organelle, rdna).join(shuffled(chroms.select("assembly", F.col("contig").alias("sseqid"))), ["assembly", "sseqid"], "left_semi")
     copies = stage(debris(hit_coverage(on_chroms, ["assembly", "qseqid"], tasks(self_hits)), contigs, cfg), "copies")
 
     foreign = stage(contaminants(exclude(taxon_hits, chroms, organelle, rdna, copies), taxa, contigs, cfg), "contaminants")
@@ -116,11 +116,11 @@ def classified(
     n = tasks(contigs)
     out = dealt(contigs.select(*CONTIG, "contig_len"), CONTIG, n)
     for _, table in joined:
-        out = out.join(table, CONTIG, "left")
+        out = out.join(shuffled(table), CONTIG, "left")
     out = dealt(stage(out.fillna(False, [kind for kind, _ in joined]), "evidence"), CONTIG, n)
     out = out.withColumns({"ref_id": F.col("assigned_to_ref_id"), "assigned": F.col("assigned_to"), "chromosome_like": F.col("contig_len") >= least, "organelle": F.coalesce("organelle_any_complete", F.lit(False))})
     out = cascade(out.withColumn("organelle_debris", F.col("organelle_any") & ~F.col("organelle")))
-    out = out.join(to.drop("ref_id", "second_ref"), CONTIG, "left").join(ranks.groupBy(*CONTIG).agg(F.sum("union_bp").alias("total_bp"), F.count("*").alias("n_refs")), CONTIG, "left")
+    out = out.join(shuffled(to.drop("ref_id", "second_ref")), CONTIG, "left").join(shuffled(ranks.groupBy(*CONTIG).agg(F.sum("union_bp").alias("total_bp"), F.count("*").alias("n_refs"))), CONTIG, "left")
     zero = lambda c: F.coalesce(c, F.lit(0))
     mixed = (zero("n_refs") > 1) & (zero("best_bp") < cfg.chimera_primary * F.col("total_bp")) & (zero("second_bp") >= cfg.chimera_secondary * F.col("total_bp"))
     out = out.withColumns({"low_coverage": zero("total_bp") < least, "chimeric": F.coalesce(mixed & (F.col("total_bp") > 0), F.lit(False))})
@@ -137,8 +137,8 @@ def finished(out: DataFrame, blocks: DataFrame, ties: list[str], ranks: DataFram
     mid = chains.select(*PAIR, "strand", F.col("qstart").alias("qs"), F.col("qend").alias("qe"), F.col("ref_start").alias("rs"), F.col("ref_end").alias("re"), F.col("union_bp").alias("matches"))
     line = collinearity(mid, ["strand"]).select(*PAIR, "collinearity")
     top = best_chain(chains.select(*PAIR, F.struct("chain_id", "strand").alias("chain_id"), F.col("matches").alias("weight"), F.col("union_bp").alias("qbp"), "identity")).select(*PAIR, F.col("identity").alias("chain_identity"))
-    pair = ranks.select(*PAIR, F.col("frac").alias("ref_coverage")).join(line, PAIR, "left").join(top, PAIR, "left").join(chains.groupBy(*PAIR).agg(F.count("*").alias("n_chains")), PAIR, "left")
-    out = out.join(pair, PAIR, "left").join(telomeres, CONTIG, "left").join(gc, CONTIG, "left").join(refs.select("ref_id", "ref_len"), "ref_id", "left")
+    pair = ranks.select(*PAIR, F.col("frac").alias("ref_coverage")).join(shuffled(line), PAIR, "left").join(shuffled(top), PAIR, "left").join(shuffled(chains.groupBy(*PAIR).agg(F.count("*").alias("n_chains"))), PAIR, "left")
+    out = out.join(shuffled(pair), PAIR, "left").join(shuffled(telomeres), CONTIG, "left").join(shuffled(gc), CONTIG, "left").join(refs.select("ref_id", "ref_len"), "ref_id", "left")
     own = out.filter(chrom).groupBy("assembly").agg(F.avg("gc").alias("_mean"), F.coalesce(F.stddev_samp("gc"), F.lit(0.0)).alias("_sd"))
     out = out.join(own, "assembly", "left")
     mean, sd = F.lit(ref_gc[0]), F.lit(ref_gc[1])
@@ -153,7 +153,7 @@ def finished(out: DataFrame, blocks: DataFrame, ties: list[str], ranks: DataFram
     label = names(out.select(*CONTIG, named_ref.alias("ref_id"), F.lit(None).cast("string").alias("subgenome"), "full_length", F.col("chain_identity").alias("identity"), F.col("contig_len").alias("length"))).select(*CONTIG, "name")
     shown = F.when(cls.isin("chrom_assigned", "chrom_debris"), F.col("ref_id")).when(cls.startswith("organelle"), F.col("organelle_any_organelle_ref"))
     name = F.when(cls == "organelle_complete", F.col("organelle_any_organelle_ref")).otherwise(F.col("name"))
-    out = out.join(label, CONTIG).join(turn, CONTIG, "left")
+    out = out.join(shuffled(label), CONTIG).join(shuffled(turn), CONTIG, "left")
     state = status(shown, cls.isin("chrom_assigned", "chrom_unassigned"), cfg)
     six = lambda c: F.round(c, 6).alias(c)
     return out.select(

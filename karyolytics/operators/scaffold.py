@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT, Config
-from .intervals import overlap_join
+from .intervals import overlap_join, shuffled
 
 
 def layout(contigs: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
@@ -48,7 +48,7 @@ def haplotypes(contigs: DataFrame) -> DataFrame:
     means = group_identity(chrom).withColumn("mean_identity", F.coalesce("mean_identity", F.lit(0.0)))
     debris = on.filter(F.col("class") == "chrom_debris")
     near = nearest_group(debris.select("assembly", "ref_id", "contig", F.coalesce("chain_identity", F.lit(0.0)).alias("identity")), means)
-    return chrom.unionByName(debris.join(near, ["assembly", "ref_id", "contig"]))
+    return chrom.unionByName(debris.join(shuffled(near), ["assembly", "ref_id", "contig"]))
 
 
 def scaffolds(grouped: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
@@ -108,6 +108,6 @@ def lift(features: DataFrame, pieces: DataFrame, keep: bool = True) -> DataFrame
     out = at.select(*own, place(low, high).alias("s_from"), place(high, low).alias("s_to"), turned.alias("s_strand"))
     out = out.withColumnsRenamed({"s_from": "s_start", "s_to": "s_end"})
     if keep:
-        rest = features.join(pieces.select("assembly", "contig").distinct(), ["assembly", "contig"], "left_anti")
+        rest = features.join(shuffled(pieces.select("assembly", "contig").distinct()), ["assembly", "contig"], "left_anti")
         out = out.unionByName(rest.select(*features.columns, F.col("contig").alias("scaffold"), F.col("start").alias("s_start"), F.col("end").alias("s_end"), F.col("strand").alias("s_strand")))
     return out

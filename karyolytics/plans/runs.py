@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..config import DEFAULT as C
 from ..functions import ids, sequence
 from ..operators import compare, evidence, layout, run, scaffold
+from ..operators.intervals import shuffled
 from .adapters import ctes, view
 from .catalog import TIES, chains_sql, query
 
@@ -149,7 +150,7 @@ def _scaffolds(s, d):
     blocks = view(s, d, "run_blocks")
     mid = blocks.groupBy(*evidence.PAIR).agg((F.min("rs") + F.max("re")).alias("ref_mid"))
     top = run.best_chain(_chains(s, d).select(*evidence.PAIR, F.struct("chain_id", "strand").alias("chain_id"), F.col("matches").alias("weight"), F.col("union_bp").alias("qbp"), "identity")).select(*evidence.PAIR, F.col("identity").alias("debris_identity"))
-    df = _report(s, d).join(mid, evidence.PAIR, "left").join(top, evidence.PAIR, "left")
+    df = _report(s, d).join(shuffled(mid), evidence.PAIR, "left").join(shuffled(top), evidence.PAIR, "left")
     df = df.withColumns({"identity": F.col("chain_identity"), "chain_identity": F.col("debris_identity"), "grp": F.when(F.col("chain_identity") < 0.95, 2).otherwise(1), "ref_name": F.col("ref_id")})
     return scaffold.scaffolds(scaffold.haplotypes(df))
 
